@@ -23,3 +23,32 @@ SELECT dw.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit
     sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM dw LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+OP1 = """
+WITH p AS (
+    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS h FROM pages
+), b AS (SELECT page_id, n, h, CAST(CAST(unhex(h) AS BIT) AS VARCHAR) AS bits, min(page_id) OVER (PARTITION BY h, n) AS origin FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
+    array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + 16 * CAST(substr(bits, 5 * i + 1, 1) AS INT)
+        + 8 * CAST(substr(bits, 5 * i + 2, 1) AS INT) + 4 * CAST(substr(bits, 5 * i + 3, 1) AS INT)
+        + 2 * CAST(substr(bits, 5 * i + 4, 1) AS INT) + CAST(substr(bits, 5 * i + 5, 1) AS INT), 1)), '') AS payload_digest,
+    CASE WHEN page_id = origin THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> origin THEN origin END AS refers_to
+FROM b
+"""
+
+OP2 = r"""
+WITH c AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), e AS (
+    SELECT *, length(role) + length(text)
+        + length(regexp_replace(role || chr(10) || text, '[^\\]', '', 'g'))
+        + len(regexp_extract_all(role || chr(10) || text, '<\||<s>|</s>|\[INST\]|\[/INST\]|<<SYS>>|<</SYS>>')) AS n FROM c
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+    CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+    CAST(sum(n + 12 + 10 + 10) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""

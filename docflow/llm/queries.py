@@ -4,10 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docflow.llm import oracles, simhash, winnow
+from docflow.llm import chat, oracles, simhash, warc, winnow
 from docflow.llm.common import table
 
 
+def op1_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = warc.round_trip(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op2_chat_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], own.schema)
+    return chat.digests(chat.format_conversations(chat.records_of(own.unionByName(more))))
+
+
 def op3_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.contamination(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
 
@@ -16,5 +28,5 @@ def op9_simhash_bk_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op3_winnowing_decontamination, op9_simhash_bk_trees)}
-ORACLES = {"op3_winnowing_decontamination": oracles.OP3}
+QUERIES = {f.__name__: f for f in (op1_warc_zstd, op2_chat_fingerprints, op3_winnowing_decontamination, op9_simhash_bk_trees)}
+ORACLES = {"op1_warc_zstd": oracles.OP1, "op2_chat_fingerprints": oracles.OP2, "op3_winnowing_decontamination": oracles.OP3}
