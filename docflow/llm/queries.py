@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docflow.llm import chat, oracles, simhash, warc, winnow
+from docflow.llm import chat, oracles, secrets, simhash, warc, winnow
 from docflow.llm.common import table
 
 
@@ -24,9 +24,13 @@ def op3_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return winnow.contamination(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
+def op4_linked_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op9_simhash_bk_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc_zstd, op2_chat_fingerprints, op3_winnowing_decontamination, op9_simhash_bk_trees)}
+QUERIES = {f.__name__: f for f in (op1_warc_zstd, op2_chat_fingerprints, op3_winnowing_decontamination, op4_linked_secrets, op9_simhash_bk_trees)}
 ORACLES = {"op1_warc_zstd": oracles.OP1, "op2_chat_fingerprints": oracles.OP2, "op3_winnowing_decontamination": oracles.OP3}
