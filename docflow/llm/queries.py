@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docflow.llm import chat, oracles, secrets, simhash, warc, winnow
+from docflow.llm import chat, oracles, quality, secrets, simhash, warc, winnow
 from docflow.llm.common import table
 
 
@@ -28,9 +28,13 @@ def op4_linked_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op5_quality_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "quality"))
+
+
 def op9_simhash_bk_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc_zstd, op2_chat_fingerprints, op3_winnowing_decontamination, op4_linked_secrets, op9_simhash_bk_trees)}
+QUERIES = {f.__name__: f for f in (op1_warc_zstd, op2_chat_fingerprints, op3_winnowing_decontamination, op4_linked_secrets, op5_quality_ftrl, op9_simhash_bk_trees)}
 ORACLES = {"op1_warc_zstd": oracles.OP1, "op2_chat_fingerprints": oracles.OP2, "op3_winnowing_decontamination": oracles.OP3}
