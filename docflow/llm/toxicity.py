@@ -43,7 +43,7 @@ LOOKALIKES = {
     "e": "е3€",
     "g": "ɡ9",
     "h": "һ",
-    "i": "іιı1!|lӏ",
+    "i": "іιı1lӏ",
     "j": "ј",
     "k": "κк",
     "m": "м",
@@ -65,12 +65,15 @@ _FOLD = {ord(x): ord(letter) for letter, forms in LOOKALIKES.items() for x in fo
 _FOLD |= {0xFF41 + i: (ord("i") if i == 11 else 97 + i) for i in range(26)}
 _FOLD |= dict.fromkeys(map(ord, _INVISIBLE))
 _NUMBER = re.compile(r"(?<![^\W_])[\d.,]+(?![^\W_])")
+_INNER_MARK = re.compile(r"(?<=[^\W_])[!|](?=[^\W_])")
 _WORD = re.compile(r"[^\W_]+")
 
 
 def fold(text: str) -> str:
     """The form in which lexicon and text are compared; plain numbers stand out of the way first."""
     low = text.lower()
+    if "!" in low or "|" in low:
+        low = _INNER_MARK.sub("i", low)
     return _NUMBER.sub("#", low).translate(_FOLD)
 
 
@@ -144,7 +147,7 @@ def _terms(folded: str) -> set[str]:
     return words | {f"{w[:n]}*" for w in words for n in range(4, 8) if len(w) >= n}
 
 
-def learn(sample: DataFrame, least_share: float = 0.01, least_docs: int = 4, least_weight: float = 2.5) -> Lexicon:
+def learn(sample: DataFrame, least_share: float = 0.02, least_docs: int = 4, least_weight: float = 4.0) -> Lexicon:
     """The lexicon of a bounded sample (text, y).
 
     An entry stands in at least least_share of the toxic documents, or least_docs if that is more.
@@ -160,7 +163,9 @@ def learn(sample: DataFrame, least_share: float = 0.01, least_docs: int = 4, lea
     found = found.orderBy(F.desc("weight"), F.desc("bad"), "term").limit(LEXICON_ENTRIES)
     rows = found.collect()
     every = {r.term: (r.weight, r.bad) for r in rows}
-    # A longer entry says nothing more where a stem of it is as sure.
+    # A stem that one word accounts for gives way to the word; a longer entry to a stem that is as sure.
+    single = {f"{t[:n]}*" for t, (_, bad) in every.items() if not t.endswith("*") for n in range(4, 8) if len(t) >= n and bad >= 0.95 * every.get(f"{t[:n]}*", (0, bad + 1))[1]}
+    every = {t: x for t, x in every.items() if t not in single}
     entries = {t: w for t, (w, _) in every.items() if not any(every.get(f"{t[:n]}*", (0, 0))[0] >= w for n in range(4, len(t.rstrip("*"))))}
     plain = Lexicon(entries)
     phrases = _by_label(sample, lambda folded: _phrases(plain, folded)).where((F.col("good") >= 3) & (F.col("bad") * 20 < F.col("good")))
