@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docflow.llm import chat, oracles, quality, secrets, simhash, toxicity, warc, winnow
+from docflow.llm import chat, minhash, oracles, quality, secrets, simhash, toxicity, warc, winnow
 from docflow.llm.common import table
 
 
@@ -36,9 +36,13 @@ def op6_toxicity_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "toxic"))
 
 
+def op7_minhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.fingerprints(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op9_simhash_bk_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc_zstd, op2_chat_fingerprints, op3_winnowing_decontamination, op4_linked_secrets, op5_quality_ftrl, op6_toxicity_lexicon, op9_simhash_bk_trees)}
+QUERIES = {f.__name__: f for f in (op1_warc_zstd, op2_chat_fingerprints, op3_winnowing_decontamination, op4_linked_secrets, op5_quality_ftrl, op6_toxicity_lexicon, op7_minhash_fingerprints, op9_simhash_bk_trees)}
 ORACLES = {"op1_warc_zstd": oracles.OP1, "op2_chat_fingerprints": oracles.OP2, "op3_winnowing_decontamination": oracles.OP3}
