@@ -6,12 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docflow.llm import simhash, winnow
+from docflow.llm import pieces, quality, secrets, simhash, winnow
 from docflow.llm.common import settle, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def quality_gate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents that the quality classifier rejects."""
+    return quality.accepted(docs, table(spark, sf_dir, "labels", "doc_id", "quality"))
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each near-duplicate group."""
     return simhash.one_of_each(docs)
@@ -22,7 +27,23 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return winnow.clean_documents(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
-STAGES: list[tuple[str, Stage]] = [("near_dedup", near_dedup), ("decontaminate", decontaminate)]
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replaces every secret that the scan reports."""
+    return secrets.redact(docs)
+
+
+def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id and the piece numbers of each kept document."""
+    return pieces.tokenised(docs)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_gate", quality_gate),
+    ("near_dedup", near_dedup),
+    ("decontaminate", decontaminate),
+    ("redact_secrets", redact_secrets),
+    ("encode_pieces", encode_pieces),
+]
 
 #: SQL has no SimHash of XXH64 shingles, no trained classifier and no tokenizer.
 ORACLE_SQL = None
