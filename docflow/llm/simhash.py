@@ -231,9 +231,13 @@ def near_duplicates(documents: DataFrame, shingle: int = 4, radius: int = 4, blo
 def one_of_each(documents: DataFrame, **options: int) -> DataFrame:
     """The document with the least doc_id of each near-duplicate group, with its own columns.
 
-    Rows that repeat that doc_id are copies of it by id; one with the least text is kept.
+    Rows that repeat both that id and its text count as copies, and one is kept; different texts under
+    that id are kept. The texts are regrouped for this only if an id repeats at all.
     """
-    groups = near_duplicates(documents, **options)
-    chosen = groups.groupBy("component_id").agg(F.min("doc_id").alias("doc_id")).select(F.col("doc_id").alias("_chosen"))
+    groups = settle(near_duplicates(documents, **options), "groups")
+    chosen = groups.groupBy("component_id").agg(F.min("doc_id").alias("_chosen")).select("_chosen")
     kept = documents.join(chosen, F.col("doc_id").eqNullSafe(F.col("_chosen")), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    if groups.groupBy("doc_id").count().where("count > 1").isEmpty():
+        return kept
+    keyed = kept.withColumns({"_hash": F.xxhash64("text"), "_chars": F.char_length("text")})
+    return keyed.dropDuplicates(["doc_id", "_hash", "_chars"]).select(*documents.columns)
