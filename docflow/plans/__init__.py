@@ -1,0 +1,6 @@
+"""All queries over the given tables, by operator ID."""
+
+from docflow.plans import changelog
+from docflow.plans.registry import QUERIES, SQL
+
+__all__ = ["QUERIES", "SQL", "changelog"]
