@@ -185,3 +185,15 @@ def _fields_of(schema: str) -> tuple[Field, ...]:
         else:
             found.append(Field(name, {"STRING": "string", "BOOLEAN": "boolean", "VOID": "null", "VARIANT": "string"}.get(kind, "number")))
     return tuple(found)
+
+
+def register_functions(spark) -> None:
+    """doc_number(data, field), doc_boolean(data, field) and doc_string(data, field) as SQL functions of the session."""
+    scalar = "CASE WHEN schema_of_variant(try_variant_get(try_parse_json(data), concat('$.', field), 'variant')) NOT RLIKE '^(OBJECT|ARRAY|VOID)' THEN try_variant_get(try_parse_json(data), concat('$.', field), 'string') END"
+    bodies = {
+        "doc_string": ("STRING", scalar),
+        "doc_number": ("DECIMAL(38,9)", f"try_cast({scalar} AS DECIMAL(38,9))"),
+        "doc_boolean": ("BOOLEAN", f"CASE lower({scalar}) WHEN 'true' THEN true WHEN 'false' THEN false END"),
+    }
+    for name, (kind, body) in bodies.items():
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(data STRING, field STRING) RETURNS {kind} RETURN {body}")
