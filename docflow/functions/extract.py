@@ -20,8 +20,14 @@ def parsed(data: Column | str) -> Column:
 
 
 def path(names: Sequence[str]) -> str:
-    """A VARIANT path; names are quoted, so any character may stand in them."""
-    return "$" + "".join("['" + n.replace("\\", "\\\\").replace("'", "\\'") + "']" for n in names)
+    """A VARIANT path; names are quoted. The path syntax has no escapes, so a name cannot hold both quotes."""
+    out = "$"
+    for n in names:
+        if "'" in n and '"' in n:
+            raise ValueError(f"a field name with both kinds of quotes: {n}")
+        quote = '"' if "'" in n else "'"
+        out += f"[{quote}{n}{quote}]"
+    return out
 
 
 def json_scalar(value: Column, names: Sequence[str] = ()) -> Column:
