@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,3 +21,18 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, usable:
     drawn = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & usable)
     drawn = drawn.select("doc_id", F.col(label).cast("int").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(rows)
     return documents.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
+
+
+def fit_shards(sample: DataFrame, shards: int, fit: Callable[[pa.Table], pa.Table], schema: str) -> list:
+    """What `fit` makes of each shard of a bounded sample, with its rows in an order that reruns keep.
+
+    The number of shards is part of the model, so they are groups and not partitions, whose number a
+    cluster may change.
+    """
+    order = [c for c in sample.columns]
+    keyed = sample.withColumns({"_shard": F.pmod(F.xxhash64("doc_id"), F.lit(shards)), "_order": F.xxhash64("doc_id", F.lit(1))})
+
+    def ordered(rows: pa.Table) -> pa.Table:
+        return fit(rows.sort_by([("_order", "ascending"), *((c, "ascending") for c in order)]).combine_chunks())
+
+    return keyed.groupBy("_shard").applyInArrow(ordered, schema).collect()

@@ -17,6 +17,7 @@ repeated rows get equal results; other columns are ignored.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docflow.llm.common import TextBlock, held_out, mix64, runs, span_hashes, text_blocks
+from docflow.llm.labelled import fit_shards
 from docflow.llm.quality import _letter
 from docflow.llm.winnow import _lower
 
@@ -170,26 +172,23 @@ class Crf:
 def train(sample: DataFrame, labels: list[str], shards: int = 4, epochs: int = 3) -> Crf:
     """The average of models that learn side by side on the shards of a bounded sample (text, lang)."""
 
-    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def fit(sampled: pa.Table) -> pa.Table:
+        lang = np.array([labels.index(x) for x in sampled.column("lang").to_pylist()], np.int64)
         made = []
-        for batch in batches:
-            lang = np.array([labels.index(x) for x in batch.column("lang").to_pylist()], np.int64)
-            for block in text_blocks(batch.column("text"), 1 << 17):
-                words = Words(block)
-                if words.n:
-                    made.append((words, lang[block.lo + words.rows]))
-        if made:
-            model = Crf(len(labels))
-            model.train(made, epochs)
-            yield pa.RecordBatch.from_pydict({"emit": pa.array([model.emit.tobytes()], pa.binary()), "move": pa.array([model.move.tobytes()], pa.binary())})
+        for block in text_blocks(sampled.column("text").combine_chunks(), 1 << 17):
+            words = Words(block)
+            if words.n:
+                made.append((words, lang[block.lo + words.rows]))
+        model = Crf(len(labels))
+        model.train(made, epochs)
+        return pa.table({"emit": pa.array([zlib.compress(model.emit.tobytes(), 1)], pa.binary()), "move": pa.array([model.move.tobytes()], pa.binary())})
 
     # Bounded: at most SAMPLE_ROWS rows are dealt, and each shard gives one model of fixed size.
-    dealt = sample.repartition(shards, F.xxhash64("doc_id")).sortWithinPartitions(F.xxhash64("doc_id", F.lit(1)), "doc_id", "text", "lang")
-    models = dealt.mapInArrow(fit, "emit binary, move binary").collect()
+    models = fit_shards(sample, shards, fit, "emit binary, move binary")
     k = len(labels)
     total = Crf(k)
     for m in models:
-        total.emit += np.frombuffer(m.emit, np.float32).reshape(-1, k) / len(models)
+        total.emit += np.frombuffer(zlib.decompress(m.emit), np.float32).reshape(-1, k) / len(models)
         total.move += np.frombuffer(m.move, np.float64).reshape(k, k) / len(models)
     return total
 

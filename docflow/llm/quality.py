@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docflow.llm.common import TextBlock, held_out, mix64, runs, span_hashes, text_blocks
-from docflow.llm.labelled import SAMPLE_ROWS, labelled_sample
+from docflow.llm.labelled import SAMPLE_ROWS, fit_shards, labelled_sample
 from docflow.llm.winnow import _lower
 
 BITS = 20
@@ -130,27 +130,24 @@ def sigmoid(x):
 def train(sample: DataFrame, shards: int = 4, epochs: int = 3) -> np.ndarray:
     """Averaged weights, the bias last, of models that learn side by side on the sample's shards."""
 
-    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def fit(sampled: pa.Table) -> pa.Table:
         rows = []
-        for batch in batches:
-            y = batch.column("y").to_pylist()
-            for block in text_blocks(batch.column("text")):
-                at, owner, n_words = features(block)
-                order = np.argsort(owner, kind="stable")
-                cut = np.searchsorted(owner[order], np.arange(block.rows + 1))
-                for row in range(block.rows):
-                    own, count = np.unique(at[order[cut[row] : cut[row + 1]]], return_counts=True)
-                    rows.append((own.astype(np.int32), (SCALE * count / max(1, n_words[row])).astype(np.float32), y[block.lo + row]))
+        y = sampled.column("y").to_pylist()
+        for block in text_blocks(sampled.column("text").combine_chunks()):
+            at, owner, n_words = features(block)
+            order = np.argsort(owner, kind="stable")
+            cut = np.searchsorted(owner[order], np.arange(block.rows + 1))
+            for row in range(block.rows):
+                own, count = np.unique(at[order[cut[row] : cut[row + 1]]], return_counts=True)
+                rows.append((own.astype(np.int32), (SCALE * count / max(1, n_words[row])).astype(np.float32), y[block.lo + row]))
         model = Ftrl(1 << BITS)
         for _ in range(epochs):
             for own, x, label in rows:
                 model.learn(own, x, label)
-        if rows:
-            yield pa.RecordBatch.from_pydict({"w": pa.array([zlib.compress(model.weights().astype(np.float32).tobytes(), 1)], pa.binary()), "n": pa.array([len(rows)], pa.int64())})
+        return pa.table({"w": pa.array([zlib.compress(model.weights().astype(np.float32).tobytes(), 1)], pa.binary()), "n": pa.array([len(rows)], pa.int64())})
 
     # Bounded: the sample has at most labelled.SAMPLE_ROWS rows, and each shard gives one model.
-    dealt = sample.repartition(shards, F.xxhash64("doc_id")).sortWithinPartitions(F.xxhash64("doc_id", F.lit(1)), "doc_id", "text", "y")
-    models = dealt.mapInArrow(fit, "w binary, n long").collect()
+    models = fit_shards(sample, shards, fit, "w binary, n long")
     total = np.zeros((1 << BITS) + 1, np.float64)
     for m in models:
         total += m.n * np.frombuffer(zlib.decompress(m.w), np.float32)
