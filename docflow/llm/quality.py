@@ -154,11 +154,12 @@ def train(sample: DataFrame, shards: int = 4, epochs: int = 3) -> np.ndarray:
     return (total / max(1, sum(m.n for m in models))).astype(np.float32)
 
 
-def score(documents: DataFrame, weights: np.ndarray, keep: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, score, and the columns to keep."""
+def score(documents: DataFrame, weights: np.ndarray, keep: bool = False) -> DataFrame:
+    """doc_id and score; with keep also the text and, as the struct `kept`, the other columns of documents."""
     model = documents.sparkSession.sparkContext.broadcast(weights)
-    source = documents.select("doc_id", "text", *(c for c in keep if c not in ("doc_id", "text")))
-    kept = [f for f in source.schema if f.name == "doc_id" or f.name in keep]
+    others = [c for c in documents.columns if c not in ("doc_id", "text")] if keep else []
+    source = documents.select("doc_id", "text", *([F.struct(*others).alias("kept")] if others else []))
+    kept = [f for f in source.schema if keep or f.name == "doc_id"]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "score double"])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,4 +189,5 @@ def classify(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -
 def accepted(documents: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFrame:
     """The documents whose score reaches `least`, with their own columns."""
     weights = train_usable(documents, labels, ~held_out("doc_id", 3, 1))
-    return score(documents, weights, tuple(c for c in documents.columns if c != "doc_id")).where(F.col("score") >= least).select(*documents.columns)
+    kept = score(documents, weights, keep=True).where(F.col("score") >= least)
+    return kept.select(*(c if c in ("doc_id", "text") else F.col("kept")[c].alias(c) for c in documents.columns))

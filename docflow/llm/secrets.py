@@ -150,11 +150,12 @@ def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
 
 def redact(documents: DataFrame) -> DataFrame:
     """The documents with every reported span replaced, n_chars counted anew where the text changed."""
-    spans = settle(scan(documents).where(F.size("spans") > 0).select(F.col("doc_id").alias("s_id"), F.col("text_key").alias("s_key"), "spans").distinct(), "spans")
+    found = scan(documents).where(F.size("spans") > 0).distinct()
+    found = settle(found.select(F.col("doc_id").alias("_s_id"), F.col("text_key").alias("_s_key"), F.col("spans").alias("_spans")), "spans")
     key = text_key(F.coalesce("text", F.lit("")))
-    joined = documents.withColumn("_key", key).join(spans, F.col("doc_id").eqNullSafe(F.col("s_id")) & (F.col("_key") == F.col("s_key")), "left")
-    text = F.when(F.col("spans").isNull(), F.col("text")).otherwise(redacted(F.col("text"), F.col("spans")))
+    joined = documents.withColumn("_key", key).join(found, F.col("doc_id").eqNullSafe(F.col("_s_id")) & (F.col("_key") == F.col("_s_key")), "left")
+    text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(redacted(F.col("text"), F.col("_spans")))
     kept = joined.withColumn("text", text)
     if "n_chars" in documents.columns:
-        kept = kept.withColumn("n_chars", F.when(F.col("spans").isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast("long")))
+        kept = kept.withColumn("n_chars", F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast("long")))
     return kept.select(*documents.columns)

@@ -114,7 +114,7 @@ def parse_record(raw: bytes) -> dict:
     fields = {}
     for line in lines[1:]:
         name, colon, value = line.partition(":")
-        if not colon or not name or name != name.strip():
+        if not colon or not re.fullmatch(r"[!-9;-~]+", name):
             raise WarcError("a header line without a name")
         fields[name.lower()] = value.strip()
     for name in ("warc-type", "warc-record-id", "warc-date", "content-length"):

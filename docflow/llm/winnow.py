@@ -144,17 +144,17 @@ def item_blocks(benchmark: DataFrame, window: int, k: int, block_words: int) ->
         yield ItemIndex(held, window, k)
 
 
-def contamination(documents: DataFrame, benchmark: DataFrame, window: int = 10, k: int = 5, block_words: int = 2_000_000, keep: tuple[str, ...] = ()) -> DataFrame:
+def contamination(documents: DataFrame, benchmark: DataFrame, window: int = 10, k: int = 5, block_words: int = 2_000_000, keep: bool = False) -> DataFrame:
     """One row per document: how many words it has, how many stand in windows of benchmark items.
 
-    keep: further columns of documents to carry through.
+    keep: also returns the text and, as the struct `kept`, the other columns of documents.
     """
     spark = documents.sparkSession
     blocks = [spark.sparkContext.broadcast(x) for x in item_blocks(benchmark, window, k, block_words)]
-    columns = ["doc_id", "text", *(c for c in keep if c not in ("doc_id", "text"))]
-    source = documents.select(*columns)
-    kept = ["doc_id", *keep]
-    schema = ", ".join([SCHEMA, *(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema if f.name in keep and f.name != "doc_id")])
+    others = [c for c in documents.columns if c not in ("doc_id", "text")] if keep else []
+    source = documents.select("doc_id", "text", *([F.struct(*others).alias("kept")] if others else []))
+    carried = [f for f in source.schema if keep and f.name != "doc_id"]
+    schema = ", ".join([SCHEMA, *(f"`{f.name}` {f.dataType.simpleString()}" for f in carried)])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         indexes = [x.value for x in blocks]
@@ -181,7 +181,7 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = 10,
                 "items_sha256": pa.array([hashlib.sha256(",".join(sorted(x)).encode()).hexdigest() for x in names], pa.string()),
                 "contaminated": pa.array([x > 0 for x in n_hit], pa.bool_()),
             }
-            out |= {c: batch.column(c) for c in kept if c != "doc_id"}
+            out |= {f.name: batch.column(f.name) for f in carried}
             yield pa.RecordBatch.from_pydict(out)
 
     return source.mapInArrow(scan, schema)
@@ -189,6 +189,5 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = 10,
 
 def clean_documents(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that share no window with the benchmark, with their own columns."""
-    columns = documents.columns
-    found = contamination(documents, benchmark, keep=tuple(c for c in columns if c != "doc_id"))
-    return found.where(~F.col("contaminated")).select(*columns)
+    found = contamination(documents, benchmark, keep=True).where(~F.col("contaminated"))
+    return found.select(*(c if c in ("doc_id", "text") else F.col("kept")[c].alias(c) for c in documents.columns))
