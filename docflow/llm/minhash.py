@@ -27,43 +27,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docflow.llm.common import CHUNK_BYTES, gram_hashes, mix64, runs, settle, span_hashes, text_blocks
-from docflow.llm.simhash import _space, components
-from docflow.llm.winnow import _lower
+from docflow.llm.common import CHUNK_BYTES, gram_hashes, mix64, settle, text_blocks
+from docflow.llm.shingles import _FACTORS, _TERMS, PERMUTATIONS, shingles
+from docflow.llm.simhash import components
 
-PERMUTATIONS = 128
-SHINGLE = 5
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
-_draw = np.random.default_rng(20240101)
-_FACTORS = _draw.integers(1, 1 << 63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_TERMS = _draw.integers(0, 1 << 63, PERMUTATIONS, dtype=np.uint64)
 
 OUT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 
-def shingles(block) -> tuple[np.ndarray, np.ndarray]:
-    """Shingle hashes of the block's rows in order, and how many each row has."""
-    if not len(block.data):
-        return np.zeros(0, np.uint64), np.zeros(block.rows, np.int64)
-    data = _lower[block.data]
-    starts, ends = runs(~_space[data], block.offsets)
-    words = span_hashes(data, starts, ends)
-    first = np.searchsorted(starts, block.offsets)
-    counts = np.diff(first)
-    n = np.maximum(counts - SHINGLE + 1, np.minimum(counts, 1))
-    out = np.zeros(int(n.sum()), np.uint64)
-    place = np.cumsum(n) - n
-    rows = np.repeat(np.arange(block.rows), n)
-    lead = first[:-1][rows] + np.arange(len(out)) - place[rows]
-    full = counts[rows] >= SHINGLE
-    out[full] = gram_hashes(words, SHINGLE)[lead[full]] if full.any() else 0
-    for k in range(1, SHINGLE):
-        short = np.flatnonzero(counts == k)
-        if len(short):
-            out[place[short]] = gram_hashes(words, k)[first[:-1][short]]
-    return out, n
-
-
 def signatures(column: pa.Array) -> np.ndarray:
     """The least value of each hash function (columns) over each text's shingles (rows)."""
     out = np.full((len(column), PERMUTATIONS), EMPTY)

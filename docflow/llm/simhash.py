@@ -11,6 +11,12 @@ alternating star contraction over tables in the shared folder.
 Trees are built where their shard lands instead of being broadcast whole: all trees together grow
 with the corpus, and a broadcast has to stay bounded.
 
+`similar_groups` serves corpora whose copies differ by more than a few bits. It takes fingerprints of
+256 bits over five-word shingles, links those within the radius that a Jaccard similarity of 0.8
+implies, and deals them into shards by pairs of least shingle hashes: texts of that similarity share
+a pair with probability 0.64, and at least one of 12 with 0.999995. Trees, forests and components are
+the same.
+
 Defined cases: null and wordless texts have fingerprint zero and are linked like any other; equal
 fingerprints are one group; repeated rows each keep a row; a null doc_id takes part, and is the
 component's id only if the component has no other id.
@@ -27,12 +33,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docflow.llm.common import runs, settle, text_blocks
+from docflow.llm.common import mix64, runs, settle, text_blocks
+from docflow.llm.shingles import _FACTORS, _TERMS, _space, shingles
 from docflow.llm.winnow import _lower
 
-_space = np.zeros(256, bool)
-_space[[32, 9, 10, 11, 12, 13]] = True
-
 
 def text_fingerprints(column: pa.Array, shingle: int = 4, seed: int = 42) -> np.ndarray:
     """SimHash of each text: a bit is set if it is set in over half the shingles' XXH64."""
@@ -228,16 +232,103 @@ def near_duplicates(documents: DataFrame, shingle: int = 4, radius: int = 4, blo
     return prints.join(ids, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def one_of_each(documents: DataFrame, **options: int) -> DataFrame:
-    """The document with the least doc_id of each near-duplicate group, with its own columns.
+#: Pairs of least shingle hashes that shard wide fingerprints, and their radius in 256 bits.
+PAIRS = 12
+WIDE_RADIUS = 42
+
+
+def wide_fingerprints(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """For each text four 64-bit words of its fingerprint, and PAIRS shard keys; zero without words."""
+    prints = np.zeros((len(column), 4), np.uint64)
+    keys = np.zeros((len(column), PAIRS), np.uint64)
+    for block in text_blocks(column):
+        grams, n = shingles(block)
+        full = np.flatnonzero(n)
+        if not len(full):
+            continue
+        bounds = (np.cumsum(n) - n)[full]
+        half = n[full][:, None] / 2
+        for word in range(4):
+            bits = np.unpackbits(mix64(grams + np.uint64(word + 1)).astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            over = np.add.reduceat(bits, bounds, axis=0, dtype=np.int32) > half
+            prints[block.lo + full, word] = np.packbits(over, axis=1, bitorder="little").view("<u8").reshape(-1)
+        for pair in range(PAIRS):
+            least = [np.minimum.reduceat(grams * _FACTORS[2 * pair + i] + _TERMS[2 * pair + i], bounds) for i in range(2)]
+            keys[block.lo + full, pair] = mix64(mix64(least[0]) + least[1])
+    return prints, keys
+
+
+def similar_groups(documents: DataFrame, radius: int = WIDE_RADIUS) -> DataFrame:
+    """doc_id, text_key, root, component_id of texts whose wide fingerprints link.
+
+    text_key tells texts apart that share an id, and root does so for components.
+    """
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prints, keys = wide_fingerprints(batch.column("text"))
+            nodes = mix64(prints[:, 0] ^ mix64(prints[:, 1] ^ mix64(prints[:, 2] ^ mix64(prints[:, 3]))))
+            for k in range(PAIRS):
+                nodes = mix64(nodes ^ keys[:, k])
+            out = {"doc_id": batch.column("doc_id"), "text_key": batch.column("text_key"), "node": pa.array(nodes.view(np.int64)), "fp": pa.array([x.tobytes() for x in prints], pa.binary())}
+            yield pa.RecordBatch.from_pydict(out | {"keys": pa.ListArray.from_arrays(pa.array(np.arange(len(nodes) + 1) * PAIRS, pa.int32()), pa.array(keys.reshape(-1).view(np.int64)))})
+
+    source = documents.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
+    marked = settle(source.mapInArrow(scan, "doc_id long, text_key long, node long, fp binary, keys array<long>"), "wide")
+    once = marked.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.first("fp").alias("fp"), F.first("keys").alias("keys"))  # alike for a node
+    once = settle(once, "nodes")
+    roots = components(_wide_edges(once, radius))
+    linked = once.select("node", "least_id").join(roots, "node", "left").select("node", "least_id", F.coalesce("root", "node").alias("root"))
+    least = linked.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    named = linked.join(least, "root").select("node", "root", "component_id")
+    return marked.select("doc_id", "text_key", "node").join(named, "node").select("doc_id", "text_key", "root", "component_id")
+
+
+def _wide_edges(once: DataFrame, radius: int) -> DataFrame:
+    """Edges between nodes, a spanning forest for each shard."""
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, int] = {}
+        held_key = None
+        out: list[tuple[int, int]] = []
+
+        def close() -> None:
+            if len(held) > 1:
+                out.extend((held[a], held[b]) for a, b in forest(list(held), radius))
+
+        for batch in batches:
+            for key, node, fp in zip(zip(batch.column("pos").to_pylist(), batch.column("key").to_pylist(), strict=True), batch.column("node").to_pylist(), batch.column("fp").to_pylist(), strict=True):
+                if key != held_key:
+                    close()
+                    held, held_key = {}, key
+                value = int.from_bytes(fp, "little")
+                if value in held:
+                    out.append((held[value], node))
+                else:
+                    held[value] = node
+            ends = np.array(out, np.int64).reshape(-1, 2)
+            out = []
+            yield pa.RecordBatch.from_pydict({"a": pa.array(np.ascontiguousarray(ends[:, 0])), "b": pa.array(np.ascontiguousarray(ends[:, 1]))})
+        close()
+        ends = np.array(out, np.int64).reshape(-1, 2)
+        yield pa.RecordBatch.from_pydict({"a": pa.array(np.ascontiguousarray(ends[:, 0])), "b": pa.array(np.ascontiguousarray(ends[:, 1]))})
+
+    keyed = once.select("node", "fp", F.posexplode("keys").alias("pos", "key"))
+    shared = keyed.groupBy("pos", "key").count().where("count > 1").select("pos", "key")
+    dealt = keyed.join(shared, ["pos", "key"]).repartition("pos", "key").sortWithinPartitions("pos", "key", "node")
+    return dealt.select("pos", "key", "node", "fp").mapInArrow(search, "a long, b long")
+
+
+def one_of_each(documents: DataFrame, radius: int = WIDE_RADIUS) -> DataFrame:
+    """The document with the least doc_id of each group of similar texts, with its own columns.
 
-    Rows that repeat both that id and its text count as copies, and one is kept; different texts under
-    that id are kept. The texts are regrouped for this only if an id repeats at all.
+    Different texts under that id are told apart; of rows that repeat both, one stays.
     """
-    groups = settle(near_duplicates(documents, **options), "groups")
-    chosen = groups.groupBy("component_id").agg(F.min("doc_id").alias("_chosen")).select("_chosen")
-    kept = documents.join(chosen, F.col("doc_id").eqNullSafe(F.col("_chosen")), "left_semi")
-    if groups.groupBy("doc_id").count().where("count > 1").isEmpty():
+    groups = settle(similar_groups(documents, radius), "groups")
+    # The least row of each group, and whether any row repeats, from narrow columns.
+    first = groups.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("c")).select(F.col("c.doc_id").alias("_id"), F.col("c.text_key").alias("_text"))
+    kept = documents.join(first, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_text")), "left_semi")
+    if groups.groupBy("doc_id", "text_key").count().where("count > 1").isEmpty():
         return kept
-    keyed = kept.withColumns({"_hash": F.xxhash64("text"), "_chars": F.char_length("text")})
-    return keyed.dropDuplicates(["doc_id", "_hash", "_chars"]).select(*documents.columns)
+    keyed = kept.withColumn("_hash", F.xxhash64("text"))
+    return keyed.dropDuplicates(["doc_id", "_hash"]).select(*documents.columns)

@@ -90,6 +90,27 @@ def test_components_of_random_graphs(spark):
     assert got == {i: find(i) for i in on_edge}
 
 
+def test_similar_groups_follow_jaccard(spark):
+    from .test_minhash import shingles
+
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefghijkl") for _ in range(6))
+    base = [[word() for _ in range(150)] for _ in range(12)]
+    rows = []
+    for k, words in enumerate(base):
+        rows.append((k, " ".join(words)))
+        rows += [(100 + 10 * k + j, " ".join(word() if i in picked else w for i, w in enumerate(words))) for j, picked in enumerate([{5}, {5, 80}, {40}])]
+        rows.append((500 + k, " ".join(words[:30] + [word() for _ in range(120)])))  # shares a passage only
+    rows += [(900, None), (901, ""), (902, " "), (903, "one"), (904, "two"), (None, "three four")]
+    df = spark.createDataFrame([(i, t, "clash", 1) for i, t in rows], "doc_id long, text string, node string, fp int")
+    got = {r.doc_id: r.component_id for r in simhash.similar_groups(df).collect()}
+    for k in range(12):
+        assert {got[100 + 10 * k + j] for j in range(3)} == {k}
+        assert got[500 + k] == 500 + k
+    assert (got[901], got[902], got[903], got[904], got[None]) == (900, 900, 903, 904, None)
+    assert min(len(shingles(rows[1][1]) & shingles(rows[0][1])) / len(shingles(rows[1][1]) | shingles(rows[0][1])), 1) > 0.8
+
+
 def test_empty_table_and_one_of_each(spark):
     schema = "doc_id long, text string, lang string"
     assert simhash.near_duplicates(spark.createDataFrame([], schema)).count() == 0
