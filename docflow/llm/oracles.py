@@ -52,3 +52,47 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
     CAST(sum(n + 12 + 10 + 10) AS BIGINT) AS formatted_chars
 FROM e GROUP BY conv_id
 """
+
+
+def _matches(kind: int, pattern: str, group: int, least: int, whole: str = "") -> str:
+    """Rows (doc_id, kind, s, e) of a pattern's matches whose group has at least `least` characters.
+
+    whole: a further pattern that a match must fit from end to end.
+    """
+    fits = f" AND regexp_full_match(w[i], '{whole}')" if whole else ""
+    return f"""
+    SELECT doc_id, {kind} AS kind, CAST(pos AS BIGINT) AS s, CAST(pos + length(w[i]) AS BIGINT) AS e
+    FROM (SELECT doc_id, w, g, i, coalesce(list_sum(list_transform(p[1:i], lambda x: length(x))), 0) + coalesce(list_sum(list_transform(w[1:i - 1], lambda x: length(x))), 0) AS pos
+        FROM (SELECT doc_id, w, p, g, unnest(range(1, len(w) + 1)) AS i
+            FROM (SELECT doc_id, regexp_extract_all(t, '{pattern}') AS w, regexp_extract_all(t, '{pattern}', {group}) AS g, string_split_regex(t, '{pattern}') AS p FROM d)))
+    WHERE length(g[i]) >= {least}{fits}"""
+
+
+_ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+_IDENT = r"""(?i)(?:access_?key_?id|client_?id|account_?id|login|user_?name)["'']?\x20*[:=]\x20*["'']?[A-Za-z0-9_.@-]{3,}"""
+_ENDPOINT = r"""(?:https?|s3|jdbc:[a-z]+|redis|mongodb|postgres(?:ql)?|mysql|amqps?)://[^\x00-\x20"''<>\x7F]+"""
+_KEY = "[A-Za-z0-9+/=_-]+"
+
+OP4 = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), strong AS (
+    {_matches(0, _ASSIGN, 2, 6)} UNION ALL {_matches(1, "AKIA[A-Z0-9]+", 0, 20)} UNION ALL {_matches(2, "[0-9a-f]+", 0, 24)}
+), weak AS (
+    SELECT * FROM ({_matches(3, _KEY, 0, 40, "[A-Za-z0-9+/]{40}")} UNION ALL {_matches(4, _IDENT, 0, 1)} UNION ALL {_matches(5, _ENDPOINT, 0, 1)}) w
+), parts AS (SELECT *, CASE WHEN kind IN (0, 2, 3) THEN 'secret' WHEN kind IN (1, 4) THEN 'access' ELSE 'endpoint' END AS role FROM (SELECT * FROM strong UNION ALL SELECT * FROM weak)
+), linked AS (
+    SELECT doc_id, kind, s, e FROM weak w
+    WHERE NOT EXISTS (SELECT 1 FROM strong b WHERE b.doc_id = w.doc_id AND b.s < w.e AND w.s < b.e)
+    AND (kind = 4 OR EXISTS (SELECT 1 FROM parts p WHERE p.doc_id = w.doc_id AND role = 'access' AND p.s <= w.e + 200 AND w.s <= p.e + 200))
+    AND (kind = 3 OR EXISTS (SELECT 1 FROM parts p WHERE p.doc_id = w.doc_id AND role = 'secret' AND p.s <= w.e + 200 AND w.s <= p.e + 200))
+), named AS (
+    SELECT doc_id, kind, s, e, ['assign', 'access', 'hex', 'key', 'ident', 'endpoint'][kind + 1] || ':' || s || ':' || e AS span, kind < 3 AS base
+    FROM (SELECT * FROM strong UNION ALL SELECT * FROM linked)
+), told AS (
+    SELECT doc_id, count(*) FILTER (WHERE kind = 0) AS n_assign, count(*) FILTER (WHERE kind = 1) AS n_access, count(*) FILTER (WHERE kind = 2) AS n_hex,
+        string_agg(span, ',' ORDER BY s, kind, e) FILTER (WHERE base) AS base, string_agg(span, ',' ORDER BY s, kind, e) AS spans
+    FROM named GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+    sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN told USING (doc_id)
+"""

@@ -53,4 +53,4 @@ def op10_sentencepiece_transducer(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 QUERIES = {f.__name__: f for f in (op1_warc_zstd, op2_chat_fingerprints, op3_winnowing_decontamination, op4_linked_secrets, op5_quality_ftrl, op6_toxicity_lexicon, op7_minhash_fingerprints, op8_language_crf, op9_simhash_bk_trees, op10_sentencepiece_transducer)}
-ORACLES = {"op1_warc_zstd": oracles.OP1, "op2_chat_fingerprints": oracles.OP2, "op3_winnowing_decontamination": oracles.OP3}
+ORACLES = {"op1_warc_zstd": oracles.OP1, "op2_chat_fingerprints": oracles.OP2, "op3_winnowing_decontamination": oracles.OP3, "op4_linked_secrets": oracles.OP4}
