@@ -9,9 +9,11 @@ from docflow.llm.winnow import _lower
 
 PERMUTATIONS = 128
 SHINGLE = 5
+#: Functions drawn in all; signatures take the first PERMUTATIONS of them.
+DRAWN = 160
 _draw = np.random.default_rng(20240101)
-_FACTORS = _draw.integers(1, 1 << 63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_TERMS = _draw.integers(0, 1 << 63, PERMUTATIONS, dtype=np.uint64)
+_FACTORS = _draw.integers(1, 1 << 63, DRAWN, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_TERMS = _draw.integers(0, 1 << 63, DRAWN, dtype=np.uint64)
 
 _space = np.zeros(256, bool)
 _space[[32, 9, 10, 11, 12, 13]] = True

@@ -13,9 +13,9 @@ with the corpus, and a broadcast has to stay bounded.
 
 `similar_groups` serves corpora whose copies differ by more than a few bits. It takes fingerprints of
 256 bits over five-word shingles, links those within the radius that a Jaccard similarity of 0.8
-implies, and deals them into shards by pairs of least shingle hashes: texts of that similarity share
-a pair with probability 0.64, and at least one of 12 with 0.999995. Trees, forests and components are
-the same.
+implies, and deals them into shards by fives of least shingle hashes: texts of that similarity share a
+five with probability 0.33, and at least one of 32 with 0.999997, while texts that share a passage of
+a third of their length share one with 0.004. Trees, forests and components are the same.
 
 Defined cases: null and wordless texts have fingerprint zero and are linked like any other; equal
 fingerprints are one group; repeated rows each keep a row; a null doc_id takes part, and is the
@@ -92,16 +92,15 @@ class BKTree:
         self.values = [root]
         self.children: list[dict[int, int]] = [{}]
 
-    def near(self, value: int, radius: int) -> list[int]:
+    def near(self, value: int, radius: int) -> Iterator[int]:
         """Indexes of the values within the radius; other branches are not entered."""
-        found, open_nodes = [], [0]
+        open_nodes = [0]
         while open_nodes:
             node = open_nodes.pop()
             distance = (self.values[node] ^ value).bit_count()
-            if distance <= radius:
-                found.append(node)
             open_nodes += [c for d, c in self.children[node].items() if distance - radius <= d <= distance + radius]
-        return found
+            if distance <= radius:
+                yield node
 
     def add(self, value: int) -> int:
         node = 0
@@ -117,9 +116,14 @@ class BKTree:
 
 
 def forest(values: list[int], radius: int) -> list[tuple[int, int]]:
-    """Edges of a spanning forest of the links within the radius; values are distinct."""
+    """Edges of a spanning forest of the links within the radius; values are distinct.
+
+    A search ends once the value is linked to every component so far, so a shard of copies of one text
+    takes a few steps for each, not one for each pair.
+    """
     tree = BKTree(values[0])
     parent = [0]
+    parts = 1
 
     def top(i: int) -> int:
         while parent[i] != i:
@@ -129,14 +133,18 @@ def forest(values: list[int], radius: int) -> list[tuple[int, int]]:
 
     edges = []
     for value in values[1:]:
-        near = tree.near(value, radius)
-        own = tree.add(value)
+        own = len(parent)
         parent.append(own)
-        for node in near:
+        parts += 1
+        for node in tree.near(value, radius):
             a, b = top(node), top(own)
             if a != b:
-                parent[a] = b
+                parent[b] = a
+                parts -= 1
                 edges.append((tree.values[node], value))
+                if parts == 1:
+                    break
+        tree.add(value)
     return edges
 
 
@@ -232,15 +240,15 @@ def near_duplicates(documents: DataFrame, shingle: int = 4, radius: int = 4, blo
     return prints.join(ids, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-#: Pairs of least shingle hashes that shard wide fingerprints, and their radius in 256 bits.
-PAIRS = 12
+#: Sets of least shingle hashes that shard wide fingerprints, hashes in a set, and the radius in 256 bits.
+SETS, SET_SIZE = 32, 5
 WIDE_RADIUS = 42
 
 
 def wide_fingerprints(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """For each text four 64-bit words of its fingerprint, and PAIRS shard keys; zero without words."""
+    """For each text four 64-bit words of its fingerprint, and SETS shard keys; zero without words."""
     prints = np.zeros((len(column), 4), np.uint64)
-    keys = np.zeros((len(column), PAIRS), np.uint64)
+    keys = np.zeros((len(column), SETS), np.uint64)
     for block in text_blocks(column):
         grams, n = shingles(block)
         full = np.flatnonzero(n)
@@ -252,9 +260,10 @@ def wide_fingerprints(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
             bits = np.unpackbits(mix64(grams + np.uint64(word + 1)).astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
             over = np.add.reduceat(bits, bounds, axis=0, dtype=np.int32) > half
             prints[block.lo + full, word] = np.packbits(over, axis=1, bitorder="little").view("<u8").reshape(-1)
-        for pair in range(PAIRS):
-            least = [np.minimum.reduceat(grams * _FACTORS[2 * pair + i] + _TERMS[2 * pair + i], bounds) for i in range(2)]
-            keys[block.lo + full, pair] = mix64(mix64(least[0]) + least[1])
+        for i in range(SETS):
+            for j in range(i * SET_SIZE, (i + 1) * SET_SIZE):
+                least = np.minimum.reduceat(grams * _FACTORS[j] + _TERMS[j], bounds)
+                keys[block.lo + full, i] = mix64(keys[block.lo + full, i] + least)
     return prints, keys
 
 
@@ -268,10 +277,10 @@ def similar_groups(documents: DataFrame, radius: int = WIDE_RADIUS) -> DataFrame
         for batch in batches:
             prints, keys = wide_fingerprints(batch.column("text"))
             nodes = mix64(prints[:, 0] ^ mix64(prints[:, 1] ^ mix64(prints[:, 2] ^ mix64(prints[:, 3]))))
-            for k in range(PAIRS):
+            for k in range(SETS):
                 nodes = mix64(nodes ^ keys[:, k])
             out = {"doc_id": batch.column("doc_id"), "text_key": batch.column("text_key"), "node": pa.array(nodes.view(np.int64)), "fp": pa.array([x.tobytes() for x in prints], pa.binary())}
-            yield pa.RecordBatch.from_pydict(out | {"keys": pa.ListArray.from_arrays(pa.array(np.arange(len(nodes) + 1) * PAIRS, pa.int32()), pa.array(keys.reshape(-1).view(np.int64)))})
+            yield pa.RecordBatch.from_pydict(out | {"keys": pa.ListArray.from_arrays(pa.array(np.arange(len(nodes) + 1) * SETS, pa.int32()), pa.array(keys.reshape(-1).view(np.int64)))})
 
     source = documents.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
     marked = settle(source.mapInArrow(scan, "doc_id long, text_key long, node long, fp binary, keys array<long>"), "wide")
