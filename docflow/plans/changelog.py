@@ -132,10 +132,6 @@ def batches(spark: SparkSession, d: str) -> DataFrame:
 
 
 # Capture: changes are each event against the same document's event before it.
-CHANGES = """changes AS (
-    SELECT *, lag(event_id) OVER (PARTITION BY user_id ORDER BY event_id) AS before_id FROM events
-)"""
-
 
 def changes(spark: SparkSession, d: str) -> DataFrame:
     log = fx.changelog(spark, d, old_data=True)

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docflow import fixtures as fx
-from docflow.functions import paths
 from docflow.functions.extract import parsed
 from docflow.operators import counters, enrich, erase, latest, mail, objects
 from docflow.plans.changelog import CHANGELOG, TREE, shown
@@ -475,8 +474,8 @@ def refreshed(spark: SparkSession, d: str) -> DataFrame:
     path = landing(spark, "latest")
     latest.refresh_latest(fx.changelog(spark, d), path)
     made = spark.read.parquet(path)
-    flag = F.broadcast(latest.is_stale(made, "2999-01-01", "1 HOUR"))  # one row
-    return made.select("document_name", F.unix_micros("timestamp").alias("ts_us")).join(flag, F.lit(True))
+    stale = latest.is_stale(made, "2999-01-01", "1 HOUR").first().stale
+    return made.select("document_name", F.unix_micros("timestamp").alias("ts_us"), F.lit(stale).alias("stale"))
 
 
 @query("S17", f"WITH {CHANGELOG} SELECT operation, count(*) AS n FROM changelog GROUP BY 1")
