@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docflow.llm.common import CHUNK_BYTES, gram_hashes, mix64, settle, text_blocks
-from docflow.llm.shingles import _FACTORS, _TERMS, PERMUTATIONS, shingles
+from docflow.llm.shingles import _FACTORS, _TERMS, PERMUTATIONS, reach, shingles
 from docflow.llm.simhash import components
 
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -186,7 +186,7 @@ def links(documents: DataFrame, similarity: float = 0.8, rows: int = 4) -> DataF
                     key, clusters = (band, value), []
                 joined, apart = [(doc_id, own)], []
                 for cluster in clusters:
-                    other = next((i for i, x in cluster if _similar(own, x, similarity)), None)
+                    other = next((i for i, x in cluster if reach(own, x, similarity)), None)
                     if other is None:
                         apart.append(cluster)
                     else:
@@ -199,14 +199,6 @@ def links(documents: DataFrame, similarity: float = 0.8, rows: int = 4) -> DataF
     return same.unionByName(dealt.mapInArrow(verify, "a long, b long")).distinct()
 
 
-def _similar(x: np.ndarray, y: np.ndarray, least: float) -> bool:
-    """Whether two ordered sets of shingles reach a Jaccard similarity."""
-    if min(len(x), len(y)) < least * max(len(x), len(y)):
-        return False
-    both = len(np.intersect1d(x, y, assume_unique=True))
-    return both >= least * (len(x) + len(y) - both)
-
-
 def groups(documents: DataFrame, similarity: float = 0.8) -> DataFrame:
     """doc_id, group_id: the least doc_id that verified links reach."""
     roots = components(links(documents, similarity)).withColumnsRenamed({"node": "doc_id", "root": "group_id"})

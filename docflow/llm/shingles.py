@@ -40,3 +40,11 @@ def shingles(block: TextBlock) -> tuple[np.ndarray, np.ndarray]:
         if len(short):
             out[place[short]] = gram_hashes(words, k)[first[:-1][short]]
     return out, n
+
+
+def reach(x: np.ndarray, y: np.ndarray, least: float) -> bool:
+    """Whether two sets of shingles, each without repeats, reach a Jaccard similarity."""
+    if min(len(x), len(y)) < least * max(len(x), len(y)):
+        return False
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both >= least * (len(x) + len(y) - both)

@@ -11,11 +11,13 @@ alternating star contraction over tables in the shared folder.
 Trees are built where their shard lands instead of being broadcast whole: all trees together grow
 with the corpus, and a broadcast has to stay bounded.
 
-`similar_groups` serves corpora whose copies differ by more than a few bits. It takes fingerprints of
-256 bits over five-word shingles, links those within the radius that a Jaccard similarity of 0.8
-implies, and deals them into shards by fives of least shingle hashes: texts of that similarity share a
-five with probability 0.33, and at least one of 32 with 0.999997, while texts that share a passage of
-a third of their length share one with 0.004. Trees, forests and components are the same.
+`similar_groups` serves corpora whose copies differ by more than a few bits: it links texts whose sets
+of five-word shingles reach a Jaccard similarity of 0.8. Texts are dealt into shards by fives of least
+shingle hashes: texts of that similarity share a five with probability 0.33, and at least one of 32 with
+0.999997, while texts that share a passage of a third of their length share one with 0.004. Of shards
+with the same texts one is searched. Fingerprints of 256 bits over the sets only find candidates, within
+a radius that covers 0.8; a forest takes an edge once the sets themselves reach the similarity, and pairs
+that are linked already are not compared. Trees, forests and components are the same.
 
 Defined cases: null and wordless texts have fingerprint zero and are linked like any other; equal
 fingerprints are one group; repeated rows each keep a row; a null doc_id takes part, and is the
@@ -24,7 +26,7 @@ component's id only if the component has no other id.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -33,8 +35,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docflow.llm.common import mix64, runs, settle, text_blocks
-from docflow.llm.shingles import _FACTORS, _TERMS, _space, shingles
+from docflow.llm.common import TextBlock, mix64, runs, settle, text_blocks
+from docflow.llm.shingles import _FACTORS, _TERMS, _space, reach, shingles
 from docflow.llm.winnow import _lower
 
 
@@ -116,10 +118,16 @@ class BKTree:
 
 
 def forest(values: list[int], radius: int) -> list[tuple[int, int]]:
-    """Edges of a spanning forest of the links within the radius; values are distinct.
+    """Edges of a spanning forest of the links within the radius; values are distinct."""
+    return [(values[a], values[b]) for a, b in linked_indexes(values, radius)]
 
-    A search ends once the value is linked to every component so far, so a shard of copies of one text
-    takes a few steps for each, not one for each pair.
+
+def linked_indexes(values: list[int], radius: int, holds: Callable[[int, int], bool] | None = None) -> list[tuple[int, int]]:
+    """The same as pairs of indexes; of the pairs within the radius, only those for which holds(a, b).
+
+    Pairs that are already in one component are not put to holds. A search ends once the value is linked
+    to every component so far, so a shard of copies of one text takes a few steps for each, not one for
+    each pair.
     """
     tree = BKTree(values[0])
     parent = [0]
@@ -132,16 +140,15 @@ def forest(values: list[int], radius: int) -> list[tuple[int, int]]:
         return i
 
     edges = []
-    for value in values[1:]:
-        own = len(parent)
+    for own, value in enumerate(values[1:], 1):
         parent.append(own)
         parts += 1
         for node in tree.near(value, radius):
             a, b = top(node), top(own)
-            if a != b:
+            if a != b and (holds is None or holds(node, own)):
                 parent[b] = a
                 parts -= 1
-                edges.append((tree.values[node], value))
+                edges.append((node, own))
                 if parts == 1:
                     break
         tree.add(value)
@@ -240,17 +247,51 @@ def near_duplicates(documents: DataFrame, shingle: int = 4, radius: int = 4, blo
     return prints.join(ids, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-#: Sets of least shingle hashes that shard wide fingerprints, hashes in a set, and the radius in 256 bits.
+#: Sets of least shingle hashes that shard texts, and hashes in a set.
 SETS, SET_SIZE = 32, 5
-WIDE_RADIUS = 42
+#: The Jaccard similarity that links, and the radius in 256 bits within which it is verified. Of sets as
+#: similar as that, a bit differs with probability 0.15, or 0.19 at most (4 shingles of 5): 48 bits, and
+#: 80 bits are five standard deviations more.
+SIMILARITY = 0.8
+WIDE_RADIUS = 80
+
+
+def _distinct_shingles(block: TextBlock) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct shingle hashes of each row of the block, ascending, and how many each row has."""
+    grams, n = shingles(block)
+    rows = np.repeat(np.arange(block.rows), n)
+    order = np.lexsort((grams, rows))
+    grams, rows = grams[order], rows[order]
+    new = np.ones(len(grams), bool)
+    new[1:] = (grams[1:] != grams[:-1]) | (rows[1:] != rows[:-1])
+    return grams[new], np.bincount(rows[new], minlength=block.rows)
+
+
+def set_marks(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """For each text a hash of its shingle set, and SETS shard keys; zero without words."""
+    nodes = np.zeros(len(column), np.uint64)
+    keys = np.zeros((len(column), SETS), np.uint64)
+    for block in text_blocks(column):
+        grams, n = _distinct_shingles(block)
+        full = np.flatnonzero(n)
+        if not len(full):
+            continue
+        bounds = (np.cumsum(n) - n)[full]
+        nodes[block.lo + full] = mix64(np.add.reduceat(mix64(grams), bounds))
+        for i in range(SETS):
+            for j in range(i * SET_SIZE, (i + 1) * SET_SIZE):
+                least = np.minimum.reduceat(grams * _FACTORS[j] + _TERMS[j], bounds)
+                keys[block.lo + full, i] = mix64(keys[block.lo + full, i] + least)
+    return nodes, keys
 
 
-def wide_fingerprints(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """For each text four 64-bit words of its fingerprint, and SETS shard keys; zero without words."""
+def wide_fingerprints(column: pa.Array) -> tuple[np.ndarray, list[np.ndarray]]:
+    """For each text four 64-bit words of the fingerprint of its shingle set, and that set, ascending."""
     prints = np.zeros((len(column), 4), np.uint64)
-    keys = np.zeros((len(column), SETS), np.uint64)
+    sets: list[np.ndarray] = []
     for block in text_blocks(column):
-        grams, n = shingles(block)
+        grams, n = _distinct_shingles(block)
+        sets += np.split(grams, np.cumsum(n)[:-1])
         full = np.flatnonzero(n)
         if not len(full):
             continue
@@ -260,72 +301,84 @@ def wide_fingerprints(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
             bits = np.unpackbits(mix64(grams + np.uint64(word + 1)).astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
             over = np.add.reduceat(bits, bounds, axis=0, dtype=np.int32) > half
             prints[block.lo + full, word] = np.packbits(over, axis=1, bitorder="little").view("<u8").reshape(-1)
-        for i in range(SETS):
-            for j in range(i * SET_SIZE, (i + 1) * SET_SIZE):
-                least = np.minimum.reduceat(grams * _FACTORS[j] + _TERMS[j], bounds)
-                keys[block.lo + full, i] = mix64(keys[block.lo + full, i] + least)
-    return prints, keys
+    return prints, sets
 
 
-def similar_groups(documents: DataFrame, radius: int = WIDE_RADIUS) -> DataFrame:
-    """doc_id, text_key, root, component_id of texts whose wide fingerprints link.
+def similar_groups(documents: DataFrame, radius: int = WIDE_RADIUS, similarity: float = SIMILARITY) -> DataFrame:
+    """doc_id, text_key, root, component_id of texts whose shingle sets reach the similarity.
 
     text_key tells texts apart that share an id, and root does so for components.
     """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints, keys = wide_fingerprints(batch.column("text"))
-            nodes = mix64(prints[:, 0] ^ mix64(prints[:, 1] ^ mix64(prints[:, 2] ^ mix64(prints[:, 3]))))
-            for k in range(SETS):
-                nodes = mix64(nodes ^ keys[:, k])
-            out = {"doc_id": batch.column("doc_id"), "text_key": batch.column("text_key"), "node": pa.array(nodes.view(np.int64)), "fp": pa.array([x.tobytes() for x in prints], pa.binary())}
+            nodes, keys = set_marks(batch.column("text"))
+            out = {"doc_id": batch.column("doc_id"), "text_key": batch.column("text_key"), "node": pa.array(nodes.view(np.int64))}
             yield pa.RecordBatch.from_pydict(out | {"keys": pa.ListArray.from_arrays(pa.array(np.arange(len(nodes) + 1) * SETS, pa.int32()), pa.array(keys.reshape(-1).view(np.int64)))})
 
     source = documents.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
-    marked = settle(source.mapInArrow(scan, "doc_id long, text_key long, node long, fp binary, keys array<long>"), "wide")
-    once = marked.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.first("fp").alias("fp"), F.first("keys").alias("keys"))  # alike for a node
+    marked = settle(source.mapInArrow(scan, "doc_id long, text_key long, node long, keys array<long>"), "wide")
+    once = marked.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.min(F.struct("doc_id", "text_key")).alias("one"), F.first("keys").alias("keys"))  # alike for a node
     once = settle(once, "nodes")
-    roots = components(_wide_edges(once, radius))
+    roots = components(_wide_edges(source, once, radius, similarity))
     linked = once.select("node", "least_id").join(roots, "node", "left").select("node", "least_id", F.coalesce("root", "node").alias("root"))
     least = linked.groupBy("root").agg(F.min("least_id").alias("component_id"))
     named = linked.join(least, "root").select("node", "root", "component_id")
     return marked.select("doc_id", "text_key", "node").join(named, "node").select("doc_id", "text_key", "root", "component_id")
 
 
-def _wide_edges(once: DataFrame, radius: int) -> DataFrame:
-    """Edges between nodes, a spanning forest for each shard."""
+def _shingle_sets(source: DataFrame, once: DataFrame) -> DataFrame:
+    """node, fp and grams (the distinct shingle hashes) of the nodes of `once`, from one text of each."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prints, sets = wide_fingerprints(batch.column("text"))
+            ends = np.cumsum([0, *map(len, sets)])
+            grams = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_pydict({"node": batch.column("node"), "fp": pa.array([x.tobytes() for x in prints], pa.binary()), "grams": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(grams))})
+
+    wanted = once.select("node", F.col("one.doc_id").alias("_id"), F.col("one.text_key").alias("_text"))
+    found = source.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_text"))).select("node", "text")
+    return settle(found.dropDuplicates(["node"]).mapInArrow(scan, "node long, fp binary, grams array<long>"), "sets")
+
+
+def _wide_edges(source: DataFrame, once: DataFrame, radius: int, similarity: float) -> DataFrame:
+    """Edges between nodes, a spanning forest for each shard of the links that are verified."""
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, int] = {}
+        held: list[tuple[int, int, np.ndarray]] = []
         held_key = None
         out: list[tuple[int, int]] = []
 
         def close() -> None:
             if len(held) > 1:
-                out.extend((held[a], held[b]) for a, b in forest(list(held), radius))
+                found = linked_indexes([fp for _, fp, _ in held], radius, lambda a, b: reach(held[a][2], held[b][2], similarity))
+                out.extend((held[a][0], held[b][0]) for a, b in found)
 
         for batch in batches:
-            for key, node, fp in zip(zip(batch.column("pos").to_pylist(), batch.column("key").to_pylist(), strict=True), batch.column("node").to_pylist(), batch.column("fp").to_pylist(), strict=True):
+            for key, node, fp, grams in zip(zip(batch.column("pos").to_pylist(), batch.column("key").to_pylist(), strict=True), batch.column("node").to_pylist(), batch.column("fp").to_pylist(), batch.column("grams"), strict=True):
                 if key != held_key:
                     close()
-                    held, held_key = {}, key
-                value = int.from_bytes(fp, "little")
-                if value in held:
-                    out.append((held[value], node))
-                else:
-                    held[value] = node
-            ends = np.array(out, np.int64).reshape(-1, 2)
+                    held, held_key = [], key
+                held.append((node, int.from_bytes(fp, "little"), np.array(grams.values.to_numpy())))
+            yield _node_batch(out)
             out = []
-            yield pa.RecordBatch.from_pydict({"a": pa.array(np.ascontiguousarray(ends[:, 0])), "b": pa.array(np.ascontiguousarray(ends[:, 1]))})
         close()
-        ends = np.array(out, np.int64).reshape(-1, 2)
-        yield pa.RecordBatch.from_pydict({"a": pa.array(np.ascontiguousarray(ends[:, 0])), "b": pa.array(np.ascontiguousarray(ends[:, 1]))})
+        yield _node_batch(out)
 
-    keyed = once.select("node", "fp", F.posexplode("keys").alias("pos", "key"))
-    shared = keyed.groupBy("pos", "key").count().where("count > 1").select("pos", "key")
-    dealt = keyed.join(shared, ["pos", "key"]).repartition("pos", "key").sortWithinPartitions("pos", "key", "node")
-    return dealt.select("pos", "key", "node", "fp").mapInArrow(search, "a long, b long")
+    keyed = once.select("node", F.posexplode("keys").alias("pos", "key"))
+    shared = keyed.groupBy("pos", "key").agg(F.count("*").alias("n"), F.bit_xor("node").alias("x"), F.bit_xor(F.xxhash64("node")).alias("y")).where("n > 1")
+    # Shards of the same nodes have the same links: one of them is searched.
+    shards = shared.groupBy("n", "x", "y").agg(F.min(F.struct("pos", "key")).alias("s")).select("s.pos", "s.key")
+    members = settle(keyed.join(shards, ["pos", "key"]).select("pos", "key", "node"), "members")
+    sets = _shingle_sets(source, once.join(members.select("node").distinct(), "node", "left_semi"))
+    dealt = members.join(sets, "node").repartition("pos", "key").sortWithinPartitions("pos", "key", "node")
+    return dealt.select("pos", "key", "node", "fp", "grams").mapInArrow(search, "a long, b long")
+
+
+def _node_batch(edges: list[tuple[int, int]]) -> pa.RecordBatch:
+    ends = np.array(edges, np.int64).reshape(-1, 2)
+    return pa.RecordBatch.from_pydict({"a": pa.array(np.ascontiguousarray(ends[:, 0])), "b": pa.array(np.ascontiguousarray(ends[:, 1]))})
 
 
 def one_of_each(documents: DataFrame, radius: int = WIDE_RADIUS) -> DataFrame:

@@ -111,6 +111,29 @@ def test_similar_groups_follow_jaccard(spark):
     assert min(len(shingles(rows[1][1]) & shingles(rows[0][1])) / len(shingles(rows[1][1]) | shingles(rows[0][1])), 1) > 0.8
 
 
+def test_similar_groups_verify_jaccard_at_the_threshold(spark):
+    from .test_minhash import shingles
+
+    rng = random.Random(8)
+    fresh = lambda n: ["".join(rng.choice("abcdefghijkl") for _ in range(6)) for _ in range(n)]
+    pairs = []
+    for s in [20, 21, 22, 24, 30, 40] * 8:  # new words at the end: Jaccard similarity (196 - s) / (196 + s)
+        a = fresh(200)
+        pairs.append((a, a[: 200 - s] + fresh(s)))
+    for _ in range(10):  # a repeated line dominates the counts, not the sets
+        line = fresh(9) * 60
+        pairs.append((line + fresh(60), line + fresh(60)))
+    for _ in range(10):  # nearly equal sets, counted differently
+        x, y = fresh(30), fresh(60)
+        pairs.append((x * 40 + y, x * 2 + y + fresh(1)))
+    texts = [" ".join(t) for p in pairs for t in p]
+    got = {r.doc_id: r.component_id for r in simhash.similar_groups(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    sets = [shingles(t) for t in texts]
+    likeness = [len(x & y) / len(x | y) for x, y in zip(sets[::2], sets[1::2], strict=True)]
+    assert {x >= 0.8 for x in likeness[:48]} == {True, False} and max(likeness[48:58]) < 0.3 and min(likeness[58:]) > 0.9
+    assert [got[2 * k] == got[2 * k + 1] for k in range(len(pairs))] == [x >= 0.8 for x in likeness]
+
+
 def test_empty_table_and_one_of_each(spark):
     schema = "doc_id long, text string, lang string"
     assert simhash.near_duplicates(spark.createDataFrame([], schema)).count() == 0
