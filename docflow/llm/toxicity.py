@@ -3,7 +3,7 @@
 Folding maps case, homoglyphs and digit or mark substitutions to one form (so i, l, 1 and ! inside a
 word are one letter) and drops invisible characters. Lexicon entries are whole words and word stems;
 their weights are log odds of document frequencies, counted in Spark over a bounded sample of labelled
-rows. Of the entries that match at a word's start the longest counts, once. Exception phrases (a
+rows. Of the entries that match at a word's start the longest counts, once; of a word and an equal stem, the word where it ends. Exception phrases (a
 matched word with its neighbour, seen in clean sample documents and not in toxic ones) cancel the
 matches inside them. A score is logistic in the weight sum and in the weight sum over the text's
 length.
@@ -89,10 +89,11 @@ class Lexicon:
 
     def __post_init__(self):
         self.automaton = ahocorasick.Automaton()
-        for entry, weight in self.entries.items():
-            self.automaton.add_word(entry.rstrip("*"), (len(entry.rstrip("*")), weight, not entry.endswith("*")))
+        # A word and the stem of the same letters share one key.
+        for key in dict.fromkeys(entry.rstrip("*") for entry in self.entries):
+            self.automaton.add_word(key, (len(key), self.entries.get(f"{key}*"), self.entries.get(key), False))
         for phrase in self.exceptions:
-            self.automaton.add_word(phrase, (len(phrase), None, True))
+            self.automaton.add_word(phrase, (len(phrase), None, None, True))
         self.automaton.make_automaton()
 
     def matches(self, folded: str) -> dict[int, tuple[int, float]]:
@@ -102,13 +103,16 @@ class Lexicon:
         if not self.entries:
             return found
         size = len(folded)
-        for last, (length, weight, whole) in self.automaton.iter(folded):
+        for last, (length, stem, word, phrase) in self.automaton.iter(folded):
             start, end = last + 1 - length, last + 1
-            if (start and folded[start - 1].isalnum()) or (whole and end < size and folded[end].isalnum()):
+            if start and folded[start - 1].isalnum():
                 continue
-            if weight is None:
-                spared.append((start, end))
-            elif start not in found or found[start][0] < end:
+            ended = end == size or not folded[end].isalnum()
+            weight = word if ended and word is not None else stem
+            if phrase:
+                if ended:
+                    spared.append((start, end))
+            elif weight is not None and (start not in found or found[start][0] < end):
                 found[start] = end, weight
         for start, end in spared:
             for at in [x for x in found if start <= x < end]:
