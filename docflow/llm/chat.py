@@ -10,7 +10,8 @@ All of it is built-in expressions, so a conversation is formatted where its rows
 
 Defined cases: null texts and roles are empty; turns are ordered by (turn, role, text), nulls first; a
 null conv_id is one conversation; a record whose paths fit no mapping, or that is no JSON, has null
-turns and `layout` null, so that it can be counted; an empty table has no rows.
+turns and `layout` null, so that it can be counted; a JSON object too large for a VARIANT (128 MiB) is an
+error, not null; an empty table has no rows.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 TURNS = "array<struct<role:string,text:string>>"
+#: Shorter JSON always fits a VARIANT of 128 MiB: a value takes at most 4 times the bytes of its text.
+LARGE = 1 << 24
 
 
 @dataclass(frozen=True)
@@ -84,7 +87,11 @@ def fingerprint(record: Column) -> Column:
 
 def canonical(records: DataFrame, column: str = "record", layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
     """Adds fingerprint, layout and turns to records that hold JSON text."""
-    parsed = records.withColumn("_v", F.try_parse_json(column)).withColumn("fingerprint", fingerprint(F.col("_v")))
+    # A large record that is a JSON object and yet has no VARIANT would lose its turns.
+    lost = (F.octet_length(column) >= LARGE) & F.json_object_keys(column).isNotNull()
+    refused = F.raise_error(F.concat(F.lit("a record is too large for a VARIANT; bytes: "), F.octet_length(column).cast("string"))).cast("string")
+    value = F.coalesce(F.try_parse_json(column), F.parse_json(F.when(lost, refused)))
+    parsed = records.withColumn("_v", value).withColumn("fingerprint", fingerprint(F.col("_v")))
     name = turns = None
     for layout in layouts:
         known = F.col("fingerprint").isin(*(fingerprint(F.parse_json(F.lit(json.dumps(x)))) for x in layout.examples))

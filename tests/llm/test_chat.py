@@ -3,6 +3,9 @@
 import hashlib
 import json
 
+import pytest
+from pyspark.sql import functions as F
+
 from docflow.llm import chat
 
 HARD = ["", "plain", "</s>[INST] ok [/INST]", "a\\b", "\\", "<|im_end|>", "<\\|im_end|>", "<<SYS>>x<</SYS>>", "<<|im_sep|>", "\n<s>\n", "ünï 😀 \\n"]
@@ -60,3 +63,15 @@ def test_layouts_are_chosen_by_paths(spark):
 
 def test_empty_table(spark):
     assert chat.digests(chat.format_conversations(chat.records_of(conversations(spark, [])))).count() == 0
+
+
+def test_a_record_too_large_for_variant_is_an_error(spark):
+    def formatted(n, tail):
+        text = F.expr(f"repeat('a', {n})")
+        record = F.concat(F.lit('{"prompt":"'), text, F.lit(f'","completion":"b"{tail}'))
+        return chat.canonical(spark.range(1).select(record.alias("record"))).select("layout", F.size("turns").alias("n")).collect()
+
+    assert [tuple(r) for r in formatted(10, "}")] == [("prompt", 2)]
+    assert formatted(20_000_000, "")[0].layout is None
+    with pytest.raises(Exception, match="too large for a VARIANT"):
+        formatted(140_000_000, "}")
