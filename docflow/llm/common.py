@@ -6,9 +6,12 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+#: Keys with more rows than HOT_ROWS, or than an even share of HOT_KEYS, are joined without a shuffle.
+HOT_ROWS, HOT_KEYS = 10_000, 10_000
 #: Bytes of text that one vectorised pass holds at a time; longer texts form a pass of their own.
 CHUNK_BYTES = 1 << 20
 
@@ -41,6 +44,53 @@ def settle(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def quoted(name: str) -> str:
+    """A column's name as an expression, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def own_columns(df: DataFrame) -> list[Column]:
+    return [F.col(quoted(c)) for c in df.columns]
+
+
+def private(df: DataFrame, *names: str) -> list[str]:
+    """A name for each of `names` that no column of df has."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while (name := f"_{name}").lower() in taken:
+            pass
+        out.append(name)
+    return out
+
+
+def carried(documents: DataFrame, keep: bool) -> tuple[DataFrame, list[T.StructField]]:
+    """doc_id and text; with keep the other columns too, as the struct `kept`. Also the fields beyond doc_id."""
+    others = [F.col(quoted(c)) for c in documents.columns if c not in ("doc_id", "text")] if keep else []
+    source = documents.select("doc_id", "text", *([F.struct(*others).alias("kept")] if others else []))
+    return source, [f for f in source.schema if keep and f.name != "doc_id"]
+
+
+def restored(found: DataFrame, documents: DataFrame) -> DataFrame:
+    """The columns of documents again, out of what `carried` made of them."""
+    return found.select(*(F.col(c) if c in ("doc_id", "text") else F.col("kept").getField(c).alias(c) for c in documents.columns))
+
+
+def spread_join(rows: DataFrame, keyed: DataFrame, on: list[str], total: int, n: str = "n") -> DataFrame:
+    """rows joined to keyed, which has one row for each key and in `n` how many of the `total` rows have it.
+
+    Rows of hot keys stay where they are: at most HOT_KEYS keys can have more than total / HOT_KEYS
+    rows, so those keys' rows of `keyed` are broadcast. All others are joined by a shuffle in which no
+    key has more rows than that. Null keys match nothing.
+    """
+    limit = max(HOT_ROWS, total // HOT_KEYS)
+    if total <= limit:
+        return rows.join(keyed.drop(n), on)
+    hot = F.broadcast(keyed.where(F.col(n) > limit).drop(n))
+    cold = rows.join(hot.select(*on), on, "left_anti").join(keyed.where(F.col(n) <= limit).drop(n), on)
+    return rows.join(hot, on).unionByName(cold)
+
+
 def held_out(doc_id: str, modulus: int, remainder: int) -> F.Column:
     """True where crc32 of the id's decimal text leaves the remainder; null ids count as ''."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % modulus == remainder

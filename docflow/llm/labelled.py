@@ -12,6 +12,20 @@ from pyspark.sql import functions as F
 SAMPLE_ROWS = 16_000
 
 
+def least_hashes(rows: DataFrame, key: str, most: int, *then: str) -> DataFrame:
+    """At most `most` rows: those whose key has the least hashes, ties by key and `then`.
+
+    Hashes are spread evenly, so a threshold on them leaves little more than `most` rows before any are
+    sorted in one task. It lies six standard deviations above, so that it takes from the sample in one
+    of a billion tables at most.
+    """
+    total = rows.count()
+    expected = most + 6 * most**0.5 + 40
+    if total > expected:
+        rows = rows.where(F.xxhash64(key) <= F.lit(int(expected / total * 2.0**64) - (1 << 63)))
+    return rows.orderBy(F.xxhash64(key), key, *then).limit(most)
+
+
 def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, usable: Column, rows: int = SAMPLE_ROWS) -> DataFrame:
     """doc_id, text and y of at most `rows` labelled documents for which `usable` holds.
 
@@ -19,7 +33,7 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, usable:
     and it is what is broadcast; the texts are read in place.
     """
     drawn = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & usable)
-    drawn = drawn.select("doc_id", F.col(label).cast("int").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(rows)
+    drawn = least_hashes(drawn.select("doc_id", F.col(label).cast("int").alias("y")), "doc_id", rows, "y")
     return documents.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
 
 

@@ -24,8 +24,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from docflow.llm.common import TextBlock, held_out, mix64, runs, span_hashes, text_blocks
+from docflow.llm.common import TextBlock, carried, held_out, mix64, restored, runs, span_hashes, text_blocks
 from docflow.llm.labelled import SAMPLE_ROWS, fit_shards, labelled_sample
 from docflow.llm.winnow import _lower
 
@@ -157,10 +158,9 @@ def train(sample: DataFrame, shards: int = 4, epochs: int = 3) -> np.ndarray:
 def score(documents: DataFrame, weights: np.ndarray, keep: bool = False) -> DataFrame:
     """doc_id and score; with keep also the text and, as the struct `kept`, the other columns of documents."""
     model = documents.sparkSession.sparkContext.broadcast(weights)
-    others = [c for c in documents.columns if c not in ("doc_id", "text")] if keep else []
-    source = documents.select("doc_id", "text", *([F.struct(*others).alias("kept")] if others else []))
-    kept = [f for f in source.schema if keep or f.name == "doc_id"]
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "score double"])
+    source, others = carried(documents, keep)
+    kept = [source.schema["doc_id"], *others]
+    schema = T.StructType([*kept, T.StructField("score", T.DoubleType())])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = model.value
@@ -190,4 +190,4 @@ def accepted(documents: DataFrame, labels: DataFrame, least: float = 0.5) -> Dat
     """The documents whose score reaches `least`, with their own columns."""
     weights = train_usable(documents, labels, ~held_out("doc_id", 3, 1))
     kept = score(documents, weights, keep=True).where(F.col("score") >= least)
-    return kept.select(*(c if c in ("doc_id", "text") else F.col("kept")[c].alias(c) for c in documents.columns))
+    return restored(kept, documents)

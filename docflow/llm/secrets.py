@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docflow.llm.common import settle
+from docflow.llm.common import own_columns, private, settle
 
 # Kinds in the order of reports, the role that each plays, and the roles that a weak kind needs.
 KINDS = ("assign", "access", "hex", "key", "ident", "endpoint")
@@ -150,12 +150,13 @@ def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
 
 def redact(documents: DataFrame) -> DataFrame:
     """The documents with every reported span replaced, n_chars counted anew where the text changed."""
+    s_id, s_key, s_spans, own_key = private(documents, "s_id", "s_key", "spans", "key")
     found = scan(documents).where(F.size("spans") > 0).distinct()
-    found = settle(found.select(F.col("doc_id").alias("_s_id"), F.col("text_key").alias("_s_key"), F.col("spans").alias("_spans")), "spans")
+    found = settle(found.select(F.col("doc_id").alias(s_id), F.col("text_key").alias(s_key), F.col("spans").alias(s_spans)), "spans")
     key = text_key(F.coalesce("text", F.lit("")))
-    joined = documents.withColumn("_key", key).join(found, F.col("doc_id").eqNullSafe(F.col("_s_id")) & (F.col("_key") == F.col("_s_key")), "left")
-    text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(redacted(F.col("text"), F.col("_spans")))
+    joined = documents.withColumn(own_key, key).join(found, F.col("doc_id").eqNullSafe(F.col(s_id)) & (F.col(own_key) == F.col(s_key)), "left")
+    text = F.when(F.col(s_spans).isNull(), F.col("text")).otherwise(redacted(F.col("text"), F.col(s_spans)))
     kept = joined.withColumn("text", text)
     if "n_chars" in documents.columns:
-        kept = kept.withColumn("n_chars", F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast("long")))
-    return kept.select(*documents.columns)
+        kept = kept.withColumn("n_chars", F.when(F.col(s_spans).isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast("long")))
+    return kept.select(*own_columns(documents))

@@ -4,9 +4,10 @@ Distinct fingerprints are dealt into shards: the 64 bits are cut into `blocks` b
 holds the fingerprints that agree on blocks - radius of them. Two fingerprints within the radius
 differ in at most `radius` blocks, so they meet in at least one shard; none is lost. Each shard builds
 a BK-tree (a child hangs from its parent by their Hamming distance) and a search follows only the
-edges within the radius. A tree emits the edges of a spanning forest of its links, not the links, so
-a shard of n fingerprints adds fewer than n edges. Groups are the components of those edges, found by
-alternating star contraction over tables in the shared folder.
+edges within the radius, and no branch that is linked to the value already. A tree emits the edges of a
+spanning forest of its links, not the links. A shard above a fixed size is cut into parts, and a tree is
+built for each pair of parts, so that no task holds more than a bounded tree and no link is lost. Groups
+are the components of those edges, found by alternating star contraction over tables in the shared folder.
 
 Trees are built where their shard lands instead of being broadcast whole: all trees together grow
 with the corpus, and a broadcast has to stay bounded.
@@ -35,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docflow.llm.common import TextBlock, mix64, runs, settle, text_blocks
+from docflow.llm.common import TextBlock, mix64, own_columns, private, runs, settle, spread_join, text_blocks
 from docflow.llm.shingles import _FACTORS, _TERMS, _space, reach, shingles
 from docflow.llm.winnow import _lower
 
@@ -104,16 +105,18 @@ class BKTree:
             if distance <= radius:
                 yield node
 
-    def add(self, value: int) -> int:
-        node = 0
+    def add(self, value: int) -> list[int]:
+        """Puts the value in; the nodes from the root to its parent."""
+        node, path = 0, []
         while True:
+            path.append(node)
             distance = (self.values[node] ^ value).bit_count()
             nxt = self.children[node].get(distance)
             if nxt is None:
                 self.values.append(value)
                 self.children.append({})
                 self.children[node][distance] = len(self.values) - 1
-                return len(self.values) - 1
+                return path
             node = nxt
 
 
@@ -122,16 +125,20 @@ def forest(values: list[int], radius: int) -> list[tuple[int, int]]:
     return [(values[a], values[b]) for a, b in linked_indexes(values, radius)]
 
 
+MIXED = -1
+
+
 def linked_indexes(values: list[int], radius: int, holds: Callable[[int, int], bool] | None = None) -> list[tuple[int, int]]:
     """The same as pairs of indexes; of the pairs within the radius, only those for which holds(a, b).
 
-    Pairs that are already in one component are not put to holds. A search ends once the value is linked
-    to every component so far, so a shard of copies of one text takes a few steps for each, not one for
-    each pair.
+    A branch all of whose values are linked to the value already is not entered, so copies of one text
+    take a few steps each, not one for each pair, whatever else the shard holds.
     """
     tree = BKTree(values[0])
     parent = [0]
-    parts = 1
+    # For each node a member of the one component that its whole branch is in, or MIXED.
+    whole = [0]
+    parts, merges, told = 1, 0, 64
 
     def top(i: int) -> int:
         while parent[i] != i:
@@ -143,15 +150,31 @@ def linked_indexes(values: list[int], radius: int, holds: Callable[[int, int], b
     for own, value in enumerate(values[1:], 1):
         parent.append(own)
         parts += 1
-        for node in tree.near(value, radius):
-            a, b = top(node), top(own)
-            if a != b and (holds is None or holds(node, own)):
-                parent[b] = a
+        mine = own
+        open_nodes = [0]
+        while open_nodes and parts > 1:
+            node = open_nodes.pop()
+            branch = whole[node]
+            if branch != MIXED and top(branch) == mine:
+                continue
+            distance = (tree.values[node] ^ value).bit_count()
+            open_nodes += [c for d, c in tree.children[node].items() if distance - radius <= d <= distance + radius]
+            if distance <= radius and (other := top(node)) != mine and (holds is None or holds(node, own)):
+                parent[mine] = mine = other
                 parts -= 1
+                merges += 1
                 edges.append((node, own))
-                if parts == 1:
-                    break
-        tree.add(value)
+        for node in tree.add(value):
+            if whole[node] != MIXED and top(whole[node]) != mine:
+                whole[node] = MIXED
+        whole.append(own)
+        if own >= told:
+            # Components have merged since their branches were told apart; children follow their parents.
+            told *= 2
+            for node in range(own, -1, -1):
+                held = top(node)
+                same = all(whole[c] != MIXED and top(whole[c]) == held for c in tree.children[node].values())
+                whole[node] = node if same else MIXED
     return edges
 
 
@@ -172,39 +195,54 @@ def shard_keys(fp: F.Column, radius: int, blocks: int) -> F.Column:
     return F.explode(F.array(*(F.struct(F.lit(i).cast("short").alias("choice"), kept(c).alias("bits")) for i, c in enumerate(chosen))))
 
 
-def link_edges(prints: DataFrame, radius: int = 4, blocks: int = 6) -> DataFrame:
+def in_blocks(keyed: DataFrame, on: list[str], node: str, weight: str, most: int) -> DataFrame:
+    """keyed with a column `block`, without the rows that are alone under their key.
+
+    A key whose rows weigh more than `most` in sum is cut into parts by the node's hash, and each pair
+    of parts becomes a block, so that any two rows of a key meet in a block of bounded weight.
+    """
+    sums = keyed.groupBy(*on).agg(F.count("*").alias("n"), F.greatest(F.lit(1), F.ceil(F.sum(weight) / most).cast("int")).alias("parts")).where("n > 1")
+    sums = settle(sums, "shards")
+    joined = spread_join(keyed, sums, on, keyed.count())
+    part = F.pmod(F.xxhash64(node, F.lit(7)), F.col("parts")).cast("int")
+    others = F.filter(F.sequence(F.lit(0), F.col("parts") - 1), lambda x: (x != part) | (F.col("parts") == 1))
+    paired = F.transform(others, lambda x: F.least(x, part) * F.col("parts") + F.greatest(x, part))
+    return joined.select(*keyed.columns, F.explode(paired).alias("block"))
+
+
+#: Distinct fingerprints that one tree holds half of at most.
+SHARD_ROWS = 50_000
+
+
+def link_edges(prints: DataFrame, radius: int = 4, blocks: int = 6, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """Edges (a, b) between distinct fingerprints whose components are those of all links."""
     keyed = prints.select("fp", shard_keys(F.col("fp"), radius, blocks).alias("shard")).select("shard.choice", "shard.bits", "fp")
+    keyed = in_blocks(keyed.withColumn("one", F.lit(1)), ["choice", "bits"], "fp", "one", shard_rows).drop("one")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[int] = []
         held_key = None
 
-        def edges_of(values: list[int]) -> list[tuple[int, int]]:
-            return forest(values, radius) if len(values) > 1 else []
-
         for batch in batches:
             choice = batch.column("choice").to_numpy().astype(np.int64)
             bits = batch.column("bits").to_numpy()
+            block = batch.column("block").to_numpy()
             fp = batch.column("fp").to_numpy().view(np.uint64)
             if not len(fp):
                 continue
-            cut = np.flatnonzero((choice[1:] != choice[:-1]) | (bits[1:] != bits[:-1])) + 1
-            starts, ends = np.append(0, cut), np.append(cut, len(fp))
+            cut = np.flatnonzero((choice[1:] != choice[:-1]) | (bits[1:] != bits[:-1]) | (block[1:] != block[:-1])) + 1
             out: list[tuple[int, int]] = []
-            # Runs of one fingerprint have no edges; only the first and last run may continue elsewhere.
-            todo = np.flatnonzero((ends - starts > 1) | (starts == 0) | (ends == len(fp)))
-            for s, e in zip(starts[todo].tolist(), ends[todo].tolist(), strict=True):
-                key = (choice[s], bits[s])
+            for s, e in zip([0, *cut.tolist()], [*cut.tolist(), len(fp)], strict=True):
+                key = (choice[s], bits[s], block[s])
                 if s == 0 and key == held_key:
                     held += fp[s:e].tolist()
                 else:
-                    out += edges_of(held)
+                    out += forest(held, radius) if held else []
                     held, held_key = fp[s:e].tolist(), key
             yield _edge_batch(out)
-        yield _edge_batch(edges_of(held))
+        yield _edge_batch(forest(held, radius) if held else [])
 
-    dealt = keyed.repartition("choice", "bits").sortWithinPartitions("choice", "bits", "fp")
+    dealt = keyed.repartition("choice", "bits", "block").sortWithinPartitions("choice", "bits", "block", "fp")
     return dealt.mapInArrow(search, "a long, b long")
 
 
@@ -216,35 +254,40 @@ def _edge_batch(edges: list[tuple[int, int]]) -> pa.RecordBatch:
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """node and root, the least node of its component, for every node on an edge.
 
-    Alternates large-star and small-star contraction; each round is a grouped minimum and a join, so
-    no component is gathered in one task, and each round's table is written to the shared folder.
+    Alternates large-star and small-star contraction until each node hangs from one root alone; each
+    round is a grouped minimum and a join, so no component is gathered in one task, and each round's
+    table is written to the shared folder.
     """
     current = settle(edges.select(F.least(a, b).alias("u"), F.greatest(a, b).alias("v")).where("u < v").distinct(), "edges")
     while True:
+        ends = current.select(F.explode(F.array(F.struct(F.col("u").alias("x"), F.lit(0).alias("below")), F.struct(F.col("v").alias("x"), F.lit(1).alias("below")))).alias("e"))
+        met = ends.groupBy("e.x").agg(F.sum("e.below").alias("below"), F.min("e.below").alias("least"))
+        if met.where("below > 1 or (below > 0 and least = 0)").isEmpty():
+            return current.select(F.col("v").alias("node"), F.col("u").alias("root")).unionByName(current.select(F.col("u").alias("node"), F.col("u").alias("root")).distinct())
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("m").alias("u"), "v").where("u < v").distinct()
+        least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"), F.count("*").alias("n"))
+        large = spread_join(both, least, ["u"], 2 * current.count()).where("v > u").select(F.col("m").alias("u"), "v").where("u < v").distinct()
         low = large.select(F.col("v").alias("n"), F.col("u").alias("w"))
         lowest = low.groupBy("n").agg(F.min("w").alias("m"))
         small = low.join(lowest, "n").select(F.col("m").alias("u"), F.explode(F.array("n", "w")).alias("v")).where("u < v").distinct()
-        following = settle(small, "edges")
-        changed = following.exceptAll(current).limit(1).count() + current.exceptAll(following).limit(1).count()
-        current = following
-        if not changed:
-            return current.select(F.col("v").alias("node"), F.col("u").alias("root")).unionByName(current.select(F.col("u").alias("node"), F.col("u").alias("root")).distinct())
+        current = settle(small, "edges")
 
 
-def near_duplicates(documents: DataFrame, shingle: int = 4, radius: int = 4, blocks: int = 6) -> DataFrame:
+def near_duplicates(documents: DataFrame, shingle: int = 4, radius: int = 4, blocks: int = 6, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """doc_id, fingerprint in hexadecimal, component_id: the least doc_id that links reach."""
     prints = settle(fingerprints(documents, shingle), "fingerprints")
-    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("least_id"))
-    distinct = settle(distinct, "distinct")
-    roots = components(link_edges(distinct.select("fp"), radius, blocks))
-    linked = distinct.join(roots, distinct.fp == roots.node).select("fp", "root", "least_id")
-    least = linked.groupBy("root").agg(F.min("least_id").alias("group_id"))
-    named = linked.join(least, "root").select("fp", "group_id")
-    ids = distinct.join(named, "fp", "left").select("fp", F.coalesce("group_id", "least_id").alias("component_id"))
-    return prints.join(ids, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    distinct = settle(prints.groupBy("fp").agg(F.min("doc_id").alias("least_id"), F.count("*").alias("n")), "distinct")
+    roots = components(link_edges(distinct.select("fp"), radius, blocks, shard_rows))
+    ids = named(distinct.select(F.col("fp").alias("node"), "least_id", "n"), roots).select(F.col("node").alias("fp"), "component_id", "n")
+    told = spread_join(prints, ids, ["fp"], prints.count())
+    return told.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def named(once: DataFrame, roots: DataFrame) -> DataFrame:
+    """once(node, least_id, n) with each node's root and component_id, the least least_id of its component."""
+    linked = settle(once.join(roots, "node", "left").select("node", "least_id", "n", F.coalesce("root", "node").alias("root")), "linked")
+    least = settle(linked.groupBy("root").agg(F.min("least_id").alias("component_id"), F.count("*").alias("members")), "least")
+    return settle(spread_join(linked, least, ["root"], linked.count(), "members").select("node", "root", "component_id", "n"), "named")
 
 
 #: Sets of least shingle hashes that shard texts, and hashes in a set.
@@ -254,6 +297,8 @@ SETS, SET_SIZE = 32, 5
 #: 80 bits are five standard deviations more.
 SIMILARITY = 0.8
 WIDE_RADIUS = 80
+#: Shingles of all texts that one tree holds at most, of twice those of a part.
+SHARD_SHINGLES = 4_000_000
 
 
 def _distinct_shingles(block: TextBlock) -> tuple[np.ndarray, np.ndarray]:
@@ -267,12 +312,14 @@ def _distinct_shingles(block: TextBlock) -> tuple[np.ndarray, np.ndarray]:
     return grams[new], np.bincount(rows[new], minlength=block.rows)
 
 
-def set_marks(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """For each text a hash of its shingle set, and SETS shard keys; zero without words."""
+def set_marks(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each text a hash of its shingle set, SETS shard keys, and the set's size; zero without words."""
     nodes = np.zeros(len(column), np.uint64)
+    sizes = np.zeros(len(column), np.int64)
     keys = np.zeros((len(column), SETS), np.uint64)
     for block in text_blocks(column):
         grams, n = _distinct_shingles(block)
+        sizes[block.lo : block.hi] = n
         full = np.flatnonzero(n)
         if not len(full):
             continue
@@ -282,7 +329,7 @@ def set_marks(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
             for j in range(i * SET_SIZE, (i + 1) * SET_SIZE):
                 least = np.minimum.reduceat(grams * _FACTORS[j] + _TERMS[j], bounds)
                 keys[block.lo + full, i] = mix64(keys[block.lo + full, i] + least)
-    return nodes, keys
+    return nodes, keys, sizes
 
 
 def wide_fingerprints(column: pa.Array) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -304,7 +351,7 @@ def wide_fingerprints(column: pa.Array) -> tuple[np.ndarray, list[np.ndarray]]:
     return prints, sets
 
 
-def similar_groups(documents: DataFrame, radius: int = WIDE_RADIUS, similarity: float = SIMILARITY) -> DataFrame:
+def similar_groups(documents: DataFrame, radius: int = WIDE_RADIUS, similarity: float = SIMILARITY, shard_shingles: int = SHARD_SHINGLES) -> DataFrame:
     """doc_id, text_key, root, component_id of texts whose shingle sets reach the similarity.
 
     text_key tells texts apart that share an id, and root does so for components.
@@ -312,19 +359,19 @@ def similar_groups(documents: DataFrame, radius: int = WIDE_RADIUS, similarity:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, keys = set_marks(batch.column("text"))
-            out = {"doc_id": batch.column("doc_id"), "text_key": batch.column("text_key"), "node": pa.array(nodes.view(np.int64))}
+            nodes, keys, sizes = set_marks(batch.column("text"))
+            out = {"doc_id": batch.column("doc_id"), "text_key": batch.column("text_key"), "node": pa.array(nodes.view(np.int64)), "size": pa.array(sizes)}
             yield pa.RecordBatch.from_pydict(out | {"keys": pa.ListArray.from_arrays(pa.array(np.arange(len(nodes) + 1) * SETS, pa.int32()), pa.array(keys.reshape(-1).view(np.int64)))})
 
     source = documents.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
-    marked = settle(source.mapInArrow(scan, "doc_id long, text_key long, node long, keys array<long>"), "wide")
-    once = marked.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.min(F.struct("doc_id", "text_key")).alias("one"), F.first("keys").alias("keys"))  # alike for a node
+    marked = settle(source.mapInArrow(scan, "doc_id long, text_key long, node long, size long, keys array<long>"), "wide")
+    # The keys and the size are alike for a node.
+    once = marked.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.count("*").alias("n"), F.min(F.struct("doc_id", "text_key")).alias("one"), F.first("keys").alias("keys"), F.first("size").alias("size"))
     once = settle(once, "nodes")
-    roots = components(_wide_edges(source, once, radius, similarity))
-    linked = once.select("node", "least_id").join(roots, "node", "left").select("node", "least_id", F.coalesce("root", "node").alias("root"))
-    least = linked.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    named = linked.join(least, "root").select("node", "root", "component_id")
-    return marked.select("doc_id", "text_key", "node").join(named, "node").select("doc_id", "text_key", "root", "component_id")
+    roots = components(_wide_edges(source, once, radius, similarity, shard_shingles))
+    ids = named(once.select("node", "least_id", "n"), roots)
+    told = spread_join(marked.select("doc_id", "text_key", "node"), ids, ["node"], marked.count())
+    return told.select("doc_id", "text_key", "root", "component_id")
 
 
 def _shingle_sets(source: DataFrame, once: DataFrame) -> DataFrame:
@@ -337,12 +384,12 @@ def _shingle_sets(source: DataFrame, once: DataFrame) -> DataFrame:
             grams = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_pydict({"node": batch.column("node"), "fp": pa.array([x.tobytes() for x in prints], pa.binary()), "grams": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(grams))})
 
-    wanted = once.select("node", F.col("one.doc_id").alias("_id"), F.col("one.text_key").alias("_text"))
-    found = source.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_text"))).select("node", "text")
+    wanted = once.select("node", F.col("one.doc_id").alias("one_id"), F.col("one.text_key").alias("one_key"))
+    found = source.join(wanted, F.col("doc_id").eqNullSafe(F.col("one_id")) & (F.col("text_key") == F.col("one_key"))).select("node", "text")
     return settle(found.dropDuplicates(["node"]).mapInArrow(scan, "node long, fp binary, grams array<long>"), "sets")
 
 
-def _wide_edges(source: DataFrame, once: DataFrame, radius: int, similarity: float) -> DataFrame:
+def _wide_edges(source: DataFrame, once: DataFrame, radius: int, similarity: float, shard_shingles: int) -> DataFrame:
     """Edges between nodes, a spanning forest for each shard of the links that are verified."""
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -356,7 +403,8 @@ def _wide_edges(source: DataFrame, once: DataFrame, radius: int, similarity: flo
                 out.extend((held[a][0], held[b][0]) for a, b in found)
 
         for batch in batches:
-            for key, node, fp, grams in zip(zip(batch.column("pos").to_pylist(), batch.column("key").to_pylist(), strict=True), batch.column("node").to_pylist(), batch.column("fp").to_pylist(), batch.column("grams"), strict=True):
+            keys = zip(*(batch.column(c).to_pylist() for c in ("pos", "key", "block")), strict=True)
+            for key, node, fp, grams in zip(keys, batch.column("node").to_pylist(), batch.column("fp").to_pylist(), batch.column("grams"), strict=True):
                 if key != held_key:
                     close()
                     held, held_key = [], key
@@ -366,14 +414,15 @@ def _wide_edges(source: DataFrame, once: DataFrame, radius: int, similarity: flo
         close()
         yield _node_batch(out)
 
-    keyed = once.select("node", F.posexplode("keys").alias("pos", "key"))
+    keyed = once.select("node", "size", F.posexplode("keys").alias("pos", "key"))
     shared = keyed.groupBy("pos", "key").agg(F.count("*").alias("n"), F.bit_xor("node").alias("x"), F.bit_xor(F.xxhash64("node")).alias("y")).where("n > 1")
     # Shards of the same nodes have the same links: one of them is searched.
-    shards = shared.groupBy("n", "x", "y").agg(F.min(F.struct("pos", "key")).alias("s")).select("s.pos", "s.key")
-    members = settle(keyed.join(shards, ["pos", "key"]).select("pos", "key", "node"), "members")
+    shards = shared.groupBy("n", "x", "y").agg(F.min(F.struct("pos", "key")).alias("s")).select("s.pos", "s.key", "n")
+    members = spread_join(keyed, settle(shards, "shards"), ["pos", "key"], SETS * once.count()).select("pos", "key", "node", "size")
+    members = settle(in_blocks(settle(members, "members"), ["pos", "key"], "node", "size", shard_shingles), "blocks")
     sets = _shingle_sets(source, once.join(members.select("node").distinct(), "node", "left_semi"))
-    dealt = members.join(sets, "node").repartition("pos", "key").sortWithinPartitions("pos", "key", "node")
-    return dealt.select("pos", "key", "node", "fp", "grams").mapInArrow(search, "a long, b long")
+    dealt = members.join(sets, "node").repartition("pos", "key", "block").sortWithinPartitions("pos", "key", "block", "node")
+    return dealt.select("pos", "key", "block", "node", "fp", "grams").mapInArrow(search, "a long, b long")
 
 
 def _node_batch(edges: list[tuple[int, int]]) -> pa.RecordBatch:
@@ -384,13 +433,14 @@ def _node_batch(edges: list[tuple[int, int]]) -> pa.RecordBatch:
 def one_of_each(documents: DataFrame, radius: int = WIDE_RADIUS) -> DataFrame:
     """The document with the least doc_id of each group of similar texts, with its own columns.
 
-    Different texts under that id are told apart; of rows that repeat both, one stays.
+    Different texts under that id are told apart; of rows that repeat both, one stays. Null ids come
+    last; a null text is one of the wordless texts, which are one group.
     """
-    groups = settle(similar_groups(documents, radius), "groups")
+    groups = settle(similar_groups(documents.select("doc_id", "text"), radius), "groups")
+    own_id, own_text = private(documents, "id", "text")
     # The least row of each group, and whether any row repeats, from narrow columns.
-    first = groups.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("c")).select(F.col("c.doc_id").alias("_id"), F.col("c.text_key").alias("_text"))
-    kept = documents.join(first, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_text")), "left_semi")
+    first = groups.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("c")).select(F.col("c.doc_id").alias(own_id), F.col("c.text_key").alias(own_text))
+    kept = documents.join(first, F.col("doc_id").eqNullSafe(F.col(own_id)) & (F.xxhash64("text") == F.col(own_text)), "left_semi")
     if groups.groupBy("doc_id", "text_key").count().where("count > 1").isEmpty():
         return kept
-    keyed = kept.withColumn("_hash", F.xxhash64("text"))
-    return keyed.dropDuplicates(["doc_id", "_hash"]).select(*documents.columns)
+    return kept.withColumn(own_text, F.xxhash64("text")).dropDuplicates(["doc_id", own_text]).select(*own_columns(documents))

@@ -3,29 +3,33 @@
 Every window of `window` consecutive words holds window - k + 1 word k-grams; its least k-gram hash
 is its fingerprint. A window that a text shares with a benchmark item therefore has the same
 fingerprint in both, so a join of fingerprints misses no shared window, and neighbouring windows
-mostly share one. Joined windows are extended: their full word sequence is compared, and the words of
-each confirmed window are marked.
+mostly share one. Joined windows are extended: their words themselves are compared, not hashes of
+them, and the words of each confirmed window are marked.
 
-The benchmark's index is bounded: its rows are dealt into blocks of at most `block_words` words, each
-block is sent to the executors on its own, and a larger benchmark becomes more blocks, not a larger
-one. The corpus is neither shuffled nor collected.
+The benchmark's index is bounded: its rows are dealt into blocks of at most `block_chars` characters
+(or one item), and each task holds one block. A benchmark of one block is one pass over the corpus,
+which is neither shuffled nor collected. Of a larger one each block is a pass of its own, whose hits are
+written, and hits are merged by document at the end; only documents that are hit take part in that.
 
 Defined cases: null or wordless texts have no words and hit nothing; wordless items have no windows;
-items shorter than the window form one window of their own length; repeated items count once each;
-repeated documents each get their row; other columns are ignored.
+items shorter than the window form one window of their own length; an item_id that repeats counts
+once, with the windows of all its texts; items without an id are not read; repeated documents each
+get their row; an empty benchmark hits nothing; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from docflow.llm.common import TextBlock, gram_hashes, runs, span_hashes, text_blocks
+from docflow.llm.common import TextBlock, carried, gram_hashes, restored, runs, settle, span_hashes, text_blocks
 
 SCHEMA = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
 
@@ -35,12 +39,22 @@ _is_word = np.zeros(256, bool)
 _is_word[48:58] = _is_word[65:91] = _is_word[97:123] = _is_word[128:] = True
 
 
-def words_of(block: TextBlock) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the block's words, and where each row's words start among them."""
-    if not len(block.data):
-        return np.zeros(0, np.uint64), np.zeros(block.rows + 1, np.int64)
-    starts, ends = runs(_is_word[block.data], block.offsets)
-    return span_hashes(_lower[block.data], starts, ends), np.searchsorted(starts, block.offsets)
+class BlockWords:
+    """The words of a block of texts: their hashes, rows, and the words themselves."""
+
+    def __init__(self, block: TextBlock):
+        data = _lower[block.data]
+        inside = _is_word[data]
+        self.starts, self.ends = runs(inside, block.offsets) if len(data) else (np.zeros(0, np.int64),) * 2
+        self.hashes = span_hashes(data, self.starts, self.ends) if len(data) else np.zeros(0, np.uint64)
+        self.first = np.searchsorted(self.starts, block.offsets)
+        self.rows = np.repeat(np.arange(block.rows), np.diff(self.first))
+        self.data, self.inside = data, inside
+
+    def words(self, at: int, n: int) -> bytes:
+        """Words at .. at + n, with one space between them."""
+        lo, hi = self.starts[at], self.ends[at + n - 1]
+        return b" ".join(np.where(self.inside[lo:hi], self.data[lo:hi], 32).astype(np.uint8).tobytes().split())
 
 
 def window_minima(grams: np.ndarray, width: int) -> np.ndarray:
@@ -62,65 +76,60 @@ def among(values: np.ndarray, ordered: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return ordered[at] == values, at
 
 
+#: Most characters of items in a block; its index takes about 60 times as many bytes.
+BLOCK_CHARS = 2 << 20
+
+
 class ItemIndex:
-    """Window fingerprints and window hashes of a bounded block of benchmark items."""
+    """Window fingerprints and windows of a bounded block of benchmark items."""
 
-    def __init__(self, items: list[tuple[int, str]], window: int, k: int):
+    def __init__(self, items: list[tuple[str, str]], window: int, k: int):
         self.window, self.k = window, k
-        self.names = [str(item_id) for item_id, _ in items]
+        self.names = [item_id for item_id, _ in items]
         prints: list[np.ndarray] = []
-        owned: dict[int, list[tuple[np.ndarray, int]]] = {}
-        column = pa.array([text or "" for _, text in items], pa.large_string())
-        for block in text_blocks(column):
-            words, first = words_of(block)
+        # For each length the windows' hashes, and by their words the items that have them.
+        hashed: dict[int, list[np.ndarray]] = {}
+        held: dict[int, dict[bytes, list[int]]] = {}
+        for block in text_blocks(pa.array([text for _, text in items], pa.large_string())):
+            own = BlockWords(block)
             for row in range(block.rows):
-                own = words[first[row] : first[row + 1]]
-                length = min(len(own), window)
+                lo, hi = own.first[row], own.first[row + 1]
+                length = min(int(hi - lo), window)
                 if not length:
                     continue
-                owned.setdefault(length, []).append((gram_hashes(own, length), block.lo + row))
+                hashes = own.hashes[lo:hi]
+                hashed.setdefault(length, []).append(gram_hashes(hashes, length))
+                for at in range(lo, hi - length + 1):
+                    owners = held.setdefault(length, {}).setdefault(own.words(at, length), [])
+                    if not owners or owners[-1] != block.lo + row:
+                        owners.append(block.lo + row)
                 if length == window:
-                    prints.append(window_minima(gram_hashes(own, k), window - k + 1))
+                    prints.append(window_minima(gram_hashes(hashes, k), window - k + 1))
         self.prints = np.unique(np.concatenate(prints)) if prints else np.zeros(0, np.uint64)
-        self.by_length = {}
-        for length, found in owned.items():
-            keys = np.concatenate([h for h, _ in found])
-            owners = np.concatenate([np.full(len(h), i) for h, i in found])
-            pairs = np.unique(np.stack([keys, owners.astype(np.uint64)]), axis=1)
-            windows, start = np.unique(pairs[0], return_index=True)
-            self.by_length[length] = windows, np.append(start, pairs.shape[1]), pairs[1].astype(np.int64)
-
-    def hits(self, words: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Which words are hit, and the distinct (row, item) pairs of confirmed windows."""
-        edges = np.zeros(len(words) + 1, np.int64)
-        pair_rows, pair_items = [], []
-        for length, (windows, start, owners) in self.by_length.items():
-            if len(words) < length:
+        self.windows = {length: (np.unique(np.concatenate(h)), held[length]) for length, h in hashed.items()}
+
+    def hits(self, words: BlockWords) -> Iterator[tuple[int, int, list[int]]]:
+        """First word, number of words and items of each window of the block that items have."""
+        hashes, rows = words.hashes, words.rows
+        for length, (known, held) in self.windows.items():
+            if len(hashes) < length:
                 continue
             if length == self.window:
-                least = window_minima(gram_hashes(words, self.k), self.window - self.k + 1)
+                least = window_minima(gram_hashes(hashes, self.k), self.window - self.k + 1)
                 fresh = np.ones(len(least), bool)
                 fresh[1:] = least[1:] != least[:-1]
                 joined = among(least[fresh], self.prints)[0]
                 at = np.flatnonzero(joined[np.cumsum(fresh) - 1])
                 at = at[rows[at] == rows[at + length - 1]]
-                keys = gram_hashes_at(words, at, length)
+                keys = gram_hashes_at(hashes, at, length)
             else:
-                at = np.flatnonzero(rows[: len(words) - length + 1] == rows[length - 1 :])
-                keys = gram_hashes(words, length)[at]
-            same, place = among(keys, windows)
-            at, place = at[same], place[same]
-            edges += np.bincount(at, minlength=len(edges)) - np.bincount(at + length, minlength=len(edges))
-            if len(at):
-                once = np.unique(np.stack([rows[at], place]), axis=1)
-                n = start[once[1] + 1] - start[once[1]]
-                pair_rows.append(np.repeat(once[0], n))
-                offset = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                pair_items.append(owners[np.repeat(start[once[1]], n) + offset])
-        if not pair_rows:
-            return np.cumsum(edges[:-1]) > 0, np.zeros(0, np.int64), np.zeros(0, np.int64)
-        pairs = np.unique(np.stack([np.concatenate(pair_rows), np.concatenate(pair_items)]), axis=1)
-        return np.cumsum(edges[:-1]) > 0, pairs[0], pairs[1]
+                at = np.flatnonzero(rows[: len(hashes) - length + 1] == rows[length - 1 :])
+                keys = gram_hashes(hashes, length)[at]
+            same = among(keys, known)[0]
+            for place in at[same].tolist():
+                owners = held.get(words.words(place, length))
+                if owners:
+                    yield place, length, owners
 
 
 def gram_hashes_at(words: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
@@ -130,58 +139,124 @@ def gram_hashes_at(words: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
     return gram_hashes(words[at[:, None] + np.arange(k)].reshape(-1), k)[::k]
 
 
-def item_blocks(benchmark: DataFrame, window: int, k: int, block_words: int) -> Iterator[ItemIndex]:
-    """Indexes of bounded blocks of items, streamed through the driver one at a time."""
-    held: list[tuple[int, str]] = []
-    words = 0
-    for row in benchmark.select("item_id", "text").where(F.col("text").isNotNull()).toLocalIterator():
+def item_blocks(benchmark: DataFrame, block_chars: int) -> Iterator[list[tuple[str, str]]]:
+    """Bounded blocks of items (item_id as text, text), streamed through the driver one at a time."""
+    held: list[tuple[str, str]] = []
+    size = 0
+    for row in benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").where(F.col("text").isNotNull() & F.col("item_id").isNotNull()).toLocalIterator():
+        if held and size + len(row.text) > block_chars:
+            yield held
+            held, size = [], 0
         held.append((row.item_id, row.text))
-        words += 1 + row.text.count(" ") + row.text.count("\n")
-        if words >= block_words:
-            yield ItemIndex(held, window, k)
-            held, words = [], 0
+        size += len(row.text)
     if held:
-        yield ItemIndex(held, window, k)
+        yield held
+
 
+def _scan_block(batch: pa.RecordBatch, index: ItemIndex | None) -> tuple[list[int], list[list[tuple[int, int]]], list[set[str]]]:
+    """For each row of the batch its number of words, its hit stretches of words (merged), and its items."""
+    n_words: list[int] = []
+    stretches: list[list[tuple[int, int]]] = []
+    names: list[set[str]] = []
+    for block in text_blocks(batch.column("text")):
+        words = BlockWords(block)
+        hit = np.zeros(len(words.hashes) + 1, np.int64)
+        found: list[set[str]] = [set() for _ in range(block.rows)]
+        for at, length, owners in index.hits(words) if index else ():
+            hit[at] += 1
+            hit[at + length] -= 1
+            found[words.rows[at]].update([index.names[i] for i in owners])
+        starts, ends = runs(np.cumsum(hit[:-1]) > 0, words.first)
+        own: list[list[tuple[int, int]]] = [[] for _ in range(block.rows)]
+        for s, e in zip(starts.tolist(), ends.tolist(), strict=True):
+            row = words.rows[s]
+            own[row].append((s - int(words.first[row]), e - int(words.first[row])))
+        n_words += np.diff(words.first).tolist()
+        stretches += own
+        names += found
+    return n_words, stretches, names
 
-def contamination(documents: DataFrame, benchmark: DataFrame, window: int = 10, k: int = 5, block_words: int = 2_000_000, keep: bool = False) -> DataFrame:
+
+def items_digest(names: set[str]) -> str:
+    return hashlib.sha256(",".join(sorted(names)).encode()).hexdigest()
+
+
+def contamination(documents: DataFrame, benchmark: DataFrame, window: int = 10, k: int = 5, block_chars: int = BLOCK_CHARS, keep: bool = False) -> DataFrame:
     """One row per document: how many words it has, how many stand in windows of benchmark items.
 
     keep: also returns the text and, as the struct `kept`, the other columns of documents.
     """
-    spark = documents.sparkSession
-    blocks = [spark.sparkContext.broadcast(x) for x in item_blocks(benchmark, window, k, block_words)]
-    others = [c for c in documents.columns if c not in ("doc_id", "text")] if keep else []
-    source = documents.select("doc_id", "text", *([F.struct(*others).alias("kept")] if others else []))
-    carried = [f for f in source.schema if keep and f.name != "doc_id"]
-    schema = ", ".join([SCHEMA, *(f"`{f.name}` {f.dataType.simpleString()}" for f in carried)])
+    blocks = item_blocks(benchmark, block_chars)
+    first, second = next(blocks, []), next(blocks, None)
+    if second is None:
+        return _one_pass(documents, first, window, k, keep)
+    partial = None
+    for block in chain([first, second], blocks):
+        own = _block_hits(documents, block, window, k)
+        partial = own if partial is None else partial.unionByName(own)
+    merged = partial.groupBy("h_id", "h_key").agg(F.flatten(F.collect_list("stretches")).alias("stretches"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    source, others = carried(documents, keep)
+    counted = _one_pass(documents, [], window, k, True)
+    joined = counted.join(settle(merged, "hits"), F.col("doc_id").eqNullSafe(F.col("h_id")) & (F.xxhash64("text") == F.col("h_key")), "left")
+    items = F.coalesce("items", F.array().cast("array<string>"))
+    n_hit = F.coalesce(_union_size(F.col("stretches")), F.lit(0)).cast("long")
+    return joined.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"), F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"), *(f.name for f in others))
+
+
+def _union_size(stretches: Column) -> Column:
+    """How many words stand in any of the stretches (s, e)."""
+    zero = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("at"))
+
+    def step(acc: Column, x: Column) -> Column:
+        return F.struct((acc["n"] + F.greatest(F.lit(0).cast("long"), x["e"] - F.greatest(acc["at"], x["s"]))).alias("n"), F.greatest(acc["at"], x["e"]).alias("at"))
+
+    return F.aggregate(F.array_sort(stretches), zero, step, lambda acc: acc["n"])
+
+
+def _block_hits(documents: DataFrame, items: list[tuple[str, str]], window: int, k: int) -> DataFrame:
+    """h_id, h_key, stretches, items of the distinct documents that windows of these items hit, written."""
+    index = documents.sparkSession.sparkContext.broadcast(ItemIndex(items, window, k))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))
+        for batch in batches:
+            _, stretches, names = _scan_block(batch, index.value)
+            hit = [i for i, x in enumerate(names) if x]
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "h_id": batch.column("h_id").take(pa.array(hit, pa.int64())),
+                    "h_key": batch.column("h_key").take(pa.array(hit, pa.int64())),
+                    "stretches": pa.array([[{"s": s, "e": e} for s, e in stretches[i]] for i in hit], kind),
+                    "items": pa.array([sorted(names[i]) for i in hit], pa.list_(pa.string())),
+                }
+            )
+
+    source = documents.select(F.col("doc_id").alias("h_id"), F.xxhash64("text").alias("h_key"), "text")
+    found = source.mapInArrow(scan, "h_id long, h_key long, stretches array<struct<s:long,e:long>>, items array<string>")
+    found = settle(found.dropDuplicates(["h_id", "h_key"]), "block")
+    index.destroy()
+    return found
+
+
+def _one_pass(documents: DataFrame, items: list[tuple[str, str]], window: int, k: int, keep: bool) -> DataFrame:
+    index = documents.sparkSession.sparkContext.broadcast(ItemIndex(items, window, k))
+    source, others = carried(documents, keep)
+    told = T.StructType.fromDDL(SCHEMA)
+    schema = T.StructType([*told, *others])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        indexes = [x.value for x in blocks]
         for batch in batches:
-            n_words, n_hit, names = [], [], []
-            for block in text_blocks(batch.column("text")):
-                words, first = words_of(block)
-                rows = np.repeat(np.arange(block.rows), np.diff(first))
-                hit = np.zeros(len(words), bool)
-                found: list[set[str]] = [set() for _ in range(block.rows)]
-                for index in indexes:
-                    own, pair_rows, pair_items = index.hits(words, rows)
-                    hit |= own
-                    for row, item in zip(pair_rows.tolist(), pair_items.tolist(), strict=True):
-                        found[row].add(index.names[item])
-                n_words += np.diff(first).tolist()
-                n_hit += np.bincount(rows[hit], minlength=block.rows).tolist()
-                names += found
+            n_words, stretches, names = _scan_block(batch, index.value)
+            n_hit = [sum(e - s for s, e in x) for x in stretches]
             out = {
                 "doc_id": batch.column("doc_id"),
                 "n_words": pa.array(n_words, pa.int64()),
                 "n_hit": pa.array(n_hit, pa.int64()),
                 "n_items": pa.array([len(x) for x in names], pa.int64()),
-                "items_sha256": pa.array([hashlib.sha256(",".join(sorted(x)).encode()).hexdigest() for x in names], pa.string()),
+                "items_sha256": pa.array([items_digest(x) for x in names], pa.string()),
                 "contaminated": pa.array([x > 0 for x in n_hit], pa.bool_()),
             }
-            out |= {f.name: batch.column(f.name) for f in carried}
+            out |= {f.name: batch.column(f.name) for f in others}
             yield pa.RecordBatch.from_pydict(out)
 
     return source.mapInArrow(scan, schema)
@@ -190,4 +265,4 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = 10,
 def clean_documents(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that share no window with the benchmark, with their own columns."""
     found = contamination(documents, benchmark, keep=True).where(~F.col("contaminated"))
-    return found.select(*(c if c in ("doc_id", "text") else F.col("kept")[c].alias(c) for c in documents.columns))
+    return restored(found, documents)

@@ -72,6 +72,67 @@ def test_bk_tree_follows_only_what_can_match():
         assert sorted(tree.values[i] for i in tree.near(q, 3)) == sorted(v for v in values if (v ^ q).bit_count() <= 3)
 
 
+def test_split_shards_lose_no_link(spark):
+    rng = random.Random(4)
+    value = rng.getrandbits(64)
+    values = {value ^ sum(1 << b for b in rng.sample(range(64), rng.randrange(9))) for _ in range(300)}
+    prints = {x - (1 << 64) if x >= 1 << 63 else x: x for x in values}
+    df = spark.createDataFrame([(x,) for x in prints], "fp long")
+    want = brute_groups(prints)
+    for rows in (40, 50_000):
+        roots = {r.node: r.root for r in simhash.components(simhash.link_edges(df, shard_rows=rows)).collect()}
+        assert {i: roots.get(i, i) for i in prints} == want
+
+
+def test_forests_with_outliers_span_the_links():
+    rng = random.Random(7)
+    for size in (5, 60, 700):
+        seeds = [rng.getrandbits(64) for _ in range(8)]
+        values = list({rng.choice(seeds) ^ sum(1 << b for b in rng.sample(range(64), rng.randrange(5))) for _ in range(size)} | {rng.getrandbits(64) for _ in range(20)})
+        rng.shuffle(values)
+        for holds in (None, lambda a, b: (a + b) % 3 > 0):
+            top = list(range(len(values)))
+
+            def find(i):
+                while top[i] != i:
+                    i = top[i]
+                return i
+
+            def groups(pairs):
+                top[:] = range(len(values))
+                for a, b in pairs:
+                    x, y = sorted((find(a), find(b)))
+                    top[y] = x
+                return [find(i) for i in range(len(values))]
+
+            linked = [(a, b) for a, b in itertools.combinations(range(len(values)), 2) if (values[a] ^ values[b]).bit_count() <= 4 and (holds is None or holds(a, b))]
+            edges = simhash.linked_indexes(values, 4, holds)
+            assert {tuple(sorted(e)) for e in edges} <= set(linked)
+            assert groups(edges) == groups(linked)
+
+
+def test_a_shard_of_copies_and_an_outlier_takes_few_steps():
+    rng = random.Random(12)
+    value = rng.getrandbits(256)
+    values = list({value ^ sum(1 << b for b in rng.sample(range(256), 6)) for _ in range(4000)})
+    values.insert(3, rng.getrandbits(256))
+    asked = []
+    edges = simhash.linked_indexes(values, 80, lambda a, b: asked.append(0) or True)
+    assert len(edges) == len(values) - 2
+    assert len(asked) < 2 * len(values)
+
+
+def test_hot_keys_join_without_a_shuffle(spark, monkeypatch):
+    from docflow.llm import common
+
+    monkeypatch.setattr(common, "HOT_ROWS", 50)
+    monkeypatch.setattr(common, "HOT_KEYS", 5)
+    rows = spark.createDataFrame([(i % 7 if i % 3 else 100, i) for i in range(600)] + [(None, -1)], "k int, i int")
+    keyed = rows.groupBy("k").count().withColumnRenamed("count", "n").selectExpr("*", "0 AS twice")
+    got = sorted(map(tuple, common.spread_join(rows, keyed, ["k"], rows.count()).collect()))
+    assert got == sorted((i % 7 if i % 3 else 100, i, 0) for i in range(600))
+
+
 def test_components_of_random_graphs(spark):
     rng = random.Random(2)
     pairs = [(rng.randrange(200), rng.randrange(200)) for _ in range(150)]

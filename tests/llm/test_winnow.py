@@ -45,7 +45,7 @@ def test_against_brute_force(spark):
     docs += [(500, None), (501, ""), (0, docs[0][1]), (None, items[6][1] or "x")]
     want = brute(docs, items)
     assert run(spark, docs, items) == want
-    assert run(spark, docs, items, block_words=40) == want  # the benchmark in several blocks
+    assert run(spark, docs, items, block_chars=150) == want  # the benchmark in several passes
 
 
 def test_empty_tables_and_long_text(spark):
@@ -57,6 +57,26 @@ def test_empty_tables_and_long_text(spark):
     assert row[1:4] == (800_012, 12, 1)
 
 
+def test_blocks_stay_bounded(spark):
+    b = spark.createDataFrame([(i, "w " * (i % 40), "z") for i in range(300)], "item_id long, text string, source string")
+    blocks = list(winnow.item_blocks(b, 200))
+    assert len(blocks) > 20
+    assert all(len(x) == 1 or sum(len(t) for _, t in x) <= 200 for x in blocks)
+    assert sorted(int(i) for x in blocks for i, _ in x) == list(range(300))
+
+
+def test_null_items_and_equal_hashes(spark):
+    item = " ".join(f"w{i}" for i in range(12))
+    assert run(spark, [(1, item)], [(None, item)])[0][2:4] == (0, 0)
+    # Two long words whose polynomial hashes agree: only their letters tell them apart.
+    bits = [0]
+    while len(bits) < 4096:
+        bits += [1 - b for b in bits]
+    a, b = ("".join("ab"[x ^ y] for x in bits) for y in (0, 1))
+    assert run(spark, [(1, a)], [(5, b)])[0][2:4] == (0, 0)
+    assert run(spark, [(1, a)], [(5, a)])[0][2:4] == (1, 1)
+
+
 def test_windows_do_not_cross_documents(spark):
     parts = [f"w{i}" for i in range(10)]
     rows = run(spark, [(1, " ".join(parts[:5])), (2, " ".join(parts[5:]))], [(1, " ".join(parts))])
