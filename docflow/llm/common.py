@@ -91,6 +91,22 @@ def spread_join(rows: DataFrame, keyed: DataFrame, on: list[str], total: int, n:
     return rows.join(hot, on).unionByName(cold)
 
 
+def spread_left_join(rows: DataFrame, keyed: DataFrame, on: list[str], total: int, n: str = "n") -> DataFrame:
+    """The same, with all rows kept: those of hot keys by a broadcast, all others by one left join."""
+    limit = max(HOT_ROWS, total // HOT_KEYS)
+    payload = [c for c in keyed.columns if c not in (*on, n)]
+    if total <= limit:
+        return rows.join(keyed.drop(n), on, "left")
+    hot = keyed.where(F.col(n) > limit).drop(n)
+    hot = F.broadcast(hot.withColumnsRenamed({c: f"hot_{c}" for c in payload}).withColumn("hot_key", F.lit(True)))
+    told = rows.join(hot, on, "left")
+    # A hot row is found already; its own number takes its place in the shuffle.
+    spread = F.when(F.col("hot_key"), F.monotonically_increasing_id()).otherwise(F.lit(-1))
+    cold = keyed.where(F.col(n) <= limit).drop(n).withColumn("hot_spread", F.lit(-1).cast("long"))
+    found = told.withColumn("hot_spread", spread).join(cold, [*on, "hot_spread"], "left")
+    return found.select(*rows.columns, *(F.coalesce(c, f"hot_{c}").alias(c) for c in payload))
+
+
 def held_out(doc_id: str, modulus: int, remainder: int) -> F.Column:
     """True where crc32 of the id's decimal text leaves the remainder; null ids count as ''."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % modulus == remainder

@@ -2,8 +2,11 @@
 
 An archive starts with a skippable frame that holds its dictionary (itself a Zstandard frame, or
 bare); each record is one frame with its size in the frame header. The reader finds frames by their
-block headers, decodes one at a time, and checks the record's version line, headers, lengths and
-payload digest; a record that fails is reported in `error`, never dropped.
+block headers, decodes one at a time, whether or not its header tells its size, and checks the record's
+version line, headers, lengths and digests; a record that fails is reported in `error`, never dropped.
+Other skippable frames are passed over. After bytes that are no frame, or a frame that is cut short or
+damaged, reading goes on at the next frame; a dictionary that cannot be read is an error of its own,
+and the records that do not need it are still read.
 
 Archives are bounded by `archive_bytes` of payload, so a task holds one archive at a time. They are
 written below the shared folder under their final names only when complete, and a manifest written by
@@ -31,13 +34,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docflow.llm.common import settle, shared_dir
+from docflow.llm.common import settle, shared_dir, spread_left_join
 
 # Fixed values of the formats.
 DICTIONARY_FRAME = 0x184D2A5D
+SKIPPABLE = range(0x184D2A50, 0x184D2A60)
 ZSTD_FRAME = 0xFD2FB528
 
-RECORD = "page_id long, url string, record_type string, refers_to long, payload binary, payload_bytes long, payload_digest string, archive string, error string"
+RECORD = "page_id long, url string, record_type string, refers_to long, payload binary, payload_bytes long, payload_digest string, record_id string, archive string, error string"
+#: A record's bytes at most: what an Arrow value and a Spark row hold. A larger one is reported.
+MOST_BYTES = (1 << 31) - 1
 
 
 class WarcError(ValueError):
@@ -125,19 +131,24 @@ def parse_record(raw: bytes) -> dict:
     length = int(fields["content-length"])
     if len(rest) != length + 4 or rest[length:] != b"\r\n\r\n":
         raise WarcError("content-length does not fit the record")
-    block = rest[:length]
-    if "warc-block-digest" in fields and fields["warc-block-digest"] != f"sha1:{digest32(block)}":
+    block, kind = rest[:length], fields["warc-type"]
+    if not _fits(fields.get("warc-block-digest"), block):
         raise WarcError("the block digest does not fit")
-    http, sep, payload = block.partition(b"\r\n\r\n")
-    told = re.search(rb"\r\ncontent-length: *(\d+)", http, re.I)
-    if not sep or not told:
-        raise WarcError("no HTTP header block")
-    n, kind = int(told[1]), fields["warc-type"]
-    digest = fields.get("warc-payload-digest", "").removeprefix("sha1:")
-    if kind == "response" and (len(payload) != n or digest != digest32(payload)):
+    payload, told = block, None
+    if fields.get("content-type", "").replace(" ", "").lower().startswith("application/http"):
+        http, sep, payload = block.partition(b"\r\n\r\n")
+        if not sep:
+            raise WarcError("no HTTP header block")
+        # Of a body that is coded for transfer the header tells nothing about what is stored.
+        if not re.search(rb"\r\ntransfer-encoding:", http, re.I):
+            told = re.search(rb"\r\ncontent-length: *(\d+)", http, re.I)
+    n = int(told[1]) if told else len(payload)
+    label = fields.get("warc-payload-digest")
+    if kind == "revisit":
+        if payload:
+            raise WarcError("a revisit with a payload")
+    elif (len(payload) != n and "warc-truncated" not in fields) or not _fits(label, payload):
         raise WarcError("the payload does not fit its length and digest")
-    if kind == "revisit" and (payload or "warc-refers-to" not in fields):
-        raise WarcError("a revisit with a payload or without its origin")
     page = re.fullmatch(r"<urn:page:(-?\d*)>", fields["warc-record-id"])
     origin = re.fullmatch(r"<urn:page:(-?\d+)>", fields.get("warc-refers-to", ""))
     return {
@@ -145,38 +156,73 @@ def parse_record(raw: bytes) -> dict:
         "url": fields.get("warc-target-uri"),
         "record_type": kind,
         "refers_to": int(origin[1]) if origin else None,
-        "payload": payload if kind == "response" else None,
+        "payload": None if kind == "revisit" else payload,
         "payload_bytes": n,
-        "payload_digest": digest,
+        "payload_digest": label.removeprefix("sha1:") if label else digest32(payload),
+        "record_id": fields["warc-record-id"],
     }
 
 
-def read_archive(data: bytes, most: int = 1 << 31) -> Iterator[dict]:
-    """The records of one archive; a broken record is a row with `error`, a broken frame ends it."""
-    view, at, held = memoryview(data), 0, None
-    magic = int.from_bytes(view[:4], "little")
-    if magic == DICTIONARY_FRAME:
-        size = int.from_bytes(view[4:8], "little")
-        raw = bytes(view[8 : 8 + size])
-        if len(raw) != size:
-            yield {"error": "the dictionary is cut short"}
-            return
-        if raw[:4] == ZSTD_FRAME.to_bytes(4, "little"):
-            raw = zstandard.ZstdDecompressor().decompress(raw, max_output_size=1 << 27)
-        held, at = zstandard.ZstdCompressionDict(raw), 8 + size
-    reader = zstandard.ZstdDecompressor(dict_data=held) if held else zstandard.ZstdDecompressor()
+def _fits(label: str | None, data: bytes) -> bool:
+    """Whether a labelled digest is that of the data; other digests than SHA-1 are not checked."""
+    return not label or not label.startswith("sha1:") or label == f"sha1:{digest32(data)}"
+
+
+def _dictionary(raw: bytes) -> zstandard.ZstdCompressionDict:
+    if raw[:4] == ZSTD_FRAME.to_bytes(4, "little"):
+        raw = zstandard.ZstdDecompressor().decompressobj().decompress(raw)
+    return zstandard.ZstdCompressionDict(raw)
+
+
+def _unpacked(reader: zstandard.ZstdDecompressor, frame: memoryview, most: int) -> bytes:
+    """A frame's content, decoded piece by piece so that no more than `most` bytes are ever held."""
+    pieces, size = [], 0
+    with reader.stream_reader(frame) as out:
+        while piece := out.read(1 << 20):
+            pieces.append(piece)
+            size += len(piece)
+            if size > most:
+                raise WarcError(f"a record of more than {most} bytes")
+    return b"".join(pieces)
+
+
+def _next_frame(data: bytes, at: int) -> int:
+    found = data.find(ZSTD_FRAME.to_bytes(4, "little"), at)
+    return len(data) if found < 0 else found
+
+
+def read_archive(data: bytes, most: int = MOST_BYTES) -> Iterator[dict]:
+    """The records of one archive; whatever cannot be read is a row with `error`, and what follows is read."""
+    view, at = memoryview(data), 0
+    reader = zstandard.ZstdDecompressor()
     while at < len(view):
+        magic = int.from_bytes(view[at : at + 4], "little")
+        if magic in SKIPPABLE:
+            size = int.from_bytes(view[at + 4 : at + 8], "little")
+            end = at + 8 + size
+            if end > len(view):
+                yield {"error": f"the skippable frame at byte {at} is cut short"}
+                at = _next_frame(data, at + 4)
+                continue
+            if magic == DICTIONARY_FRAME and not at:
+                try:
+                    reader = zstandard.ZstdDecompressor(dict_data=_dictionary(bytes(view[8:end])))
+                except zstandard.ZstdError as e:
+                    yield {"error": f"the dictionary cannot be read: {e}"}
+            at = end
+            continue
         try:
             end = frame_end(view, at)
-            size = zstandard.get_frame_parameters(view[at:end]).content_size
-            if not 0 <= size <= most:
-                raise WarcError("a frame without its size, or of more than allowed")
-            raw = reader.decompress(view[at:end], max_output_size=size)
-        except (WarcError, zstandard.ZstdError, IndexError) as e:
+        except (WarcError, IndexError) as e:
             yield {"error": str(e)}
-            return
+            at = _next_frame(data, at + 1)
+            continue
         try:
-            yield parse_record(raw) | {"error": None}
+            yield parse_record(_unpacked(reader, view[at:end], most)) | {"error": None}
+        except zstandard.ZstdError as e:
+            # The damage may lie in a length, so that other frames follow within this one's bounds.
+            yield {"error": str(e)}
+            end = _next_frame(data, at + 1)
         except (WarcError, UnicodeDecodeError) as e:
             yield {"error": str(e)}
         at = end
@@ -185,18 +231,15 @@ def read_archive(data: bytes, most: int = 1 << 31) -> Iterator[dict]:
 def with_revisits(pages: DataFrame) -> DataFrame:
     """page_id, url, payload, refers_to and revisit: the least page_id of equal payloads responds.
 
-    Groups are counted before they are joined, only repeated payloads are joined, and each is dealt
-    over `salts` keys so that one common payload is not one task.
+    Groups are counted before they are joined, and only repeated payloads are joined: a payload on very
+    many pages meets its response where its pages are, and the rest are shuffled by digest.
     """
-    salts = 16
+    narrow = pages.select("page_id", F.coalesce(F.encode("html", "UTF-8"), F.lit(b"")).alias("p"))
+    narrow = narrow.select("page_id", F.sha1("p").alias("digest"), F.length("p").alias("size"))
+    groups = narrow.groupBy("digest", "size").agg(F.min("page_id").alias("origin"), F.count("*").alias("n")).where("n > 1")
     rows = pages.select("page_id", "url", F.coalesce(F.encode("html", "UTF-8"), F.lit(b"")).alias("payload"))
     keyed = rows.withColumn("digest", F.sha1("payload")).withColumn("size", F.length("payload"))
-    keyed = keyed.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(salts)).cast("int"))
-    narrow = pages.select("page_id", F.coalesce(F.encode("html", "UTF-8"), F.lit(b"")).alias("p"))
-    groups = narrow.select("page_id", F.sha1("p").alias("digest"), F.length("p").alias("size"))
-    groups = groups.groupBy("digest", "size").agg(F.min("page_id").alias("origin"), F.count("*").alias("n")).where("n > 1")
-    groups = groups.select("digest", "size", "origin", F.explode(F.array(*(F.lit(i) for i in range(salts)))).alias("salt"))
-    joined = keyed.join(groups, ["digest", "size", "salt"], "left")
+    joined = spread_left_join(keyed, settle(groups, "payloads"), ["digest", "size"], pages.count())
     revisit = F.coalesce(F.col("origin").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("origin")), F.lit(False))
     return joined.select("page_id", "url", "payload", F.when(revisit, F.col("origin")).alias("refers_to"), revisit.alias("revisit"))
 
@@ -242,7 +285,7 @@ def read_warc(spark: SparkSession, path: str, manifest: DataFrame | None = None)
     """The records of the archives below path, or of those that the manifest names."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload", pa.binary()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("archive", pa.string()), ("error", pa.string())])
+        schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload", pa.binary()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_id", pa.string()), ("archive", pa.string()), ("error", pa.string())])
         for batch in batches:
             for name, content in zip(batch.column("archive"), batch.column("content"), strict=True):
                 rows, size = [], 0

@@ -94,3 +94,78 @@ def test_cut_archives_are_reported():
     assert rows[-1]["error"]
     assert list(warc.read_archive(b"\x00\x01\x02\x03rest"))[0]["error"]
     assert list(warc.read_archive(warc.dictionary_frame(b"x" * 100)[:20]))[0]["error"]
+
+
+def read_ids(data):
+    rows = list(warc.read_archive(data))
+    return [r["page_id"] for r in rows if not r["error"]], [r["error"] for r in rows if r["error"]]
+
+
+def test_streamed_frames_and_other_skippable_frames():
+    own = records(6)
+    streamed = zstandard.ZstdCompressor(write_content_size=False)
+    frames = []
+    for r in own:
+        out = streamed.compressobj()
+        frames.append(out.compress(r) + out.flush())
+    skipped = (0x184D2A50).to_bytes(4, "little") + (5).to_bytes(4, "little") + b"later"
+    assert read_ids(skipped + skipped.join(frames) + skipped) == ([0, 1, 2, 3, 4, 5], [])
+
+
+def test_reading_goes_on_after_damage():
+    own = records(6)
+    frames = [zstandard.ZstdCompressor(write_checksum=True).compress(r) for r in own]
+    broken = bytearray(frames[2])
+    broken[len(broken) // 2] ^= 0xFF
+    ids, errors = read_ids(b"".join([*frames[:2], bytes(broken), *frames[3:]]))
+    assert ids == [0, 1, 3, 4, 5] and errors
+    ids, errors = read_ids(b"junk" + b"".join(frames[:3]) + b"\0\0\0" + b"".join(frames[3:]) + frames[0][:-9])
+    assert ids == [0, 1, 2, 3, 4, 5] and len(errors) == 3
+
+
+def test_a_damaged_dictionary_is_one_error():
+    packed = bytearray(warc.dictionary_frame(b"some dictionary " * 40))
+    packed[-20:] = b"\xff" * 20
+    ids, errors = read_ids(bytes(packed) + archive(records(4)))
+    assert ids == [0, 1, 2, 3] and len(errors) == 1
+    ids, errors = read_ids((warc.DICTIONARY_FRAME.to_bytes(4, "little") + (9_999).to_bytes(4, "little") + b"x") + archive(records(4)))
+    assert ids == [0, 1, 2, 3] and len(errors) == 1
+
+
+def test_a_record_beyond_the_limit_is_told_and_passed():
+    big = warc.record_bytes(9, "u", b"z" * 100_000, None, False, "2024-01-01T00:00:00Z")
+    rows = list(warc.read_archive(archive([*records(2), big, *records(2)]), most=50_000))
+    assert [bool(r["error"]) for r in rows] == [False, False, True, False, False]
+
+
+def test_records_of_other_writers():
+    def record(fields, block):
+        return "".join(["WARC/1.0\r\n", *(f"{k}: {v}\r\n" for k, v in fields.items()), f"Content-Length: {len(block)}\r\n\r\n"]).encode() + block + b"\r\n\r\n"
+
+    base = {"WARC-Record-ID": "<urn:uuid:1>", "WARC-Date": "2020-01-01T00:00:00Z"}
+    made = [
+        record(base | {"WARC-Type": "warcinfo", "Content-Type": "application/warc-fields"}, b"software: x\r\n"),
+        record(base | {"WARC-Type": "response", "Content-Type": "application/http; msgtype=response"}, b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\nabc"),
+        record(base | {"WARC-Type": "revisit", "Content-Type": "application/http;msgtype=response"}, b"HTTP/1.1 200 OK\r\n\r\n"),
+    ]
+    rows = list(warc.read_archive(archive(made)))
+    assert [(r["record_type"], r["payload"], r["record_id"], r["error"]) for r in rows] == [
+        ("warcinfo", b"software: x\r\n", "<urn:uuid:1>", None),
+        ("response", b"abc", "<urn:uuid:1>", None),
+        ("revisit", None, "<urn:uuid:1>", None),
+    ]
+
+
+def test_null_page_ids_and_common_payloads(spark, monkeypatch):
+    from docflow.llm import common
+
+    monkeypatch.setattr(common, "HOT_ROWS", 20)
+    monkeypatch.setattr(common, "HOT_KEYS", 4)
+    rows = [(i, f"u{i}", "same" if i % 2 else f"own {i % 30}") for i in range(120)] + [(None, "u", "same"), (None, "u", "only"), (None, "v", "only")]
+    got = told(warc.round_trip(page(spark, rows)).collect())
+    first = {}
+    for i, _, h in rows:
+        if i is not None:
+            first[h] = min(i, first.get(h, i))
+    kinds = sorted(((i, "response" if h not in first or first[h] == i else "revisit", None if h not in first or first[h] == i else first[h]) for i, _, h in rows), key=repr)
+    assert sorted(((r[0], r[3], r[4]) for r in got), key=repr) == kinds
