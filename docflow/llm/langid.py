@@ -4,8 +4,9 @@ Each word has hashed features: the word itself (a lexicon entry), its affixes of
 its byte trigrams with its edges marked. Features weigh for each language, learned transitions weigh
 for each pair of neighbouring words' languages, and forward-backward gives each word's distribution, so
 that words of a code-switched text get their own labels. A document's language is the one with the
-largest share of its words' distributions; that share is its score. Chains are stretches of at most
-`CHAIN` words of one text; all stretches of a block of texts go through forward-backward together.
+largest share of its words' distributions; that share is its score. A chain is a whole text. It is cut
+into stretches of `STRETCH` words only to go through them side by side: the products of each stretch's
+matrices carry the messages from stretch to stretch, which gives the same as word by word.
 
 Training maximises the likelihood by AdaGrad over a bounded sample (`SAMPLE_ROWS`) of documents with a
 language, dealt to `shards` tasks whose weights are averaged.
@@ -26,14 +27,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docflow.llm.common import TextBlock, held_out, mix64, runs, span_hashes, text_blocks
-from docflow.llm.labelled import fit_shards
+from docflow.llm.labelled import fit_shards, least_hashes
 from docflow.llm.quality import _letter
 from docflow.llm.winnow import _lower
 
 #: Most documents that a model is fitted on: those whose ids have the least hashes.
 SAMPLE_ROWS = 3_000
 BITS = 18
-CHAIN = 64
+STRETCH = 64
 
 _word_byte = _letter.copy()
 _word_byte[48:58] = False
@@ -85,13 +86,14 @@ class Words:
     def _number(h: np.ndarray) -> np.ndarray:
         return (h >> np.uint64(64 - BITS)).astype(np.int32)
 
-    def chains(self) -> tuple[np.ndarray, int]:
-        """Each word's place in a (CHAIN, chains) grid, flattened, and the number of chains."""
+    def stretches(self) -> tuple[np.ndarray, np.ndarray]:
+        """Each word's place in a (STRETCH, stretches) grid, flattened, and each stretch's number within its text."""
         inner = np.arange(self.n) - self.first[:-1][self.rows]
-        per_row = -(-np.diff(self.first) // CHAIN)
-        chain = (np.cumsum(per_row) - per_row)[self.rows] + inner // CHAIN
+        per_row = -(-np.diff(self.first) // STRETCH)
+        lead = np.cumsum(per_row) - per_row
         count = int(per_row.sum())
-        return (inner % CHAIN) * count + chain, count
+        number = np.arange(count) - np.repeat(lead, per_row)
+        return (inner % STRETCH) * count + lead[self.rows] + inner // STRETCH, number
 
 
 class Crf:
@@ -107,55 +109,88 @@ class Crf:
             out += self.emit[numbers]
         return out
 
-    def posteriors(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
-        """Each word's distribution, and the expected transitions over all chains."""
+    def posteriors(self, words: Words) -> np.ndarray:
+        """Each word's distribution."""
+        ahead, behind, _, _ = self.messages(words)
+        both = ahead * behind
+        return both / both.sum(axis=1, keepdims=True)
+
+    def messages(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Forward and backward messages of each word, its own weights, and the transitions' weights."""
         k = self.move.shape[0]
-        place, count = words.chains()
+        place, number = words.stretches()
+        count = len(number)
         scores = self.scores(words)
-        grid = np.ones((CHAIN * count, k), np.float32)
-        grid[place] = np.exp(scores - scores.max(axis=1, keepdims=True))
-        grid = grid.reshape(CHAIN, count, k)
-        there = np.zeros(CHAIN * count, bool)
+        own = np.exp(scores - scores.max(axis=1, keepdims=True)).astype(np.float32)
+        grid = np.ones((STRETCH * count, k), np.float32)
+        grid[place] = own
+        grid = grid.reshape(STRETCH, count, k)
+        there = np.zeros(STRETCH * count, bool)
         there[place] = True
-        there = there.reshape(CHAIN, count)
+        there = there.reshape(STRETCH, count)
         step = np.exp(self.move - self.move.max()).astype(np.float32)
-        ahead = np.empty_like(grid)
-        behind = np.empty_like(grid)
-        ahead[0] = grid[0] / grid[0].sum(axis=1, keepdims=True)
-        for t in range(1, CHAIN):
-            if not there[t].any():
-                ahead[t:] = ahead[t - 1]
-                break
-            x = (ahead[t - 1] @ step) * grid[t]
+        back = step.T.copy()
+        enter, leave = self._between(grid, there, number, step)
+        ahead, behind = np.empty_like(grid), np.empty_like(grid)
+        for t in range(STRETCH):
+            x = (ahead[t - 1] @ step if t else enter) * grid[t]
             ahead[t] = x / x.sum(axis=1, keepdims=True)
-        behind[-1] = 1.0
-        for t in range(CHAIN - 2, -1, -1):
-            x = (grid[t + 1] * behind[t + 1]) @ step.T
+        behind[-1] = leave
+        for t in range(STRETCH - 2, -1, -1):
+            x = (grid[t + 1] * behind[t + 1]) @ back
             x /= x.sum(axis=1, keepdims=True)
-            behind[t] = np.where(there[t + 1][:, None], x, 1.0)
+            behind[t] = np.where(there[t + 1][:, None], x, leave)
+        return ahead.reshape(-1, k)[place], behind.reshape(-1, k)[place], own, step
+
+    @staticmethod
+    def _between(grid: np.ndarray, there: np.ndarray, number: np.ndarray, step: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """What enters each stretch from the words before it, and its last word from the words behind it."""
+        k = step.shape[0]
+        enter, leave = np.ones((len(number), k), np.float32), np.ones((len(number), k), np.float32)
+        last = np.append(number[1:] == 0, True)
+        of = np.flatnonzero((number > 0) | ~last)
+        if not len(of):
+            return enter, leave
+        # The product of each stretch's matrices, up to a factor.
+        product = np.eye(k, dtype=np.float32) * grid[0, of][:, None, :]
+        for t in range(1, STRETCH):
+            x = (product.reshape(-1, k) @ step).reshape(-1, k, k) * grid[t, of][:, None, :]
+            x /= x.sum(axis=(1, 2), keepdims=True)
+            product = np.where(there[t, of][:, None, None], x, product)
+        at = np.zeros(len(number), np.int64)
+        at[of] = np.arange(len(of))
+        by_number = np.argsort(number, kind="stable")
+        edge = np.searchsorted(number[by_number], np.arange(1, number.max() + 2))
+        rounds = [by_number[lo:hi] for lo, hi in zip(edge, edge[1:], strict=False)]
+        for to in rounds:
+            x = np.matmul(enter[to - 1][:, None, :], product[at[to - 1]])[:, 0] @ step
+            enter[to] = x / x.sum(axis=1, keepdims=True)
+        for to in reversed(rounds):
+            x = np.matmul(product[at[to]], leave[to][:, :, None])[:, :, 0] @ step.T
+            leave[to - 1] = x / x.sum(axis=1, keepdims=True)
+        return enter, leave
+
+    def learnt_from(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
+        """Each word's distribution, and the expected transitions over all texts."""
+        ahead, behind, own, step = self.messages(words)
         both = ahead * behind
-        both /= both.sum(axis=2, keepdims=True)
-        moves = np.zeros((k, k))
-        for t in range(1, CHAIN):
-            on = there[t]
-            if not on.any():
-                break
-            pair = ahead[t - 1][on][:, :, None] * step * (grid[t] * behind[t])[on][:, None, :]
-            moves += (pair / pair.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
-        return both.reshape(-1, k)[place], moves
+        both /= both.sum(axis=1, keepdims=True)
+        later = np.flatnonzero(np.arange(words.n) > words.first[:-1][words.rows])
+        pair = ahead[later - 1][:, :, None] * step * (own[later] * behind[later])[:, None, :]
+        return both, (pair / pair.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
 
     def train(self, batches: list[tuple[Words, np.ndarray]], epochs: int, rate: float = 0.3, decay: float = 1e-4) -> None:
-        """batches: words and the label of each word; chains of one text have one label."""
+        """batches: words and the label of each word; a text has one label."""
         k = self.move.shape[0]
         seen, seen_moves = np.full(self.emit.shape, 1e-3, np.float32), np.full(self.move.shape, 1e-3)
         for _ in range(epochs):
             for words, labels in batches:
-                own, moves = self.posteriors(words)
+                own, moves = self.learnt_from(words)
                 slope = -own
                 slope[np.arange(words.n), labels] += 1
                 slope /= words.n
                 told = np.zeros((k, k))
-                inner = (np.arange(words.n) - words.first[:-1][words.rows]) % CHAIN > 0
+                inner = np.arange(words.n) > words.first[:-1][words.rows]
                 np.add.at(told, (labels[inner], labels[inner]), 1)
                 change = (told - moves) / words.n - decay * self.move
                 seen_moves += change * change
@@ -196,7 +231,7 @@ def train(sample: DataFrame, labels: list[str], shards: int = 4, epochs: int = 3
 def learnt(documents: DataFrame, rows: int = SAMPLE_ROWS) -> tuple[list[str], Crf]:
     """The languages and the model, from documents whose crc32 does not leave 2 by 4."""
     usable = documents.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id", 4, 2))
-    drawn = usable.select("doc_id", "lang").orderBy(F.xxhash64("doc_id"), "doc_id", "lang").limit(rows)
+    drawn = least_hashes(usable.select("doc_id", "lang"), "doc_id", rows, "lang")
     drawn = drawn.select("doc_id", F.col("lang").alias("own")).distinct()
     sample = usable.select("doc_id", "text", "lang").join(F.broadcast(drawn), "doc_id").where("lang = own").drop("own")
     labels = sorted(r.own for r in drawn.select("own").distinct().collect())
@@ -216,7 +251,7 @@ def identify(documents: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
                 share = np.zeros((block.rows, max(1, len(labels))))
                 words = Words(block) if own else None
                 if words is not None and words.n:
-                    each, _ = own.posteriors(words)
+                    each = own.posteriors(words)
                     full = np.flatnonzero(np.diff(words.first))
                     share[full] = np.add.reduceat(each, words.first[:-1][full], axis=0, dtype=np.float64)
                 share /= np.maximum(share.sum(axis=1, keepdims=True), 1e-12)
@@ -237,6 +272,6 @@ def word_labels(texts: list[str], labels: list[str], model: Crf) -> list[list[st
     out: list[list[str]] = []
     for block in text_blocks(pa.array(texts, pa.large_string())):
         words = Words(block)
-        best = model.posteriors(words)[0].argmax(axis=1).tolist() if words.n else []
+        best = model.posteriors(words).argmax(axis=1).tolist() if words.n else []
         out += [[labels[x] for x in best[a:b]] for a, b in zip(words.first[:-1], words.first[1:], strict=True)]
     return out

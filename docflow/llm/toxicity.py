@@ -31,9 +31,6 @@ from docflow.llm.common import held_out, settle
 from docflow.llm.labelled import SAMPLE_ROWS, labelled_sample
 from docflow.llm.quality import sigmoid
 
-#: Most entries of a lexicon and most exception phrases.
-LEXICON_ENTRIES = 5_000
-
 # Characters that look like a letter, by the letter that they are folded to.
 LOOKALIKES = {
     "a": "а@4ɑα",
@@ -154,7 +151,9 @@ def _terms(folded: str) -> set[str]:
 def learn(sample: DataFrame, least_share: float = 0.02, least_docs: int = 4, least_weight: float = 4.0) -> Lexicon:
     """The lexicon of a bounded sample (text, y).
 
-    An entry stands in at least least_share of the toxic documents, or least_docs if that is more.
+    An entry stands in at least least_share of the toxic documents, or least_docs if that is more, so
+    there are at most 1 / least_share times as many as a toxic document has terms on average; exception
+    phrases stand in three documents of the sample at least. Both are bounded by the sample, not by a cut.
     """
     sample = settle(sample.select("text", "y").distinct(), "toxic")
     totals = {r.y: r["count"] for r in sample.groupBy("y").count().collect()}
@@ -164,8 +163,7 @@ def learn(sample: DataFrame, least_share: float = 0.02, least_docs: int = 4, lea
     odds = F.log((F.col("bad") + 0.5) / (n_bad + 1)) - F.log((F.col("good") + 0.5) / (n_good + 1))
     rare = max(least_docs, math.ceil(least_share * n_bad))
     found = _by_label(sample, _terms).where(F.col("bad") >= rare).withColumn("weight", odds).where(F.col("weight") >= least_weight)
-    found = found.orderBy(F.desc("weight"), F.desc("bad"), "term").limit(LEXICON_ENTRIES)
-    rows = found.collect()
+    rows = found.orderBy(F.desc("weight"), F.desc("bad"), "term").collect()
     every = {r.term: (r.weight, r.bad) for r in rows}
     # A stem that one word accounts for gives way to the word; a longer entry to a stem that is as sure.
     single = {f"{t[:n]}*" for t, (_, bad) in every.items() if not t.endswith("*") for n in range(4, 8) if len(t) >= n and bad >= 0.95 * every.get(f"{t[:n]}*", (0, bad + 1))[1]}
@@ -173,7 +171,7 @@ def learn(sample: DataFrame, least_share: float = 0.02, least_docs: int = 4, lea
     entries = {t: w for t, (w, _) in every.items() if not any(every.get(f"{t[:n]}*", (0, 0))[0] >= w for n in range(4, len(t.rstrip("*"))))}
     plain = Lexicon(entries)
     phrases = _by_label(sample, lambda folded: _phrases(plain, folded)).where((F.col("good") >= 3) & (F.col("bad") * 20 < F.col("good")))
-    spared = [r.term for r in phrases.orderBy(F.desc("good"), "term").limit(LEXICON_ENTRIES).collect()]
+    spared = [r.term for r in phrases.orderBy("term").collect()]
     lexicon = Lexicon(entries, frozenset(spared))
     return _fitted(lexicon, sample)
 
@@ -184,9 +182,19 @@ def _phrases(lexicon: Lexicon, folded: str) -> set[str]:
     for start, (end, _) in lexicon.matches(folded).items():
         while end < len(folded) and folded[end].isalnum():
             end += 1
-        before = re.search(r"[^\W_]+ $", folded[max(0, start - 40) : start])
-        after = re.match(r" [^\W_]+", folded[end : end + 40])
-        found |= {m[0] + folded[start:end] if m is before else folded[start:end] + m[0] for m in (before, after) if m}
+        own = folded[start:end]
+        if folded[start - 1 : start] == " ":
+            lo = start - 1
+            while lo and folded[lo - 1].isalnum():
+                lo -= 1
+            if lo < start - 1:
+                found.add(folded[lo:start] + own)
+        if folded[end : end + 1] == " ":
+            hi = end + 1
+            while hi < len(folded) and folded[hi].isalnum():
+                hi += 1
+            if hi > end + 1:
+                found.add(own + folded[end:hi])
     return found
 
 

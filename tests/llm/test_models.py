@@ -123,7 +123,7 @@ def test_forward_backward_matches_enumeration():
     rng = np.random.default_rng(0)
     model = langid.Crf(3, rng.normal(size=(1 << langid.BITS, 3)).astype(np.float32), rng.normal(size=(3, 3)))
     words = langid.Words(next(text_blocks(pa.array(["ab cd ef", "xyz"]))))
-    got, _ = model.posteriors(words)
+    got = model.posteriors(words)
     scores = model.scores(words)
     total = np.zeros((3, 3))
     for path in itertools.product(range(3), repeat=3):
@@ -133,6 +133,35 @@ def test_forward_backward_matches_enumeration():
     assert np.allclose(got[:3], total / total.sum(axis=1, keepdims=True), atol=1e-4)
 
 
+def test_chains_are_whole_texts():
+    import numpy as np
+    import pyarrow as pa
+
+    from docflow.llm.common import text_blocks
+
+    rng = np.random.default_rng(1)
+    model = langid.Crf(3, (rng.normal(size=(1 << langid.BITS, 3)) / 8).astype(np.float32), rng.normal(size=(3, 3)) + 3 * np.eye(3))
+    texts = [" ".join(rng.choice(list("abcdefgh"), n)) for n in (1, 63, 64, 65, 128, 129, 500, 2)]
+    words = langid.Words(next(text_blocks(pa.array(["", *texts]))))
+    got, moves = model.learnt_from(words)
+    scores = model.scores(words).astype(float)
+    want, step, told = np.zeros_like(got), np.exp(model.move), np.zeros((3, 3))
+    for lo, hi in zip(words.first, words.first[1:], strict=False):
+        e = np.exp(scores[lo:hi])
+        a, b = e.copy(), np.ones_like(e)
+        for t in range(1, hi - lo):
+            a[t] = (a[t - 1] / a[t - 1].sum()) @ step * e[t]
+        for t in range(hi - lo - 2, -1, -1):
+            b[t] = step @ (e[t + 1] * b[t + 1])
+            b[t] /= b[t].sum()
+        want[lo:hi] = a * b / (a * b).sum(axis=1, keepdims=True)
+        for t in range(1, hi - lo):
+            pair = a[t - 1][:, None] * step * (e[t] * b[t])
+            told += pair / pair.sum()
+    assert np.allclose(got, want, atol=1e-4)
+    assert np.allclose(moves, told, rtol=1e-3)
+
+
 def test_no_languages(spark):
     df = spark.createDataFrame([(1, "some words", None)], "doc_id long, text string, lang string")
     assert [(r.lang_pred, r.score) for r in langid.identify(df).collect()] == [("und", 0.0)]
@@ -147,3 +176,81 @@ def test_ftrl_learns_a_separable_problem():
         model.learn(np.array([y, 2 + rng.randrange(8)]), np.array([1.0, 1.0]), y)
     w = model.weights()
     assert w[1] > 0.5 > -0.5 > w[0]
+
+
+def test_quality_matches_a_plain_model(spark, docs, labels):
+    """Features, updates and scores by plain dictionaries, on one shard."""
+    import math
+
+    import numpy as np
+    import pyarrow as pa
+
+    from docflow.llm.common import text_blocks
+    from docflow.llm.labelled import labelled_sample
+
+    rows = sorted(labelled_sample(docs, labels, "quality", F.lit(True), 40).collect())
+    counted = []
+    for r in rows:
+        block = next(text_blocks(pa.array([r.text], pa.large_string())))
+        at, _, n_words = quality.features(block)
+        counts = {}
+        for f in at.tolist():
+            counts[f] = counts.get(f, 0) + 1
+        counted.append(({f: quality.SCALE * c / max(1, int(n_words[0])) for f, c in counts.items()}, r.y))
+    model = quality.Ftrl(1 << quality.BITS)
+    z, n = {}, {}
+
+    def weight(f):
+        if abs(z.get(f, 0.0)) <= model.l1:
+            return 0.0
+        return -(z[f] - math.copysign(model.l1, z[f])) / ((model.beta + math.sqrt(n[f])) / model.alpha + model.l2)
+
+    for x, y in counted * 2:
+        model.learn(np.array(sorted(x)), np.array([x[f] for f in sorted(x)]), y)
+        x = x | {1 << quality.BITS: 1.0}
+        w = {f: weight(f) for f in x}
+        p = 1 / (1 + math.exp(-sum(w[f] * v for f, v in x.items())))
+        for f, v in x.items():
+            g = (p - y) * v
+            z[f] = z.get(f, 0.0) + g - (math.sqrt(n.get(f, 0.0) + g * g) - math.sqrt(n.get(f, 0.0))) / model.alpha * w[f]
+            n[f] = n.get(f, 0.0) + g * g
+    assert np.allclose(model.weights(np.array(sorted(z))), [weight(f) for f in sorted(z)], atol=1e-9)
+    weights = model.weights().astype(np.float32)
+    got = {r.doc_id: r.score for r in quality.score(docs.where(F.col("doc_id").isin([r.doc_id for r in rows])).select("doc_id", "text"), weights).collect()}
+    for r, (x, _) in zip(rows, counted, strict=True):
+        dot = sum(float(weights[f]) * v for f, v in x.items()) + float(weights[-1])
+        assert abs(got[r.doc_id] - 1 / (1 + math.exp(-dot))) < 1e-5
+
+
+def test_toxicity_matches_plain_search(spark, docs, labels):
+    """Every start of every entry tried at every word; the longest counts, exceptions cancel."""
+    import math
+    import re
+
+    from docflow.llm.labelled import labelled_sample
+
+    lexicon = toxicity.learn(labelled_sample(docs, labels, "toxic", F.lit(True), 16_000))
+    assert len(lexicon.entries) > 3
+    for row in docs.select("text").limit(150).collect() + [(" ".join(e.rstrip("*") + "x" for e in lexicon.entries),), (" ".join(lexicon.exceptions),)]:
+        folded = toxicity.fold(row[0] or "")
+        total = 0.0
+        spared = [(m.start(), m.end()) for p in lexicon.exceptions for m in re.finditer(rf"(?<![^\W_]){re.escape(p)}(?![^\W_])", folded)]
+        for m in re.finditer(r"[^\W_]+", folded):
+            word, best = m[0], (0, 0.0)
+            for entry, weight in lexicon.entries.items():
+                stem = entry.rstrip("*")
+                if word == entry or (entry.endswith("*") and word.startswith(stem) and word not in lexicon.entries):
+                    best = max(best, (len(stem), weight))
+            if best[0] and not any(a <= m.start() < b for a, b in spared):
+                total += best[1]
+        words = (row[0] or "").count(" ") + (row[0] or "").count("\n") + 1
+        want = lexicon.bias + lexicon.slopes[0] * math.log1p(total) + lexicon.slopes[1] * math.log1p(1000 * total / (words + 50))
+        assert abs(lexicon.score(row[0] or "") - 1 / (1 + math.exp(-want))) < 1e-9
+
+
+def test_samples_are_the_least_hashes(spark):
+    from docflow.llm.labelled import least_hashes
+
+    df = spark.range(200_000).selectExpr("id AS doc_id", "1 AS y")
+    got = [r.doc_id for r in least_hashes(df, "doc_id", 500, "y").collect()]
+    assert got == [r.doc_id for r in df.orderBy(F.xxhash64("doc_id")).limit(500).collect()]
