@@ -1,7 +1,7 @@
 """SentencePiece encoding and decoding by a weighted transducer.
 
-The model compiles to a chain: the normaliser maps characters (space to the word mark, a mark before
-the text), the piece transducer reads characters and writes piece numbers, and byte fallback writes
+The model compiles to a chain: the normaliser maps characters (by the model's character map, of which
+the longest entry at a place counts; space to the word mark, a mark before the text), the piece transducer reads characters and writes piece numbers, and byte fallback writes
 the UTF-8 bytes of characters without a piece. Composed with an input it is a lattice of positions;
 the encoding is its shortest path in the tropical semiring (minimum of sums).
 
@@ -13,8 +13,8 @@ paths this leaves, exactly one is finite, the one that merging by rank takes.
 No piece holds a word mark after another character, so paths of the stretches between marks are
 independent; they are found once per worker and kept in a table of bounded size.
 
-Defined cases: null and empty texts have no pieces; the word mark itself reads as a space, which is
-the one thing decoding does not give back; invalid byte sequences cannot arise from encoding and
+Defined cases: null and empty texts have no pieces; the word mark itself reads as a space, and what
+the character map replaces or the model squeezes stays so, which is all that decoding does not give back; invalid byte sequences cannot arise from encoding and
 decode to U+FFFD; texts are encoded whole; repeated rows get equal results; other columns are ignored.
 """
 
@@ -70,6 +70,60 @@ def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
             at += 8 if key & 7 == 1 else 4
 
 
+class CharacterMap:
+    """A model's map of character sequences, compiled from its double-array trie."""
+
+    def __init__(self, blob: bytes):
+        size = int.from_bytes(blob[:4], "little")
+        units = np.frombuffer(blob[4 : 4 + size], "<u4").tolist()
+        strings = blob[4 + size :]
+        self.map: dict[str, str] = {}
+        # The format: low bits and the top one label a unit, bit 8 tells that a value hangs from it,
+        # bits 10 and up are the offset to its children, 256 times as far where bit 9 is set.
+        ahead = lambda at: at ^ (units[at] >> 10) << (units[at] >> 9 & 1) * 8
+        labels = np.full(-(-len(units) // 256) * 256, 1 << 31, np.uint32)
+        labels[: len(units)] = np.array(units, np.uint32) & np.uint32(0x800000FF)
+        every = np.arange(256)
+        todo = [(ahead(0), b"")]
+        while todo:
+            base, key = todo.pop()
+            # Children stand in one aligned row of 256 units.
+            row = labels[base & ~255 : (base | 255) + 1]
+            for byte in np.flatnonzero(row[every ^ base & 255] == every).tolist() if len(row) else ():
+                if byte:
+                    at, own = base ^ byte, key + bytes([byte])
+                    below = ahead(at)
+                    if units[at] >> 8 & 1:
+                        value = units[below] & 0x7FFFFFFF
+                        self.map[own.decode()] = strings[value : strings.index(0, value)].decode()
+                    todo.append((below, own))
+        self.longest: dict[str, int] = {}
+        for source in self.map:
+            self.longest[source[0]] = max(len(source), self.longest.get(source[0], 0))
+        single = self._any(x for x in self.map if len(x) == 1)
+        heads, seconds = self._any(x[0] for x in self.map if len(x) > 1), self._any(x[1] for x in self.map if len(x) > 1)
+        self.places = re.compile("|".join(x for x in (single, heads and f"{heads}(?={seconds})") if x) or "(?!)")
+
+    @staticmethod
+    def _any(characters: Iterator[str]) -> str:
+        found = "".join(sorted(set(characters)))
+        return f"[{re.escape(found)}]" if found else ""
+
+    def __call__(self, text: str) -> str:
+        out, at = [], 0
+        for m in self.places.finditer(text):
+            i = m.start()
+            if i < at:
+                continue
+            for n in range(self.longest[text[i]], 0, -1):
+                new = self.map.get(text[i : i + n])
+                if new is not None:
+                    out += [text[at:i], new]
+                    at = i + n
+                    break
+        return "".join([*out, text[at:]])
+
+
 class Transducer:
     """A compiled model: encode gives piece numbers as little-endian 32-bit bytes."""
 
@@ -81,8 +135,9 @@ class Transducer:
         self.kind = trainer.get(3, UNIGRAM)
         if self.kind not in (UNIGRAM, BPE):
             raise ValueError("only unigram and BPE models are compiled")
-        if normaliser.get(2):
-            raise ValueError("only the identity character map is compiled")
+        if trainer.get(24) or not normaliser.get(5, 1):
+            raise ValueError("word marks stand before words and replace spaces in compiled models")
+        self.characters = CharacterMap(normaliser[2]) if normaliser.get(2) else None
         self.prefix = bool(normaliser.get(3, 1))
         self.squeeze = bool(normaliser.get(4, 1))
         n = library.get_piece_size()
@@ -113,8 +168,9 @@ class Transducer:
         multi = {c for p in self.scores if len(p) > 1 for c in p}
         alone = "".join(c for c in "\n\r\t" if c not in multi)
         inner = any(MARK in p.lstrip(MARK) for p in self.scores)
-        # Stretches may be encoded on their own where no piece crosses their bounds.
-        self.stretch = re.compile(f"[^{alone}]+|[{alone}]" if inner or self.kind == UNIGRAM else f"{MARK}*[^{MARK}{alone}]+|{MARK}+|[{alone}]")
+        # Stretches may be encoded on their own where no piece crosses their bounds, and no run of unknown
+        # characters does, which is one piece.
+        self.stretch = re.compile("(?s:.+)" if not self.fallback or not alone else f"[^{alone}]+|[{alone}]" if inner or self.kind == UNIGRAM else f"{MARK}*[^{MARK}{alone}]+|{MARK}+|[{alone}]")
         self.follows: dict[int, bool] = {}
         self.names = [library.id_to_piece(i) for i in range(n)]
         self.chars = frozenset(p for p in self.scores if len(p) == 1)
@@ -125,11 +181,21 @@ class Transducer:
         self.table = _Table(self.path, kept)
 
     def normalised(self, text: str) -> str:
+        if self.characters:
+            text = self.characters(text)
         if not text:
             return ""
-        if self.squeeze:
-            text = re.sub(" +", " ", text.replace(MARK, " ")).strip(" ")
-        return (MARK if self.prefix and text else "") + text.replace(" ", MARK)
+        if not self.squeeze:
+            return (MARK if self.prefix else "") + text.replace(" ", MARK)
+        # Word marks of the text itself are not squeezed, but none stays at its end.
+        text = re.sub(" +", " ", text).removeprefix(" ").replace(" ", MARK)
+        return ((MARK if self.prefix else "") + text).rstrip(MARK) if text else ""
+
+    def plain(self, text: str) -> str:
+        """What decoding gives back: the text itself, word marks read as spaces, where nothing maps or squeezes."""
+        if self.characters or self.squeeze:
+            return self.normalised(text)[self.prefix :].replace(MARK, " ")
+        return text.replace(MARK, " ")
 
     def merged(self, text: str) -> list[str]:
         """The text's pieces when the neighbours of best score are merged, leftmost first."""
@@ -313,7 +379,7 @@ def encode(documents: DataFrame, model: str = MODEL) -> DataFrame:
 def round_trip(documents: DataFrame, model: str = MODEL) -> DataFrame:
     """doc_id, n_ids, n_bytes, ids_sha256 (of the decimal numbers, comma-joined), decoded_sha256, exact.
 
-    exact: decoding gives back the text, word marks read as spaces.
+    exact: decoding gives back the text as the model's normaliser leaves it, word marks read as spaces.
     """
     proto = documents.sparkSession.sparkContext.broadcast(open(model, "rb").read())  # noqa: SIM115
 
@@ -327,7 +393,7 @@ def round_trip(documents: DataFrame, model: str = MODEL) -> DataFrame:
                 ids = own.encode(text)
                 decoded = own.decode(ids)
                 told = hashlib.sha256(",".join([names[i] for i in ids.tolist()]).encode()).hexdigest()
-                rows.append((doc_id.as_py(), len(ids), int(own.is_byte[ids].sum()), told, hashlib.sha256(decoded.encode("utf-8", "replace")).hexdigest(), decoded == text.replace(MARK, " ")))
+                rows.append((doc_id.as_py(), len(ids), int(own.is_byte[ids].sum()), told, hashlib.sha256(decoded.encode("utf-8", "replace")).hexdigest(), decoded == own.plain(text)))
             columns = list(zip(*rows, strict=True)) or [()] * 6
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.bool_())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["doc_id", "n_ids", "n_bytes", "ids_sha256", "decoded_sha256", "exact"])

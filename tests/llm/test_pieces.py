@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import struct
 
 import pytest
 import sentencepiece
@@ -59,6 +60,49 @@ def cuts(text):
         yield [*parts, text[start:]]
 
 
+def message(number, value):
+    """A field of a protocol buffer: a number, a 32-bit float, or bytes."""
+
+    def varint(n):
+        out = b""
+        while n > 127:
+            out, n = out + bytes([n & 127 | 128]), n >> 7
+        return out + bytes([n])
+
+    if isinstance(value, float):
+        return varint(number << 3 | 5) + struct.pack("<f", value)
+    if isinstance(value, int):
+        return varint(number << 3) + varint(value)
+    return varint(number << 3 | 2) + varint(len(value)) + value
+
+
+def unigram_model(rule, fallback):
+    """A small unigram model with a public rule's character map."""
+    rng = random.Random(5)
+    words = {"▁", "a", "b", "e", "é", "i", "f", "A", "1", "2", "▁ab", "ab", "fi", "12", "▁the", "アパート", "ア", "ab▁", "e\u0301", "ff", "カ", "1⁄2", "A1"}
+    made = [message(1, message(1, b"<unk>") + message(2, 0.0) + message(3, 2))]
+    if fallback:
+        made += [message(1, message(1, b"<0x%02X>" % i) + message(2, 0.0) + message(3, 6)) for i in range(256)]
+    made += [message(1, message(1, w.encode()) + message(2, -rng.uniform(1, 9)) + message(3, 1)) for w in sorted(words)]
+    trainer = message(3, 1) + message(35, int(fallback))
+    normaliser = sentencepiece.SentencePieceNormalizer(rule_name=rule).serialized_normalizer_spec() if rule else b""
+    return b"".join(made) + message(2, trainer) + message(3, normaliser)
+
+
+@pytest.mark.parametrize("rule", ["nmt_nfkc", "nfkc_cf", "nmt_nfkc_cf", "identity"])
+@pytest.mark.parametrize("fallback", [True, False])
+def test_character_maps_are_compiled(rule, fallback):
+    proto = unigram_model(rule, fallback)
+    library, own = sentencepiece.SentencePieceProcessor(model_proto=proto), pieces.Transducer(proto)
+    assert bool(own.characters) == (rule != "identity")
+    rng = random.Random(8)
+    alphabet = "abeifA12  \t\n\u0301\u3000éÉﬁ①Ａｱ゜㌀½…ßİ\u200b\u00ad😀가각\u1100\u1161▁"
+    for text in [x for x in HARD if x and len(x) < 5000] + ["".join(rng.choice(alphabet) for _ in range(rng.randint(1, 40))) for _ in range(1500)]:
+        assert own.encode(text).tolist() == library.encode(text), text
+        if fallback:
+            assert own.decode(own.encode(text)) == own.plain(text)
+
+
 def test_dataframes(spark, library):
     df = spark.createDataFrame([(i, t, "clash") for i, t in enumerate(HARD)] + [(None, "x", "y"), (0, None, "again")], "doc_id long, text string, ids string")
     rows = pieces.encode(df).collect()
