@@ -1,45 +1,68 @@
 """Chat formatting by schema fingerprint.
 
-A record's fingerprint is the hash of its nested field paths (value types left out), taken from the
-VARIANT schema of the record. It selects a declarative mapping from a registry; the mapping is a list
-of fields, or an array with a role and a text path, and compiles to column expressions. The result is
-the canonical form, an array of (role, text) turns. A template then marks the turns and escapes every
+A record's fingerprint is the hash of those of its nested field paths that any mapping of the registry
+reads, so that ids, names, sources and other fields beside them change nothing. It selects a declarative
+mapping; the mapping is a list of fields, or an array with a role and a text path, and compiles to
+column expressions. The result is the canonical form, an array of (role, text) turns. A template then marks the turns and escapes every
 control string in texts and roles with a backslash, which the reader undoes.
 
 All of it is built-in expressions, so a conversation is formatted where its rows meet.
 
 Defined cases: null texts and roles are empty; turns are ordered by (turn, role, text), nulls first; a
-null conv_id is one conversation; a record whose paths fit no mapping, or that is no JSON, has null
-turns and `layout` null, so that it can be counted; a JSON object too large for a VARIANT (128 MiB) is an
+null conv_id is one conversation; a text given as an array of parts is its text parts, joined; a record
+whose paths fit no mapping, or fit several, or that is no JSON, has null turns and `layout` null, so
+that it can be counted; a JSON object too large for a VARIANT (128 MiB) is an
 error, not null; an empty table has no rows.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 from dataclasses import dataclass, field
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docflow.llm.common import private
+
 TURNS = "array<struct<role:string,text:string>>"
 #: Shorter JSON always fits a VARIANT of 128 MiB: a value takes at most 4 times the bytes of its text.
 LARGE = 1 << 24
 
 
+def _text(record: Column, path: str) -> Column:
+    """The text at a path: a string, or the text parts of an array; null where the path has none."""
+    found = F.try_variant_get(record, path, "variant")
+    parts = F.try_variant_get(record, path, "array<variant>")
+    joined = F.array_join(F.transform(parts, lambda p: F.coalesce(F.try_variant_get(p, "$.text", "string"), F.when(~_is(p, "OBJECT"), F.try_variant_get(p, "$", "string")), F.lit(""))), "")
+    return F.when(_is(found, "ARRAY"), joined).otherwise(F.try_variant_get(record, path, "string"))
+
+
+def _is(value: Column, kind: str) -> Column:
+    return F.coalesce(F.startswith(F.schema_of_variant(value), F.lit(kind)), F.lit(False))
+
+
 @dataclass(frozen=True)
 class FieldTurns:
-    """A turn for each (role, path) whose path has a value."""
+    """A turn for each (role, paths) with a value; several paths of a role are one text, one below another."""
 
-    fields: tuple[tuple[str, str], ...]
+    fields: tuple[tuple[str, tuple[str, ...]], ...]
+
+    @property
+    def paths(self) -> tuple[str, ...]:
+        return tuple(p for _, paths in self.fields for p in paths)
 
     def turns(self, record: Column) -> Column:
-        made = [F.when(self._text(record, path).isNotNull(), F.struct(F.lit(role).alias("role"), self._text(record, path).alias("text"))) for role, path in self.fields]
-        return F.array_compact(F.array(*made)).cast(TURNS)
+        def turn(role: str, paths: tuple[str, ...]) -> Column:
+            first, *more = (_text(record, f"$.{p}") for p in paths)
+            text = first
+            for x in more:
+                text = F.when(F.coalesce(x, F.lit("")) == "", text).otherwise(F.concat_ws("\n\n", text, x))
+            return F.when(text.isNotNull(), F.struct(F.lit(role).alias("role"), text.alias("text")))
 
-    @staticmethod
-    def _text(record: Column, path: str) -> Column:
-        return F.try_variant_get(record, path, "string")
+        return F.array_compact(F.array(*(turn(*x) for x in self.fields))).cast(TURNS)
 
 
 @dataclass(frozen=True)
@@ -50,39 +73,82 @@ class ArrayTurns:
     role: str
     text: str
     roles: dict[str, str] = field(default_factory=dict)
+    system: str = ""
+
+    @property
+    def paths(self) -> tuple[str, ...]:
+        return (self.array, f"{self.array}[*].{self.role}", f"{self.array}[*].{self.text}", *([self.system] if self.system else []))
 
     def turns(self, record: Column) -> Column:
         def turn(x: Column) -> Column:
-            role = F.coalesce(F.try_variant_get(x, self.role, "string"), F.lit(""))
+            role = F.coalesce(F.try_variant_get(x, f"$.{self.role}", "string"), F.lit(""))
             named = role
             for old, new in self.roles.items():
                 named = F.when(role == old, F.lit(new)).otherwise(named)
-            return F.struct(named.alias("role"), F.coalesce(F.try_variant_get(x, self.text, "string"), F.lit("")).alias("text"))
+            return F.struct(named.alias("role"), F.coalesce(_text(x, f"$.{self.text}"), F.lit("")).alias("text"))
 
-        return F.transform(F.try_variant_get(record, self.array, "array<variant>"), turn).cast(TURNS)
+        made = F.transform(F.try_variant_get(record, f"$.{self.array}", "array<variant>"), turn).cast(TURNS)
+        if not self.system:
+            return made
+        first = _text(record, f"$.{self.system}")
+        return F.concat(F.when(first.isNotNull(), F.array(F.struct(F.lit("system").alias("role"), first.alias("text")))).otherwise(F.array()).cast(TURNS), made)
 
 
 @dataclass(frozen=True)
 class Layout:
-    """A record layout: its name, example records (one for each set of paths) and its mapping."""
+    """A record layout: its name, its mapping, and the sets of paths that a record may have of all mapped ones."""
 
     name: str
-    examples: tuple[dict, ...]
     mapping: FieldTurns | ArrayTurns
+    shapes: tuple[tuple[str, ...], ...]
+
+
+def _shapes(needed: tuple[str, ...], *optional: str) -> tuple[tuple[str, ...], ...]:
+    """The needed paths with every choice of the optional ones."""
+    return tuple((*needed, *chosen) for n in range(len(optional) + 1) for chosen in combinations(optional, n))
+
+
+def _array_shapes(array: str, role: str, text: str, *optional: str) -> tuple[tuple[str, ...], ...]:
+    return (*_shapes((array, f"{array}[*].{role}", f"{array}[*].{text}"), *optional), *_shapes((array,), *optional))
+
+
+def _pair(name: str, user: str, assistant: str, *more: str) -> Layout:
+    """A layout of one exchange: a user field, further text of the user, and the assistant's field."""
+    mapping = FieldTurns((("system", ("system",)), ("user", (user, *more)), ("assistant", (assistant,))))
+    return Layout(name, mapping, _shapes((user, assistant), "system", *more))
 
 
 LAYOUTS = (
-    Layout("messages", ({"messages": [{"role": "user", "content": "a"}]}, {"messages": []}), ArrayTurns("$.messages", "$.role", "$.content")),
-    Layout("sharegpt", ({"conversations": [{"from": "human", "value": "a"}]},), ArrayTurns("$.conversations", "$.from", "$.value", {"human": "user", "gpt": "assistant"})),
-    Layout("prompt", ({"prompt": "a", "completion": "b"},), FieldTurns((("user", "$.prompt"), ("assistant", "$.completion")))),
-    Layout("instruction", ({"instruction": "a", "output": "b"}, {"system": "s", "instruction": "a", "output": "b"}), FieldTurns((("system", "$.system"), ("user", "$.instruction"), ("assistant", "$.output")))),
+    Layout("messages", ArrayTurns("messages", "role", "content", system="system"), _array_shapes("messages", "role", "content", "system")),
+    Layout("sharegpt", ArrayTurns("conversations", "from", "value", {"human": "user", "gpt": "assistant"}, system="system"), _array_shapes("conversations", "from", "value", "system")),
+    Layout("conversations", ArrayTurns("conversations", "role", "content", system="system"), _shapes(("conversations", "conversations[*].role", "conversations[*].content"), "system")),
+    _pair("prompt", "prompt", "completion"),
+    _pair("response", "prompt", "response"),
+    _pair("instruction", "instruction", "output", "input"),
+    _pair("instruction_response", "instruction", "response", "context"),
+    _pair("question", "question", "answer"),
 )
 
 
-def fingerprint(record: Column) -> Column:
-    """SHA-256 of the record's nested field paths."""
-    paths = F.regexp_replace(F.schema_of_variant(record), r"(: |ARRAY<)(STRING|VOID|BIGINT|DOUBLE|BOOLEAN|DECIMAL\(\d+,\d+\))", "$1*")
-    return F.sha2(paths, 256)
+def mapped_paths(layouts: tuple[Layout, ...]) -> list[str]:
+    return sorted({p for x in layouts for p in x.mapping.paths})
+
+
+def fingerprint(record: Column, layouts: tuple[Layout, ...] = LAYOUTS) -> Column:
+    """SHA-256 of the nested paths that the record has of those that the layouts read."""
+
+    def there(path: str) -> Column:
+        array, _, inner = path.partition("[*].")
+        if not inner:
+            return F.try_variant_get(record, f"$.{path}", "variant").isNotNull()
+        return F.exists(F.try_variant_get(record, f"$.{array}", "array<variant>"), lambda x: F.try_variant_get(x, f"$.{inner}", "variant").isNotNull())
+
+    paths = F.array(*(F.when(F.coalesce(there(p), F.lit(False)), F.lit(p)) for p in mapped_paths(layouts)))
+    return F.when(_is(record, "OBJECT"), F.sha2(F.array_join(paths, "\n"), 256))
+
+
+def known_fingerprints(layout: Layout) -> list[str]:
+    return [hashlib.sha256("\n".join(sorted(s)).encode()).hexdigest() for s in layout.shapes]
 
 
 def canonical(records: DataFrame, column: str = "record", layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
@@ -91,14 +157,16 @@ def canonical(records: DataFrame, column: str = "record", layouts: tuple[Layout,
     lost = (F.octet_length(column) >= LARGE) & F.json_object_keys(column).isNotNull()
     refused = F.raise_error(F.concat(F.lit("a record is too large for a VARIANT; bytes: "), F.octet_length(column).cast("string"))).cast("string")
     value = F.coalesce(F.try_parse_json(column), F.parse_json(F.when(lost, refused)))
-    parsed = records.withColumn("_v", value).withColumn("fingerprint", fingerprint(F.col("_v")))
+    (held,) = private(records, "v")
+    parsed = records.withColumn(held, value)
+    parsed = parsed.withColumn("fingerprint", fingerprint(F.col(held), layouts))
     name = turns = None
     for layout in layouts:
-        known = F.col("fingerprint").isin(*(fingerprint(F.parse_json(F.lit(json.dumps(x)))) for x in layout.examples))
-        made = layout.mapping.turns(F.col("_v"))
+        known = F.col("fingerprint").isin(*known_fingerprints(layout))
+        made = layout.mapping.turns(F.col(held))
         name = F.when(known, layout.name) if name is None else name.when(known, layout.name)
         turns = F.when(known, made) if turns is None else turns.when(known, made)
-    return parsed.withColumn("layout", name).withColumn("turns", turns).drop("_v")
+    return parsed.withColumn("layout", name).withColumn("turns", turns).drop(held)
 
 
 @dataclass(frozen=True)

@@ -52,6 +52,15 @@ def test_layouts_are_chosen_by_paths(spark):
         ({"messages": [{"role": "tool", "content": "a"}]}, "messages", [("tool", "a")]),
         ({"messages": [{"role": "user", "content": None}]}, "messages", [("user", "")]),
         ({"messages": []}, "messages", []),
+        ({"instruction": "i", "input": "more", "output": "o"}, "instruction", [("user", "i\n\nmore"), ("assistant", "o")]),
+        ({"instruction": "i", "input": "", "output": "o", "id": 7, "source": {"name": "s"}}, "instruction", [("user", "i"), ("assistant", "o")]),
+        ({"prompt": "p", "response": "r", "score": 0.5}, "response", [("user", "p"), ("assistant", "r")]),
+        ({"question": "q", "answer": "a", "tags": ["x"]}, "question", [("user", "q"), ("assistant", "a")]),
+        ({"id": "1", "messages": [{"role": "user", "content": "a", "name": "n"}, {"role": "assistant", "content": "b", "tool_calls": []}]}, "messages", [("user", "a"), ("assistant", "b")]),
+        ({"messages": [{"role": "user", "content": [{"type": "text", "text": "a"}, {"type": "image", "url": "u"}, {"type": "text", "text": "b"}]}]}, "messages", [("user", "ab")]),
+        ({"system": "s", "conversations": [{"from": "human", "value": "a", "weight": 1}]}, "sharegpt", [("system", "s"), ("user", "a")]),
+        ({"prompt": "p", "completion": "c", "instruction": "i", "output": "o"}, None, None),
+        (["prompt"], None, None),
         ({"other": 1}, None, None),
     ]
     df = spark.createDataFrame([(i, json.dumps(r)) for i, (r, _, _) in enumerate(rows)] + [(99, "no json"), (98, None)], "id long, record string")
