@@ -5,14 +5,19 @@ shorter text is one shingle). Each of `PERMUTATIONS` multiply-shift hash functio
 value over a text's shingles; this is vectorised over blocks of texts. A fingerprint keeps one byte of
 each minimum, and likeness is the share of equal bytes less the share that chance explains.
 
-Near duplicates: `links` bands the signatures, joins equal bands in Spark, and verifies by the exact
-Jaccard similarity of the shingle sets. Equal texts are joined through a representative; within a
-bucket a text is verified against each cluster of the texts before it until one member links it, so
-links between different clusters are all found and a bucket of copies is not paired out.
-
-Defined cases: null texts are empty; texts without words have the fingerprint of the empty text;
-equal texts have equal fingerprints and likeness 1; a single document is its own next document;
-repeated doc_ids follow one another by text; a null doc_id comes first; other columns are ignored.
+Near duplicates: bands of the fingerprints are joined in Spark. Within a bucket a forest of the texts
+that look alike by fingerprint is kept; its components over all buckets are families, and within a
+family the Jaccard similarity of the shingle sets is computed from the texts themselves. The components
+of the links so verified are the groups. Texts of equal shingle sets take part once. Buckets and families
+above a fixed size are cut into parts that are compared pair by pair, so that no task holds more.
+
+Of two texts with similarity 0.8 a band of five bytes agrees with probability 0.33, one of 25 with
+0.99995; a fingerprint then looks like less than 0.65 in one pair of 100,000.
+
+Defined cases: null texts are empty; texts without words have the fingerprint of the empty text and are
+one group; equal texts have equal fingerprints and likeness 1; a single document is its own next
+document; repeated doc_ids follow one another by their text's hash; null doc_ids come first, and name a
+group only if it has no other id; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -22,18 +27,24 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docflow.llm.common import CHUNK_BYTES, gram_hashes, mix64, settle, text_blocks
-from docflow.llm.shingles import _FACTORS, _TERMS, PERMUTATIONS, reach, shingles
-from docflow.llm.simhash import components
+from docflow.llm.common import CHUNK_BYTES, mix64, settle, spread_join, text_blocks
+from docflow.llm.shingles import _FACTORS, _TERMS, PERMUTATIONS, reach, set_hashes, set_of, shingles
+from docflow.llm.simhash import SHARD_ROWS, SHARD_SHINGLES, components, in_blocks, named
 
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
-OUT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+OUT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, group_id long"
+#: Bands and the bytes of each; the likeness of fingerprints at which sets are compared; the similarity that links.
+BANDS, BAND_BYTES = 25, 5
+LOOKS_ALIKE = 0.65
+SIMILARITY = 0.8
+#: Documents in a group of consecutive ones, and ids that the first cut of their order uses.
+GROUP_ROWS, FIRST_CUTS = 20_000, 1_000
 
 
 def signatures(column: pa.Array) -> np.ndarray:
@@ -72,43 +83,98 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - k] + following[:k]
 
 
-def in_order(documents: DataFrame, group_rows: int = 5_000, most_groups: int = 10_000) -> DataFrame:
-    """group, head, doc_id, text: consecutive documents in groups by doc_id.
+def id_cuts(documents: DataFrame, groups: int) -> np.ndarray:
+    """Ids that cut the order of the documents into about that many groups of like size.
 
-    Each group ends with a copy of the next group's first document (head = 1), the last group with the
-    first document of all, so that in a sorted group each document stands before its next one.
-    Quantiles of the ids set the groups; only they and each group's first id reach the driver.
+    Beyond FIRST_CUTS the cuts within each first range are computed where its ids are; the driver gets
+    one number for each GROUP_ROWS documents.
+    """
+    if groups <= 1:
+        return np.zeros(0, np.int64)
+    first = min(groups, FIRST_CUTS)
+    edges = np.unique(np.array(documents.approxQuantile("doc_id", [i / first for i in range(1, first)], 1 / (4 * first)), np.float64)).astype(np.int64)
+    inner = math.ceil(groups / first)
+    if inner > 1:
+        found = F.lit(edges.tolist()).cast("array<long>") if len(edges) else F.array().cast("array<long>")
+        at = F.size(F.filter(found, lambda x: x <= F.col("doc_id")))
+        cuts = documents.where("doc_id IS NOT NULL").groupBy(at.alias("range")).agg(F.percentile_approx("doc_id", [i / inner for i in range(1, inner)], 4 * inner).alias("cuts"))
+        edges = np.unique(np.concatenate([edges, *(np.array(r.cuts, np.int64) for r in cuts.collect())]))
+    return edges
+
+
+def in_order(documents: DataFrame, group_rows: int = GROUP_ROWS, classes: DataFrame | None = None) -> DataFrame:
+    """group, head, doc_id, text_key, packed, group_id: consecutive documents in groups by doc_id.
+
+    packed is the text, compressed. Each group ends with a copy of the next group's first document
+    (head = 1), the last group with the first document of all, so that in a sorted group each document
+    stands before its next one. classes(doc_id, text_key, group_id) are dealt the same way and come
+    before the documents of their id, with packed null.
     """
     spark = documents.sparkSession
-    n = documents.select("doc_id").count()
-    groups = min(most_groups, max(1, math.ceil(n / group_rows)))
-    edges = documents.approxQuantile("doc_id", [i / groups for i in range(1, groups)], 1 / (4 * groups)) if groups > 1 else []
-    bounds = spark.sparkContext.broadcast(np.unique(np.array(edges, np.float64)).astype(np.int64))
-
-    @F.pandas_udf("long")
-    def group_of(ids: pd.Series) -> pd.Series:
-        at = np.searchsorted(bounds.value, ids.fillna(0).astype("int64").to_numpy(), side="right") + 1
-        return pd.Series(np.where(ids.isna(), 0, at))
-
-    source = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    dealt = source.select(group_of("doc_id").alias("group"), F.lit(0).alias("head"), "doc_id", "text")
-    firsts = documents.select("doc_id").select(group_of("doc_id").alias("group"), "doc_id").groupBy("group").agg(F.min("doc_id").alias("doc_id")).orderBy("group").collect()
+    total, n_null = documents.agg(F.count("*"), F.count_if(F.col("doc_id").isNull())).first()
+    cuts = spark.sparkContext.broadcast(id_cuts(documents, math.ceil(total / group_rows)))
+    # Null ids are in order of their text's hash, which is even.
+    n_null_groups = max(1, math.ceil(n_null / group_rows))
+
+    def groups_of(batch: pa.RecordBatch) -> pa.Array:
+        ids = batch.column("doc_id")
+        at = np.searchsorted(cuts.value, ids.fill_null(0).to_numpy(zero_copy_only=False), side="right") + 1
+        spread = ((batch.column("text_key").to_numpy() / 2.0**64 + 0.5) * n_null_groups).astype(np.int64)
+        none = ids.is_null().to_numpy(zero_copy_only=False)
+        return pa.array(np.where(none, np.minimum(spread, n_null_groups - 1) - n_null_groups, at))
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"group": groups_of(batch)} | {c: batch.column(c) for c in batch.schema.names})
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            packed = pa.array([packer.compress((t.as_py() or "").encode()) for t in batch.column("text")], pa.binary())
+            yield pa.RecordBatch.from_pydict({"group": groups_of(batch), "doc_id": batch.column("doc_id"), "text_key": batch.column("text_key"), "packed": packed})
+
+    source = documents.select("doc_id", "text", _text_key().alias("text_key"))
+    schema = "group long, doc_id long, text_key long, packed binary"
+    dealt = source.mapInArrow(pack, schema).select("group", F.lit(0).alias("head"), "doc_id", "text_key", "packed", F.lit(None).cast("long").alias("group_id"))
+    firsts = source.select("doc_id", "text_key").mapInArrow(place, "group long, doc_id long, text_key long")
+    firsts = firsts.groupBy("group").agg(F.min(F.struct("doc_id", "text_key")).alias("first")).orderBy("group").collect()
     if not firsts:
         return dealt
-    before = [(firsts[i - 1].group, firsts[i].doc_id) for i in range(len(firsts))]
-    wanted = F.broadcast(spark.createDataFrame(before, "before long, first_id long"))  # at most most_groups rows
-    heads = source.join(wanted, F.col("doc_id").eqNullSafe(F.col("first_id"))).groupBy("before").agg(F.min(F.struct("doc_id", "text")).alias("d"))
-    heads = heads.select(F.col("before").alias("group"), F.lit(1).alias("head"), "d.doc_id", "d.text")
-    return dealt.unionByName(heads).repartition("group").sortWithinPartitions("group", "head", "doc_id", "text")
+    before = [(firsts[i - 1].group, *firsts[i].first) for i in range(len(firsts))]
+    wanted = F.broadcast(spark.createDataFrame(before, "before long, first_id long, first_key long"))  # a row for each GROUP_ROWS documents
+    heads = source.join(wanted, F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("text_key") == F.col("first_key"))).dropDuplicates(["before"])
+    heads = heads.select(F.col("before").alias("group"), "doc_id", "text_key", "text").mapInArrow(_packed, schema)
+    heads = heads.select("group", F.lit(1).alias("head"), "doc_id", "text_key", "packed", F.lit(None).cast("long").alias("group_id"))
+    every = dealt.unionByName(heads)
+    if classes is not None:
+        told = classes.select("doc_id", "text_key", "group_id").mapInArrow(place, "group long, doc_id long, text_key long, group_id long")
+        every = every.unionByName(told.select("group", F.lit(0).alias("head"), "doc_id", "text_key", F.lit(None).cast("binary").alias("packed"), "group_id"))
+    # Classes come first among the rows of a text: null sorts before any bytes.
+    return every.repartition("group").sortWithinPartitions("group", "head", "doc_id", "text_key", "packed")
+
+
+def _text_key() -> F.Column:
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    packer = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        packed = pa.array([packer.compress((t.as_py() or "").encode()) for t in batch.column("text")], pa.binary())
+        yield pa.RecordBatch.from_pydict({c: batch.column(c) for c in ("group", "doc_id", "text_key")} | {"packed": packed})
 
-def fingerprints(documents: DataFrame) -> DataFrame:
-    """Fingerprints of each text and of its edited text, and their likeness."""
+
+def fingerprints(documents: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
+    """Fingerprints of each text and of its edited text, their likeness, and group_id, the least doc_id that verified links reach."""
+    source = documents.select("doc_id", "text")
+    classes = settle(groups(source).select("doc_id", "text_key", "group_id").distinct(), "classes")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpacker = zstandard.ZstdDecompressor()
         held: list[tuple] = []
         size = 0
         carried = None
+        told: tuple = (0, None, None)
 
         def flush() -> pa.RecordBatch:
             nonlocal held, size, carried
@@ -132,75 +198,134 @@ def fingerprints(documents: DataFrame) -> DataFrame:
                     "edited_fingerprint": pa.array([x.tobytes().hex() for x in new_marks], pa.string()),
                     "near_edited": pa.array(likeness(own, new_marks) if pairs else [], pa.float64()),
                     "near_next": pa.array(likeness(own, following) if pairs else [], pa.float64()),
+                    "group_id": pa.array([rows[i][3] for i in pairs], pa.int64()),
                 }
             )
 
         for batch in batches:
-            for head, doc_id, text in zip(batch.column("head").to_pylist(), batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                text = text.as_py()
-                held.append((head, doc_id, text))
+            columns = (batch.column(c).to_pylist() for c in ("head", "doc_id", "text_key", "group_id"))
+            for head, doc_id, key, group_id, packed in zip(*columns, batch.column("packed"), strict=True):
+                if not packed.is_valid:
+                    told = doc_id, key, group_id
+                    continue
+                text = unpacker.decompress(packed.as_py()).decode()
+                held.append((head, doc_id, text, told[2] if told[:2] == (doc_id, key) else None))
                 size += len(text)
                 if size >= CHUNK_BYTES:
                     yield flush()
         if held:
             yield flush()
 
-    return in_order(documents).mapInArrow(scan, OUT)
+    return in_order(source, group_rows, classes).mapInArrow(scan, OUT)
 
 
-def links(documents: DataFrame, similarity: float = 0.8, rows: int = 4) -> DataFrame:
-    """a, b: verified links of near-duplicate texts that span each group of them.
+def marks(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each text a hash of its shingle set (zero without words), the set's size, and its fingerprint."""
+    nodes, sizes = set_hashes(column)
+    return nodes, sizes, to_bytes(signatures(column))
 
-    Bands of `rows` minima meet in one bucket. The links of a bucket stay below its size: they span
-    its clusters. Equal texts meet through their least doc_id first.
-    """
-    bands = PERMUTATIONS // rows
-    texts = documents.where(F.col("doc_id").isNotNull()).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    hashed = settle(texts.select("doc_id", F.sha2("text", 256).alias("h")), "hashes")
-    copies = settle(hashed.groupBy("h").agg(F.min("doc_id").alias("a")), "copies")
-    same = hashed.join(copies, "h").select("a", F.col("doc_id").alias("b")).where("a < b")
-    once = texts.join(copies.select(F.col("a").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-
-    def bands_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def candidates(once: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """Edges (a, b) between the nodes of once(node, size, fp) that meet in a band and look alike, a forest of each bucket."""
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, nodes, prints = None, [], []
+        out: list[tuple[int, int]] = []
         for batch in batches:
-            made = signatures(batch.column("text"))
-            keys = np.stack([gram_hashes(made[:, j * rows : (j + 1) * rows].reshape(-1), rows)[::rows] for j in range(bands)], axis=1) if len(made) else np.zeros((0, bands), np.uint64)
-            grams: list[list[int]] = []
-            for block in text_blocks(batch.column("text")):
-                own, n = shingles(block)
-                grams += [np.unique(x.view(np.int64)).tolist() for x in np.split(own, np.cumsum(n)[:-1])]
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "bands": pa.array(keys.view(np.int64).tolist(), pa.list_(pa.int64())), "grams": pa.array(grams, pa.list_(pa.int64()))})
-
-    made = settle(once.mapInArrow(bands_of, "doc_id long, bands array<long>, grams array<long>").where(F.size("grams") > 0), "signatures")
-    keyed = made.select("doc_id", "grams", F.posexplode("bands").alias("band", "key"))
-    shared = keyed.groupBy("band", "key").count().where("count > 1").select("band", "key")
-    dealt = keyed.join(shared, ["band", "key"]).repartition("band", "key").sortWithinPartitions("band", "key", "doc_id")
+            keys = zip(batch.column("key").to_pylist(), batch.column("block").to_pylist(), strict=True)
+            for own, node, fp in zip(keys, batch.column("node").to_pylist(), batch.column("fp").to_pylist(), strict=True):
+                if own != key:
+                    out += _alike(nodes, prints)
+                    key, nodes, prints = own, [], []
+                nodes.append(node)
+                prints.append(fp)
+            yield _edges(out)
+            out = []
+        yield _edges(_alike(nodes, prints))
+
+    band = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda j: F.xxhash64(j, F.substring("fp", j * BAND_BYTES + 1, F.lit(BAND_BYTES))))
+    keyed = once.where("size > 0").select("node", F.explode(band).alias("key"))
+    shared = keyed.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor("node").alias("x"), F.bit_xor(F.xxhash64("node")).alias("y")).where("n > 1")
+    # Buckets of the same nodes have the same links: one of them is searched.
+    buckets = settle(shared.groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key", "n"), "buckets")
+    members = settle(spread_join(keyed, buckets, ["key"], BANDS * once.count()).withColumn("one", F.lit(1)), "members")
+    blocks = in_blocks(members, ["key"], "node", "one", shard_rows).select("key", "block", "node")
+    dealt = blocks.join(once.select("node", "fp"), "node").repartition("key", "block").sortWithinPartitions("key", "block", "node")
+    return dealt.select("key", "block", "node", "fp").mapInArrow(search, "a long, b long")
+
+
+def _alike(nodes: list[int], prints: list[bytes]) -> list[tuple[int, int]]:
+    """A forest of the pairs that look alike: each is compared with the first of each cluster, and with the rest of those that differ."""
+    if len(nodes) < 2:
+        return []
+    every = np.frombuffer(b"".join(prints), np.uint8).reshape(len(nodes), -1)
+    clusters: list[list[int]] = [[0]]
+    edges = []
+    for i in range(1, len(nodes)):
+        heads = likeness(every[[c[0] for c in clusters]], every[i][None]) >= LOOKS_ALIKE
+        joined, apart = [], []
+        for cluster, same in zip(clusters, heads.tolist(), strict=True):
+            other = cluster[0] if same else None
+            if not same and len(cluster) > 1:
+                found = np.flatnonzero(likeness(every[cluster[1:]], every[i][None]) >= LOOKS_ALIKE)
+                other = cluster[1 + int(found[0])] if len(found) else None
+            if other is None:
+                apart.append(cluster)
+            else:
+                edges.append((nodes[other], nodes[i]))
+                joined += cluster
+        clusters = [*apart, [*joined, i]]
+    return edges
+
+
+def _edges(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    ends = np.array(pairs, np.int64).reshape(-1, 2)
+    return pa.RecordBatch.from_pydict({"a": pa.array(np.ascontiguousarray(ends[:, 0])), "b": pa.array(np.ascontiguousarray(ends[:, 1]))})
+
+
+def verified(families: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Edges (a, b) of a forest of each family(root, block, node, text) whose shingle sets reach the similarity."""
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, clusters = None, []
         for batch in batches:
-            a, b = [], []
-            for band, value, doc_id, grams in zip(batch.column("band").to_pylist(), batch.column("key").to_pylist(), batch.column("doc_id").to_pylist(), batch.column("grams"), strict=True):
-                own = np.array(grams.values.to_numpy())
-                if (band, value) != key:
-                    key, clusters = (band, value), []
-                joined, apart = [(doc_id, own)], []
+            out: list[tuple[int, int]] = []
+            keys = zip(batch.column("root").to_pylist(), batch.column("block").to_pylist(), strict=True)
+            for own_key, node, text in zip(keys, batch.column("node").to_pylist(), batch.column("text"), strict=True):
+                if own_key != key:
+                    key, clusters = own_key, []
+                own = set_of(text.as_py() or "")
+                joined, apart = [(node, own)], []
                 for cluster in clusters:
                     other = next((i for i, x in cluster if reach(own, x, similarity)), None)
                     if other is None:
                         apart.append(cluster)
                     else:
-                        a.append(other)
-                        b.append(doc_id)
+                        out.append((other, node))
                         joined = cluster + joined
                 clusters = [*apart, joined]
-            yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+            yield _edges(out)
+
+    return families.repartition("root", "block").sortWithinPartitions("root", "block", "node").select("root", "block", "node", "text").mapInArrow(verify, "a long, b long")
 
-    return same.unionByName(dealt.mapInArrow(verify, "a long, b long")).distinct()
 
+def groups(documents: DataFrame, similarity: float = SIMILARITY, shard_rows: int = SHARD_ROWS, shard_shingles: int = SHARD_SHINGLES) -> DataFrame:
+    """doc_id, text_key, group_id of each row: the least doc_id that verified links reach."""
 
-def groups(documents: DataFrame, similarity: float = 0.8) -> DataFrame:
-    """doc_id, group_id: the least doc_id that verified links reach."""
-    roots = components(links(documents, similarity)).withColumnsRenamed({"node": "doc_id", "root": "group_id"})
-    ids = documents.select("doc_id").where(F.col("doc_id").isNotNull()).distinct()
-    return ids.join(roots, "doc_id", "left").select("doc_id", F.coalesce("group_id", "doc_id").alias("group_id"))
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes, sizes, prints = marks(batch.column("text"))
+            out = {"doc_id": batch.column("doc_id"), "text_key": batch.column("text_key"), "node": pa.array(nodes.view(np.int64)), "size": pa.array(sizes)}
+            yield pa.RecordBatch.from_pydict(out | {"fp": pa.array([x.tobytes() for x in prints], pa.binary())})
+
+    source = documents.select("doc_id", "text", _text_key().alias("text_key"))
+    marked = settle(source.mapInArrow(mark, "doc_id long, text_key long, node long, size long, fp binary"), "marks")
+    once = marked.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.count("*").alias("n"), F.min(F.struct("doc_id", "text_key")).alias("one"), F.first("size").alias("size"), F.first("fp").alias("fp"))
+    once = settle(once, "nodes")
+    families = components(candidates(once, shard_rows)).join(once.select("node", "size", "one"), "node")
+    families = settle(in_blocks(settle(families, "families"), ["root"], "node", "size", shard_shingles), "blocks")
+    wanted = families.select("root", "block", "node", F.col("one.doc_id").alias("one_id"), F.col("one.text_key").alias("one_key"))
+    texts = source.join(wanted, F.col("doc_id").eqNullSafe(F.col("one_id")) & (F.col("text_key") == F.col("one_key"))).dropDuplicates(["root", "block", "node"])
+    ids = named(once.select("node", "least_id", "n"), components(verified(texts, similarity)))
+    told = spread_join(marked.select("doc_id", "text_key", "node"), ids, ["node"], marked.count())
+    return told.select("doc_id", "text_key", F.col("component_id").alias("group_id"))

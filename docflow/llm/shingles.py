@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 
-from docflow.llm.common import TextBlock, gram_hashes, runs, span_hashes
+from docflow.llm.common import TextBlock, gram_hashes, mix64, runs, span_hashes, text_blocks
 from docflow.llm.winnow import _lower
 
 PERMUTATIONS = 128
@@ -42,6 +43,35 @@ def shingles(block: TextBlock) -> tuple[np.ndarray, np.ndarray]:
     return out, n
 
 
+def distinct_shingles(block: TextBlock) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct shingle hashes of each row of the block, ascending, and how many each row has."""
+    grams, n = shingles(block)
+    rows = np.repeat(np.arange(block.rows), n)
+    order = np.lexsort((grams, rows))
+    grams, rows = grams[order], rows[order]
+    new = np.ones(len(grams), bool)
+    new[1:] = (grams[1:] != grams[:-1]) | (rows[1:] != rows[:-1])
+    return grams[new], np.bincount(rows[new], minlength=block.rows)
+
+
+def set_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """For each text a hash of its shingle set, zero without words, and the set's size."""
+    nodes, sizes = np.zeros(len(column), np.uint64), np.zeros(len(column), np.int64)
+    for block in text_blocks(column):
+        grams, n = distinct_shingles(block)
+        sizes[block.lo : block.hi] = n
+        full = np.flatnonzero(n)
+        if len(full):
+            nodes[block.lo + full] = mix64(np.add.reduceat(mix64(grams), (np.cumsum(n) - n)[full]))
+    return nodes, sizes
+
+
+def set_of(text: str) -> np.ndarray:
+    """The distinct shingle hashes of one text, ascending."""
+    found = [distinct_shingles(block)[0] for block in text_blocks(pa.array([text], pa.large_string()))]
+    return np.concatenate(found) if found else np.zeros(0, np.uint64)
+
+
 def reach(x: np.ndarray, y: np.ndarray, least: float) -> bool:
     """Whether two sets of shingles, each without repeats, reach a Jaccard similarity."""
     if min(len(x), len(y)) < least * max(len(x), len(y)):

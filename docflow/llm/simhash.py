@@ -36,8 +36,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docflow.llm.common import TextBlock, mix64, own_columns, private, runs, settle, spread_join, text_blocks
-from docflow.llm.shingles import _FACTORS, _TERMS, _space, reach, shingles
+from docflow.llm.common import mix64, own_columns, private, runs, settle, spread_join, text_blocks
+from docflow.llm.shingles import _FACTORS, _TERMS, _space, distinct_shingles, reach
 from docflow.llm.winnow import _lower
 
 
@@ -301,24 +301,13 @@ WIDE_RADIUS = 80
 SHARD_SHINGLES = 4_000_000
 
 
-def _distinct_shingles(block: TextBlock) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct shingle hashes of each row of the block, ascending, and how many each row has."""
-    grams, n = shingles(block)
-    rows = np.repeat(np.arange(block.rows), n)
-    order = np.lexsort((grams, rows))
-    grams, rows = grams[order], rows[order]
-    new = np.ones(len(grams), bool)
-    new[1:] = (grams[1:] != grams[:-1]) | (rows[1:] != rows[:-1])
-    return grams[new], np.bincount(rows[new], minlength=block.rows)
-
-
 def set_marks(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For each text a hash of its shingle set, SETS shard keys, and the set's size; zero without words."""
     nodes = np.zeros(len(column), np.uint64)
     sizes = np.zeros(len(column), np.int64)
     keys = np.zeros((len(column), SETS), np.uint64)
     for block in text_blocks(column):
-        grams, n = _distinct_shingles(block)
+        grams, n = distinct_shingles(block)
         sizes[block.lo : block.hi] = n
         full = np.flatnonzero(n)
         if not len(full):
@@ -337,7 +326,7 @@ def wide_fingerprints(column: pa.Array) -> tuple[np.ndarray, list[np.ndarray]]:
     prints = np.zeros((len(column), 4), np.uint64)
     sets: list[np.ndarray] = []
     for block in text_blocks(column):
-        grams, n = _distinct_shingles(block)
+        grams, n = distinct_shingles(block)
         sets += np.split(grams, np.cumsum(n)[:-1])
         full = np.flatnonzero(n)
         if not len(full):
