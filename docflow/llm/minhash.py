@@ -27,6 +27,7 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -43,8 +44,10 @@ OUT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edit
 BANDS, BAND_BYTES = 25, 5
 LOOKS_ALIKE = 0.65
 SIMILARITY = 0.8
-#: Documents in a group of consecutive ones, and ids that the first cut of their order uses.
-GROUP_ROWS, FIRST_CUTS = 20_000, 1_000
+#: Documents in a group of consecutive ones at least, groups at most, and cuts of the first pass over the ids.
+GROUP_ROWS, MOST_GROUPS, FIRST_CUTS = 5_000, 1_000_000, 1_000
+#: Bits of the filter that tells which texts are wanted for verification.
+FILTER_BITS = 1 << 26
 
 
 def signatures(column: pa.Array) -> np.ndarray:
@@ -87,7 +90,7 @@ def id_cuts(documents: DataFrame, groups: int) -> np.ndarray:
     """Ids that cut the order of the documents into about that many groups of like size.
 
     Beyond FIRST_CUTS the cuts within each first range are computed where its ids are; the driver gets
-    one number for each GROUP_ROWS documents.
+    one number for each group, of which there are at most MOST_GROUPS.
     """
     if groups <= 1:
         return np.zeros(0, np.int64)
@@ -112,6 +115,7 @@ def in_order(documents: DataFrame, group_rows: int = GROUP_ROWS, classes: DataFr
     """
     spark = documents.sparkSession
     total, n_null = documents.agg(F.count("*"), F.count_if(F.col("doc_id").isNull())).first()
+    group_rows = max(group_rows, total // MOST_GROUPS)
     cuts = spark.sparkContext.broadcast(id_cuts(documents, math.ceil(total / group_rows)))
     # Null ids are in order of their text's hash, which is even.
     n_null_groups = max(1, math.ceil(n_null / group_rows))
@@ -141,7 +145,7 @@ def in_order(documents: DataFrame, group_rows: int = GROUP_ROWS, classes: DataFr
     if not firsts:
         return dealt
     before = [(firsts[i - 1].group, *firsts[i].first) for i in range(len(firsts))]
-    wanted = F.broadcast(spark.createDataFrame(before, "before long, first_id long, first_key long"))  # a row for each GROUP_ROWS documents
+    wanted = F.broadcast(spark.createDataFrame(before, "before long, first_id long, first_key long"))  # at most MOST_GROUPS rows, and those of null ids
     heads = source.join(wanted, F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("text_key") == F.col("first_key"))).dropDuplicates(["before"])
     heads = heads.select(F.col("before").alias("group"), "doc_id", "text_key", "text").mapInArrow(_packed, schema)
     heads = heads.select("group", F.lit(1).alias("head"), "doc_id", "text_key", "packed", F.lit(None).cast("long").alias("group_id"))
@@ -245,10 +249,12 @@ def candidates(once: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
 
     band = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda j: F.xxhash64(j, F.substring("fp", j * BAND_BYTES + 1, F.lit(BAND_BYTES))))
     keyed = once.where("size > 0").select("node", F.explode(band).alias("key"))
-    shared = keyed.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor("node").alias("x"), F.bit_xor(F.xxhash64("node")).alias("y")).where("n > 1")
+    shared = settle(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "shared")
+    met = settle(spread_join(keyed, shared, ["key"], BANDS * once.count()), "met")
     # Buckets of the same nodes have the same links: one of them is searched.
-    buckets = settle(shared.groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key", "n"), "buckets")
-    members = settle(spread_join(keyed, buckets, ["key"], BANDS * once.count()).withColumn("one", F.lit(1)), "members")
+    same = met.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor("node").alias("x"), F.bit_xor(F.xxhash64("node")).alias("y"))
+    buckets = settle(same.groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key", "n"), "buckets")
+    members = settle(spread_join(met, buckets, ["key"], met.count()).withColumn("one", F.lit(1)), "members")
     blocks = in_blocks(members, ["key"], "node", "one", shard_rows).select("key", "block", "node")
     dealt = blocks.join(once.select("node", "fp"), "node").repartition("key", "block").sortWithinPartitions("key", "block", "node")
     return dealt.select("key", "block", "node", "fp").mapInArrow(search, "a long, b long")
@@ -287,13 +293,16 @@ def verified(families: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Edges (a, b) of a forest of each family(root, block, node, text) whose shingle sets reach the similarity."""
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, clusters = None, []
+        key, clusters, last = None, [], None
         for batch in batches:
             out: list[tuple[int, int]] = []
             keys = zip(batch.column("root").to_pylist(), batch.column("block").to_pylist(), strict=True)
             for own_key, node, text in zip(keys, batch.column("node").to_pylist(), batch.column("text"), strict=True):
                 if own_key != key:
-                    key, clusters = own_key, []
+                    key, clusters, last = own_key, [], None
+                if node == last:
+                    continue  # further rows of the same id and text
+                last = node
                 own = set_of(text.as_py() or "")
                 joined, apart = [(node, own)], []
                 for cluster in clusters:
@@ -309,6 +318,26 @@ def verified(families: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     return families.repartition("root", "block").sortWithinPartitions("root", "block", "node").select("root", "block", "node", "text").mapInArrow(verify, "a long, b long")
 
 
+def filtered(source: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of source whose text_key may be among the wanted keys, so that the others are not shuffled.
+
+    A bit for each key, FILTER_BITS in all, is what reaches the driver and the executors; with very many
+    keys it lets more rows pass, and the join that follows is what decides.
+    """
+    bit = wanted.select(F.col(wanted.columns[0]).bitwiseAND(F.lit(FILTER_BITS - 1)).alias("bit"))
+    words = bit.groupBy(F.shiftright("bit", 6).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("word")).toArrow()
+    mask = np.zeros(FILTER_BITS // 64, np.int64)
+    mask[words.column("at").to_numpy()] = words.column("word").to_numpy()
+    held = source.sparkSession.sparkContext.broadcast(mask)
+
+    @F.pandas_udf("boolean")
+    def may_be(keys: pd.Series) -> pd.Series:
+        at = keys.to_numpy() & (FILTER_BITS - 1)
+        return pd.Series((held.value[at >> 6] >> (at & 63) & 1).astype(bool))
+
+    return source.where(may_be("text_key"))
+
+
 def groups(documents: DataFrame, similarity: float = SIMILARITY, shard_rows: int = SHARD_ROWS, shard_shingles: int = SHARD_SHINGLES) -> DataFrame:
     """doc_id, text_key, group_id of each row: the least doc_id that verified links reach."""
 
@@ -325,7 +354,7 @@ def groups(documents: DataFrame, similarity: float = SIMILARITY, shard_rows: int
     families = components(candidates(once, shard_rows)).join(once.select("node", "size", "one"), "node")
     families = settle(in_blocks(settle(families, "families"), ["root"], "node", "size", shard_shingles), "blocks")
     wanted = families.select("root", "block", "node", F.col("one.doc_id").alias("one_id"), F.col("one.text_key").alias("one_key"))
-    texts = source.join(wanted, F.col("doc_id").eqNullSafe(F.col("one_id")) & (F.col("text_key") == F.col("one_key"))).dropDuplicates(["root", "block", "node"])
+    texts = filtered(source, wanted.select("one_key")).join(wanted, F.col("doc_id").eqNullSafe(F.col("one_id")) & (F.col("text_key") == F.col("one_key")))
     ids = named(once.select("node", "least_id", "n"), components(verified(texts, similarity)))
     told = spread_join(marked.select("doc_id", "text_key", "node"), ids, ["node"], marked.count())
     return told.select("doc_id", "text_key", F.col("component_id").alias("group_id"))
