@@ -82,11 +82,21 @@ def tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counter shards of events: shard_path and nested data {hits, stats{k}, label}."""
+    """Counter shards of events: shard_path and nested data.
+
+    Beside hits, stats.k and a label there are a leaf eight levels down, a name with a dot beside the
+    same path, and a field that is a number or an object by the user's parity.
+    """
     e = table(spark, sf_dir, "events")
     k = F.coalesce(F.get_json_object("props", "$.k").cast("bigint"), F.lit(0).cast("bigint"))
     g = e.groupBy("event_type", "user_id").agg(F.count("*").alias("hits"), F.sum(k).alias("k"))
-    data = F.to_json(F.struct("hits", F.struct(F.col("k").alias("k")).alias("stats"), F.col("event_type").alias("label")))
+    deep = F.col("hits")
+    for name in "hgfedcb":
+        deep = F.struct(deep.alias(name))
+    even = F.col("user_id") % 2 == 0
+    plain = F.to_json(F.struct("hits", F.struct(F.col("k").alias("k")).alias("stats"), F.col("event_type").alias("label"), deep.alias("deep"), F.col("hits").alias("x.y"), F.struct(F.lit(1).alias("y")).alias("x")))
+    flip = F.when(even, F.lit('"flip":2')).otherwise(F.lit('"flip":{"n":3}'))
+    data = F.concat(F.lit("{"), flip, F.lit(","), F.substring(plain, 2, 1 << 30))
     path = F.concat(F.lit("counters/"), F.col("event_type"), F.lit("/_counter_shards_/"), F.lpad(F.lower(F.hex("user_id")), 8, "0"))
     return g.select(path.alias("shard_path"), data.alias("data"))
 
@@ -128,7 +138,7 @@ def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     langs = F.when(F.col("doc_id") % 5 == 0, F.array(F.lit("it"), F.lit("en"), F.lit("it")))
     existing = F.when(F.col("doc_id") % 3 == 0, F.create_map(F.lit("fr"), F.lit("kept"))).otherwise(F.create_map().cast("map<string,string>"))
-    return d.select("doc_id", F.substring("text", 1, 40).alias("input"), langs.alias("languages"), existing.alias("existing"))
+    return d.select("doc_id", F.col("text").alias("input"), langs.alias("languages"), existing.alias("existing"))
 
 
 def link_changes(spark: SparkSession, sf_dir: str) -> DataFrame:

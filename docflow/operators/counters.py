@@ -1,66 +1,92 @@
 """Sharded counters: numeric leaves of nested documents, summed.
 
-Leaves are taken out where their row is, and sums combine before the shuffle, so one counter with most
-of the shards is no single task's work.
+A leaf is the array of names that leads to it, so a name with a dot is not a path. Documents are walked
+to any depth, which column expressions cannot do, in Arrow batches where their rows are; sums combine
+before the shuffle, so one counter with most of the shards is no single task's work.
+
+Where one shard holds a number and another an object under the same name, the later shard (by path)
+decides what stands there, and what the earlier ones gave is gone.
 """
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docflow.functions.extract import parsed
 from docflow.functions.paths import counter_path, dir_name
 
-LEAF = "array<struct<leaf:string,value:double>>"
-#: Levels of nesting that are read; deeper leaves are ignored.
-DEPTH = 6
+ROW = "counter string, shard_path string, leaf array<string>, value double"
+
 
+def numbers(document: object) -> Iterator[tuple[list[str], float]]:
+    """Names and value of every number in a parsed document; array members count by their index."""
+    todo = [([], document)]
+    while todo:
+        names, value = todo.pop()
+        if isinstance(value, dict):
+            todo += [([*names, k], v) for k, v in value.items()]
+        elif isinstance(value, list):
+            todo += [([*names, str(i)], v) for i, v in enumerate(value)]
+        elif names and isinstance(value, (int, float)) and not isinstance(value, bool):
+            yield names, float(value)
 
-def leaves(value: Column, depth: int = DEPTH) -> Column:
-    """(leaf, value) of every number in a VARIANT; array members count by their index."""
-    kind = F.schema_of_variant(value)
-    named = F.transform(F.map_entries(F.try_variant_get(value, "$", "map<string,variant>")), lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value")))
-    listed = F.transform(F.try_variant_get(value, "$", "array<variant>"), lambda x, i: F.struct(i.cast("string").alias("key"), x.alias("value")))
-    entries = F.when(kind.startswith("OBJECT"), named).when(kind.startswith("ARRAY"), listed)
 
-    def of(e: Column) -> Column:
-        own = F.schema_of_variant(e["value"])
-        number = F.array(F.struct(e["key"].alias("leaf"), F.try_variant_get(e["value"], "$", "double").alias("value")))
-        found = F.when(own.rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)"), number)
-        if depth > 1:
-            inner = F.transform(leaves(e["value"], depth - 1), lambda x: F.struct(F.concat(e["key"], F.lit("."), x["leaf"]).alias("leaf"), x["value"].alias("value")))
-            found = found.when(own.rlike("^(OBJECT|ARRAY)"), inner)
-        return F.coalesce(found, F.array().cast(LEAF))
+def _walked(rows: DataFrame, documents) -> DataFrame:
+    """counter, shard_path, leaf, value of the documents that documents(parsed data) gives for each row."""
 
-    return F.coalesce(F.flatten(F.transform(entries, of)), F.array().cast(LEAF))
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = pa.string(), pa.string(), pa.list_(pa.string()), pa.float64()
+        for batch in batches:
+            out: list[tuple] = []
+            for counter, path, data in zip(*(batch.column(c).to_pylist() for c in ("counter", "shard_path", "data")), strict=True):
+                try:
+                    held = json.loads(data) if data else None
+                except (ValueError, RecursionError):
+                    continue
+                out += [(counter, path, leaf, value) for x in documents(held) for leaf, value in numbers(x)]
+            columns = list(zip(*out, strict=True)) or [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["counter", "shard_path", "leaf", "value"])
 
+    return rows.select(counter_path(F.col("shard_path")).alias("counter"), "shard_path", F.col("data").cast("string").alias("data")).mapInArrow(walk, ROW)
 
-def shard_leaves(shards: DataFrame, depth: int = DEPTH) -> DataFrame:
+
+def shard_leaves(shards: DataFrame) -> DataFrame:
     """counter, shard_path, leaf, value of shards(shard_path, data)."""
-    rows = shards.select("shard_path", counter_path(F.col("shard_path")).alias("counter"), parsed("data").alias("v"))
-    return rows.select("counter", "shard_path", F.inline(leaves(F.col("v"), depth)))
+    return _walked(shards, lambda held: [held])
 
 
-def partial_leaves(partials: DataFrame, depth: int = DEPTH) -> DataFrame:
+def partial_leaves(partials: DataFrame) -> DataFrame:
     """counter, shard_path, leaf, value of the updates in partials(shard_path, data)."""
-    updates = F.try_variant_get(parsed("data"), "$._updates_", "array<variant>")
-    rows = partials.select("shard_path", counter_path(F.col("shard_path")).alias("counter"), F.explode(updates).alias("u"))
-    return rows.select("counter", "shard_path", F.inline(leaves(F.try_variant_get("u", "$._data_", "variant"), depth)))
+
+    def updates(held: object) -> list:
+        found = held.get("_updates_") if isinstance(held, dict) else None
+        return [u.get("_data_") for u in found if isinstance(u, dict)] if isinstance(found, list) else []
+
+    return _walked(partials, updates)
+
+
+def overrides(rows: DataFrame, by: str = "counter") -> DataFrame:
+    """by, leaf, last: for leaves that another row turns from a number into an object, or back, where that last happens.
+
+    Leaves are grouped first, so what is joined has a row for each distinct leaf of a counter.
+    """
+    at = rows.groupBy(by, "leaf").agg(F.max("shard_path").alias("at"))
+    above = F.transform(F.sequence(F.lit(1), F.size("leaf") - 1), lambda n: F.slice("leaf", F.lit(1), n))
+    below = at.where(F.size("leaf") > 1).select(by, F.col("leaf").alias("child"), F.col("at").alias("child_at"), F.explode(above).alias("leaf"))
+    met = below.join(at, [by, "leaf"])
+    turned = met.select(by, "leaf", F.col("child_at").alias("last")).unionByName(met.select(by, F.col("child").alias("leaf"), F.col("at").alias("last")))
+    return turned.groupBy(by, "leaf").agg(F.max("last").alias("last"))
 
 
-def drop_overridden(rows: DataFrame) -> DataFrame:
+def drop_overridden(rows: DataFrame, by: str = "counter") -> DataFrame:
     """Without leaves that a later shard (by shard_path) turns into an object, or the reverse."""
-    parts = F.split("leaf", r"\.")
-    above = F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda n: F.array_join(F.slice(parts, F.lit(1), n), "."))
-    deeper = rows.where(F.size(parts) > 1).select("counter", F.explode(above).alias("leaf"), "shard_path")
-    later_below = deeper.groupBy("counter", "leaf").agg(F.max("shard_path").alias("_below"))
-    at = rows.groupBy("counter", "leaf").agg(F.max("shard_path").alias("_at"))
-    child = rows.where(F.size(parts) > 1).select("counter", F.col("leaf").alias("_child"), F.explode(above).alias("leaf"))
-    later_above = child.distinct().join(at, ["counter", "leaf"]).groupBy("counter", F.col("_child").alias("leaf")).agg(F.max("_at").alias("_above"))
-    marked = rows.join(later_below, ["counter", "leaf"], "left").join(later_above, ["counter", "leaf"], "left")
-    last = F.greatest("_below", "_above")
-    return marked.where(last.isNull() | (last <= F.col("shard_path"))).select(*rows.columns)
+    marked = rows.join(overrides(rows, by), [by, "leaf"], "left")
+    return marked.where(F.col("last").isNull() | (F.col("last") < F.col("shard_path"))).select(*rows.columns)
 
 
 def sum_leaves(rows: DataFrame) -> DataFrame:
@@ -73,15 +99,15 @@ def subtract_leaves(rows: DataFrame) -> DataFrame:
 
 
 def apply_counter(counters: DataFrame, updates: DataFrame) -> DataFrame:
-    """counter, leaf, value after the update: leaves of the update add up, others stay."""
-    old, new = counters.withColumnRenamed("value", "_old"), updates.withColumnRenamed("value", "_new")
-    both = old.join(new, ["counter", "leaf"], "full_outer")
-    return both.select("counter", "leaf", (F.coalesce("_old", F.lit(0.0)) + F.coalesce("_new", F.lit(0.0))).alias("value"))
+    """counter, leaf, value after the update: leaves of the update add up, and replace what they turn into something else."""
+    # Of the two documents the update is the later one.
+    both = counters.select("counter", F.lit("0").alias("shard_path"), "leaf", "value").unionByName(updates.select("counter", F.lit("1").alias("shard_path"), "leaf", "value"))
+    return sum_leaves(drop_overridden(both))
 
 
 def aggregate_counters(counters: DataFrame, partials: DataFrame, shards: DataFrame) -> DataFrame:
     """Counters after all shards and partial updates are merged into them."""
-    return apply_counter(counters, sum_leaves(union_leaves(shards, partials)))
+    return apply_counter(counters, sum_leaves(drop_overridden(union_leaves(shards, partials))))
 
 
 def union_leaves(shards: DataFrame, partials: DataFrame) -> DataFrame:
@@ -104,7 +130,7 @@ def aggregate_path(shard_path: Column, level: int) -> Column:
 
 def partial_rollup(shards: DataFrame, level: int) -> DataFrame:
     """aggregate, leaf, value: sums of the shards under each aggregate path."""
-    rows = shard_leaves(shards).withColumn("aggregate", aggregate_path(F.col("shard_path"), level))
+    rows = drop_overridden(shard_leaves(shards).withColumn("aggregate", aggregate_path(F.col("shard_path"), level)), "aggregate")
     return rows.groupBy("aggregate", "leaf").agg(F.sum("value").alias("value"))
 
 
@@ -122,11 +148,12 @@ def compact_partials(partials: DataFrame, most: int = 10) -> DataFrame:
 
 
 def read_counter(counters: DataFrame, shards: DataFrame, partials: DataFrame, field: str) -> DataFrame:
-    """counter, value: the stored field plus everything not yet aggregated."""
-    every = counters.select("counter", "leaf", "value").unionByName(union_leaves(shards, partials).select("counter", "leaf", "value"))
-    return every.groupBy("counter").agg(F.coalesce(F.sum(F.when(F.col("leaf") == field, F.col("value"))), F.lit(0.0)).alias("value"))
+    """counter, value: the stored field (names joined by dots) plus everything not yet aggregated."""
+    own = F.lit(field.split("."))
+    every = apply_counter(counters, sum_leaves(drop_overridden(union_leaves(shards, partials))))
+    return every.groupBy("counter").agg(F.coalesce(F.sum(F.when(F.col("leaf") == own, F.col("value"))), F.lit(0.0)).alias("value"))
 
 
 def increments(events: DataFrame) -> DataFrame:
-    """Leaf rows of increment events (counter, shard, field, amount)."""
-    return events.select("counter", F.concat("counter", F.lit("/_counter_shards_/"), "shard").alias("shard_path"), F.col("field").alias("leaf"), F.col("amount").cast("double").alias("value"))
+    """Leaf rows of increment events (counter, shard, field, amount); a field's dots lead downwards."""
+    return events.select("counter", F.concat("counter", F.lit("/_counter_shards_/"), "shard").alias("shard_path"), F.split("field", r"\.").alias("leaf"), F.col("amount").cast("double").alias("value"))

@@ -19,6 +19,7 @@ BY_UID = ("toUids", "ccUids", "bccUids")
 PARTS = ("subject", "html", "text", "amp")
 ATTACHMENT_KEYS = ("filename", "content", "path", "contentType", "cid", "encoding", "raw", "href", "httpHeaders", "contentDisposition")
 LEASE = "INTERVAL 60 SECONDS"
+LEASE_ERROR = "Message processing lease expired."
 
 
 def _has(df: DataFrame, name: str) -> bool:

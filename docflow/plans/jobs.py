@@ -17,17 +17,32 @@ SHARDS = "s AS (SELECT event_type, user_id, count(*) AS hits, CAST(sum(coalesce(
 PARTIALS = "p AS (SELECT l_returnflag AS f, l_linenumber AS n, l_orderkey % 12 AS u, count(*) AS hits, CAST(sum(l_quantity) AS BIGINT) AS k FROM lineitem GROUP BY 1, 2, 3)"
 
 
+# Of the field that is a number for even users and an object for odd ones, what the last kind gave counts.
+TURNS = "w AS (SELECT *, max(user_id) FILTER (WHERE user_id % 2 = 0) OVER (PARTITION BY event_type) AS even, max(user_id) FILTER (WHERE user_id % 2 = 1) OVER (PARTITION BY event_type) AS odd FROM s)"
+
+
 def _leaf_rows(source: str, counter: str) -> str:
-    return f"SELECT 'counters/' || {counter} AS counter, 'hits' AS leaf, hits AS value FROM {source} UNION ALL SELECT 'counters/' || {counter}, 'stats.k', k FROM {source}"
+    return f"SELECT 'counters/' || {counter} AS counter, 'hits' AS leaf, hits AS value FROM {source} UNION ALL SELECT 'counters/' || {counter}, 'stats/k', k FROM {source}"
+
+
+SHARD_MORE = "SELECT 'counters/' || event_type AS counter, 'deep/b/c/d/e/f/g/h' AS leaf, hits AS value FROM s UNION ALL SELECT 'counters/' || event_type, 'x.y', hits FROM s UNION ALL SELECT 'counters/' || event_type, 'x/y', 1 FROM s"
+FLIPS = "SELECT 'counters/' || event_type AS counter, CASE WHEN user_id % 2 = 0 THEN 'flip' ELSE 'flip/n' END AS leaf, CASE WHEN user_id % 2 = 0 THEN 2 ELSE 3 END AS value FROM "
+ALL_SHARD_ROWS = f"{_leaf_rows('s', 'event_type')} UNION ALL {SHARD_MORE} UNION ALL {FLIPS} s"
+SHARD_ROWS = f"{_leaf_rows('s', 'event_type')} UNION ALL {SHARD_MORE} UNION ALL {FLIPS} w WHERE user_id > coalesce(CASE WHEN user_id % 2 = 0 THEN odd ELSE even END, -1)"
+PARTIAL_ROWS = _leaf_rows("p", "f")
+SHARDS = f"{SHARDS}, {TURNS}"
 
 
-SHARD_ROWS, PARTIAL_ROWS = _leaf_rows("s", "event_type"), _leaf_rows("p", "f")
+def slashed(rows: DataFrame) -> DataFrame:
+    """Leaves as text for comparison."""
+    return rows.withColumn("leaf", F.array_join("leaf", "/"))
 
 
 def stored(spark: SparkSession, d: str) -> DataFrame:
-    """Stored counters: hits 10 and an untouched field of each event type."""
+    """Stored counters of each event type: hits 10, a field of its own, and a number where shards hold an object."""
     e = fx.table(spark, d, "events").select(F.concat(F.lit("counters/"), "event_type").alias("counter")).distinct()
-    return e.select("counter", F.inline(F.array(F.struct(F.lit("hits").alias("leaf"), F.lit(10.0).alias("value")), F.struct(F.lit("kept").alias("leaf"), F.lit(5.0).alias("value")))))
+    held = [(["hits"], 10.0), (["kept"], 5.0), (["stats"], 7.0)]
+    return e.select("counter", F.inline(F.array(*(F.struct(F.lit(n).alias("leaf"), F.lit(v).alias("value")) for n, v in held))))
 
 
 STORED = "c AS (SELECT DISTINCT 'counters/' || event_type AS counter, unnest(['hits', 'kept']) AS leaf FROM events), c2 AS (SELECT counter, leaf, CASE leaf WHEN 'hits' THEN 10.0 ELSE 5.0 END AS value FROM c)"
@@ -35,32 +50,32 @@ STORED = "c AS (SELECT DISTINCT 'counters/' || event_type AS counter, unnest(['h
 
 @query("A08", f"WITH {SHARDS} SELECT counter, leaf, CAST(sum(value) AS DOUBLE) AS value FROM ({SHARD_ROWS}) GROUP BY 1, 2")
 def summed(spark: SparkSession, d: str) -> DataFrame:
-    return counters.sum_leaves(counters.shard_leaves(fx.shards(spark, d)))
+    return slashed(counters.sum_leaves(counters.drop_overridden(counters.shard_leaves(fx.shards(spark, d)))))
 
 
 @query("A09", f"WITH {PARTIALS} SELECT counter, leaf, CAST(-sum(value) AS DOUBLE) AS value FROM ({PARTIAL_ROWS}) GROUP BY 1, 2")
 def subtracted(spark: SparkSession, d: str) -> DataFrame:
-    return counters.subtract_leaves(counters.partial_leaves(fx.partials(spark, d)))
+    return slashed(counters.subtract_leaves(counters.partial_leaves(fx.partials(spark, d))))
 
 
 @query("A10", f"WITH {SHARDS}, {STORED} SELECT counter, leaf, CAST(sum(value) AS DOUBLE) AS value FROM ({SHARD_ROWS} UNION ALL SELECT counter, leaf, value FROM c2) GROUP BY 1, 2")
 def applied(spark: SparkSession, d: str) -> DataFrame:
-    return counters.apply_counter(stored(spark, d), counters.sum_leaves(counters.shard_leaves(fx.shards(spark, d))))
+    return slashed(counters.apply_counter(stored(spark, d), counters.sum_leaves(counters.drop_overridden(counters.shard_leaves(fx.shards(spark, d))))))
 
 
 @query("A11", f"WITH {SHARDS}, {PARTIALS}, {STORED} SELECT counter, leaf, CAST(sum(value) AS DOUBLE) AS value FROM ({SHARD_ROWS} UNION ALL {PARTIAL_ROWS} UNION ALL SELECT counter, leaf, value FROM c2) GROUP BY 1, 2")
 def aggregated(spark: SparkSession, d: str) -> DataFrame:
-    return counters.aggregate_counters(stored(spark, d), fx.partials(spark, d), fx.shards(spark, d))
+    return slashed(counters.aggregate_counters(stored(spark, d), fx.partials(spark, d), fx.shards(spark, d)))
 
 
 @query("A12", f"WITH {SHARDS} SELECT 'counters/' || event_type || '/_counter_shards_/' || lpad(substr(lpad(lower(to_hex(user_id)), 8, '0'), 1, 4), 5, chr(9)) AS aggregate, 'hits' AS leaf, CAST(sum(hits) AS DOUBLE) AS value FROM s GROUP BY 1")
 def rolled_up(spark: SparkSession, d: str) -> DataFrame:
-    return counters.partial_rollup(fx.shards(spark, d), 4).where("leaf = 'hits'")
+    return slashed(counters.partial_rollup(fx.shards(spark, d), 4)).where("leaf = 'hits'")
 
 
-@query("A13", f"WITH {PARTIALS}, n AS (SELECT f, n, count(*) AS c FROM p GROUP BY 1, 2) SELECT 'counters/' || f || '/_counter_shards_/' || lpad(CAST(n AS VARCHAR), 5, chr(9)) AS shard_path, c AS n_updates, CASE WHEN c > 10 THEN 'compact' ELSE 'keep' END AS action, CASE WHEN c > 10 THEN leaf END AS leaf, CAST(CASE WHEN c > 10 THEN v END AS DOUBLE) AS value FROM n JOIN (SELECT f, n, unnest(['hits', 'stats.k']) AS leaf, unnest([sum(hits), sum(k)]) AS v FROM p GROUP BY f, n) USING (f, n) WHERE c > 10 OR leaf = 'hits'")
+@query("A13", f"WITH {PARTIALS}, n AS (SELECT f, n, count(*) AS c FROM p GROUP BY 1, 2) SELECT 'counters/' || f || '/_counter_shards_/' || lpad(CAST(n AS VARCHAR), 5, chr(9)) AS shard_path, c AS n_updates, CASE WHEN c > 10 THEN 'compact' ELSE 'keep' END AS action, CASE WHEN c > 10 THEN leaf END AS leaf, CAST(CASE WHEN c > 10 THEN v END AS DOUBLE) AS value FROM n JOIN (SELECT f, n, unnest(['hits', 'stats/k']) AS leaf, unnest([sum(hits), sum(k)]) AS v FROM p GROUP BY f, n) USING (f, n) WHERE c > 10 OR leaf = 'hits'")
 def compacted(spark: SparkSession, d: str) -> DataFrame:
-    rows = counters.compact_partials(fx.partials(spark, d))
+    rows = slashed(counters.compact_partials(fx.partials(spark, d)))
     return rows.withColumn("n_updates", F.col("n_updates").cast("bigint"))
 
 
@@ -69,15 +84,15 @@ def counter_now(spark: SparkSession, d: str) -> DataFrame:
     return counters.read_counter(stored(spark, d), fx.shards(spark, d), fx.partials(spark, d), "hits")
 
 
-@query("A15", "SELECT 'counters/' || event_type AS counter, 'stats.n' AS leaf, CAST(count(*) AS DOUBLE) AS value FROM events GROUP BY 1")
+@query("A15", "SELECT 'counters/' || event_type AS counter, 'stats/n' AS leaf, CAST(count(*) AS DOUBLE) AS value FROM events GROUP BY 1")
 def incremented(spark: SparkSession, d: str) -> DataFrame:
     e = fx.table(spark, d, "events").select(F.concat(F.lit("counters/"), "event_type").alias("counter"), F.col("user_id").cast("string").alias("shard"), F.lit("stats.n").alias("field"), F.lit(1).alias("amount"))
-    return counters.sum_leaves(counters.increments(e))
+    return slashed(counters.sum_leaves(counters.increments(e)))
 
 
-@query("U01", f"WITH {SHARDS}, {PARTIALS} SELECT counter, leaf, count(*) AS n FROM ({SHARD_ROWS} UNION ALL {PARTIAL_ROWS}) GROUP BY 1, 2")
+@query("U01", f"WITH {SHARDS}, {PARTIALS} SELECT counter, leaf, count(*) AS n FROM ({ALL_SHARD_ROWS} UNION ALL {PARTIAL_ROWS}) GROUP BY 1, 2")
 def unioned(spark: SparkSession, d: str) -> DataFrame:
-    return counters.union_leaves(fx.shards(spark, d), fx.partials(spark, d)).groupBy("counter", "leaf").agg(F.count("*").alias("n"))
+    return slashed(counters.union_leaves(fx.shards(spark, d), fx.partials(spark, d))).groupBy("counter", "leaf").agg(F.count("*").alias("n"))
 
 
 # Erasure. Customers with keys divisible by ten are gone.
@@ -168,7 +183,7 @@ def stub(batch):
 
 
 LANGS = "CASE WHEN doc_id % 5 = 0 THEN ['it', 'en'] ELSE ['en', 'fr', 'de'] END"
-TEXTS = f"t AS (SELECT doc_id, substr(text, 1, 40) AS input, {LANGS} AS langs, doc_id % 3 = 0 AS has FROM documents)"
+TEXTS = f"t AS (SELECT doc_id, text AS input, {LANGS} AS langs, doc_id % 3 = 0 AS has FROM documents)"
 
 
 @query("T01", "SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN 'run' WHEN doc_id % 4 = 1 THEN 'clear' WHEN doc_id % 4 = 2 THEN 'none' ELSE 'run' END AS action FROM documents WHERE text IS NOT NULL")
@@ -535,10 +550,12 @@ def late_safe(spark: SparkSession, d: str) -> DataFrame:
 
 @query("R03", f"WITH {SHARDS} SELECT counter, leaf, CAST(sum(value) AS DOUBLE) AS value FROM ({SHARD_ROWS}) GROUP BY 1, 2")
 def streamed_counters(spark: SparkSession, d: str) -> DataFrame:
-    from docflow.streaming.streams import stream_counters
+    from docflow.streaming.streams import last_version, stream_counters
 
-    rows = run_stream(spark, fx.shards(spark, d), "parquet", lambda df, sink, at: stream_counters(df, at, sink))
-    return rows.groupBy("counter", "leaf").agg(F.max_by("value", "_batch").alias("value"))
+    first, second = F.col("shard_path") < "counters/c", F.col("shard_path") >= "counters/c"
+    shards, out = fx.shards(spark, d), landing(spark, "r03")
+    run_stream(spark, [shards.where(first), shards.where(second)], "parquet", lambda df, sink, at: stream_counters(df, at, out))
+    return slashed(last_version(spark, out))
 
 
 @query("R04", "SELECT CAST(user_id AS VARCHAR) AS parent, lpad(CAST(event_id AS VARCHAR), 12, '0') AS key FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) > 5")

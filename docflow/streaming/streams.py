@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
-from docflow.operators import capture, counters, latest
-from docflow.operators.mail import mail_transition
+from docflow.operators import capture, counters, enrich, latest
+from docflow.operators.mail import LEASE_ERROR
 from docflow.sources.tables import dead_letter
 
 
@@ -23,30 +24,36 @@ def _version(path: str, epoch: int) -> str:
     return f"{path}/batch={epoch}"
 
 
-def stream_changelog(changes: DataFrame, checkpoint: str, path: str, project: str, watermark: str = "1 hour", dead: str | None = None, trigger: dict | None = None) -> StreamingQuery:
-    """Captured changes into the changelog at path, each event_id once within the watermark.
+def stream_changelog(changes: DataFrame, checkpoint: str, path: str, project: str, dead: str | None = None, trigger: dict | None = None) -> StreamingQuery:
+    """Captured changes into the changelog at path, each event_id once, however late it comes.
 
-    A batch is written to a folder of its own; if that fails twice its rows go to `dead`, and the error is raised.
+    A batch is compared with what earlier batches wrote for its span of time, as a repeated event keeps
+    its timestamp, and written to a folder of its own; if that fails twice its rows go to `dead`, and
+    the error is raised.
     """
-    once = changes.withWatermark("timestamp", watermark).dropDuplicatesWithinWatermark(["event_id"])
-    rows = capture.changelog_rows(once, project)
 
     def write(batch: DataFrame, epoch: int) -> None:
-        batch.persist()
+        rows = capture.changelog_rows(batch.dropDuplicates(["event_id"]), project)
+        earlier = written(batch.sparkSession, path)
+        if earlier is not None:
+            span = batch.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")).first()
+            seen = earlier.where((F.col("batch") < epoch) & F.col("timestamp").between(F.lit(span.lo), F.lit(span.hi)))
+            rows = rows.join(seen.select("event_id"), "event_id", "left_anti").select(*rows.columns)
+        rows.persist()
         try:
             for last in (False, True):
                 try:
-                    batch.write.mode("overwrite").parquet(_version(path, epoch))
+                    rows.write.mode("overwrite").parquet(_version(path, epoch))
                     return
                 except Exception as e:
                     if last:
                         if dead:
-                            dead_letter(batch, str(e)).write.mode("overwrite").parquet(_version(dead, epoch))
+                            dead_letter(rows, str(e)).write.mode("overwrite").parquet(_version(dead, epoch))
                         raise
         finally:
-            batch.unpersist()
+            rows.unpersist()
 
-    return _start(rows, checkpoint, write, trigger=trigger)
+    return _start(changes, checkpoint, write, trigger=trigger)
 
 
 def stream_latest(log: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None], trigger: dict | None = None) -> StreamingQuery:
@@ -59,9 +66,40 @@ def latest_late_safe(log: DataFrame) -> DataFrame:
     return latest.latest_incremental(log)
 
 
-def stream_counters(shards: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None], trigger: dict | None = None) -> StreamingQuery:
-    """Running sums of counters' leaves; the sink gets the changed ones."""
-    return _start(counters.sum_leaves(counters.shard_leaves(shards)), checkpoint, sink, mode="update", trigger=trigger)
+def last_version(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
+    """The table that the last batch left, or the last one before a batch; None if there is none."""
+    rows = written(spark, path)
+    if rows is None:
+        return None
+    if before is not None:
+        rows = rows.where(F.col("batch") < before)
+    last = rows.agg(F.max("batch")).first()[0]
+    return None if last is None else rows.where(F.col("batch") == last).drop("batch")
+
+
+def written(spark: SparkSession, path: str) -> DataFrame | None:
+    """All batches' rows with their batch, or None if none was written yet."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+
+
+def stream_counters(shards: DataFrame, checkpoint: str, path: str, trigger: dict | None = None) -> StreamingQuery:
+    """Counters at path after each batch of shards, each merged in as one update.
+
+    A batch writes the counters as a version of its own; `last_version` reads the newest.
+    """
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        update = counters.sum_leaves(counters.drop_overridden(counters.shard_leaves(batch)))
+        before = last_version(batch.sparkSession, path, epoch)
+        after = update if before is None else counters.apply_counter(before, update)
+        after.write.mode("overwrite").parquet(_version(path, epoch))
+
+    return _start(shards, checkpoint, write, trigger=trigger)
 
 
 class KeepLast(StatefulProcessor):
@@ -95,12 +133,6 @@ def stream_keep_last_n(children: DataFrame, checkpoint: str, n: int, sink: Calla
     return _start(out, checkpoint, sink, trigger=trigger)
 
 
-def stream_mail(mail: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None], trigger: dict | None = None) -> StreamingQuery:
-    """Delivery transitions of queue documents as they are written; the sink gets those that change."""
-    moved = mail_transition(mail, F.current_timestamp()).where(F.col("next").isNotNull())
-    return _start(moved, checkpoint, sink, trigger=trigger)
-
-
 class MailLease(StatefulProcessor):
     """A document's delivery state with a processing-time timer for its lease."""
 
@@ -111,30 +143,51 @@ class MailLease(StatefulProcessor):
         self.handle = handle
         self.state = handle.getValueState("delivery", "state string, attempts int")
 
+    @staticmethod
+    def _row(key, state: str, attempts: int, error: str | None) -> pd.DataFrame:
+        return pd.DataFrame({"mail_id": [key[0]], "state": [state], "attempts": [attempts], "error": pd.Series([error], dtype="object")})
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timers) -> Iterator[pd.DataFrame]:  # noqa: N802
-        state, attempts = tuple(self.state.get()) if self.state.exists() else (None, 0)
-        for batch in rows:
-            for told in batch["event"]:
-                if state is None:
-                    state = "PENDING"
-                if told in ("start", "retry") and state in ("PENDING", "RETRY"):
-                    state = "PROCESSING"
-                    self.handle.registerTimer(timers.getCurrentProcessingTimeInMs() + self.lease_ms)
-                elif told in ("sent", "failed") and state == "PROCESSING":
-                    state, attempts = ("SUCCESS" if told == "sent" else "ERROR"), attempts + 1
+        state, attempts = tuple(self.state.get()) if self.state.exists() else ("PENDING", 0)
+        told = pd.concat(list(rows)).sort_values("seq")
+        for event in told["event"]:
+            if event == "retry" and state == "ERROR":
+                state = "RETRY"
+            if event in ("start", "retry") and state in ("PENDING", "RETRY"):
+                state = "PROCESSING"
+                self.handle.registerTimer(timers.getCurrentProcessingTimeInMs() + self.lease_ms)
+            elif event in ("sent", "failed") and state == "PROCESSING":
+                state, attempts = ("SUCCESS" if event == "sent" else "ERROR"), attempts + 1
         self.state.update((state, attempts))
-        yield pd.DataFrame({"mail_id": [key[0]], "state": [state], "attempts": [attempts]})
+        yield self._row(key, state, attempts, None)
 
     def handleExpiredTimer(self, key, timers, expired) -> Iterator[pd.DataFrame]:  # noqa: N802
         state, attempts = tuple(self.state.get())
         if state == "PROCESSING":
             self.state.update(("ERROR", attempts))
-            yield pd.DataFrame({"mail_id": [key[0]], "state": ["ERROR"], "attempts": [attempts]})
+            yield self._row(key, "ERROR", attempts, LEASE_ERROR)
 
     def close(self) -> None:
         pass
 
 
+def stream_mail(events: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None], lease_ms: int = 60_000, trigger: dict | None = None) -> StreamingQuery:
+    """Delivery states of mail as events(mail_id, seq, event) arrive: start, sent, failed, retry.
+
+    Mail whose lease runs out while it is PROCESSING becomes an ERROR by its own timer, without any
+    further event. The sink gets each change: mail_id, state, attempts, error.
+    """
+    spark = events.sparkSession
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    out = events.groupBy("mail_id").transformWithStateInPandas(statefulProcessor=MailLease(lease_ms), outputStructType="mail_id long, state string, attempts int, error string", outputMode="update", timeMode="ProcessingTime")
+    return _start(out, checkpoint, sink, mode="update", trigger=trigger)
+
+
+def uppercase_stream(documents: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None], original: str = "original", output: str = "upper", trigger: dict | None = None) -> StreamingQuery:
+    """Documents that have the original and lack the result, upper-cased as they are written."""
+    return _start(enrich.uppercase_backfill(documents, original, output, per_pass=None), checkpoint, sink, trigger=trigger)
+
+
 def retry_rows(failed: DataFrame, most: int = 3) -> DataFrame:
     """Dead letters to try again: attempts so far below the bound, with the delay before the next one.
 
