@@ -171,7 +171,7 @@ def mail(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("array<string>").alias("bccUids"),
         message.alias("message"),
         template.alias("template"),
-        F.when(state.isNotNull(), F.struct(state.alias("state"), F.lit(0).alias("attempts"), lease.alias("leaseExpireTime"), F.lit(None).cast("string").alias("error"))).alias("delivery"),
+        F.when(state.isNotNull(), F.struct(state.alias("state"), F.lit(0).alias("attempts"), lease.alias("leaseExpireTime"), F.lit(None).cast("string").alias("error"), (F.col("o_orderdate").cast("timestamp") + F.expr("INTERVAL 9 DAYS")).alias("expireAt"))).alias("delivery"),
     )
 
 

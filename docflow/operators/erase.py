@@ -1,15 +1,30 @@
 """Erasure of users' data from document trees, objects and key trees.
 
-Subtrees are matched by equality: every path is exploded to its own prefixes, whose number its depth
-bounds, and those join the targets. No join compares by prefix.
+Subtrees are matched by equality: of each path the prefixes of those depths that targets have are
+joined to the targets, so neither a collection's name nor any other shared ancestor becomes a key.
+No join compares by prefix.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docflow.functions.paths import ancestors, substitute_uid
+from docflow.functions.paths import substitute_uid
+
+#: Collections named by a uid up to which their names are broadcast.
+BROADCAST_ROWS = 100_000
+
+
+def prefixes(path: Column, depths: list[int]) -> Column:
+    """The path's prefixes of the given numbers of segments, one row each."""
+    parts = F.split(path, "/")
+    return F.explode(F.array_compact(F.array(*(F.when(F.size(parts) >= n, F.array_join(F.slice(parts, 1, n), "/")) for n in depths))))
+
+
+def template_depths(templates: str, skip: int = 0) -> list[int]:
+    """The numbers of segments of the comma-separated templates, beyond the first `skip`."""
+    return sorted({n for t in templates.split(",") if (n := len(t.strip().rstrip("/").split("/")) - skip) > 0})
 
 
 def target_paths(users: DataFrame, templates: str) -> DataFrame:
@@ -24,8 +39,8 @@ def matched_paths(docs: DataFrame, users: DataFrame, templates: str, mode: str =
         return docs.select("path").join(targets, F.col("path") == F.col("target")).select("uid", "path").distinct()
     if mode != "recursive":
         raise ValueError("mode must be shallow or recursive")
-    prefixes = docs.select("path", F.explode(ancestors(F.col("path"))).alias("target"))
-    return prefixes.join(targets, "target").select("uid", "path").distinct()
+    below = docs.select("path", prefixes(F.col("path"), template_depths(templates)).alias("target"))
+    return below.join(targets, "target").select("uid", "path").distinct()
 
 
 def erase_paths(docs: DataFrame, users: DataFrame, templates: str, mode: str = "recursive") -> DataFrame:
@@ -43,7 +58,11 @@ def discover(docs: DataFrame, users: DataFrame, fields: list[str], depth: int =
     segments = F.split("path", "/")
     names = F.filter(F.transform(segments, lambda s, i: F.when((i % 2 == 0) & (i < 2 * depth), s)), lambda s: s.isNotNull())
     near = F.size(segments) <= 2 * depth
-    by_collection = docs.select("path", F.explode(names).alias("uid")).join(uids, "uid", "left_semi").withColumn("reason", F.lit("collection"))
+    # Most collection names are no uids but stand in most paths: the few that are, are found first.
+    named = docs.select(F.explode(names).alias("uid")).distinct().join(uids, "uid", "left_semi")
+    if named.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        named = F.broadcast(named)
+    by_collection = docs.select("path", F.explode(names).alias("uid")).join(named, "uid", "left_semi").withColumn("reason", F.lit("collection"))
     by_id = docs.where(near).select("path", F.element_at(segments, -1).alias("uid")).join(uids, "uid", "left_semi").withColumn("reason", F.lit("document"))
     hits = by_collection.unionByName(by_id)
     if fields:
@@ -69,9 +88,23 @@ def erasable(hits: DataFrame, docs: DataFrame, fields: list[str]) -> DataFrame:
     return joined.select("uid", "path", held.alias("valid"))
 
 
-def erasure_audit(checked: DataFrame) -> DataFrame:
-    """uid, n_valid, n_invalid: how many paths of each user pass; counts, so that no user's paths are gathered."""
-    return checked.groupBy("uid").agg(F.count_if("valid").alias("n_valid"), F.count_if(~F.col("valid")).alias("n_invalid"))
+def checked_hits(docs: DataFrame, users: DataFrame, fields: list[str], depth: int = 3) -> tuple[DataFrame, DataFrame]:
+    """What discover finds: hits by document or field (uid, path, valid), and paths in collections of a uid (uid, path)."""
+    found = discover(docs, users, fields, depth)
+    hits = erasable(found.where(F.col("reason") != "collection").select("uid", "path").distinct(), docs, fields)
+    return hits, found.where(F.col("reason") == "collection").select("uid", "path")
+
+
+def erasure_audit(docs: DataFrame, users: DataFrame, fields: list[str], depth: int = 3) -> DataFrame:
+    """uid, path, kind: a row for each document to erase, each one that failed the check (invalid), and each collection.
+
+    Rows, so that no user's paths are gathered.
+    """
+    hits, under = checked_hits(docs, users, fields, depth)
+    parts = F.split("path", "/")
+    at = F.array_position(F.transform(parts, lambda s, i: F.when((i % 2 == 0) & (i < 2 * depth), s).otherwise(F.lit(""))), F.col("uid"))
+    collections = under.select("uid", F.array_join(F.slice(parts, F.lit(1), at.cast("int")), "/").alias("path")).distinct().withColumn("kind", F.lit("collection"))
+    return hits.select("uid", "path", F.when(F.col("valid"), "document").otherwise("invalid").alias("kind")).unionByName(collections)
 
 
 def erase_objects(objects: DataFrame, users: DataFrame, templates: str, default_bucket: str) -> DataFrame:
@@ -83,8 +116,8 @@ def erase_objects(objects: DataFrame, users: DataFrame, templates: str, default_
     bucket = F.regexp_replace(F.element_at(F.split("target", "/"), 1), r"^\{DEFAULT\}$", default_bucket)
     name = F.regexp_replace(F.regexp_replace("target", "^[^/]*/", ""), "/$", "")
     targets = targets.select(bucket.alias("bucket"), name.alias("prefix")).distinct()
-    prefixes = objects.select("bucket", "name", F.explode(ancestors(F.col("name"))).alias("prefix"))
-    gone = prefixes.join(targets, ["bucket", "prefix"], "left_semi").select("bucket", "name").distinct()
+    below = objects.select("bucket", "name", prefixes(F.col("name"), template_depths(templates, 1)).alias("prefix"))
+    gone = below.join(targets, ["bucket", "prefix"], "left_semi").select("bucket", "name").distinct()
     return objects.join(gone, ["bucket", "name"], "left_anti")
 
 
@@ -93,6 +126,18 @@ def erase_tree(nodes: DataFrame, users: DataFrame, templates: str) -> DataFrame:
     return erase_paths(nodes, users, templates, "recursive")
 
 
-def erase_users(docs: DataFrame, users: DataFrame, fields: list[str], depth: int = 3) -> DataFrame:
-    """The documents that stay once everything discovered is gone."""
-    return docs.join(discover(docs, users, fields, depth).select("path").distinct(), "path", "left_anti")
+def erase_users(docs: DataFrame, users: DataFrame, fields: list[str], depth: int = 3, mode: str = "recursive") -> DataFrame:
+    """The documents that stay once everything discovered is gone.
+
+    Hits by document or field are erased if they pass the check, with everything below them unless mode
+    is shallow; collections named by a uid are erased with everything below.
+    """
+    if mode not in ("shallow", "recursive"):
+        raise ValueError("mode must be shallow or recursive")
+    hits, under = checked_hits(docs, users, fields, depth)
+    targets = hits.where("valid").select(F.col("path").alias("target")).distinct()
+    # Hits are documents at most `depth` collections deep.
+    near = [2 * n for n in range(1, depth + 1)]
+    held = docs.select("path", F.col("path").alias("target")) if mode == "shallow" else docs.select("path", prefixes(F.col("path"), near).alias("target"))
+    gone = held.join(targets, "target", "left_semi").select("path").unionByName(under.select("path")).distinct()
+    return docs.join(gone, "path", "left_anti")

@@ -125,14 +125,19 @@ def apply_templates(mail: DataFrame, templates: DataFrame) -> DataFrame:
 _TAG = re.compile(r"\{\{\{\s*([\w.]+)\s*\}\}\}|\{\{>\s*([\w-]+)\s*\}\}|\{\{\s*([\w.]+)\s*\}\}")
 
 
-def render_text(template: str | None, data: dict, partials: dict[str, str], escape: bool, depth: int = 8) -> str | None:
-    """Variables and partials of a template; missing variables are empty, {{{x}}} is never escaped."""
-    if template is None or not depth:
+def render_text(template: str | None, data: dict, partials: dict[str, str], escape: bool, within: tuple[str, ...] = ()) -> str | None:
+    """Variables and partials of a template; missing variables are empty, {{{x}}} is never escaped.
+
+    Partials nest to any depth; one that takes in itself is an error.
+    """
+    if template is None:
         return template
 
     def one(m: re.Match) -> str:
         if m[2]:
-            return render_text(partials.get(m[2]) or "", data, partials, escape, depth - 1) or ""
+            if m[2] in within:
+                raise ValueError(f"partial {m[2]} takes in itself")
+            return render_text(partials.get(m[2]) or "", data, partials, escape, (*within, m[2])) or ""
         value = data
         for key in (m[1] or m[3]).split("."):
             value = value.get(key) if isinstance(value, dict) else None
@@ -144,24 +149,31 @@ def render_text(template: str | None, data: dict, partials: dict[str, str], esca
     return _TAG.sub(one, template)
 
 
-def render_template(df: DataFrame, templates: DataFrame) -> DataFrame:
-    """mail_id and rendered parts of apply_templates' rows; html and amp are escaped, subject and text are not.
+def render_rows(df: DataFrame, templates: DataFrame) -> DataFrame:
+    """apply_templates' rows with r_ columns, the rendered parts; html and amp are escaped, subject and text are not.
 
-    Partials are a dimension: more than `PARTIALS` of them is an error.
+    Rows pass through as they are, so that nothing is joined back. Partials are a dimension: more than
+    `PARTIALS` of them is an error.
     """
     rows = templates.where(F.coalesce("partial", F.lit(False))).limit(PARTIALS + 1).collect()
     if len(rows) > PARTIALS:
         raise ValueError(f"more than {PARTIALS} partials")
     partials = {p: {r["name"]: r[p] for r in rows if p in r.asDict()} for p in PARTS}
     parts = [p for p in PARTS if f"t_{p}" in df.columns]
-    source = df.where(F.col("template").isNotNull()).select("mail_id", F.to_json(F.col("template")["data"]).alias("d"), *(f"t_{p}" for p in parts))
+    wanted = F.struct(F.to_json(F.when(F.col("template").isNotNull() & F.col("template_error").isNull(), F.col("template")["data"])).alias("d"), *(f"t_{p}" for p in parts))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            data = [json.loads(d) if d else {} for d in batch["d"]]
-            yield pd.DataFrame({"mail_id": batch["mail_id"]} | {f"r_{p}": [render_text(t, d, partials[p], p in ("html", "amp")) for t, d in zip(batch[f"t_{p}"], data, strict=True)] for p in parts})
+    @F.pandas_udf(", ".join(f"r_{p} string" for p in parts))
+    def run(batch: pd.DataFrame) -> pd.DataFrame:
+        data = [json.loads(d) if d else {} for d in batch["d"]]
+        return pd.DataFrame({f"r_{p}": [render_text(t, d, partials[p], p in ("html", "amp")) for t, d in zip(batch[f"t_{p}"], data, strict=True)] for p in parts})
+
+    return df.withColumn("_r", run(wanted)).select(*df.columns, "_r.*")
 
-    return source.mapInPandas(run, ", ".join(["mail_id long", *(f"r_{p} string" for p in parts)]))
+
+def render_template(df: DataFrame, templates: DataFrame) -> DataFrame:
+    """mail_id and rendered parts of those of apply_templates' rows that have a template."""
+    made = render_rows(df.where(F.col("template").isNotNull()), templates)
+    return made.select("mail_id", *(c for c in made.columns if c.startswith("r_")))
 
 
 #: Most partials that rendering takes along.
@@ -182,11 +194,11 @@ def clean_attachments(attachments: Column) -> Column:
 def prepare_mail(mail: DataFrame, templates: DataFrame, users: DataFrame) -> DataFrame:
     """mail_id, to, cc, bcc, message, errors: validated, templates merged, recipients resolved.
 
-    Mail of an unknown template, or without any recipient after resolution, has an error.
+    Mail of an unknown template, or without any recipient after resolution, has an error. mail_id names one document.
     """
     checked = apply_templates(validate_mail(mail), templates)
-    rendered = render_template(checked.where(F.col("template_error").isNull()), templates)
-    joined = resolve_recipients(checked.join(rendered, "mail_id", "left"), users)
+    rendered = render_rows(checked, templates)
+    joined = resolve_recipients(rendered, users)
     own = mail.schema["message"].dataType.names
     parts = {p: F.col(f"r_{p}") for p in PARTS if f"r_{p}" in rendered.columns and p in own}
     nobody = (F.size("to") == 0) & (F.size("cc") == 0) & (F.size("bcc") == 0)
@@ -194,41 +206,90 @@ def prepare_mail(mail: DataFrame, templates: DataFrame, users: DataFrame) -> Dat
     return joined.select("mail_id", *DIRECT, merge_message(F.col("message"), parts).alias("message"), F.array_distinct(F.concat("errors", more)).alias("errors"))
 
 
-def mail_transition(df: DataFrame, now: Column, ttl: tuple[str, int] | None = None) -> DataFrame:
-    """Adds next (the delivery that follows, NULL if nothing changes) and attempt (whether to send now)."""
+#: What the states' transitions set; a delivery that lacks one of these fields gets it.
+DELIVERY = {"startTime": "timestamp", "endTime": "timestamp", "state": "string", "attempts": "int", "leaseExpireTime": "timestamp", "error": "string", "expireAt": "timestamp"}
+
+
+def delivery_of(df: DataFrame) -> Column:
+    """The delivery with all fields of its own and of DELIVERY, so that a change of one keeps the rest."""
+    kind = df.schema["delivery"].dataType.names
     d = F.col("delivery")
-    state = d["state"]
-    expire = expire_at(now, *ttl) if ttl else F.lit(None).cast("timestamp")
-    lease = now + F.expr(LEASE)
+    own = [F.col("delivery")[n].cast(DELIVERY[n]).alias(n) if n in DELIVERY else F.col("delivery")[n].alias(n) for n in kind]
+    return F.when(d.isNotNull(), F.struct(*own, *(F.lit(None).cast(t).alias(n) for n, t in DELIVERY.items() if n not in kind)))
 
-    def made(name: str, attempts: Column, lease_at: Column, error: Column, expires: Column) -> Column:
-        return F.struct(F.lit(name).alias("state"), attempts.cast("int").alias("attempts"), lease_at.cast("timestamp").alias("leaseExpireTime"), error.cast("string").alias("error"), expires.cast("timestamp").alias("expireAt"))
 
-    none = F.lit(None)
-    start = made("PENDING", F.lit(0), none, none, expire)
-    run = made("PROCESSING", d["attempts"], lease, d["error"], none)
-    lost = made("ERROR", d["attempts"], d["leaseExpireTime"], F.lit("Message processing lease expired."), none)
-    after = F.when(d.isNull(), start).when(state.isin("PENDING", "RETRY"), run).when((state == "PROCESSING") & (d["leaseExpireTime"] < now), lost)
+def sendable(df: DataFrame) -> Column:
+    """Whether there is anything to send: a message, a template or sendGrid."""
+    held = F.lit(False)
+    for c in ("message", "template", "sendGrid"):
+        if _has(df, c):
+            held = held | F.col(c).isNotNull()
+    return held
+
+
+def mail_transition(df: DataFrame, now: Column, ttl: tuple[str, int] | None = None) -> DataFrame:
+    """Adds next (the delivery that follows, NULL if nothing changes) and attempt (whether to send now).
+
+    A new document starts as PENDING if it has anything to send, with an expiry if there is a ttl. PENDING
+    and RETRY are taken up with a lease; a lease that ran out is an ERROR. All other fields stay.
+    """
+    d = delivery_of(df)
+    state = F.col("delivery")["state"]
+    names = [f.name for f in df.select(d.alias("d")).schema["d"].dataType.fields]
+    kinds = {f.name: f.dataType for f in df.select(d.alias("d")).schema["d"].dataType.fields}
+    expire = expire_at(now, *ttl) if ttl else F.lit(None).cast("timestamp")
+    begun = {"startTime": now.cast("timestamp"), "state": F.lit("PENDING"), "attempts": F.lit(0), "expireAt": expire}
+    start = F.struct(*(begun.get(n, F.lit(None)).cast(kinds[n]).alias(n) for n in names))
+    run = d.withField("state", F.lit("PROCESSING")).withField("leaseExpireTime", (now + F.expr(LEASE)).cast("timestamp"))
+    lost = d.withField("state", F.lit("ERROR")).withField("error", F.lit(LEASE_ERROR))
+    fresh = F.col("delivery").isNull() & sendable(df)
+    after = F.when(fresh, start).when(state.isin("PENDING", "RETRY"), run).when((state == "PROCESSING") & (F.col("delivery")["leaseExpireTime"] < now), lost)
     return df.withColumn("next", after).withColumn("attempt", F.coalesce(state.isin("PENDING", "RETRY"), F.lit(False)))
 
 
-def deliver(df: DataFrame, fn: Batch) -> DataFrame:
-    """mail_id, delivery after sending: SUCCESS with the sender's info, or ERROR with its message; one attempt more, no lease."""
+def deliver(df: DataFrame, fn: Batch, now: Column | None = None) -> DataFrame:
+    """mail_id, delivery after sending the mail that is PROCESSING; mail in other states is not sent.
+
+    fn gets a batch with mail_id, message (JSON), to, cc and bcc, and returns what the transport says of
+    each. If a batch fails, its mail is sent one by one, and those that fail again have the error; mail
+    without a recipient is an error without being sent. SUCCESS or ERROR, one attempt more, no lease, and
+    the time; all other fields stay.
+    """
+    schema = "mail_id long, state string, info string, error string"
+
+    def one_by_one(batch: pd.DataFrame) -> Iterator[tuple[str, str | None, str | None]]:
+        for i in range(len(batch)):
+            try:
+                yield "SUCCESS", str(list(fn(batch.iloc[i : i + 1]))[0]), None
+            except Exception as e:  # noqa: BLE001  the sender may raise anything; it becomes the mail's error
+                yield "ERROR", None, str(e)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
-            for i in range(len(batch)):
-                one = batch.iloc[i : i + 1]
-                try:
-                    rows.append(("SUCCESS", str(fn(one).iloc[0]), None))
-                except Exception as e:  # noqa: BLE001  the sender may raise anything; it becomes the mail's error
-                    rows.append(("ERROR", None, str(e)))
-            yield pd.DataFrame({"mail_id": batch["mail_id"], "state": [r[0] for r in rows], "info": [r[1] for r in rows], "error": [r[2] for r in rows], "attempts": batch["attempts"].fillna(0).astype("int32") + 1})
-
-    source = df.select("mail_id", F.to_json("message").alias("message"), "to", F.coalesce(F.col("delivery")["attempts"], F.lit(0)).alias("attempts"))
-    sent = source.mapInPandas(run, "mail_id long, state string, info string, error string, attempts int")
-    return sent.select("mail_id", F.struct("state", "attempts", F.lit(None).cast("timestamp").alias("leaseExpireTime"), "info", "error").alias("delivery"))
+            nobody = batch["n"] == 0
+            for part, rows in ((batch[nobody], [("ERROR", None, NOBODY)] * int(nobody.sum())), (batch[~nobody].drop(columns="n"), None)):
+                if not len(part):
+                    continue
+                if rows is None:
+                    try:
+                        rows = [("SUCCESS", str(x), None) for x in fn(part)]
+                    except Exception:  # noqa: BLE001  told apart row by row
+                        rows = list(one_by_one(part))
+                yield pd.DataFrame({"mail_id": part["mail_id"].to_numpy(), "state": [r[0] for r in rows], "info": [r[1] for r in rows], "error": [r[2] for r in rows]})
+
+    none = F.array().cast("array<string>")
+    lists = [(F.coalesce(c, none) if _has(df, c) else none).alias(c) for c in DIRECT]
+    due = df.where(F.col("delivery")["state"] == "PROCESSING")
+    source = due.select("mail_id", F.to_json("message").alias("message"), *lists).withColumn("n", F.size("to") + F.size("cc") + F.size("bcc"))
+    sent = source.mapInPandas(run, schema).withColumnsRenamed({"state": "s_state", "info": "s_info", "error": "s_error"})
+    held = delivery_of(df)
+    made = held.withField("state", F.col("s_state")).withField("info", F.col("s_info")).withField("error", F.col("s_error"))
+    made = made.withField("attempts", F.coalesce(F.col("delivery")["attempts"], F.lit(0)).cast("int") + 1).withField("leaseExpireTime", F.lit(None).cast("timestamp"))
+    made = made.withField("endTime", now if now is not None else F.current_timestamp())
+    return due.select("mail_id", "delivery").join(sent, "mail_id").select("mail_id", made.alias("delivery"))
+
+
+NOBODY = "Failed to deliver email. Expected at least 1 recipient."
 
 
 def expired_mail(df: DataFrame, now: Column) -> DataFrame:

@@ -61,6 +61,6 @@ def limit_first(df: DataFrame, n: int, order: str = "path") -> DataFrame:
 
 def sample_docs(df: DataFrame, n: int, seed: int, key: str = "path") -> DataFrame:
     """n documents from a random start in an order that the seed sets; wraps round at the end."""
-    start = F.xxhash64(F.lit(seed))
-    place = F.xxhash64(F.col(key), F.lit(seed))
+    start = F.md5(F.lit(str(seed)).cast("binary"))
+    place = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key)).cast("binary"))
     return df.orderBy(place < start, place, key).limit(n)

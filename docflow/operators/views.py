@@ -188,12 +188,24 @@ def _fields_of(schema: str) -> tuple[Field, ...]:
 
 
 def register_functions(spark) -> None:
-    """doc_number(data, field), doc_boolean(data, field) and doc_string(data, field) as SQL functions of the session."""
-    scalar = "CASE WHEN schema_of_variant(try_variant_get(try_parse_json(data), concat('$.', field), 'variant')) NOT RLIKE '^(OBJECT|ARRAY|VOID)' THEN try_variant_get(try_parse_json(data), concat('$.', field), 'string') END"
+    """The extraction functions as SQL functions of the session, each of (data, field).
+
+    doc_string, doc_number, doc_boolean, doc_timestamp, doc_geopoint and doc_array agree with
+    functions.extract; field is a name at the top of the document.
+    """
+    value = "try_variant_get(try_parse_json(data), concat('$[\"', field, '\"]'), 'variant')"
+    scalar = lambda v: f"CASE WHEN schema_of_variant({v}) NOT RLIKE '^(OBJECT|ARRAY|VOID)' THEN try_variant_get({v}, '$', 'string') END"
+    part = lambda n: scalar(f"try_variant_get({value}, '$.{n}', 'variant')")
+    seconds, nanos = f"try_cast({part('_seconds')} AS BIGINT)", f"try_cast({part('_nanoseconds')} AS DOUBLE)"
+    lat, lon = (f"try_cast({part(n)} AS DECIMAL(38,9))" for n in ("_latitude", "_longitude"))
+    text = "coalesce(try_variant_get(x, '$', 'string'), 'null')"
     bodies = {
-        "doc_string": ("STRING", scalar),
-        "doc_number": ("DECIMAL(38,9)", f"try_cast({scalar} AS DECIMAL(38,9))"),
-        "doc_boolean": ("BOOLEAN", f"CASE lower({scalar}) WHEN 'true' THEN true WHEN 'false' THEN false END"),
+        "doc_string": ("STRING", scalar(value)),
+        "doc_number": ("DECIMAL(38,9)", f"try_cast({scalar(value)} AS DECIMAL(38,9))"),
+        "doc_boolean": ("BOOLEAN", f"CASE lower({scalar(value)}) WHEN 'true' THEN true WHEN 'false' THEN false END"),
+        "doc_timestamp": ("TIMESTAMP", f"CASE WHEN abs({seconds}) < 9000000000000 THEN timestamp_millis({seconds} * 1000L + CAST(round({nanos} / 1e6) AS BIGINT)) END"),
+        "doc_geopoint": ("STRUCT<longitude: DECIMAL(38,9), latitude: DECIMAL(38,9)>", f"CASE WHEN {lat} IS NOT NULL AND {lon} IS NOT NULL THEN named_struct('longitude', {lon}, 'latitude', {lat}) END"),
+        "doc_array": ("ARRAY<STRING>", f"coalesce(transform(try_variant_get({value}, '$', 'array<variant>'), x -> {text}), array())"),
     }
     for name, (kind, body) in bodies.items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(data STRING, field STRING) RETURNS {kind} RETURN {body}")

@@ -238,9 +238,11 @@ def imported(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("document_name", "document_id", "operation", "event_id", F.unix_micros("timestamp").alias("ts_us"), F.get_json_object("path_params", "$.customer").alias("customer"))
 
 
-@query("S04", f"WITH {TREE} SELECT path FROM tree WHERE path LIKE 'customers/%/orders/%'")
-def group_scan(spark: SparkSession, d: str) -> DataFrame:
-    return capture.scan_collection_group(fx.tree(spark, d), "orders").select("path")
+@query("S04", f"WITH {TREE} SELECT path, 'group' AS how FROM tree WHERE path LIKE 'customers/%/orders/%' UNION ALL SELECT path, 'collection' FROM tree WHERE regexp_matches(path, '^regions/1/nations/[^/]+$')")
+def scans(spark: SparkSession, d: str) -> DataFrame:
+    t = fx.tree(spark, d)
+    group = capture.scan_collection_group(t, "orders").select("path", F.lit("group").alias("how"))
+    return group.unionByName(capture.scan_collection(t, "regions/1/nations").select("path", F.lit("collection").alias("how")))
 
 
 @query("S05", f"WITH {TREE} SELECT path FROM tree WHERE path >= 'customers/2' AND path < 'customers/5' ORDER BY path LIMIT 100")
@@ -305,9 +307,11 @@ def both_logs(spark: SparkSession, d: str) -> DataFrame:
     return capture.union_imports(fx.changelog(spark, d), rows).groupBy("operation").agg(F.count("*").alias("n"))
 
 
-@query("Q09", f"WITH {TREE} SELECT path FROM tree ORDER BY path LIMIT 50")
-def first_docs(spark: SparkSession, d: str) -> DataFrame:
-    return retention.limit_first(fx.tree(spark, d), 50).select("path")
+@query("Q09", f"WITH {TREE} SELECT * FROM (SELECT path, 'first' AS how FROM tree ORDER BY path LIMIT 50) UNION ALL SELECT * FROM (SELECT path, 'sample' FROM tree ORDER BY md5('7:' || path) < md5('7'), md5('7:' || path), path LIMIT 50)")
+def few_docs(spark: SparkSession, d: str) -> DataFrame:
+    t = fx.tree(spark, d)
+    first = retention.limit_first(t, 50).select("path", F.lit("first").alias("how"))
+    return first.unionByName(retention.sample_docs(t, 50, 7).select("path", F.lit("sample").alias("how")))
 
 
 @query("F18", "SELECT o_orderkey, epoch_us(CAST(o_orderdate AS TIMESTAMP) + INTERVAL 2 WEEK) AS weeks_us, epoch_us(CAST(o_orderdate AS TIMESTAMP) + INTERVAL 1 MONTH) AS month_us FROM orders")

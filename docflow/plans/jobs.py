@@ -149,13 +149,12 @@ def erased_tree(spark: SparkSession, d: str) -> DataFrame:
     return erase.erase_tree(n, gone(spark, d), "rooms/{UID}").select("user_id", "event_id")
 
 
-@query("D06", f"WITH {TREE}, {GONE}, {FOUND}, v AS (SELECT DISTINCT uid, path, contains(path, uid) AS valid FROM hits) SELECT uid, count(*) FILTER (WHERE valid) AS n_valid, count(*) FILTER (WHERE NOT valid) AS n_invalid FROM v GROUP BY 1")
+@query("D06", f"WITH {TREE}, {GONE}, {FOUND} SELECT DISTINCT uid, path, 'document' AS kind FROM hits")
 def audited(spark: SparkSession, d: str) -> DataFrame:
-    t = fx.tree(spark, d)
-    return erase.erasure_audit(erase.erasable(erase.discover(t, gone(spark, d), ["owner"]).select("uid", "path").distinct(), t, []))
+    return erase.erasure_audit(fx.tree(spark, d), gone(spark, d), ["owner"])
 
 
-@query("J07", f"WITH {TREE}, {GONE}, {FOUND} SELECT path FROM tree WHERE path NOT IN (SELECT path FROM hits)")
+@query("J07", f"WITH {TREE}, {GONE}, {FOUND}, parts AS (SELECT path, unnest([array_to_string(string_split(path, '/')[1:n], '/') for n in [2, 4, 6] if n <= len(string_split(path, '/'))]) AS p FROM tree) SELECT path FROM tree WHERE path NOT IN (SELECT path FROM parts WHERE p IN (SELECT path FROM hits))")
 def without_users(spark: SparkSession, d: str) -> DataFrame:
     return erase.erase_users(fx.tree(spark, d), gone(spark, d), ["owner"]).select("path")
 
@@ -261,10 +260,14 @@ def shortened(spark: SparkSession, d: str) -> DataFrame:
     return enrich.enrich_urls(fx.table(spark, d, "pages").select("page_id", "url"), shorten).select("page_id", "short_url")
 
 
-@query("T08", "SELECT c_custkey, upper(c_name) AS upper FROM customer WHERE c_custkey % 3 <> 0")
+@query("T08", "SELECT c_custkey, upper(c_name) AS upper, how FROM customer, (VALUES ('backfill'), ('stream')) t(how) WHERE c_custkey % 3 <> 0")
 def uppercased(spark: SparkSession, d: str) -> DataFrame:
+    from docflow.streaming.streams import uppercase_stream
+
     c = fx.table(spark, d, "customer").select("c_custkey", F.col("c_name").alias("original"), F.when(F.col("c_custkey") % 3 == 0, "done").alias("upper"))
-    return enrich.uppercase_backfill(c, per_pass=None).select("c_custkey", "upper")
+    streamed = run_stream(spark, c, "parquet", lambda df, sink, at: uppercase_stream(df, at, sink))
+    every = enrich.uppercase_backfill(c, per_pass=None).select("c_custkey", "upper", F.lit("backfill").alias("how"))
+    return every.unionByName(streamed.select("c_custkey", "upper", F.lit("stream").alias("how")))
 
 
 @query("F24", "SELECT conv_id, turn, upper(replace(text, 'ß', 'ss')) AS upper FROM conversations")
@@ -335,13 +338,17 @@ def cleaned(spark: SparkSession, d: str) -> DataFrame:
     return objects.cleanup_plan(outcomes(spark, d), "on_success")
 
 
-@query("S14", "SELECT p_partkey AS object_id, CAST(p_size AS VARCHAR) AS size, '' AS none FROM part")
-def metadata_text(spark: SparkSession, d: str) -> DataFrame:
-    from docflow.sources.tables import text_metadata
+@query("S14", "SELECT p_size AS object_id, CAST(sum(length(p_name) + 1) AS VARCHAR) AS size, '' AS none FROM part WHERE p_name IS NOT NULL GROUP BY 1")
+def listed(spark: SparkSession, d: str) -> DataFrame:
+    """Objects that Spark writes, listed, and their sizes as text metadata."""
+    from docflow.sources.tables import scan_objects, text_metadata
 
-    p = fx.table(spark, d, "part").select(F.col("p_partkey").alias("object_id"), F.create_map(F.lit("size"), F.col("p_size").cast("bigint"), F.lit("none"), F.lit(None).cast("bigint")).alias("m"))
-    t = p.select("object_id", text_metadata("m").alias("m"))
-    return t.select("object_id", F.col("m")["size"].alias("size"), F.col("m")["none"].alias("none"))
+    path = landing(spark, "objects")
+    fx.table(spark, d, "part").where("p_name IS NOT NULL").select("p_size", "p_name").write.partitionBy("p_size").text(path)
+    found = scan_objects(spark, f"{path}/*/*.txt").select(F.regexp_extract("name", r"p_size=(\d+)/", 1).cast("int").alias("object_id"), "size")
+    sums = found.groupBy("object_id").agg(F.sum("size").alias("size"))
+    made = sums.select("object_id", text_metadata(F.create_map(F.lit("size"), "size", F.lit("none"), F.lit(None).cast("bigint"))).alias("m"))
+    return made.select("object_id", F.col("m")["size"].alias("size"), F.col("m")["none"].alias("none"))
 
 
 # Mail.
@@ -410,10 +417,10 @@ def all_lists(spark: SparkSession, d: str) -> DataFrame:
 NOW = "1997-01-01 00:00:00"
 
 
-@query("M02", f"WITH {MAIL} SELECT k AS mail_id, CASE k % 6 WHEN 0 THEN 'PENDING' WHEN 1 THEN 'PROCESSING' WHEN 3 THEN 'PROCESSING' WHEN 2 THEN CASE WHEN CAST(placed AS TIMESTAMP) < TIMESTAMP '{NOW}' THEN 'ERROR' END END AS next, k % 6 IN (1, 3) AS attempt, CASE WHEN k % 6 IN (1, 3) THEN epoch_us(TIMESTAMP '{NOW}') + 60000000 WHEN k % 6 = 2 AND CAST(placed AS TIMESTAMP) < TIMESTAMP '{NOW}' THEN epoch_us(CAST(placed AS TIMESTAMP)) END AS lease_us FROM m")
+@query("M02", f"WITH {MAIL} SELECT k AS mail_id, CASE k % 6 WHEN 0 THEN CASE WHEN has_message OR template IS NOT NULL THEN 'PENDING' END WHEN 1 THEN 'PROCESSING' WHEN 3 THEN 'PROCESSING' WHEN 2 THEN CASE WHEN CAST(placed AS TIMESTAMP) < TIMESTAMP '{NOW}' THEN 'ERROR' END END AS next, k % 6 IN (1, 3) AS attempt, CASE WHEN k % 6 IN (1, 3) THEN epoch_us(TIMESTAMP '{NOW}') + 60000000 WHEN k % 6 = 2 AND CAST(placed AS TIMESTAMP) < TIMESTAMP '{NOW}' THEN epoch_us(CAST(placed AS TIMESTAMP)) END AS lease_us, CASE WHEN k % 6 = 0 AND (has_message OR template IS NOT NULL) THEN epoch_us(TIMESTAMP '{NOW}' + INTERVAL 3 DAY) WHEN k % 6 IN (1, 3) OR (k % 6 = 2 AND CAST(placed AS TIMESTAMP) < TIMESTAMP '{NOW}') THEN epoch_us(CAST(placed AS TIMESTAMP) + INTERVAL 9 DAY) END AS expire_us, CASE WHEN k % 6 = 0 AND (has_message OR template IS NOT NULL) THEN epoch_us(TIMESTAMP '{NOW}') END AS start_us FROM m")
 def transitions(spark: SparkSession, d: str) -> DataFrame:
     t = mail.mail_transition(fx.mail(spark, d), F.lit(NOW).cast("timestamp"), ("day", 3))
-    return t.select("mail_id", F.col("next.state").alias("next"), "attempt", F.unix_micros("next.leaseExpireTime").alias("lease_us"))
+    return t.select("mail_id", F.col("next.state").alias("next"), "attempt", F.unix_micros("next.leaseExpireTime").alias("lease_us"), F.unix_micros("next.expireAt").alias("expire_us"), F.unix_micros("next.startTime").alias("start_us"))
 
 
 @query("M03", f"WITH {MAIL} SELECT k AS mail_id, CASE WHEN template = 'receipt' THEN 'Receipt ' || status WHEN has_message THEN subject END AS subject, coalesce(template = 'gone', FALSE) AS unknown, NOT (k % 4 = 0 OR k % 9 = 0 OR (by_uid AND (a.c IS NOT NULL OR b.c IS NOT NULL)) OR (k % 8 = 0 AND g.c IS NOT NULL)) AS nobody FROM m LEFT JOIN u a ON a.c = m.c LEFT JOIN u b ON b.c = m.c + 1 LEFT JOIN u g ON g.c = m.c + 2")
@@ -422,14 +429,18 @@ def prepared(spark: SparkSession, d: str) -> DataFrame:
     return p.select("mail_id", F.col("message.subject").alias("subject"), F.array_contains("errors", "unknown template gone").alias("unknown"), F.array_contains("errors", "no recipient after resolution").alias("nobody"))
 
 
-@query("M04", "SELECT o_orderkey AS mail_id, CASE WHEN o_orderkey % 6 = 1 THEN 'ERROR' ELSE 'SUCCESS' END AS state, 1 AS attempts FROM orders")
+@query("M04", f"WITH {MAIL}, p AS (SELECT k, k % 4 = 0 AS direct, k % 9 = 0 AS copied, placed FROM m WHERE k % 6 = 2) SELECT k AS mail_id, CASE WHEN NOT direct AND NOT copied THEN 'ERROR' WHEN k % 5 = 1 THEN 'ERROR' ELSE 'SUCCESS' END AS state, 1 AS attempts, CASE WHEN (direct OR copied) AND k % 5 <> 1 THEN CAST(CAST(direct AS INT) AS VARCHAR) || ':' || CAST(2 * CAST(copied AS INT) AS VARCHAR) || ':0' END AS info, CASE WHEN NOT direct AND NOT copied THEN 'Failed to deliver email. Expected at least 1 recipient.' WHEN k % 5 = 1 THEN 'refused' END AS error, epoch_us(TIMESTAMP '{NOW}') AS end_us, epoch_us(CAST(placed AS TIMESTAMP) + INTERVAL 9 DAY) AS expire_us, CAST(NULL AS BIGINT) AS lease_us FROM p")
 def delivered(spark: SparkSession, d: str) -> DataFrame:
-    def send(one):
-        if one["mail_id"].iloc[0] % 6 == 1:
+    """The sender tells how many recipients of each kind it was given; it refuses some mail."""
+
+    def send(batch):
+        if (batch["mail_id"] % 5 == 1).any():
             raise ValueError("refused")
-        return one["mail_id"].astype(str)
+        return batch["to"].str.len().astype(str) + ":" + batch["cc"].str.len().astype(str) + ":" + batch["bcc"].str.len().astype(str)
 
-    return mail.deliver(fx.mail(spark, d), send).select("mail_id", "delivery.state", "delivery.attempts")
+    sent = mail.deliver(fx.mail(spark, d), send, F.lit(NOW).cast("timestamp"))
+    us = lambda c: F.unix_micros(f"delivery.{c}")
+    return sent.select("mail_id", "delivery.state", "delivery.attempts", "delivery.info", "delivery.error", us("endTime").alias("end_us"), us("expireAt").alias("expire_us"), us("leaseExpireTime").alias("lease_us"))
 
 
 @query("M05", "SELECT o_orderkey AS mail_id, CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE 0 END AS n FROM orders")
@@ -501,15 +512,20 @@ def registered(spark: SparkSession, d: str) -> DataFrame:
     return spark.table("users_raw_changelog").groupBy("operation").agg(F.count("*").alias("n"))
 
 
-@query("N10", "SELECT name, n FROM (SELECT 'big' AS name, count(*) AS n FROM orders WHERE o_totalprice >= 200000 UNION ALL SELECT 'open', count(*) FROM orders WHERE o_orderstatus = 'O')")
+@query("N10", "SELECT name, n, TRUE AS fresh, FALSE AS late, FALSE AS early FROM (SELECT 'big' AS name, count(*) AS n FROM orders WHERE o_totalprice >= 200000 UNION ALL SELECT 'open', count(*) FROM orders WHERE o_orderstatus = 'O')")
 def bundle(spark: SparkSession, d: str) -> DataFrame:
-    from docflow.operators.named import materialize, named_query
+    from docflow.operators.named import fresh, materialize, named_query
 
     o = fx.table(spark, d, "orders").select("o_orderkey", F.col("o_totalprice").cast("double").alias("total"), F.col("o_orderstatus").alias("status"))
     path = landing(spark, "bundle")
     materialize({"big": named_query(o, {"conditions": [{"where": ["total", ">=", 200000]}]}), "open": named_query(o, {"conditions": [{"where": ["status", "==", "O"]}]})}, path)
     counted = [spark.read.parquet(f"{path}/{n}").agg(F.lit(n).alias("name"), F.count("*").alias("n")) for n in ("big", "open")]
-    return counted[0].unionByName(counted[1])
+    both = counted[0].unionByName(counted[1])
+    # Whether the results may be used: as of then, long after, and if only later ones count.
+    cached = spark.read.parquet(f"{path}/big")
+    for name, window in {"fresh": ("2001-01-01", "1 HOUR"), "late": ("2999-01-01", "1 HOUR"), "early": ("2001-01-01", "1 HOUR", "2999-01-01")}.items():
+        both = both.crossJoin(fresh(cached, *window).withColumnRenamed("fresh", name))
+    return both
 
 
 @query("S01", f"WITH {CHANGELOG} SELECT operation, count(*) AS n FROM changelog GROUP BY 1")
@@ -525,7 +541,9 @@ def streamed_changelog(spark: SparkSession, d: str) -> DataFrame:
     path = F.concat(F.lit("users/"), "document_id")
     changes = fx.changelog(spark, d).select("timestamp", "event_id", path.alias("before_path"), path.alias("after_path"), F.lit(None).cast("string").alias("before"), F.col("data").alias("after"))
     out = landing(spark, "r01")
-    run_stream(spark, changes.unionByName(changes), "parquet", lambda df, sink, at: stream_changelog(df, at, out, "demo"))
+    # The later half of the events arrives first, and half of those once more with the rest.
+    late = F.col("event_id").cast("long") % 2 == 0
+    run_stream(spark, [changes.where(~late), changes.where(late).unionByName(changes.where(F.col("event_id").cast("long") % 4 == 1))], "parquet", lambda df, sink, at: stream_changelog(df, at, out, "demo"))
     return spark.read.parquet(out).select("document_name", "event_id")
 
 
@@ -536,8 +554,12 @@ LATEST = f"WITH {CHANGELOG} SELECT document_name, document_id, operation, epoch_
 def streamed_latest(spark: SparkSession, d: str) -> DataFrame:
     from docflow.streaming.streams import stream_latest
 
-    rows = run_stream(spark, fx.changelog(spark, d), "parquet", lambda df, sink, at: stream_latest(df, at, sink))
-    return shown(latest.latest_incremental(rows))
+    log = fx.changelog(spark, d)
+    late = F.pmod(F.xxhash64("event_id"), F.lit(3)) == 0
+    rows = run_stream(spark, [log.where(~late), log.where(late)], "parquet", lambda df, sink, at: stream_latest(df, at, sink))
+    # Each document's last output.
+    last = rows.groupBy("document_name").agg(F.max_by(F.struct(*(c for c in rows.columns if c not in ("document_name", "_batch"))), "_batch").alias("r"))
+    return shown(last.select("document_name", "r.*"))
 
 
 @query("R08", LATEST)
@@ -566,12 +588,27 @@ def streamed_trim(spark: SparkSession, d: str) -> DataFrame:
     return run_stream(spark, c, "parquet", lambda df, sink, at: stream_keep_last_n(df, at, 5, sink)).select("parent", "key")
 
 
-@query("R05", "SELECT o_orderkey AS mail_id, CASE o_orderkey % 6 WHEN 0 THEN 'PENDING' WHEN 2 THEN 'ERROR' ELSE 'PROCESSING' END AS next FROM orders WHERE o_orderkey % 6 < 4")
+@query("R05", "SELECT o_orderkey AS mail_id, CASE WHEN o_orderkey % 3 = 0 THEN 'SUCCESS' ELSE 'ERROR' END AS state, CASE WHEN o_orderkey % 3 = 2 THEN 0 ELSE 1 END AS attempts, CASE WHEN o_orderkey % 3 = 2 THEN 'Message processing lease expired.' END AS error FROM orders")
 def streamed_mail(spark: SparkSession, d: str) -> DataFrame:
+    """All mail starts, a third is sent and a third fails; the leases of the rest run out by their timers.
+
+    What is told of mail that was sent already changes nothing.
+    """
     from docflow.streaming.streams import stream_mail
 
-    rows = run_stream(spark, fx.mail(spark, d), "parquet", lambda df, sink, at: stream_mail(df, at, sink))
-    return rows.select("mail_id", F.col("next.state").alias("next"))
+    o = fx.table(spark, d, "orders").select(F.col("o_orderkey").alias("mail_id"))
+    events = F.when(F.col("mail_id") % 3 == 0, F.array(F.lit("start"), F.lit("sent"))).when(F.col("mail_id") % 3 == 1, F.array(F.lit("start"), F.lit("failed"))).otherwise(F.array(F.lit("start")))
+    told = o.select("mail_id", F.posexplode(events).alias("seq", "event"))
+    again = o.where("mail_id % 3 = 0").select("mail_id", F.lit(9).alias("seq"), F.lit("failed").alias("event"))
+    # Batches without data would follow one another for as long as the stream runs, as time goes on.
+    key = "spark.sql.streaming.noDataMicroBatches.enabled"
+    held = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        rows = run_stream(spark, [told, again], "parquet", lambda df, sink, at: stream_mail(df, at, sink, lease_ms=1))
+    finally:
+        spark.conf.set(key, held)
+    return rows.groupBy("mail_id").agg(F.max_by(F.struct("state", "attempts", "error"), "_batch").alias("r")).select("mail_id", "r.*")
 
 
 @query("R06", "SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(event_id % 5 + 1 AS INT) AS attempts FROM events WHERE event_id % 5 < 3")

@@ -170,9 +170,11 @@ def counts(spark: SparkSession, d: str) -> DataFrame:
     return retention.max_index_per_doc(view, "items").select("document_name", F.col("max_index").cast("bigint").alias("max_index"))
 
 
-@query("X01", "SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(38, 9)) AS total, o_orderkey % 2 = 0 AS even FROM orders")
+@query("X01", f"SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(38, 9)) AS total, o_orderkey % 2 = 0 AS even, epoch_us(CAST(o_orderdate AS TIMESTAMP)) AS placed_us, CAST(o_custkey % 90 AS DECIMAL(38, 9)) AS latitude, CAST(o_custkey % 180 AS DECIMAL(38, 9)) AS longitude, coalesce(items, '') AS items FROM orders LEFT JOIN (SELECT document_id, string_agg(CAST(l_partkey AS VARCHAR), ',' ORDER BY i) AS items FROM ({LINES}) GROUP BY 1) ON document_id = CAST(o_orderkey AS VARCHAR)")
 def sql_functions(spark: SparkSession, d: str) -> DataFrame:
     """The extraction functions as SQL functions of a session."""
     views.register_functions(spark)
     fx.order_docs(spark, d).createOrReplaceTempView("order_docs_x01")
-    return spark.sql("SELECT CAST(document_id AS BIGINT) AS o_orderkey, doc_number(data, 'total') AS total, doc_boolean(data, 'even') AS even FROM order_docs_x01")
+    return spark.sql("""SELECT CAST(document_id AS BIGINT) AS o_orderkey, doc_number(data, 'total') AS total, doc_boolean(data, 'even') AS even,
+        unix_micros(doc_timestamp(data, 'placed')) AS placed_us, doc_geopoint(data, 'loc').latitude AS latitude, doc_geopoint(data, 'loc').longitude AS longitude,
+        array_join(doc_array(data, 'items'), ',') AS items FROM order_docs_x01""")

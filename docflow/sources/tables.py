@@ -91,7 +91,7 @@ def scan_objects(spark: SparkSession, glob: str) -> DataFrame:
     return files.select(F.col("path").alias("name"), F.col("length").alias("size"), F.col("modificationTime").alias("updated"))
 
 
-def text_metadata(metadata: str) -> F.Column:
+def text_metadata(metadata: str | F.Column) -> F.Column:
     """Object metadata with every value as text, null as ''."""
     return F.transform_values(metadata, lambda _, v: F.coalesce(v.cast("string"), F.lit("")))
 

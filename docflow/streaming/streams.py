@@ -161,7 +161,7 @@ class MailLease(StatefulProcessor):
         self.state.update((state, attempts))
         yield self._row(key, state, attempts, None)
 
-    def handleExpiredTimer(self, key, timers, expired) -> Iterator[pd.DataFrame]:  # noqa: N802
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         state, attempts = tuple(self.state.get())
         if state == "PROCESSING":
             self.state.update(("ERROR", attempts))
@@ -175,7 +175,8 @@ def stream_mail(events: DataFrame, checkpoint: str, sink: Callable[[DataFrame, i
     """Delivery states of mail as events(mail_id, seq, event) arrive: start, sent, failed, retry.
 
     Mail whose lease runs out while it is PROCESSING becomes an ERROR by its own timer, without any
-    further event. The sink gets each change: mail_id, state, attempts, error.
+    further event; timers are looked at in each batch, so a stream that is to notice them without new
+    events runs with a processing-time trigger. The sink gets each change: mail_id, state, attempts, error.
     """
     spark = events.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from docflow.functions import extract as X
 from docflow.functions import paths
-from docflow.operators import capture, counters, enrich, latest, mail, named, objects, retention, views
+from docflow.operators import capture, counters, erase, enrich, latest, mail, named, objects, retention, views
 from docflow.sources import tables
 
 LOG = "document_name string, document_id string, timestamp timestamp, event_id string, operation string, data string"
@@ -101,10 +101,74 @@ def test_several_arrays_give_their_product(spark):
 def test_counter_conflicts_keep_the_later_kind(spark):
     rows = spark.createDataFrame([("c/x/_s_/1", '{"a": 3, "n": "no", "z": [1, 2]}'), ("c/x/_s_/2", '{"a": {"b": 2}}')], "shard_path string, data string")
     kept = counters.sum_leaves(counters.drop_overridden(counters.shard_leaves(rows)))
-    assert {(r.leaf, r.value) for r in kept.collect()} == {("a.b", 2.0), ("z.0", 1.0), ("z.1", 2.0)}
+    assert {(".".join(r.leaf), r.value) for r in kept.collect()} == {("a.b", 2.0), ("z.0", 1.0), ("z.1", 2.0)}
     turned = rows.withColumn("shard_path", F.translate("shard_path", "12", "21"))
     kept = counters.sum_leaves(counters.drop_overridden(counters.shard_leaves(turned)))
-    assert {(r.leaf, r.value) for r in kept.collect()} == {("a", 3.0), ("z.0", 1.0), ("z.1", 2.0)}
+    assert {(".".join(r.leaf), r.value) for r in kept.collect()} == {("a", 3.0), ("z.0", 1.0), ("z.1", 2.0)}
+
+
+def test_counter_leaves_at_any_depth_and_with_dots(spark):
+    deep = '{"a":' * 60 + "5" + "}" * 60
+    rows = spark.createDataFrame([("c/x/_s_/1", deep), ("c/x/_s_/2", '{"a.b": 1, "b": {"c": true, "d": null}}'), ("c/x/_s_/3", '{"b": {"b": 2}}'), ("c/x/_s_/4", None), ("c/x/_s_/5", "no json")], "shard_path string, data string")
+    assert {(tuple(r.leaf), r.value) for r in counters.shard_leaves(rows).collect()} == {(("a",) * 60, 5.0), (("a.b",), 1.0), (("b", "b"), 2.0)}
+
+
+def test_stored_numbers_give_way_to_objects(spark):
+    stored = spark.createDataFrame([("c/x", ["a"], 5.0), ("c/x", ["k"], 1.0), ("c/y", ["o", "p"], 2.0)], "counter string, leaf array<string>, value double")
+    update = spark.createDataFrame([("c/x", ["a", "b"], 3.0), ("c/y", ["o"], 4.0)], "counter string, leaf array<string>, value double")
+    assert {(r.counter, tuple(r.leaf), r.value) for r in counters.apply_counter(stored, update).collect()} == {("c/x", ("a", "b"), 3.0), ("c/x", ("k",), 1.0), ("c/y", ("o",), 4.0)}
+
+
+def test_erasure_takes_what_is_below_valid_hits(spark):
+    docs = spark.createDataFrame([("u/7", None), ("u/7/x/1", None), ("u/7/x/1/y/2", None), ("n/5", "7"), ("n/5/z/1", None), ("7/q", None), ("7/q/r/s", None), ("k/8", None)], "path string, owner string")
+    users = spark.createDataFrame([("7",)], "uid string")
+    assert {r.path for r in erase.erase_users(docs, users, ["owner"]).collect()} == {"k/8"}
+    assert {r.path for r in erase.erase_users(docs, users, ["owner"], mode="shallow").collect()} == {"u/7/x/1", "u/7/x/1/y/2", "n/5/z/1", "k/8"}
+    assert {(r.path, r.kind) for r in erase.erasure_audit(docs, users, ["owner"]).collect()} == {("u/7", "document"), ("n/5", "document"), ("7", "collection")}
+
+
+MAIL = "mail_id long, to array<string>, cc array<string>, message struct<subject:string>, delivery struct<state:string,attempts:int,leaseExpireTime:timestamp,error:string,expireAt:timestamp>"
+
+
+def test_mail_keeps_its_other_fields(spark):
+    import datetime as dt
+
+    at = dt.datetime(2024, 5, 1)
+    now = F.lit("2024-04-01").cast("timestamp")
+    df = spark.createDataFrame([(1, ["a"], None, ("s",), ("PENDING", 2, None, "e", at)), (2, ["a"], None, ("s",), ("PROCESSING", 0, dt.datetime(2024, 3, 1), None, at)), (3, ["a"], None, None, None), (4, ["a"], None, ("s",), None)], MAIL)
+    got = {r.mail_id: r.next for r in mail.mail_transition(df, now, ("day", 1)).collect()}
+    assert (got[1].state, got[1].attempts, got[1].error, got[1].expireAt) == ("PROCESSING", 2, "e", at)
+    assert (got[2].state, got[2].error, got[2].leaseExpireTime, got[2].expireAt) == ("ERROR", mail.LEASE_ERROR, dt.datetime(2024, 3, 1), at)
+    assert got[3] is None
+    assert (got[4].state, got[4].expireAt) == ("PENDING", dt.datetime(2024, 4, 2))
+
+
+def test_only_mail_in_process_is_sent(spark):
+    rows = [(1, ["a"], ["c", "d"], ("s",), ("PROCESSING", 1, None, "old", None)), (2, ["a"], None, ("s",), ("SUCCESS", 1, None, None, None)), (3, None, [], ("s",), ("PROCESSING", 0, None, None, None)), (4, ["bad"], None, ("s",), ("PROCESSING", 0, None, None, None)), (5, ["a"], None, ("s",), None)]
+
+    def send(batch):
+        if any("bad" in x for x in batch["to"]):
+            raise ValueError("refused")
+        return batch["to"].str.len() + 10 * batch["cc"].str.len()
+
+    got = {r.mail_id: r.delivery for r in mail.deliver(spark.createDataFrame(rows, MAIL), send).collect()}
+    assert {i: (d.state, d.attempts, d.info, d.error) for i, d in got.items()} == {1: ("SUCCESS", 2, "21", None), 3: ("ERROR", 1, None, mail.NOBODY), 4: ("ERROR", 1, None, "refused")}
+    assert all(d.endTime for d in got.values())
+
+
+def test_late_events_are_kept_and_repeated_ones_are_not(spark, tmp_path):
+    from docflow.streaming.streams import stream_changelog, written
+
+    def change(event_id, at):
+        return ("u/a", "u/a", "{}", '{"v":1}', event_id, at)
+
+    schema = "before_path string, after_path string, before string, after string, event_id string, timestamp string"
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for rows in ([change("1", "2024-01-02")], [change("2", "2024-01-01"), change("1", "2024-01-02"), change("2", "2024-01-01")]):
+        spark.createDataFrame(rows, schema).withColumn("timestamp", F.col("timestamp").cast("timestamp")).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(spark.read.parquet(source).schema).parquet(source)
+        stream_changelog(stream, str(tmp_path / "cp"), out, "p").awaitTermination()
+    assert sorted(r.event_id for r in written(spark, out).collect()) == ["1", "2"]
 
 
 @pytest.mark.parametrize(("shard", "level", "want"), [("12345678", 4, "\t1234"), ("12345678", 1, "\t\t\t\t1"), ("\t\t\t12", 2, "\t\t\t\t1"), ("\t1234", 4, "\t\t123")])
@@ -164,7 +228,10 @@ def test_template_rendering():
     assert mail.render_text("{{a}} {{{a}}} {{> foot}} {{none}}{{> no}}", {"a": "<&", "x": {"y": 1}}, partials, True) == "&lt;&amp; <& -1- "
     assert mail.render_text("{{a}}", {"a": "<&"}, partials, False) == "<&"
     assert mail.render_text(None, {}, partials, True) is None
-    assert "{{> self}}" in mail.render_text("{{> self}}", {}, partials, True)
+    chain = {f"p{i}": f"{{{{> p{i + 1}}}}}" for i in range(30)} | {"p30": "end"}
+    assert mail.render_text("{{> p0}}", {}, chain, True) == "end"
+    with pytest.raises(ValueError, match="itself"):
+        mail.render_text("{{> self}}", {}, partials, True)
 
 
 @pytest.mark.parametrize(
