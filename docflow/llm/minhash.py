@@ -46,7 +46,7 @@ LOOKS_ALIKE = 0.65
 SIMILARITY = 0.8
 #: Documents in a group of consecutive ones at least, groups at most, and cuts of the first pass over the ids.
 GROUP_ROWS, MOST_GROUPS, FIRST_CUTS = 5_000, 1_000_000, 1_000
-#: Bits of the filter that tells which texts are wanted for verification.
+#: Bits of the filter that tells which bands are shared and which texts are wanted for verification.
 FILTER_BITS = 1 << 26
 
 
@@ -250,7 +250,9 @@ def candidates(once: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
     band = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda j: F.xxhash64(j, F.substring("fp", j * BAND_BYTES + 1, F.lit(BAND_BYTES))))
     keyed = once.where("size > 0").select("node", F.explode(band).alias("key"))
     shared = settle(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "shared")
-    met = settle(spread_join(keyed, shared, ["key"], BANDS * once.count()), "met")
+    # Most keys are of one text alone.
+    met = filtered(keyed, "key", shared.select("key"))
+    met = settle(spread_join(met, shared, ["key"], BANDS * once.count()), "met")
     # Buckets of the same nodes have the same links: one of them is searched.
     same = met.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor("node").alias("x"), F.bit_xor(F.xxhash64("node")).alias("y"))
     buckets = settle(same.groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key", "n"), "buckets")
@@ -318,8 +320,8 @@ def verified(families: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     return families.repartition("root", "block").sortWithinPartitions("root", "block", "node").select("root", "block", "node", "text").mapInArrow(verify, "a long, b long")
 
 
-def filtered(source: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The rows of source whose text_key may be among the wanted keys, so that the others are not shuffled.
+def filtered(source: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """The rows of source whose hashed key may be among the wanted ones, so that the others are not shuffled.
 
     A bit for each key, FILTER_BITS in all, is what reaches the driver and the executors; with very many
     keys it lets more rows pass, and the join that follows is what decides.
@@ -335,7 +337,7 @@ def filtered(source: DataFrame, wanted: DataFrame) -> DataFrame:
         at = keys.to_numpy() & (FILTER_BITS - 1)
         return pd.Series((held.value[at >> 6] >> (at & 63) & 1).astype(bool))
 
-    return source.where(may_be("text_key"))
+    return source.where(may_be(key))
 
 
 def groups(documents: DataFrame, similarity: float = SIMILARITY, shard_rows: int = SHARD_ROWS, shard_shingles: int = SHARD_SHINGLES) -> DataFrame:
@@ -354,7 +356,7 @@ def groups(documents: DataFrame, similarity: float = SIMILARITY, shard_rows: int
     families = components(candidates(once, shard_rows)).join(once.select("node", "size", "one"), "node")
     families = settle(in_blocks(settle(families, "families"), ["root"], "node", "size", shard_shingles), "blocks")
     wanted = families.select("root", "block", "node", F.col("one.doc_id").alias("one_id"), F.col("one.text_key").alias("one_key"))
-    texts = filtered(source, wanted.select("one_key")).join(wanted, F.col("doc_id").eqNullSafe(F.col("one_id")) & (F.col("text_key") == F.col("one_key")))
+    texts = filtered(source, "text_key", wanted.select("one_key")).join(wanted, F.col("doc_id").eqNullSafe(F.col("one_id")) & (F.col("text_key") == F.col("one_key")))
     ids = named(once.select("node", "least_id", "n"), components(verified(texts, similarity)))
     told = spread_join(marked.select("doc_id", "text_key", "node"), ids, ["node"], marked.count())
     return told.select("doc_id", "text_key", F.col("component_id").alias("group_id"))
