@@ -126,23 +126,27 @@ def route_failed(objects: DataFrame, folder: str, filter_failed: Column | None =
 def screen_content(objects: DataFrame, fn: Batch | None, attempts: int = 3) -> DataFrame:
     """object_id, verdict: pass, placeholder or failed by a user's classifier (True: acceptable).
 
-    Without a classifier all pass; an object whose classifier raises in every attempt has failed.
+    Without a classifier all pass. The classifier gets whole batches; of a batch in which it raises, each
+    object alone, and one for which it raises in every attempt has failed.
     """
     if fn is None:
         return objects.select("object_id", F.lit("pass").alias("verdict"))
 
+    def judged(rows: pd.DataFrame, times: int) -> list[str] | None:
+        for _ in range(times):
+            try:
+                found = list(fn(rows))
+                if len(found) == len(rows):
+                    return ["pass" if bool(x) else "placeholder" for x in found]
+            except Exception:  # noqa: BLE001, S112  the user's function may raise anything; attempts are bounded
+                continue
+        return None
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            verdicts = []
-            for i in range(len(batch)):
-                verdict = "failed"
-                for _ in range(attempts):
-                    try:
-                        verdict = "pass" if bool(fn(batch.iloc[i : i + 1]).iloc[0]) else "placeholder"
-                        break
-                    except Exception:  # noqa: BLE001, S112  the user's function may raise anything; attempts are bounded
-                        continue
-                verdicts.append(verdict)
+            verdicts = judged(batch, 1)
+            if verdicts is None:
+                verdicts = [(judged(batch.iloc[i : i + 1], attempts) or ["failed"])[0] for i in range(len(batch))]
             yield pd.DataFrame({"object_id": batch["object_id"], "verdict": verdicts})
 
     return objects.select("object_id", "name", "contentType").mapInPandas(run, "object_id long, verdict string")

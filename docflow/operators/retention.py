@@ -10,13 +10,26 @@ def month_before(as_of: str) -> Column:
     return F.add_months(F.lit(as_of).cast("date"), -1).cast("timestamp")
 
 
+def _newest(log: DataFrame) -> DataFrame:
+    """document_name, newest (at, deleted): the last timestamp of each document and whether a deletion has it."""
+    deleted = F.coalesce(F.col("operation") == "DELETE", F.lit(False))
+    newest = log.where(F.col("timestamp").isNotNull()).groupBy("document_name").agg(F.max(F.struct(F.col("timestamp").alias("at"), deleted.alias("deleted"))).alias("_newest"))
+    return newest.withColumnRenamed("document_name", "_document")
+
+
+def _aged(log: DataFrame, cutoff: Column, drop_deletes: bool) -> tuple[DataFrame, Column]:
+    """The log beside its documents' newest versions, and whether a row is to go; rows without a document or a time stay."""
+    old = F.col("timestamp") != F.col("_newest.at")
+    if drop_deletes:
+        old = old | F.col("_newest.deleted")
+    joined = log.join(_newest(log), F.col("document_name") == F.col("_document"), "left")
+    return joined, F.coalesce((F.col("timestamp") < cutoff) & old, F.lit(False))
+
+
 def stale_versions(log: DataFrame, cutoff: Column, drop_deletes: bool = False) -> DataFrame:
     """(document_name, timestamp) of superseded rows before the cutoff; with drop_deletes, of last deletions too."""
-    newest = log.groupBy("document_name").agg(F.max("timestamp").alias("_newest"))
-    old = F.col("timestamp") != F.col("_newest")
-    if drop_deletes:
-        old = old | (F.col("operation") == "DELETE")
-    return log.where(F.col("timestamp") < cutoff).join(newest, "document_name").where(old).select("document_name", "timestamp").distinct()
+    joined, goes = _aged(log, cutoff, drop_deletes)
+    return joined.where(goes).select("document_name", "timestamp").distinct()
 
 
 def delete_matching(log: DataFrame, keys: DataFrame) -> DataFrame:
@@ -24,9 +37,15 @@ def delete_matching(log: DataFrame, keys: DataFrame) -> DataFrame:
     return log.join(keys.select("document_name", "timestamp"), ["document_name", "timestamp"], "left_anti")
 
 
+def _retained(log: DataFrame, as_of: str, drop_deletes: bool) -> DataFrame:
+    """The rows that stay, decided beside the newest versions, so that the log is joined once."""
+    joined, goes = _aged(log, month_before(as_of), drop_deletes)
+    return joined.where(~goes).select(*(f"`{c}`" for c in log.columns))
+
+
 def retain_keep_latest(log: DataFrame, as_of: str) -> DataFrame:
     """Without superseded rows older than a month."""
-    return delete_matching(log, stale_versions(log, month_before(as_of)))
+    return _retained(log, as_of, False)
 
 
 def retain_all(log: DataFrame, as_of: str) -> DataFrame:
@@ -36,7 +55,7 @@ def retain_all(log: DataFrame, as_of: str) -> DataFrame:
 
 def retain_drop_deletes(log: DataFrame, as_of: str) -> DataFrame:
     """Without rows older than a month that are superseded or last deletions."""
-    return delete_matching(log, stale_versions(log, month_before(as_of), drop_deletes=True))
+    return _retained(log, as_of, True)
 
 
 def count_imports(log: DataFrame) -> DataFrame:

@@ -325,10 +325,10 @@ def failed(spark: SparkSession, d: str) -> DataFrame:
 
 @query("I05", "SELECT p_partkey AS object_id, CASE WHEN p_size % 3 = 2 THEN 'failed' WHEN p_size % 3 = 1 THEN 'placeholder' ELSE 'pass' END AS verdict FROM part")
 def screened(spark: SparkSession, d: str) -> DataFrame:
-    def fn(one):
-        if one["contentType"].iloc[0] == "text/plain":
+    def fn(rows):
+        if (rows["contentType"] == "text/plain").any():
             raise ValueError("not an image")
-        return one["contentType"] == "image/png"
+        return rows["contentType"] == "image/png"
 
     return objects.screen_content(fx.objects(spark, d), fn)
 
@@ -477,13 +477,15 @@ def failed_paths(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.text(path)
 
 
-@query("S10", f"WITH {CHANGELOG} SELECT strftime(timestamp, '%Y-%m-%d') AS day, count(*) AS n FROM changelog GROUP BY 1")
+@query("S10", f"WITH {CHANGELOG} SELECT strftime(timestamp, '%Y-%m-%d') AS day, strftime(timestamp, '%Y-%m-%d') AS folder, count(*) AS n FROM changelog GROUP BY ALL")
 def partitioned(spark: SparkSession, d: str) -> DataFrame:
     from docflow.sources.tables import partition_strategy, write_partitioned
 
     path = landing(spark, "partitioned")
     write_partitioned(fx.changelog(spark, d), path, *partition_strategy("TIMESTAMP", "DAY"))
-    return spark.read.parquet(path).groupBy(F.col("timestamp_day").cast("string").alias("day")).agg(F.count("*").alias("n"))
+    # The day of each row's time, and that of the folder which holds it.
+    folder = F.regexp_extract("_metadata.file_path", "/timestamp_day=([^/]*)/", 1)
+    return spark.read.parquet(path).groupBy(F.date_format("timestamp", "yyyy-MM-dd").alias("day"), folder.alias("folder")).agg(F.count("*").alias("n"))
 
 
 @query("S11", f"WITH {CHANGELOG} SELECT document_id, count(*) AS n FROM changelog GROUP BY 1")

@@ -85,13 +85,14 @@ def renamed(spark: SparkSession, d: str) -> DataFrame:
     return views.rename_columns(fx.table(spark, d, "orders").select("o_orderkey", "o_orderstatus"), {"o_orderstatus": "state"})
 
 
-@query("F15", "SELECT 'order_status' AS name, 'state of the order' AS comment")
+@query("F15", "SELECT 'order_status' AS name, 'state of the order' AS comment, count(*) AS n_rows, count(o_orderstatus) AS n_filled FROM orders")
 def described(spark: SparkSession, d: str) -> DataFrame:
-    """The descriptions that a view's columns carry, read from its schema, beside whether the view has rows."""
+    """The descriptions that a view's columns carry, read from its schema, with their columns' counts over the whole view."""
     view = views.schema_changelog(fx.order_docs(spark, d), ORDER, arrays=False)
     told = [(f.name, f.metadata["comment"]) for f in view.schema if "comment" in f.metadata]
-    some = view.select(F.lit(1).alias("one")).limit(1)
-    return some.select(F.explode(F.array(*(F.struct(F.lit(n).alias("name"), F.lit(c).alias("comment")) for n, c in told))).alias("t")).select("t.*")
+    counted = view.agg(F.count("*").alias("n_rows"), *(F.count(n).alias(n) for n, _ in told))
+    rows = F.array(*(F.struct(F.lit(n).alias("name"), F.lit(c).alias("comment"), "n_rows", F.col(n).alias("n_filled")) for n, c in told))
+    return counted.select(F.explode(rows).alias("t")).select("t.*")
 
 
 @query("F16", "SELECT o_orderkey, CASE WHEN EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey) THEN 'timestamp,geopoint,map,array,array_map,null,boolean,string,number' ELSE 'timestamp,geopoint,map,null,null,null,boolean,string,number' END AS tags FROM orders")

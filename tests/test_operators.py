@@ -45,6 +45,29 @@ def test_retention_keeps_latest_and_month_edge(spark):
     assert {r.event_id for r in retention.retain_drop_deletes(rows, "2024-03-15").collect()} == {"3"}
 
 
+def test_retention_keeps_rows_without_document_or_time_and_drops_ties_of_a_last_deletion(spark):
+    rows = log(
+        spark,
+        [("a", "2024-01-01", "1", "CREATE", "{}"), ("a", "2024-01-02", "2", "DELETE", None), ("a", "2024-01-02", "3", "UPDATE", "{}"), ("a", None, "4", "UPDATE", "{}"), (None, "2024-01-01", "5", "CREATE", "{}")]
+        + [(None, "2024-01-02", "6", "DELETE", None), ("b", "2024-01-02", "7", None, "{}"), ("c", None, "8", "DELETE", None)],
+    )
+    kept = lambda df: {r.event_id for r in df.collect()}
+    assert kept(retention.retain_keep_latest(rows, "2024-03-15")) == {"2", "3", "4", "5", "6", "7", "8"}
+    assert kept(retention.retain_drop_deletes(rows, "2024-03-15")) == {"4", "5", "6", "7", "8"}
+    assert retention.retain_drop_deletes(rows, "2024-03-15").columns == rows.columns
+    assert retention.stale_versions(rows, retention.month_before("2024-03-15"), drop_deletes=True).count() == 2
+
+
+def test_screening_gives_whole_batches_and_retries_the_rows_of_a_failing_one(spark):
+    def fn(rows):
+        if (rows["name"] == "bad").any():
+            raise ValueError("no")
+        return rows["name"] != "dim"
+
+    made = spark.createDataFrame([(1, "ok", "image/png"), (2, "bad", "image/png"), (3, "dim", "image/png")], "object_id long, name string, contentType string").coalesce(1)
+    assert {r.object_id: r.verdict for r in objects.screen_content(made, fn).collect()} == {1: "pass", 2: "failed", 3: "placeholder"}
+
+
 @pytest.mark.parametrize(
     ("text", "number", "boolean", "array"),
     [
