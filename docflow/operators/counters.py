@@ -2,7 +2,8 @@
 
 A leaf is the array of names that leads to it, so a name with a dot is not a path. Documents are walked
 to any depth, which column expressions cannot do, in Arrow batches where their rows are; sums combine
-before the shuffle, so one counter with most of the shards is no single task's work.
+before the shuffle, so one counter with most of the shards is no single task's work. Leaves are written
+once to the shared folder where they are needed more than once, so that no document is parsed again.
 
 Where one shard holds a number and another an object under the same name, the later shard (by path)
 decides what stands there, and what the earlier ones gave is gone.
@@ -19,7 +20,10 @@ from pyspark.sql import functions as F
 
 from docflow.functions.extract import parsed
 from docflow.functions.paths import counter_path, dir_name
+from docflow.sources.tables import held
 
+#: Overridden leaves up to this many are broadcast; more are joined by a shuffle.
+FEW_LEAVES = 10_000
 ROW = "counter string, shard_path string, leaf array<string>, value double"
 
 
@@ -45,10 +49,10 @@ def _walked(rows: DataFrame, documents) -> DataFrame:
             out: list[tuple] = []
             for counter, path, data in zip(*(batch.column(c).to_pylist() for c in ("counter", "shard_path", "data")), strict=True):
                 try:
-                    held = json.loads(data) if data else None
+                    document = json.loads(data) if data else None
                 except (ValueError, RecursionError):
                     continue
-                out += [(counter, path, leaf, value) for x in documents(held) for leaf, value in numbers(x)]
+                out += [(counter, path, leaf, value) for x in documents(document) for leaf, value in numbers(x)]
             columns = list(zip(*out, strict=True)) or [()] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["counter", "shard_path", "leaf", "value"])
 
@@ -57,27 +61,31 @@ def _walked(rows: DataFrame, documents) -> DataFrame:
 
 def shard_leaves(shards: DataFrame) -> DataFrame:
     """counter, shard_path, leaf, value of shards(shard_path, data)."""
-    return _walked(shards, lambda held: [held])
+    return _walked(shards, lambda document: [document])
 
 
 def partial_leaves(partials: DataFrame) -> DataFrame:
     """counter, shard_path, leaf, value of the updates in partials(shard_path, data)."""
 
-    def updates(held: object) -> list:
-        found = held.get("_updates_") if isinstance(held, dict) else None
+    def updates(document: object) -> list:
+        found = document.get("_updates_") if isinstance(document, dict) else None
         return [u.get("_data_") for u in found if isinstance(u, dict)] if isinstance(found, list) else []
 
     return _walked(partials, updates)
 
 
+def _above() -> Column:
+    """The objects that a leaf of two names or more lies in."""
+    return F.transform(F.sequence(F.lit(1), F.size("leaf") - 1), lambda n: F.slice("leaf", F.lit(1), n))
+
+
 def overrides(rows: DataFrame, by: str = "counter") -> DataFrame:
     """by, leaf, last: for leaves that another row turns from a number into an object, or back, where that last happens.
 
     Leaves are grouped first, so what is joined has a row for each distinct leaf of a counter.
     """
     at = rows.groupBy(by, "leaf").agg(F.max("shard_path").alias("at"))
-    above = F.transform(F.sequence(F.lit(1), F.size("leaf") - 1), lambda n: F.slice("leaf", F.lit(1), n))
-    below = at.where(F.size("leaf") > 1).select(by, F.col("leaf").alias("child"), F.col("at").alias("child_at"), F.explode(above).alias("leaf"))
+    below = at.where(F.size("leaf") > 1).select(by, F.col("leaf").alias("child"), F.col("at").alias("child_at"), F.explode(_above()).alias("leaf"))
     met = below.join(at, [by, "leaf"])
     turned = met.select(by, "leaf", F.col("child_at").alias("last")).unionByName(met.select(by, F.col("child").alias("leaf"), F.col("at").alias("last")))
     return turned.groupBy(by, "leaf").agg(F.max("last").alias("last"))
@@ -85,7 +93,12 @@ def overrides(rows: DataFrame, by: str = "counter") -> DataFrame:
 
 def drop_overridden(rows: DataFrame, by: str = "counter") -> DataFrame:
     """Without leaves that a later shard (by shard_path) turns into an object, or the reverse."""
-    marked = rows.join(overrides(rows, by), [by, "leaf"], "left")
+    rows = held(rows, "leaves")
+    found = held(overrides(rows, by), "overrides")
+    n = found.count()
+    if not n:
+        return rows
+    marked = rows.join(F.broadcast(found) if n <= FEW_LEAVES else found, [by, "leaf"], "left")
     return marked.where(F.col("last").isNull() | (F.col("last") < F.col("shard_path"))).select(*rows.columns)
 
 
@@ -100,9 +113,12 @@ def subtract_leaves(rows: DataFrame) -> DataFrame:
 
 def apply_counter(counters: DataFrame, updates: DataFrame) -> DataFrame:
     """counter, leaf, value after the update: leaves of the update add up, and replace what they turn into something else."""
-    # Of the two documents the update is the later one.
-    both = counters.select("counter", F.lit("0").alias("shard_path"), "leaf", "value").unionByName(updates.select("counter", F.lit("1").alias("shard_path"), "leaf", "value"))
-    return sum_leaves(drop_overridden(both))
+    updates = held(updates.select("counter", "leaf", "value"), "update")
+    under = updates.where(F.size("leaf") > 1).select("counter", F.explode(_above()).alias("leaf")).distinct()
+    kept = counters.select("counter", "leaf", "value").join(under, ["counter", "leaf"], "left_anti")
+    inside = kept.where(F.size("leaf") > 1).select("counter", F.col("leaf").alias("child"), F.explode(_above()).alias("leaf"))
+    gone = inside.join(updates.select("counter", "leaf"), ["counter", "leaf"], "left_semi").select("counter", F.col("child").alias("leaf")).distinct()
+    return sum_leaves(kept.join(gone, ["counter", "leaf"], "left_anti").unionByName(updates))
 
 
 def aggregate_counters(counters: DataFrame, partials: DataFrame, shards: DataFrame) -> DataFrame:
@@ -140,7 +156,7 @@ def compact_partials(partials: DataFrame, most: int = 10) -> DataFrame:
     A row for each leaf of a partial to compact, with its sum; one row without leaf for the others.
     """
     counted = partials.select("shard_path", F.coalesce(F.size(F.try_variant_get(parsed("data"), "$._updates_", "array<variant>")), F.lit(0)).alias("n_updates"))
-    sums = partial_leaves(partials).groupBy("shard_path", "leaf").agg(F.sum("value").alias("value"))
+    sums = held(partial_leaves(partials).groupBy("shard_path", "leaf").agg(F.sum("value").alias("value")), "sums")
     live = sums.groupBy("shard_path").agg(F.max(F.col("value") != 0).alias("live"))
     action = F.when(~F.coalesce("live", F.lit(False)), "delete").when(F.col("n_updates") > most, "compact").otherwise("keep")
     judged = counted.join(live, "shard_path", "left").select("shard_path", "n_updates", action.alias("action"))

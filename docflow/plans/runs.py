@@ -2,20 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docflow.sources.tables import read_changes
-
-
-def landing(spark: SparkSession, what: str) -> str:
-    """A new path below the folder that driver and executors share."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
-    return f"{root.rstrip('/')}/{what}-{uuid.uuid4().hex}"
+from docflow.sources.tables import landing, read_changes
 
 
 def run_stream(spark: SparkSession, rows: DataFrame | list[DataFrame], fmt: str, start: Callable) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -10,6 +12,19 @@ GRANULARITIES = ("HOUR", "DAY", "MONTH", "YEAR")
 LATER_COLUMNS = {"old_data": "string", "document_id": "string", "path_params": "string"}
 
 
+def landing(spark: SparkSession, what: str) -> str:
+    """A new path below the folder that driver and executors share."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
+    return f"{root.rstrip('/')}/{what}-{uuid.uuid4().hex}"
+
+
+def held(df: DataFrame, what: str) -> DataFrame:
+    """df written once to the shared folder and read from there, for plans that use it several times."""
+    path = landing(df.sparkSession, what)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def read_changes(spark: SparkSession, path: str, schema: StructType | str, fmt: str = "json") -> DataFrame:
     """Document changes as a stream."""
     return spark.readStream.schema(schema).format(fmt).load(path)
