@@ -96,3 +96,26 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
     sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM d LEFT JOIN told USING (doc_id)
 """
+
+
+def _op11(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Lloyd's rounds spelled out, one after another; a distance and its entry make one number, so the least is the first nearest."""
+    far = "list_sum(list_transform(list_zip(c, b), lambda t: (t[1] - t[2]) * (t[1] - t[2])))"
+    ctes = [
+        """k AS MATERIALIZED (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        f"p AS MATERIALIZED (SELECT vec_id, label, part, v[part * len(v) // {parts} + 1 : (part + 1) * len(v) // {parts}] AS c FROM k, range({parts}) AS r(part))",
+        f"b0 AS MATERIALIZED (SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id, c) - 1 AS entry, c AS b FROM p QUALIFY row_number() OVER (PARTITION BY part ORDER BY vec_id, c) <= {entries})",
+    ]
+    for n in range(rounds + 1):
+        ctes.append(f"a{n} AS MATERIALIZED (SELECT vec_id, label, p.part, any_value(c) AS c, min({far} * {entries} + entry) AS best FROM p JOIN b{n} USING (part) GROUP BY ALL)")
+        if n < rounds:
+            ctes.append(f"""m{n} AS (SELECT part, entry, list((s - ((s % n) + n) % n) // n ORDER BY i) AS b
+            FROM (SELECT part, best % {entries} AS entry, i, sum(c[i]) AS s, count(*) AS n FROM a{n}, range(1, len(c) + 1) AS r(i) GROUP BY ALL) GROUP BY ALL)""")
+            ctes.append(f"b{n + 1} AS MATERIALIZED (SELECT part, entry, CAST(coalesce(m{n}.b, b{n}.b) AS BIGINT[]) AS b FROM b{n} LEFT JOIN m{n} USING (part, entry))")
+    ctes.append(f"told AS (SELECT vec_id, label, string_agg(printf('%02x', best % {entries}), '' ORDER BY part) AS code, CAST(sum(best // {entries}) AS BIGINT) AS error FROM a{rounds} GROUP BY ALL)")
+    ctes.append(f"books AS (SELECT sha256(string_agg(array_to_string(b, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM b{rounds})")
+    return "WITH " + ", ".join(ctes) + " SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM told, books"
+
+
+OP11 = _op11()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docflow.llm import chat, langid, minhash, oracles, pieces, quality, secrets, simhash, toxicity, warc, winnow
+from docflow.llm import chat, covertree, langid, minhash, oracles, pieces, quality, secrets, simhash, toxicity, warc, winnow
 from docflow.llm.common import table
 
 
@@ -52,5 +52,9 @@ def op10_sentencepiece_transducer(spark: SparkSession, sf_dir: str) -> DataFrame
     return pieces.round_trip(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc_zstd, op2_chat_fingerprints, op3_winnowing_decontamination, op4_linked_secrets, op5_quality_ftrl, op6_toxicity_lexicon, op7_minhash_fingerprints, op8_language_crf, op9_simhash_bk_trees, op10_sentencepiece_transducer)}
-ORACLES = {"op1_warc_zstd": oracles.OP1, "op2_chat_fingerprints": oracles.OP2, "op3_winnowing_decontamination": oracles.OP3, "op4_linked_secrets": oracles.OP4}
+def op11_cover_tree_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covertree.compress(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+
+
+QUERIES = {f.__name__: f for f in (op1_warc_zstd, op2_chat_fingerprints, op3_winnowing_decontamination, op4_linked_secrets, op5_quality_ftrl, op6_toxicity_lexicon, op7_minhash_fingerprints, op8_language_crf, op9_simhash_bk_trees, op10_sentencepiece_transducer, op11_cover_tree_codes)}
+ORACLES = {"op1_warc_zstd": oracles.OP1, "op2_chat_fingerprints": oracles.OP2, "op3_winnowing_decontamination": oracles.OP3, "op4_linked_secrets": oracles.OP4, "op11_cover_tree_codes": oracles.OP11}
