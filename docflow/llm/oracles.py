@@ -119,3 +119,31 @@ def _op11(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
 
 
 OP11 = _op11()
+
+_CRC32 = """xor(list_reduce([4294967295::BIGINT] || list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+        lambda c, b: list_reduce([xor(c, b)] || list_transform(range(8), lambda x: 0::BIGINT), lambda v, i: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)), 4294967295)"""
+
+OP13 = f"""
+WITH t AS (
+    SELECT conv_id, d, n_text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, d) AS pos, count(*) OVER (PARTITION BY conv_id) AS n
+    FROM (SELECT conv_id, turn, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS d, length(coalesce(text, '')) AS n_text FROM conversations WHERE conv_id IS NOT NULL)
+), c AS (
+    SELECT conv_id, base, n, h, least(h, coalesce(n_base, 0)) AS taken
+    FROM (SELECT DISTINCT conv_id, n, conv_id - conv_id % 100 AS base, {_CRC32} % 6 AS h FROM t) LEFT JOIN (SELECT DISTINCT conv_id AS base, n AS n_base FROM t) USING (base)
+), r AS (
+    SELECT conv_id, pos - h + taken AS depth, d, n_text FROM t JOIN c USING (conv_id) WHERE pos > h
+    UNION ALL SELECT c.conv_id, pos, d, n_text FROM c JOIN t ON t.conv_id = c.base AND pos <= taken
+), p AS (
+    SELECT conv_id, depth, n_text, string_agg(d, '') OVER (PARTITION BY conv_id ORDER BY depth) AS path FROM r
+    UNION ALL SELECT conv_id, 0, 0, '' FROM c
+), ended AS (SELECT conv_id, arg_max(path, depth) AS path FROM p GROUP BY conv_id
+), n AS (SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, min(n_text) AS n_text FROM p GROUP BY path, depth
+), kids AS (SELECT path[: -65] AS path, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1
+), k AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN kids USING (path)
+), below AS (
+    SELECT a.path, count(*) FILTER (WHERE b.n_children = 0) AS n_leaves, CAST(sum((b.n_convs - 1) * b.n_text) AS BIGINT) AS saved_tokens
+    FROM k a JOIN k b ON starts_with(b.path, a.path) GROUP BY a.path
+), e AS (SELECT path, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ids FROM ended GROUP BY path)
+SELECT k.conv_id, CAST(k.depth AS BIGINT) AS depth, up.conv_id AS parent_conv_id, k.n_convs, k.n_children, n_leaves, saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM k JOIN below USING (path) LEFT JOIN e USING (path) LEFT JOIN n up ON k.depth > 0 AND up.path = k.path[: -65]
+"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docflow.llm import chat, covertree, langid, minhash, oracles, pieces, quality, secrets, simhash, tagpaths, toxicity, warc, winnow
+from docflow.llm import chat, covertree, langid, minhash, oracles, pieces, quality, secrets, simhash, tagpaths, toxicity, trie, warc, winnow
 from docflow.llm.common import table
 
 
@@ -60,5 +60,9 @@ def op12_tag_path_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tagpaths.extract(table(spark, sf_dir, "pages", "page_id", "url", "html"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc_zstd, op2_chat_fingerprints, op3_winnowing_decontamination, op4_linked_secrets, op5_quality_ftrl, op6_toxicity_lexicon, op7_minhash_fingerprints, op8_language_crf, op9_simhash_bk_trees, op10_sentencepiece_transducer, op11_cover_tree_codes, op12_tag_path_ratios)}
-ORACLES = {"op1_warc_zstd": oracles.OP1, "op2_chat_fingerprints": oracles.OP2, "op3_winnowing_decontamination": oracles.OP3, "op4_linked_secrets": oracles.OP4, "op11_cover_tree_codes": oracles.OP11}
+def op13_depth_band_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
+QUERIES = {f.__name__: f for f in (op1_warc_zstd, op2_chat_fingerprints, op3_winnowing_decontamination, op4_linked_secrets, op5_quality_ftrl, op6_toxicity_lexicon, op7_minhash_fingerprints, op8_language_crf, op9_simhash_bk_trees, op10_sentencepiece_transducer, op11_cover_tree_codes, op12_tag_path_ratios, op13_depth_band_trie)}
+ORACLES = {"op1_warc_zstd": oracles.OP1, "op2_chat_fingerprints": oracles.OP2, "op3_winnowing_decontamination": oracles.OP3, "op4_linked_secrets": oracles.OP4, "op11_cover_tree_codes": oracles.OP11, "op13_depth_band_trie": oracles.OP13}

@@ -4,7 +4,7 @@ import corpus_pipeline
 import pytest
 from pyspark.sql import functions as F
 
-from docflow.llm import chat, langid, minhash, pieces, quality, secrets, simhash, toxicity, warc, winnow
+from docflow.llm import chat, covertree, langid, minhash, pieces, quality, secrets, simhash, tagpaths, toxicity, trie, warc, winnow
 
 DATA = "/root/testdata/sf0.001"
 NAMES = ["source url", "_id", "_text", "_key", "_s_id", "_s_key", "_spans", "_hash", "_v", "_order", "_shard", "a:b", "a.b", "x`y", "kept", "node", "root", "fp", "h_id", "h_key", "stretches", "items", "y", "own", "score", "group", "n", "block", "text_key", "spans", "payload", "digest", "record", "turns"]
@@ -44,6 +44,9 @@ OPERATORS = {
     "op10": lambda d, t: pieces.round_trip(d),
     "op1": lambda d, t: warc.round_trip(t("pages")).select("page_id", "payload_digest", "record_type"),
     "op2": lambda d, t: chat.digests(chat.format_conversations(chat.records_of(t("conversations")))),
+    "op11": lambda d, t: covertree.compress(t("embeddings"), rounds=1),
+    "op12": lambda d, t: tagpaths.extract(t("pages")),
+    "op13": lambda d, t: trie.prefix_trie(t("conversations")),
 }
 
 
