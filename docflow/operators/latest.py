@@ -77,18 +77,6 @@ def batch_rows(df: DataFrame, group: str, order: str, size: int) -> DataFrame:
     return df.withColumn("batch", F.floor((F.row_number().over(w) - 1) / size).cast("long"))
 
 
-def refresh_latest(log: DataFrame, target: str, incremental: bool = False) -> None:
-    """Writes the latest state as a new version of the target with its refresh time."""
-    made = latest_incremental(log) if incremental else latest_materialized(log)
-    made.withColumn("refreshed_at", F.current_timestamp()).write.mode("overwrite").parquet(target)
-
-
-def is_stale(latest: DataFrame, as_of: str, max_staleness: str) -> DataFrame:
-    """stale: whether the snapshot is older than the interval, or empty."""
-    edge = F.lit(as_of).cast("timestamp") - F.expr(f"INTERVAL {max_staleness}")
-    return latest.agg(F.coalesce(F.max("refreshed_at") < edge, F.lit(True)).alias("stale"))
-
-
 def document_history(log: DataFrame, name: str) -> DataFrame:
     return log.where(F.col("document_name") == name).orderBy("timestamp", "event_id")
 

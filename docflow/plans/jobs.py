@@ -461,10 +461,12 @@ def expired(spark: SparkSession, d: str) -> DataFrame:
 # Streams and sinks, over files that Spark derives from the tables.
 @query("S02", f"WITH {CHANGELOG} SELECT event_id, count(*) AS n FROM changelog GROUP BY 1")
 def appended(spark: SparkSession, d: str) -> DataFrame:
-    from docflow.sources.tables import append_changelog
+    """Every event twice in one batch, and once more in the next, there without its time."""
+    from docflow.sources.snapshots import append_once
 
     path, log = landing(spark, "changelog"), fx.changelog(spark, d)
-    append_changelog(log.unionByName(log), path)
+    append_once(log.where("event_id % 5 <> 0").unionByName(log.where("event_id % 5 <> 0")), path, 1, buckets=16)
+    append_once(log.withColumn("timestamp", F.lit(None).cast("timestamp")), path, 2, buckets=16)
     return spark.read.parquet(path).groupBy("event_id").agg(F.count("*").alias("n"))
 
 
@@ -497,13 +499,20 @@ def clustered(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(path).groupBy("document_id").agg(F.count("*").alias("n"))
 
 
-@query("S16", f"WITH {CHANGELOG} SELECT document_name, epoch_us(timestamp) AS ts_us, TRUE AS stale FROM changelog QUALIFY row_number() OVER (PARTITION BY document_name ORDER BY timestamp DESC, event_id DESC) = 1 AND operation <> 'DELETE'")
+@query("S16", f"WITH {CHANGELOG} SELECT document_name, epoch_us(timestamp) AS ts_us, TRUE AS stale, TRUE AS left_alone FROM changelog QUALIFY row_number() OVER (PARTITION BY document_name ORDER BY timestamp DESC, event_id DESC) = 1 AND operation <> 'DELETE'")
 def refreshed(spark: SparkSession, d: str) -> DataFrame:
-    path = landing(spark, "latest")
-    latest.refresh_latest(fx.changelog(spark, d), path)
-    made = spark.read.parquet(path)
-    stale = latest.is_stale(made, "2999-01-01", "1 HOUR").first().stale
-    return made.select("document_name", F.unix_micros("timestamp").alias("ts_us"), F.lit(stale).alias("stale"))
+    """Three refreshes of a stored state; a third of the events comes late, and a few documents last."""
+    from docflow.sources.snapshots import Snapshot
+
+    log, path = fx.changelog(spark, d), landing(spark, "changelog")
+    shot = Snapshot(spark, path, landing(spark, "latest"), buckets=16)
+    late, last = F.col("event_id").cast("long") % 3 == 0, F.col("document_id").cast("long") % 50 == 0
+    for part in (log.where(~late & ~last), log.where(late & ~last), log.where(last)):
+        part.write.mode("append").parquet(path)
+        shot.refresh_if_stale("1 HOUR", now=F.lit("2999-01-01").cast("timestamp"))
+    stale = shot.stale("1 HOUR", now=F.lit("2999-01-01").cast("timestamp"))
+    left = shot.refresh_if_stale("1 DAY") is None
+    return shot.read().select("document_name", F.unix_micros("timestamp").alias("ts_us"), F.lit(stale).alias("stale"), F.lit(left).alias("left_alone"))
 
 
 @query("S17", f"WITH {CHANGELOG} SELECT operation, count(*) AS n FROM changelog GROUP BY 1")

@@ -30,17 +30,6 @@ def read_changes(spark: SparkSession, path: str, schema: StructType | str, fmt:
     return spark.readStream.schema(schema).format(fmt).load(path)
 
 
-def append_changelog(df: DataFrame, path: str) -> DataFrame:
-    """Appends rows, live events once for each event_id in the batch; returns what was appended.
-
-    Imports all carry the empty event_id and are not deduplicated.
-    """
-    live = df.where(F.col("event_id") != "").dropDuplicates(["event_id"])
-    rows = live.unionByName(df.where(F.col("event_id") == ""))
-    rows.write.mode("append").parquet(path)
-    return rows
-
-
 def dead_letter(df: DataFrame, error: str) -> DataFrame:
     """Failed rows with the error, keyed by their insert id."""
     return df.select(F.col("event_id").alias("insert_id"), "*", F.lit(error).alias("error_details"))
