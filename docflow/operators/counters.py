@@ -1,9 +1,15 @@
 """Sharded counters: numeric leaves of nested documents, summed.
 
-A leaf is the array of names that leads to it, so a name with a dot is not a path. Documents are walked
-to any depth, which column expressions cannot do, in Arrow batches where their rows are; sums combine
-before the shuffle, so one counter with most of the shards is no single task's work. Leaves are written
-once to the shared folder where they are needed more than once, so that no document is parsed again.
+A leaf is the array of names that leads to it, so a name with a dot is not a path. Documents are parsed
+once to VARIANT and taken apart level by level by `variant_explode`, `LEVELS` of them in one pass; what is
+still an object or an array goes through further passes, of `MORE_LEVELS`, so that depth has no bound but
+the reader's.
+Leaves are written once to the shared folder, as several steps need them; sums combine before the
+shuffle, so one counter with most of the shards is no single task's work.
+
+A document that the reader takes for no JSON (broken, nested beyond its bound of 1,000, numbers of more
+than 1,000 digits, names that repeat) and a number beyond a double's range are not summed; they are told
+by `unread`, and their shards remain.
 
 Where one shard holds a number and another an object under the same name, the later shard (by path)
 decides what stands there, and what the earlier ones gave is gone.
@@ -11,10 +17,8 @@ decides what stands there, and what the earlier ones gave is gone.
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterator
+from functools import reduce
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,56 +26,62 @@ from docflow.functions.extract import parsed
 from docflow.functions.paths import counter_path, dir_name
 from docflow.sources.tables import held
 
-#: Overridden leaves up to this many are broadcast; more are joined by a shuffle.
-FEW_LEAVES = 10_000
-ROW = "counter string, shard_path string, leaf array<string>, value double"
-
+#: Overridden leaves up to this many are broadcast; more are joined by a shuffle. Levels taken apart in the first pass, and in others.
+FEW_LEAVES, LEVELS, MORE_LEVELS = 10_000, 8, 24
+NO_JSON, NO_NUMBER = "cannot be read as JSON", "number out of range"
 
-def numbers(document: object) -> Iterator[tuple[list[str], float]]:
-    """Names and value of every number in a parsed document; array members count by their index."""
-    todo = [([], document)]
-    while todo:
-        names, value = todo.pop()
-        if isinstance(value, dict):
-            todo += [([*names, k], v) for k, v in value.items()]
-        elif isinstance(value, list):
-            todo += [([*names, str(i)], v) for i, v in enumerate(value)]
-        elif names and isinstance(value, (int, float)) and not isinstance(value, bool):
-            yield names, float(value)
 
+def _deeper(rows: DataFrame) -> DataFrame:
+    """One level down: a row for each member of an object or array; other values stay."""
+    member = rows.sparkSession.tvf.variant_explode_outer(F.col("v").outer()).withColumnRenamed("value", "inner")
+    step = F.coalesce("key", F.col("pos").cast("string"))
+    met = rows.lateralJoin(member)
+    return met.select("counter", "shard_path", F.when(step.isNull(), F.col("leaf")).otherwise(F.concat("leaf", F.array(step))).alias("leaf"), F.coalesce("inner", "v").alias("v"))
 
-def _walked(rows: DataFrame, documents) -> DataFrame:
-    """counter, shard_path, leaf, value of the documents that documents(parsed data) gives for each row."""
 
-    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = pa.string(), pa.string(), pa.list_(pa.string()), pa.float64()
-        for batch in batches:
-            out: list[tuple] = []
-            for counter, path, data in zip(*(batch.column(c).to_pylist() for c in ("counter", "shard_path", "data")), strict=True):
-                try:
-                    document = json.loads(data) if data else None
-                except (ValueError, RecursionError):
-                    continue
-                out += [(counter, path, leaf, value) for x in documents(document) for leaf, value in numbers(x)]
-            columns = list(zip(*out, strict=True)) or [()] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["counter", "shard_path", "leaf", "value"])
+def _leaves(documents: DataFrame) -> DataFrame:
+    """counter, shard_path, leaf, value, error of documents(counter, shard_path, v): a row for each number in v.
 
-    return rows.select(counter_path(F.col("shard_path")).alias("counter"), "shard_path", F.col("data").cast("string").alias("data")).mapInArrow(walk, ROW)
+    Only scalars are asked for their type, as that of a deep object is found by recursion.
+    """
+    rows, found = documents.select("counter", "shard_path", F.array().cast("array<string>").alias("leaf"), "v"), []
+    while True:
+        for _ in range(MORE_LEVELS if found else LEVELS):
+            rows = _deeper(rows)
+        number = F.try_variant_get("v", "$", "double")
+        kind = F.when(number.isNotNull(), F.schema_of_variant("v"))
+        inner = number.isNull() & (F.try_variant_get("v", "$", "map<string,variant>").isNotNull() | F.try_variant_get("v", "$", "array<variant>").isNotNull())
+        told = rows.select("counter", "shard_path", "leaf", number.alias("value"), kind.alias("kind"), F.when(inner, F.col("v")).alias("v"))
+        told = held(told.where("v IS NOT NULL OR kind IN ('BIGINT', 'DOUBLE', 'FLOAT') OR kind LIKE 'DECIMAL%'"), "leaves")
+        finite = F.abs("value") < float("inf")
+        error = F.when(~finite, F.lit(NO_NUMBER))
+        found.append(told.where("v IS NULL AND size(leaf) > 0").select("counter", "shard_path", "leaf", F.when(finite, F.col("value")).alias("value"), error.alias("error")))
+        rows = told.where("v IS NOT NULL").select("counter", "shard_path", "leaf", "v")
+        if not rows.take(1):
+            return reduce(DataFrame.unionByName, found)
+
+
+def _read(rows: DataFrame) -> DataFrame:
+    return rows.select(counter_path(F.col("shard_path")).alias("counter"), "shard_path", parsed(F.col("data").cast("string")).alias("v"))
 
 
 def shard_leaves(shards: DataFrame) -> DataFrame:
     """counter, shard_path, leaf, value of shards(shard_path, data)."""
-    return _walked(shards, lambda document: [document])
+    return _leaves(_read(shards)).where("error IS NULL").drop("error")
 
 
 def partial_leaves(partials: DataFrame) -> DataFrame:
     """counter, shard_path, leaf, value of the updates in partials(shard_path, data)."""
+    updates = F.explode(F.try_variant_get("v", "$._updates_", "array<variant>"))
+    each = _read(partials).select("counter", "shard_path", updates.alias("u"))
+    return _leaves(each.select("counter", "shard_path", F.try_variant_get("u", "$._data_", "variant").alias("v"))).where("error IS NULL").drop("error")
 
-    def updates(document: object) -> list:
-        found = document.get("_updates_") if isinstance(document, dict) else None
-        return [u.get("_data_") for u in found if isinstance(u, dict)] if isinstance(found, list) else []
 
-    return _walked(partials, updates)
+def unread(shards: DataFrame) -> DataFrame:
+    """counter, shard_path, error: shards of which something could not be summed."""
+    read = held(_read(shards.where("data IS NOT NULL")), "read")
+    broken = read.where("v IS NULL").select("counter", "shard_path", F.lit(NO_JSON).alias("error"))
+    return broken.unionByName(_leaves(read).where("error IS NOT NULL").select("counter", "shard_path", "error")).distinct()
 
 
 def _above() -> Column:
@@ -93,7 +103,6 @@ def overrides(rows: DataFrame, by: str = "counter") -> DataFrame:
 
 def drop_overridden(rows: DataFrame, by: str = "counter") -> DataFrame:
     """Without leaves that a later shard (by shard_path) turns into an object, or the reverse."""
-    rows = held(rows, "leaves")
     found = held(overrides(rows, by), "overrides")
     n = found.count()
     if not n:
@@ -131,8 +140,9 @@ def union_leaves(shards: DataFrame, partials: DataFrame) -> DataFrame:
 
 
 def remaining(stored: DataFrame, consumed: DataFrame) -> DataFrame:
-    """Shards that an aggregation did not consume."""
-    return stored.join(consumed.select("shard_path"), "shard_path", "left_anti")
+    """Shards that an aggregation of `consumed` leaves in store: those that came since, and those it could not read."""
+    failed = unread(consumed).select("shard_path")
+    return stored.join(consumed.select("shard_path").join(failed, "shard_path", "left_anti"), "shard_path", "left_anti")
 
 
 def aggregate_path(shard_path: Column, level: int) -> Column:

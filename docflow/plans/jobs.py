@@ -48,9 +48,24 @@ def stored(spark: SparkSession, d: str) -> DataFrame:
 STORED = "c AS (SELECT DISTINCT 'counters/' || event_type AS counter, unnest(['hits', 'kept']) AS leaf FROM events), c2 AS (SELECT counter, leaf, CASE leaf WHEN 'hits' THEN 10.0 ELSE 5.0 END AS value FROM c)"
 
 
-@query("A08", f"WITH {SHARDS} SELECT counter, leaf, CAST(sum(value) AS DOUBLE) AS value FROM ({SHARD_ROWS}) GROUP BY 1, 2")
+def unreadable(spark: SparkSession, d: str) -> DataFrame:
+    """Shards of each event type: broken JSON, one nested 20,000 deep, a number of 400 digits beside one that counts, and one nested 50 deep."""
+    e = fx.table(spark, d, "events").select("event_type").distinct()
+    deep = lambda n: F.concat(F.repeat(F.lit('{"d":'), n), F.lit("1"), F.repeat(F.lit("}"), n))
+    data = F.array(F.lit('{"hits":'), deep(20_000), F.concat(F.lit('{"long":'), F.repeat(F.lit("9"), 400), F.lit(',"more":1}')), deep(50))
+    path = F.concat(F.lit("counters/"), "event_type", F.lit("/_counter_shards_/zz"), F.col("n").cast("string"))
+    return e.select("event_type", F.posexplode(data).alias("n", "data")).select(path.alias("shard_path"), "data")
+
+
+MORE_SHARDS = "SELECT DISTINCT 'counters/' || event_type AS counter, unnest(['more', repeat('d/', 49) || 'd']) AS leaf, 1 AS value FROM events"
+
+
+@query("A08", f"WITH {SHARDS} SELECT counter, leaf, CAST(sum(value) AS DOUBLE) AS value FROM ({SHARD_ROWS} UNION ALL {MORE_SHARDS} UNION ALL SELECT DISTINCT 'counters/' || event_type, 'not read', 3 FROM events) GROUP BY 1, 2")
 def summed(spark: SparkSession, d: str) -> DataFrame:
-    return slashed(counters.sum_leaves(counters.drop_overridden(counters.shard_leaves(fx.shards(spark, d)))))
+    """Sums of all that can be read, and how many shards of a counter could not be, in whole or in part."""
+    shards = fx.shards(spark, d).unionByName(unreadable(spark, d))
+    lost = counters.unread(shards).groupBy("counter").agg(F.countDistinct("shard_path").cast("double").alias("value"))
+    return slashed(counters.sum_leaves(counters.drop_overridden(counters.shard_leaves(shards)))).unionByName(lost.select("counter", F.lit("not read").alias("leaf"), "value"))
 
 
 @query("A09", f"WITH {PARTIALS} SELECT counter, leaf, CAST(-sum(value) AS DOUBLE) AS value FROM ({PARTIAL_ROWS}) GROUP BY 1, 2")
@@ -68,9 +83,9 @@ def aggregated(spark: SparkSession, d: str) -> DataFrame:
     return slashed(counters.aggregate_counters(stored(spark, d), fx.partials(spark, d), fx.shards(spark, d)))
 
 
-@query("A12", f"WITH {SHARDS} SELECT 'counters/' || event_type || '/_counter_shards_/' || lpad(substr(lpad(lower(to_hex(user_id)), 8, '0'), 1, 4), 5, chr(9)) AS aggregate, 'hits' AS leaf, CAST(sum(hits) AS DOUBLE) AS value FROM s GROUP BY 1")
+@query("A12", f"WITH {SHARDS}, h AS (SELECT event_type, user_id, hits, k, substr(lpad(lower(to_hex(user_id)), 8, '0'), 1, 4) AS part, max(user_id) FILTER (WHERE user_id % 2 = 0) OVER p AS even, max(user_id) FILTER (WHERE user_id % 2 = 1) OVER p AS odd FROM s WINDOW p AS (PARTITION BY event_type, substr(lpad(lower(to_hex(user_id)), 8, '0'), 1, 4))) SELECT 'counters/' || event_type || '/_counter_shards_/' || lpad(part, 5, chr(9)) AS aggregate, leaf, CAST(sum(value) AS DOUBLE) AS value FROM (SELECT event_type, part, unnest(['hits', 'stats/k', 'deep/b/c/d/e/f/g/h', 'x.y', 'x/y']) AS leaf, unnest([hits, k, hits, hits, 1]) AS value FROM h UNION ALL SELECT event_type, part, CASE WHEN user_id % 2 = 0 THEN 'flip' ELSE 'flip/n' END, CASE WHEN user_id % 2 = 0 THEN 2 ELSE 3 END FROM h WHERE user_id > coalesce(CASE WHEN user_id % 2 = 0 THEN odd ELSE even END, -1)) GROUP BY 1, 2")
 def rolled_up(spark: SparkSession, d: str) -> DataFrame:
-    return slashed(counters.partial_rollup(fx.shards(spark, d), 4)).where("leaf = 'hits'")
+    return slashed(counters.partial_rollup(fx.shards(spark, d), 4))
 
 
 @query("A13", f"WITH {PARTIALS}, n AS (SELECT f, n, count(*) AS c FROM p GROUP BY 1, 2) SELECT 'counters/' || f || '/_counter_shards_/' || lpad(CAST(n AS VARCHAR), 5, chr(9)) AS shard_path, c AS n_updates, CASE WHEN c > 10 THEN 'compact' ELSE 'keep' END AS action, CASE WHEN c > 10 THEN leaf END AS leaf, CAST(CASE WHEN c > 10 THEN v END AS DOUBLE) AS value FROM n JOIN (SELECT f, n, unnest(['hits', 'stats/k']) AS leaf, unnest([sum(hits), sum(k)]) AS v FROM p GROUP BY f, n) USING (f, n) WHERE c > 10 OR leaf = 'hits'")

@@ -136,6 +136,16 @@ def test_counter_leaves_at_any_depth_and_with_dots(spark):
     assert {(tuple(r.leaf), r.value) for r in counters.shard_leaves(rows).collect()} == {(("a",) * 60, 5.0), (("a.b",), 1.0), (("b", "b"), 2.0)}
 
 
+def test_what_cannot_be_summed_is_told(spark):
+    rows = [("c/x/_s_/1", '{"a": 1'), ("c/x/_s_/2", '{"a":' * 20_000 + "1" + "}" * 20_000), ("c/x/_s_/3", '{"a": %s, "b": 2, "s": "7", "t": true}' % ("9" * 400)), ("c/x/_s_/4", '{"a": NaN}'), ("c/x/_s_/5", None), ("c/x/_s_/6", "7"), ("c/x/_s_/7", '{"b": 1}')]
+    shards = spark.createDataFrame(rows, "shard_path string, data string")
+    assert {(tuple(r.leaf), r.value) for r in counters.sum_leaves(counters.shard_leaves(shards)).collect()} == {(("b",), 3.0)}
+    told = {(r.shard_path[-1], r.error) for r in counters.unread(shards).collect()}
+    assert told == {("1", counters.NO_JSON), ("2", counters.NO_JSON), ("4", counters.NO_JSON), ("3", counters.NO_NUMBER)}
+    more = shards.unionByName(spark.createDataFrame([("c/x/_s_/8", "{}")], "shard_path string, data string"))
+    assert {r.shard_path[-1] for r in counters.remaining(more, shards).collect()} == {"1", "2", "3", "4", "8"}
+
+
 def test_stored_numbers_give_way_to_objects(spark):
     stored = spark.createDataFrame([("c/x", ["a"], 5.0), ("c/x", ["k"], 1.0), ("c/y", ["o", "p"], 2.0)], "counter string, leaf array<string>, value double")
     update = spark.createDataFrame([("c/x", ["a", "b"], 3.0), ("c/y", ["o"], 4.0)], "counter string, leaf array<string>, value double")
