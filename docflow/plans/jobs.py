@@ -567,9 +567,11 @@ def streamed_changelog(spark: SparkSession, d: str) -> DataFrame:
     path = F.concat(F.lit("users/"), "document_id")
     changes = fx.changelog(spark, d).select("timestamp", "event_id", path.alias("before_path"), path.alias("after_path"), F.lit(None).cast("string").alias("before"), F.col("data").alias("after"))
     out = landing(spark, "r01")
-    # The later half of the events arrives first, and half of those once more with the rest.
+    # The later half of the events arrives first; half of those come once more with the rest, without their time, and all in the end.
     late = F.col("event_id").cast("long") % 2 == 0
-    run_stream(spark, [changes.where(~late), changes.where(late).unionByName(changes.where(F.col("event_id").cast("long") % 4 == 1))], "parquet", lambda df, sink, at: stream_changelog(df, at, out, "demo"))
+    again = changes.where(F.col("event_id").cast("long") % 4 == 1).withColumn("timestamp", F.lit(None).cast("timestamp"))
+    moved = changes.withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 90 DAYS"))
+    run_stream(spark, [changes.where(~late), changes.where(late).unionByName(again), moved], "parquet", lambda df, sink, at: stream_changelog(df, at, out, "demo"))
     return spark.read.parquet(out).select("document_name", "event_id")
 
 
@@ -596,14 +598,29 @@ def late_safe(spark: SparkSession, d: str) -> DataFrame:
     return shown(latest_late_safe(fx.changelog(spark, d).repartition(F.xxhash64("event_id"))))
 
 
-@query("R03", f"WITH {SHARDS} SELECT counter, leaf, CAST(sum(value) AS DOUBLE) AS value FROM ({SHARD_ROWS}) GROUP BY 1, 2")
+@query("R03", f"WITH {SHARDS}, {STORED} SELECT counter, leaf, CAST(sum(value) AS DOUBLE) AS value FROM ({SHARD_ROWS} UNION ALL SELECT counter, leaf, value FROM c2) GROUP BY 1, 2")
 def streamed_counters(spark: SparkSession, d: str) -> DataFrame:
-    from docflow.streaming.streams import last_version, stream_counters
+    """Stored counters as the first state, then the shards of three ranges of users, one batch after another."""
+    from docflow.sources.tables import read_changes
+    from docflow.streaming.streams import stream_counters, stream_updates
 
-    first, second = F.col("shard_path") < "counters/c", F.col("shard_path") >= "counters/c"
-    shards, out = fx.shards(spark, d), landing(spark, "r03")
-    run_stream(spark, [shards.where(first), shards.where(second)], "parquet", lambda df, sink, at: stream_counters(df, at, out))
-    return slashed(last_version(spark, out))
+    shards, out, base = fx.shards(spark, d), landing(spark, "r03"), landing(spark, "r03-updates")
+    user = F.conv(F.element_at(F.split("shard_path", "/"), -1), 16, 10).cast("long")
+    parts = [shards.where(user < 40), shards.where((user >= 40) & (user < 700)), shards.where(user >= 700)]
+    run_stream(spark, parts, "parquet", lambda df, sink, at: stream_updates(df, at, base))
+    emitted = []
+
+    def sink(batch: DataFrame, epoch: int) -> None:
+        emitted.append(epoch)
+        batch.write.mode("overwrite").parquet(f"{out}/batch={epoch}")
+
+    # The file source takes one batch's update after another, in the order of their writing.
+    updates = read_changes(spark, base, "counter string, leaf array<string>, value double, reset boolean, batch long", "parquet")
+    stream_counters(updates, landing(spark, "r03-checkpoint"), sink, stored(spark, d)).awaitTermination()
+    changed = spark.read.parquet(out)
+    last = changed.groupBy("counter", "leaf").agg(F.max_by("value", "batch").alias("value")).where("value IS NOT NULL")
+    kept = stored(spark, d).join(changed.select("counter", "leaf").distinct(), ["counter", "leaf"], "left_anti")
+    return slashed(last.unionByName(kept.select("counter", "leaf", "value")))
 
 
 @query("R04", "SELECT CAST(user_id AS VARCHAR) AS parent, lpad(CAST(event_id AS VARCHAR), 12, '0') AS key FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) > 5")
@@ -637,13 +654,25 @@ def streamed_mail(spark: SparkSession, d: str) -> DataFrame:
     return rows.groupBy("mail_id").agg(F.max_by(F.struct("state", "attempts", "error"), "_batch").alias("r")).select("mail_id", "r.*")
 
 
-@query("R06", "SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(event_id % 5 + 1 AS INT) AS attempts FROM events WHERE event_id % 5 < 3")
+@query("R06", "SELECT CAST(event_id AS VARCHAR) AS event_id, value, CAST(CASE WHEN event_id % 3 = 0 THEN 2 ELSE 0 END AS INT) AS attempts, FALSE AS final FROM events WHERE event_id % 3 < 2 UNION ALL SELECT CAST(event_id AS VARCHAR), value, 3, TRUE FROM events WHERE event_id % 3 = 2")
 def retried(spark: SparkSession, d: str) -> DataFrame:
-    from docflow.streaming.streams import retry_stream
-
-    failed = fx.table(spark, d, "events").select(F.col("event_id").cast("string").alias("event_id"), (F.col("event_id") % 5).cast("int").alias("attempts"))
-    rows = run_stream(spark, failed, "parquet", lambda df, sink, at: retry_stream(df, at, sink))
-    return rows.select("event_id", F.col("attempts").cast("int").alias("attempts"))
+    """A sink that fails twice for a third of the rows and always for another third."""
+    from docflow.streaming.streams import DEAD, dead_letters, retry_loop, until_drained
+
+    failed = fx.table(spark, d, "events").select(F.col("event_id").cast("string").alias("event_id"), "value")
+    dead, final, out = landing(spark, "dead"), landing(spark, "final"), landing(spark, "sent")
+    dead_letters(failed).write.parquet(f"{dead}/first")
+
+    def write(rows: DataFrame, epoch: int) -> DataFrame:
+        third = F.col("event_id").cast("long") % 3
+        fails = (third == 2) | ((third == 0) & (F.col("attempts") < 2))
+        rows.where(~fails).write.mode("overwrite").parquet(f"{out}/batch={epoch}")
+        return rows.where(fails)
+
+    until_drained(retry_loop(spark, dead, final, landing(spark, "checkpoint"), failed.schema, write, buckets=16))
+    sent = spark.read.schema("event_id string, value double, attempts int").parquet(out).withColumn("final", F.lit(False))
+    lost = spark.read.schema(DEAD).parquet(final).select(F.from_json("payload", failed.schema).alias("r"), "attempts").select("r.*", "attempts")
+    return sent.select("event_id", "value", "attempts", "final").unionByName(lost.withColumn("final", F.lit(True)))
 
 
 @query("R07", "SELECT event_id FROM events WHERE ts < TIMESTAMP '2024-01-15 11:59:30'")

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pandas as pd
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from docflow.operators import capture, counters, enrich, latest
@@ -24,21 +26,37 @@ def _version(path: str, epoch: int) -> str:
     return f"{path}/batch={epoch}"
 
 
+@contextmanager
+def _state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """Streams that start within keep their state in RocksDB; the session's own setting comes back after."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def first_of_each(changes: DataFrame) -> DataFrame:
+    """Each event_id once, however late or with whatever time it comes again.
+
+    Known ids are state by key, so a batch costs what it brings and reads nothing of what was written. Rows
+    with a null or empty event_id cannot be told apart and all stay.
+    """
+    named = F.coalesce(F.col("event_id") != "", F.lit(False))
+    return changes.where(named).dropDuplicates(["event_id"]).unionByName(changes.where(~named))
+
+
 def stream_changelog(changes: DataFrame, checkpoint: str, path: str, project: str, dead: str | None = None, trigger: dict | None = None) -> StreamingQuery:
-    """Captured changes into the changelog at path, each event_id once, however late it comes.
+    """Captured changes into the changelog at path, each event_id once.
 
-    A batch is compared with what earlier batches wrote for its span of time, as a repeated event keeps
-    its timestamp, and written to a folder of its own; if that fails twice its rows go to `dead`, and
-    the error is raised.
+    A batch is written to a folder of its own; if that fails twice its rows go to `dead`, and the error
+    is raised.
     """
 
     def write(batch: DataFrame, epoch: int) -> None:
-        rows = capture.changelog_rows(batch.dropDuplicates(["event_id"]), project)
-        earlier = written(batch.sparkSession, path)
-        if earlier is not None:
-            span = batch.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")).first()
-            seen = earlier.where((F.col("batch") < epoch) & F.col("timestamp").between(F.lit(span.lo), F.lit(span.hi)))
-            rows = rows.join(seen.select("event_id"), "event_id", "left_anti").select(*rows.columns)
+        rows = capture.changelog_rows(batch, project)
         rows.persist()
         try:
             for last in (False, True):
@@ -53,7 +71,8 @@ def stream_changelog(changes: DataFrame, checkpoint: str, path: str, project: st
         finally:
             rows.unpersist()
 
-    return _start(changes, checkpoint, write, trigger=trigger)
+    with _state_on_disk(changes.sparkSession):
+        return _start(first_of_each(changes), checkpoint, write, trigger=trigger)
 
 
 def stream_latest(log: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None], trigger: dict | None = None) -> StreamingQuery:
@@ -66,122 +85,194 @@ def latest_late_safe(log: DataFrame) -> DataFrame:
     return latest.latest_incremental(log)
 
 
-def last_version(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
-    """The table that the last batch left, or the last one before a batch; None if there is none."""
-    rows = written(spark, path)
-    if rows is None:
-        return None
-    if before is not None:
-        rows = rows.where(F.col("batch") < before)
-    last = rows.agg(F.max("batch")).first()[0]
-    return None if last is None else rows.where(F.col("batch") == last).drop("batch")
+def stream_updates(shards: DataFrame, checkpoint: str, path: str, trigger: dict | None = None) -> StreamingQuery:
+    """What each batch of shards adds to its counters, as counter, leaf, value, reset, batch at path.
 
+    The batch's own conflicts are settled here, by distributed sums; `reset` tells the leaves that it turned
+    from a number into an object or back, of which nothing from before may stay. Such a leaf has no value if
+    nothing of it is left.
+    """
 
-def written(spark: SparkSession, path: str) -> DataFrame | None:
-    """All batches' rows with their batch, or None if none was written yet."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-        return None
+    def write(batch: DataFrame, epoch: int) -> None:
+        leaves = counters.shard_leaves(batch)
+        turned = counters.overrides(leaves).select("counter", "leaf", F.lit(True).alias("reset"))
+        sums = counters.sum_leaves(counters.drop_overridden(leaves))
+        rows = sums.join(turned, ["counter", "leaf"], "full_outer").withColumn("reset", F.coalesce("reset", F.lit(False)))
+        rows.select("counter", "leaf", "value", "reset", F.lit(epoch).cast("long").alias("batch")).write.mode("overwrite").parquet(_version(path, epoch))
 
+    return _start(shards, checkpoint, write, trigger=trigger)
 
-def stream_counters(shards: DataFrame, checkpoint: str, path: str, trigger: dict | None = None) -> StreamingQuery:
-    """Counters at path after each batch of shards, each merged in as one update.
 
-    A batch writes the counters as a version of its own; `last_version` reads the newest.
-    """
+class CounterState(StatefulProcessor):
+    """A counter's leaves as a map; what an update changes is emitted, a leaf that is gone with a null value."""
 
-    def write(batch: DataFrame, epoch: int) -> None:
-        update = counters.sum_leaves(counters.drop_overridden(counters.shard_leaves(batch)))
-        before = last_version(batch.sparkSession, path, epoch)
-        after = update if before is None else counters.apply_counter(before, update)
-        after.write.mode("overwrite").parquet(_version(path, epoch))
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.leaves = handle.getMapState("leaves", "leaf array<string>", "value double")
 
-    return _start(shards, checkpoint, write, trigger=trigger)
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:  # noqa: N802, N803
+        for leaf, value in zip(initialState["leaf"], initialState["value"], strict=True):
+            self.leaves.updateValue((list(leaf),), (float(value),))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timers) -> Iterator[pd.DataFrame]:  # noqa: N802
+        told = pd.concat(list(rows))
+        held = {tuple(k[0]): v[0] for k, v in self.leaves.iterator()}
+        before = dict(held)
+        for _, update in told.groupby("batch", sort=True):
+            leaves = [tuple(x) for x in update["leaf"]]
+            for leaf, reset in zip(leaves, update["reset"], strict=True):
+                if reset:
+                    held.pop(leaf, None)
+            new = {x for x, v in zip(leaves, update["value"], strict=True) if not pd.isna(v)}
+            over = {x[:n] for x in new for n in range(1, len(x))}
+            for leaf in [x for x in held if x not in new and (x in over or any(x[:n] in new for n in range(1, len(x))))]:
+                del held[leaf]
+            for leaf, value in zip(leaves, update["value"], strict=True):
+                if not pd.isna(value):
+                    held[leaf] = held.get(leaf, 0.0) + value
+        changed = [x for x in {*held, *before} if held.get(x) != before.get(x)]
+        for leaf in changed:
+            if leaf in held:
+                self.leaves.updateValue((list(leaf),), (held[leaf],))
+            else:
+                self.leaves.removeKey((list(leaf),))
+        if changed:
+            yield pd.DataFrame({"counter": [key[0]] * len(changed), "leaf": [list(x) for x in changed], "value": [held.get(x) for x in changed]}).astype({"value": "float64"})
+
+    def close(self) -> None:
+        pass
+
+
+def stream_counters(updates: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None], stored: DataFrame | None = None, trigger: dict | None = None) -> StreamingQuery:
+    """Changed leaves (counter, leaf, value) of counters held as state, as updates from `stream_updates` arrive.
+
+    An update has a row for each leaf of a batch, whatever the number of shards, so a counter with most of
+    them is little work here; a counter is a document, which bounds its leaves. Updates apply in the order
+    of their batches. stored(counter, leaf, value) are the counters to begin with.
+    """
+    begin = None if stored is None else stored.select("counter", "leaf", "value").groupBy("counter")
+    with _state_on_disk(updates.sparkSession):
+        out = updates.groupBy("counter").transformWithStateInPandas(statefulProcessor=CounterState(), outputStructType="counter string, leaf array<string>, value double", outputMode="update", timeMode="none", initialState=begin)
+        return _start(out, checkpoint, sink, mode="update", trigger=trigger)
 
 
 class KeepLast(StatefulProcessor):
-    """Holds each parent's last n keys; emits the keys that fall out."""
+    """Holds each parent's last n keys; emits the keys that fall out. A null key is the least."""
 
-    def __init__(self, n: int):
-        self.n = n
+    def __init__(self, n: int, schema: str, whole: bool, keep_ms: int | None):
+        self.n, self.schema, self.whole, self.keep_ms = n, schema, whole, keep_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.keys = handle.getListState("keys", "key string")
+        self.keys = handle.getListState("keys", self.schema, self.keep_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timers) -> Iterator[pd.DataFrame]:  # noqa: N802
         held = {r[0] for r in self.keys.get()} if self.keys.exists() else set()
         for batch in rows:
-            held |= set(batch["key"])
-        ordered = sorted(held)
+            # A batch with a null has its integers as floats.
+            held |= {None if pd.isna(k) else int(k) if self.whole else k for k in batch["key"].tolist()}
+        ordered = sorted(held, key=lambda k: (k is not None, k))
         self.keys.put([(k,) for k in ordered[-self.n :]])
         gone = ordered[: -self.n]
         if gone:
-            yield pd.DataFrame({"parent": [key[0]] * len(gone), "key": gone})
+            yield pd.DataFrame({"parent": [key[0]] * len(gone), "key": pd.Series(gone, dtype="Int64" if self.whole else "object")})
 
     def close(self) -> None:
         pass
 
 
-def stream_keep_last_n(children: DataFrame, checkpoint: str, n: int, sink: Callable[[DataFrame, int], None], trigger: dict | None = None) -> StreamingQuery:
-    """The (parent, key) rows to remove as children(parent, key) arrive; a state of n keys each."""
-    spark = children.sparkSession
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    out = children.groupBy("parent").transformWithStateInPandas(statefulProcessor=KeepLast(n), outputStructType="parent string, key string", outputMode="append", timeMode="none")
-    return _start(out, checkpoint, sink, trigger=trigger)
+def _ddl(df: DataFrame, **columns: str) -> str:
+    """Fields of the given columns under new names, as a schema."""
+    return ", ".join(f"{name} {df.schema[c].dataType.simpleString()}" for name, c in columns.items())
+
+
+def stream_keep_last_n(children: DataFrame, checkpoint: str, n: int, sink: Callable[[DataFrame, int], None], keep_ms: int | None = None, trigger: dict | None = None) -> StreamingQuery:
+    """The (parent, key) rows to remove as children(parent, key) arrive; a state of n keys each.
+
+    With keep_ms, the state of a parent that gained no child for so long ends; the children that it has then
+    are not counted any more.
+    """
+    with _state_on_disk(children.sparkSession):
+        kept = KeepLast(n, _ddl(children, key="key"), isinstance(children.schema["key"].dataType, T.IntegralType), keep_ms)
+        out = children.groupBy("parent").transformWithStateInPandas(statefulProcessor=kept, outputStructType=_ddl(children, parent="parent", key="key"), outputMode="append", timeMode="ProcessingTime" if keep_ms else "none")
+        return _start(out, checkpoint, sink, trigger=trigger)
 
 
 class MailLease(StatefulProcessor):
-    """A document's delivery state with a processing-time timer for its lease."""
+    """A document's delivery state with a processing-time timer for its lease.
 
-    def __init__(self, lease_ms: int = 60_000):
-        self.lease_ms = lease_ms
+    Mail that is open has state without an end. Once it is SUCCESS or ERROR its timers go and its state
+    lives for keep_ms more; what is told of it later finds it new.
+    """
+
+    def __init__(self, lease_ms: int, keep_ms: int):
+        self.lease_ms, self.keep_ms = lease_ms, keep_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("delivery", "state string, attempts int")
+        self.open = handle.getValueState("open", "state string, attempts int")
+        self.closed = handle.getValueState("closed", "state string, attempts int", self.keep_ms)
+
+    def _held(self) -> tuple[str, int]:
+        for store in (self.open, self.closed):
+            if store.exists():
+                return tuple(store.get())
+        return "PENDING", 0
+
+    def _keep(self, state: str, attempts: int) -> None:
+        for due in list(self.handle.listTimers()):
+            self.handle.deleteTimer(due)
+        if state in ("SUCCESS", "ERROR"):
+            self.open.clear()
+            self.closed.update((state, attempts))
+        else:
+            self.closed.clear()
+            self.open.update((state, attempts))
 
     @staticmethod
     def _row(key, state: str, attempts: int, error: str | None) -> pd.DataFrame:
         return pd.DataFrame({"mail_id": [key[0]], "state": [state], "attempts": [attempts], "error": pd.Series([error], dtype="object")})
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timers) -> Iterator[pd.DataFrame]:  # noqa: N802
-        state, attempts = tuple(self.state.get()) if self.state.exists() else ("PENDING", 0)
+        state, attempts = before = self._held()
+        began = False
         told = pd.concat(list(rows)).sort_values("seq")
         for event in told["event"]:
             if event == "retry" and state == "ERROR":
                 state = "RETRY"
             if event in ("start", "retry") and state in ("PENDING", "RETRY"):
-                state = "PROCESSING"
-                self.handle.registerTimer(timers.getCurrentProcessingTimeInMs() + self.lease_ms)
+                state, began = "PROCESSING", True
             elif event in ("sent", "failed") and state == "PROCESSING":
                 state, attempts = ("SUCCESS" if event == "sent" else "ERROR"), attempts + 1
-        self.state.update((state, attempts))
+        if (state, attempts) == before and not began:
+            return
+        self._keep(state, attempts)
+        if state == "PROCESSING":
+            self.handle.registerTimer(timers.getCurrentProcessingTimeInMs() + self.lease_ms)
         yield self._row(key, state, attempts, None)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        state, attempts = tuple(self.state.get())
+        state, attempts = self._held()
         if state == "PROCESSING":
-            self.state.update(("ERROR", attempts))
+            self._keep("ERROR", attempts)
             yield self._row(key, "ERROR", attempts, LEASE_ERROR)
 
     def close(self) -> None:
         pass
 
 
-def stream_mail(events: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None], lease_ms: int = 60_000, trigger: dict | None = None) -> StreamingQuery:
+def stream_mail(events: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None], lease_ms: int = 60_000, keep_ms: int = 7 * 86_400_000, trigger: dict | None = None) -> StreamingQuery:
     """Delivery states of mail as events(mail_id, seq, event) arrive: start, sent, failed, retry.
 
     Mail whose lease runs out while it is PROCESSING becomes an ERROR by its own timer, without any
     further event; timers are looked at in each batch, so a stream that is to notice them without new
     events runs with a processing-time trigger. The sink gets each change: mail_id, state, attempts, error.
+
+    The state of mail that is SUCCESS or ERROR ends after keep_ms, so that open mail bounds it; a start or
+    retry after that begins anew with no attempts, and whatever else is told changes nothing.
     """
-    spark = events.sparkSession
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    out = events.groupBy("mail_id").transformWithStateInPandas(statefulProcessor=MailLease(lease_ms), outputStructType="mail_id long, state string, attempts int, error string", outputMode="update", timeMode="ProcessingTime")
-    return _start(out, checkpoint, sink, mode="update", trigger=trigger)
+    with _state_on_disk(events.sparkSession):
+        schema = f"{_ddl(events, mail_id='mail_id')}, state string, attempts int, error string"
+        out = events.groupBy("mail_id").transformWithStateInPandas(statefulProcessor=MailLease(lease_ms, keep_ms), outputStructType=schema, outputMode="update", timeMode="ProcessingTime")
+        return _start(out, checkpoint, sink, mode="update", trigger=trigger)
 
 
 def uppercase_stream(documents: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None], original: str = "original", output: str = "upper", trigger: dict | None = None) -> StreamingQuery:
@@ -189,20 +280,118 @@ def uppercase_stream(documents: DataFrame, checkpoint: str, sink: Callable[[Data
     return _start(enrich.uppercase_backfill(documents, original, output, per_pass=None), checkpoint, sink, trigger=trigger)
 
 
-def retry_rows(failed: DataFrame, most: int = 3) -> DataFrame:
-    """Dead letters to try again: attempts so far below the bound, with the delay before the next one.
+def retry_delay(attempts: int) -> int:
+    """Milliseconds before the next attempt: the lesser of 5 seconds and 100 ms times two to the attempts so far."""
+    return min(100 * 2**attempts, 5000)
+
 
-    The delay is the lesser of 5 seconds and 100 ms times two to the number of attempts, plus up to 100 ms.
+class Requeue(StatefulProcessor):
+    """Holds a bucket's failed rows until their delays are over; then they are due, or final if their attempts are used up.
+
+    Rows are put into state and taken out of it together, so that a batch costs a few calls for each bucket.
     """
-    attempts = F.coalesce("attempts", F.lit(0)) if "attempts" in failed.columns else F.lit(0)
-    rows = failed.withColumn("attempts", attempts).where(F.col("attempts") < most)
-    delay = F.least(F.pow(F.lit(2.0), F.col("attempts")) * 100, F.lit(5000.0)) + F.pmod(F.xxhash64("event_id", "attempts"), F.lit(100))
-    return rows.withColumn("delay_ms", delay.cast("long")).withColumn("attempts", F.col("attempts") + 1)
 
+    def __init__(self, most: int):
+        self.most = most
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", f"{DEAD}, due long")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timers) -> Iterator[pd.DataFrame]:  # noqa: N802
+        now = timers.getCurrentProcessingTimeInMs()
+        for batch in rows:
+            over = batch["attempts"] >= self.most
+            if over.any():
+                yield self._rows(batch[over], True)
+            wait = batch[~over]
+            if len(wait):
+                due = [now + retry_delay(int(n)) for n in wait["attempts"]]
+                self.waiting.appendList([(*r, d) for r, d in zip(wait[["event_id", "payload", "attempts"]].itertuples(index=False, name=None), due, strict=True)])
+                for at in set(due):
+                    self.handle.registerTimer(at)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        held = pd.DataFrame([tuple(r) for r in self.waiting.get()] if self.waiting.exists() else [], columns=["event_id", "payload", "attempts", "due"])
+        due = held["due"] <= expiredTimerInfo.getExpiryTimeInMs()
+        if not due.any():
+            return
+        rest = held[~due]
+        if len(rest):
+            self.waiting.put([tuple(r) for r in rest.itertuples(index=False, name=None)])
+        else:
+            self.waiting.clear()
+        yield self._rows(held[due], False)
+
+    @staticmethod
+    def _rows(rows: pd.DataFrame, final: bool) -> pd.DataFrame:
+        # A dead letter that was read twice is tried once.
+        return rows[["event_id", "payload", "attempts"]].drop_duplicates(["event_id", "attempts"]).astype({"attempts": "int32"}).assign(final=final)
+
+    def close(self) -> None:
+        pass
 
-def retry_stream(failed: DataFrame, checkpoint: str, write: Callable[[DataFrame, int], None], most: int = 3, trigger: dict | None = None) -> StreamingQuery:
-    """Re-queues a stream of dead letters into a writer."""
-    return _start(retry_rows(failed, most), checkpoint, write, trigger=trigger)
+
+DEAD = "event_id string, payload string, attempts int"
+
+
+def dead_letters(rows: DataFrame, attempts: Column | None = None) -> DataFrame:
+    """Failed rows as the retry loop reads them: event_id, all columns as payload, attempts so far."""
+    payload = F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"})
+    return rows.select("event_id", payload.alias("payload"), (attempts if attempts is not None else F.lit(0)).cast("int").alias("attempts"))
+
+
+def retry_loop(spark: SparkSession, dead: str, final: str, checkpoint: str, schema: T.StructType, write: Callable[[DataFrame, int], DataFrame | None], most: int = 3, buckets: int = 256, trigger: dict | None = None) -> StreamingQuery:
+    """Tries the dead letters in the folder `dead` again, each after its delay, until `most` attempts have failed.
+
+    write(rows, batch) gets the rows that are due, with their attempts so far, and returns those that failed
+    again (event_id is enough), or raises, which fails them all; they go back to `dead` with one attempt more. What
+    failed for good is in `final`. State is what waits, and nothing else; a bucket of ids, of which a task holds
+    one at a time, is a parameter's share of it. A batch that is repeated after a loss calls write again
+    with the same number: a sink that replaces what it wrote under a number has each row once.
+    """
+
+    def handle(batch: DataFrame, epoch: int) -> None:
+        batch.persist()
+        try:
+            batch.where("final").drop("final").write.mode("overwrite").parquet(f"{final}/batch={epoch}")
+            due = batch.where("NOT final")
+            if due.isEmpty():
+                return
+            rows = due.select(F.from_json("payload", schema).alias("r"), "attempts").select("r.*", "attempts")
+            try:
+                failed = write(rows, epoch)
+            except Exception:
+                failed = rows
+            if failed is not None:
+                again = due.join(failed.select("event_id").distinct(), "event_id", "left_semi")
+                again.select("event_id", "payload", (F.col("attempts") + 1).alias("attempts")).write.mode("overwrite").parquet(f"{dead}/again={epoch}")
+        finally:
+            batch.unpersist()
+
+    letters = spark.readStream.schema(DEAD).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").parquet(dead)
+    with _state_on_disk(spark):
+        dealt = letters.withColumn("bucket", F.pmod(F.xxhash64("event_id"), F.lit(buckets)))
+        out = dealt.groupBy("bucket").transformWithStateInPandas(statefulProcessor=Requeue(most), outputStructType=f"{DEAD}, final boolean", outputMode="update", timeMode="ProcessingTime")
+        return _start(out, checkpoint, handle, mode="update", trigger=trigger or {"processingTime": "200 milliseconds"})
+
+
+def until_drained(query: StreamingQuery, seconds: float = 300) -> None:
+    """Waits until two batches in a row found nothing new and no state, then stops the stream.
+
+    One is not enough, as a batch may itself have written what the next one reads.
+    """
+    end = time.monotonic() + seconds
+    while query.isActive and time.monotonic() < end:
+        last = query.recentProgress[-2:]
+        if len(last) == 2 and not any(p["numInputRows"] or s["numRowsTotal"] or s["numRowsRemoved"] for p in last for s in p["stateOperators"]):
+            query.stop()
+            return
+        time.sleep(0.2)
+    if e := query.exception():
+        raise e
+    query.stop()
+    raise TimeoutError("the stream still has work")
 
 
 def quiet_for(df: DataFrame, column: str = "updated_at", interval: str = "30 SECONDS", now: F.Column | None = None) -> DataFrame:
