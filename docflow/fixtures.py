@@ -141,6 +141,15 @@ def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", F.col("text").alias("input"), langs.alias("languages"), existing.alias("existing"))
 
 
+def texts_or_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """texts, the input a VARIANT: for every third document of two an object with a title, the body, and a number; existing a map of maps."""
+    t = texts(spark, sf_dir).join(table(spark, sf_dir, "documents").select("doc_id", "source"), "doc_id")
+    nested = F.col("doc_id") % 6 == 3
+    fields = F.to_variant_object(F.struct(F.col("source").alias("title"), F.col("input").alias("body"), F.col("doc_id").alias("n")))
+    had = F.when(F.size("existing") > 0, F.create_map(F.when(nested, "body").otherwise(""), "existing"))
+    return t.select("doc_id", F.when(nested, fields).otherwise(F.col("input").cast("variant")).alias("input"), "languages", had.alias("existing"))
+
+
 def link_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """URL fields before and after a change: page_id, before, after."""
     p = table(spark, sf_dir, "pages").select("page_id", "url")

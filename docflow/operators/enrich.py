@@ -43,12 +43,12 @@ def pending_languages(languages: Column, existing: Column) -> Column:
     return F.filter(languages, lambda x: F.coalesce(existing, F.create_map().cast("map<string,string>"))[x].isNull())
 
 
-def call_batches(df: DataFrame, fn: Batch, inputs: Sequence[str], output: str) -> DataFrame:
-    """inputs, output, error: a user function over each distinct input, in batches.
+def call_batches(df: DataFrame, fn: Batch, inputs: Sequence[str], output: str, once: bool = True) -> DataFrame:
+    """inputs, output, error: a user function over each distinct input (or each row, if not once), in batches.
 
     A batch that fails is tried row by row, so that only the failing rows have an error.
     """
-    distinct = df.select(*inputs).distinct()
+    distinct = df.select(*inputs).distinct() if once else df.select(*inputs)
     fields = [distinct.schema[c] for c in inputs]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), f"`{output}` string", "error string"])
 
@@ -67,6 +67,17 @@ def call_batches(df: DataFrame, fn: Batch, inputs: Sequence[str], output: str) -
     return distinct.mapInPandas(run, schema)
 
 
+def translated_items(items: DataFrame, fn: Batch) -> DataFrame:
+    """items(..., input, lang) with output and error in place of the input; each distinct text goes to fn once.
+
+    Items are joined to what was made by the text's 128-bit hash, so that texts are shuffled once, on
+    their way to fn, and a common one is no long key.
+    """
+    keyed = items.withColumn("_key", F.md5("input"))
+    made = call_batches(keyed.dropDuplicates(["_key", "lang"]), fn, ["_key", "input", "lang"], "output", once=False)
+    return keyed.drop("input").join(made.drop("input"), ["_key", "lang"]).drop("_key")
+
+
 def translate(df: DataFrame, fn: Batch, languages: Column, missing_only: bool = False) -> DataFrame:
     """doc_id, translations, n_errors of df(doc_id, input, existing).
 
@@ -74,10 +85,56 @@ def translate(df: DataFrame, fn: Batch, languages: Column, missing_only: bool =
     Documents without input keep what they have.
     """
     wanted = pending_languages(languages, F.col("existing")) if missing_only else languages
-    items = fan_out(df.where(F.col("input").isNotNull()).select("doc_id", "input", wanted.alias("_langs")), F.col("_langs"))
-    made = call_batches(items, fn, ["input", "lang"], "output")
-    rows = items.join(made, ["input", "lang"])
-    return fold_translations(df, rows, keep=missing_only)
+    items = fan_out(df.where(F.col("input").isNotNull()).select("doc_id", "input", wanted.alias("_langs")), F.col("_langs")).drop("_langs")
+    return fold_translations(df, translated_items(items, fn), keep=missing_only)
+
+
+NESTED = "map<string,map<string,string>>"
+
+
+def input_fields(value: Column) -> Column:
+    """The fields of a VARIANT that is an object, each with its text, null where it is none; a text has one field with an empty name."""
+    text = lambda v: F.when(F.try_variant_get(v, "$", "map<string,variant>").isNull() & (F.schema_of_variant(v) == "STRING"), F.try_variant_get(v, "$", "string"))
+    members = F.transform_values(F.try_variant_get(value, "$", "map<string,variant>"), lambda _, v: text(v))
+    whole = text(value)
+    return F.coalesce(members, F.when(whole.isNotNull(), F.create_map(F.lit(""), whole)))
+
+
+def translate_fields(df: DataFrame, fn: Batch, languages: Column, missing_only: bool = False) -> DataFrame:
+    """doc_id, translations, n_errors of df(doc_id, input, existing), input being a VARIANT: a text or an object of texts.
+
+    translations maps fields to languages to texts (a plain text's field is ''); what is no text has nulls.
+    With missing_only, languages that a field has are kept and not made anew. Documents without input keep
+    what they have.
+    """
+    fields = df.select("doc_id", F.explode(input_fields(F.col("input"))).alias("field", "input"), languages.alias("_langs"), F.coalesce("existing", F.create_map().cast(NESTED)).alias("_has"))
+    wanted = F.when(F.lit(missing_only), pending_languages(F.col("_langs"), F.col("_has")[F.col("field")])).otherwise(F.col("_langs"))
+    items = fields.select("doc_id", "field", "input", F.explode(wanted).alias("lang"))
+    none = items.where("input IS NULL").select("doc_id", "field", "lang", F.lit(None).cast("string").alias("output"), F.lit(None).cast("string").alias("error"))
+    made = translated_items(items.where("input IS NOT NULL"), fn).select("doc_id", "field", "lang", "output", "error")
+    return fold_fields(df, made.unionByName(none), keep=missing_only)
+
+
+def fold_fields(df: DataFrame, rows: DataFrame, keep: bool) -> DataFrame:
+    """Folds rows(doc_id, field, lang, output, error) into each document's map of maps, over the existing ones if kept."""
+    good = F.col("error").isNull()
+    by_field = rows.groupBy("doc_id", "field").agg(F.map_from_entries(F.array_sort(F.collect_list(F.when(good, F.struct("lang", "output"))))).alias("made"), F.count_if(~good).alias("n_errors"))
+    folded = by_field.groupBy("doc_id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("field", F.map_entries("made").alias("made"))))).alias("_made"), F.sum("n_errors").alias("n_errors"))
+    nothing = F.create_map().cast("map<string,string>")
+    new = F.coalesce(F.transform_values("_made", lambda _, v: F.map_from_entries(v)), F.create_map().cast(NESTED))
+    old = F.coalesce("existing", F.create_map().cast(NESTED))
+    # A field's new texts stand over its old ones; fields that were not made stay where they are kept.
+    both = F.map_zip_with(old, new, lambda _, o, n: F.map_concat(F.map_filter(F.coalesce(o, nothing), lambda k, v: ~F.array_contains(F.map_keys(F.coalesce(n, nothing)), k)), F.coalesce(n, nothing)))
+    merged = F.when(F.col("_made").isNull(), old).otherwise(both if keep else new)
+    return df.join(folded, "doc_id", "left").select("doc_id", merged.alias("translations"), F.coalesce("n_errors", F.lit(0)).alias("n_errors"))
+
+
+def check_names(field: str, output: str, languages: Sequence[str]) -> None:
+    """An input that is also the output, or one of its translations, would start a change without end: an error."""
+    if field == output:
+        raise ValueError("the input and output fields must not be the same")
+    if any(field == f"{output}.{lang}" for lang in languages):
+        raise ValueError("the input field must not be a path of a translation")
 
 
 def fold_translations(df: DataFrame, rows: DataFrame, keep: bool) -> DataFrame:

@@ -255,7 +255,7 @@ def deliver(df: DataFrame, fn: Batch, now: Column | None = None) -> DataFrame:
     without a recipient is an error without being sent. SUCCESS or ERROR, one attempt more, no lease, and
     the time; all other fields stay.
     """
-    schema = "mail_id long, state string, info string, error string"
+    schema = f"mail_id {df.schema['mail_id'].dataType.simpleString()}, state string, info string, error string"
 
     def one_by_one(batch: pd.DataFrame) -> Iterator[tuple[str, str | None, str | None]]:
         for i in range(len(batch)):

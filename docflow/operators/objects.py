@@ -149,7 +149,7 @@ def screen_content(objects: DataFrame, fn: Batch | None, attempts: int = 3) -> D
                 verdicts = [(judged(batch.iloc[i : i + 1], attempts) or ["failed"])[0] for i in range(len(batch))]
             yield pd.DataFrame({"object_id": batch["object_id"], "verdict": verdicts})
 
-    return objects.select("object_id", "name", "contentType").mapInPandas(run, "object_id long, verdict string")
+    return objects.select("object_id", "name", "contentType").mapInPandas(run, f"object_id {objects.schema['object_id'].dataType.simpleString()}, verdict string")
 
 
 def cleanup_plan(outcome: DataFrame, mode: str) -> DataFrame:

@@ -152,10 +152,16 @@ def erasable_for(spark: SparkSession, d: str) -> DataFrame:
     return erase.erasable(t.select(F.lit("77").alias("uid"), "path"), t, ["owner"]).select("path", "valid")
 
 
-@query("D04", f"WITH {GONE} SELECT p_partkey FROM part WHERE CAST(p_partkey % 50 AS VARCHAR) NOT IN (SELECT uid FROM gone)")
+OBJECT_NAMES = "o AS (SELECT p_partkey, 'users/' || (p_partkey % 500) || CASE p_partkey % 3 WHEN 0 THEN '/' || p_partkey WHEN 1 THEN '-avatar.png' ELSE '' END AS name FROM part)"
+
+
+@query("D04", f"WITH {GONE}, {OBJECT_NAMES} SELECT p_partkey, 'prefix' AS mode FROM o WHERE NOT EXISTS (SELECT 1 FROM gone WHERE starts_with(name, 'users/' || uid)) UNION ALL SELECT p_partkey, 'segments' FROM o WHERE split_part(name, '/', 2) NOT IN (SELECT uid FROM gone)")
 def erased_objects(spark: SparkSession, d: str) -> DataFrame:
-    o = fx.table(spark, d, "part").select("p_partkey", F.lit("main").alias("bucket"), F.concat_ws("/", F.lit("users"), F.col("p_partkey") % 50, F.col("p_partkey")).alias("name"))
-    return erase.erase_objects(o, gone(spark, d), "{DEFAULT}/users/{UID}/,other/{UID}", "main").select("p_partkey")
+    """Objects in folders of users, beside them and named like them: by prefix all that begin with a target go."""
+    tail = F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit("/"), F.col("p_partkey").cast("string"))).when(F.col("p_partkey") % 3 == 1, "-avatar.png").otherwise("")
+    o = fx.table(spark, d, "part").select("p_partkey", F.lit("main").alias("bucket"), F.concat(F.lit("users/"), (F.col("p_partkey") % 500).cast("string"), tail).alias("name"))
+    stay = [erase.erase_objects(o, gone(spark, d), "{DEFAULT}/users/{UID},other/{UID}", "main", mode).select("p_partkey", F.lit(mode).alias("mode")) for mode in ("prefix", "segments")]
+    return stay[0].unionByName(stay[1])
 
 
 @query("D05", f"WITH {GONE} SELECT user_id, event_id FROM events WHERE CAST(user_id AS VARCHAR) NOT IN (SELECT uid FROM gone)")
@@ -179,16 +185,23 @@ def substituted(spark: SparkSession, d: str) -> DataFrame:
     return erase.target_paths(gone(spark, d), "users/{UID},a/{UID}/b/{UID}")
 
 
-@query("X03", f"WITH {TREE}, {GONE} SELECT uid, path FROM tree JOIN gone ON path = 'customers/' || uid || '/orders/' || uid")
+SEARCHED = "found AS (SELECT uid, path FROM tree JOIN gone ON path = 'customers/' || uid || '/orders/' || uid UNION SELECT uid, path FROM tree, gone WHERE path = 'regions/1/nations/1')"
+
+
+@query("X03", f"WITH {TREE}, {GONE}, {FOUND}, {SEARCHED}, valid AS (SELECT uid, path FROM found WHERE contains(path, uid) UNION SELECT uid, path FROM hits), parts AS (SELECT path, unnest([array_to_string(string_split(path, '/')[1:n], '/') for n in [2, 4, 6] if n <= len(string_split(path, '/'))]) AS p FROM tree) SELECT uid, path, 'document' AS kind FROM valid UNION SELECT uid, path, 'invalid' FROM found WHERE NOT contains(path, uid) UNION ALL SELECT NULL, path, 'stays' FROM tree WHERE path NOT IN (SELECT path FROM parts WHERE p IN (SELECT path FROM valid))")
 def custom_search(spark: SparkSession, d: str) -> DataFrame:
-    """A user's search function in batches: uids to paths, of which those that exist count."""
+    """A user's own search beside the built-in one: what it names is checked, told, and erased with what is below.
+
+    It names an order of each user that may not exist, and for all the same document, which is none of theirs.
+    """
 
-    def search(batches):
-        for b in batches:
-            yield b.assign(path="customers/" + b["uid"] + "/orders/" + b["uid"])
+    def search(uids):
+        return [[f"customers/{u}/orders/{u}", "regions/1/nations/1"] for u in uids]
 
-    found = gone(spark, d).mapInPandas(search, "uid string, path string")
-    return found.join(fx.tree(spark, d).select("path"), "path", "left_semi").select("uid", "path")
+    t, g = fx.tree(spark, d), gone(spark, d)
+    audit = erase.erasure_audit(t, g, ["owner"], search=search)
+    stays = erase.erase_users(t, g, ["owner"], search=search)
+    return audit.unionByName(stays.select(F.lit(None).cast("string").alias("uid"), "path", F.lit("stays").alias("kind")))
 
 
 # Enrichment. The stub translator upper-cases and appends the language.
@@ -200,9 +213,9 @@ LANGS = "CASE WHEN doc_id % 5 = 0 THEN ['it', 'en'] ELSE ['en', 'fr', 'de'] END"
 TEXTS = f"t AS (SELECT doc_id, text AS input, {LANGS} AS langs, doc_id % 3 = 0 AS has FROM documents)"
 
 
-@query("T01", "SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN 'run' WHEN doc_id % 4 = 1 THEN 'clear' WHEN doc_id % 4 = 2 THEN 'none' ELSE 'run' END AS action FROM documents WHERE text IS NOT NULL")
+@query("T01", "SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN 'run' WHEN doc_id % 4 = 1 THEN 'clear' WHEN doc_id % 4 = 2 THEN 'none' ELSE 'run' END AS action FROM documents WHERE text IS NOT NULL UNION ALL SELECT doc_id, 'none' FROM documents WHERE text IS NULL")
 def gated(spark: SparkSession, d: str) -> DataFrame:
-    t = fx.table(spark, d, "documents").select("doc_id", "text").where("text is not null")
+    t = fx.table(spark, d, "documents").select("doc_id", "text")
     r = F.col("doc_id") % 4
     before = F.when(r != 0, F.col("text"))
     after = F.when(r == 1, F.lit(None)).when(r == 3, F.concat("text", F.lit("!"))).otherwise(F.col("text"))
@@ -227,29 +240,46 @@ def pending(spark: SparkSession, d: str) -> DataFrame:
     return t.select("doc_id", F.array_join(enrich.pending_languages(langs, F.col("existing")), ",").alias("langs"))
 
 
+NESTED_TEXTS = f"""n AS (SELECT doc_id, doc_id % 3 = 0 AS has, doc_id % 6 = 3 AS nested, text, source, {LANGS} AS langs FROM documents), items AS (
+    SELECT doc_id, has, '' AS field, text AS input, unnest(langs) AS lang FROM n WHERE NOT nested AND text IS NOT NULL
+    UNION ALL SELECT doc_id, FALSE, 'title', source, unnest(langs) FROM n WHERE nested
+    UNION ALL SELECT doc_id, has, 'body', text, unnest(langs) FROM n WHERE nested
+    UNION ALL SELECT doc_id, FALSE, 'n', NULL, unnest(langs) FROM n WHERE nested
+)"""
+MADE = "upper(replace(input, 'ß', 'ss')) || ':' || lang AS output"
+
+
 def _told(df: DataFrame) -> DataFrame:
-    return df.select("doc_id", F.explode(F.map_entries("translations")).alias("e")).select("doc_id", F.col("e.key").alias("lang"), F.col("e.value").alias("output"))
+    fields = df.select("doc_id", F.explode("translations").alias("field", "m"))
+    return fields.select("doc_id", "field", F.explode("m").alias("lang", "output"))
+
+
+def _languages() -> F.Column:
+    return enrich.target_languages(F.col("languages"), ["en", "fr", "de"])
 
 
-@query("T03", f"WITH {TEXTS} SELECT doc_id, lang, upper(replace(input, 'ß', 'ss')) || ':' || lang AS output FROM (SELECT doc_id, input, unnest(langs) AS lang FROM t) WHERE input IS NOT NULL UNION ALL SELECT doc_id, 'fr', 'kept' FROM t WHERE input IS NULL AND has")
+@query("T03", f"WITH {NESTED_TEXTS} SELECT doc_id, field, lang, {MADE} FROM items UNION ALL SELECT doc_id, '', 'fr', 'kept' FROM n WHERE NOT nested AND text IS NULL AND has")
 def translated(spark: SparkSession, d: str) -> DataFrame:
-    return _told(enrich.translate(fx.texts(spark, d), stub, enrich.target_languages(F.col("languages"), ["en", "fr", "de"])))
+    return _told(enrich.translate_fields(fx.texts_or_maps(spark, d), stub, _languages()))
 
 
-BACKFILLED = f"WITH {TEXTS}, n AS (SELECT doc_id, lang, upper(replace(input, 'ß', 'ss')) || ':' || lang AS output FROM (SELECT doc_id, input, has, unnest(langs) AS lang FROM t) WHERE input IS NOT NULL AND NOT (has AND lang = 'fr')) SELECT * FROM n UNION ALL SELECT doc_id, 'fr', 'kept' FROM t WHERE has"
+BACKFILLED = f"WITH {NESTED_TEXTS} SELECT doc_id, field, lang, {MADE} FROM items WHERE NOT (has AND lang = 'fr') UNION ALL SELECT doc_id, CASE WHEN nested THEN 'body' ELSE '' END, 'fr', 'kept' FROM n WHERE has"
 
 
 @query("T04", BACKFILLED)
 def backfilled(spark: SparkSession, d: str) -> DataFrame:
-    return _told(enrich.translate(fx.texts(spark, d), stub, enrich.target_languages(F.col("languages"), ["en", "fr", "de"]), missing_only=True))
+    return _told(enrich.translate_fields(fx.texts_or_maps(spark, d), stub, _languages(), missing_only=True))
 
 
-@query("A18", BACKFILLED)
+@query("A18", f"WITH {TEXTS}, n AS (SELECT doc_id, lang, upper(replace(input, 'ß', 'ss')) || ':' || lang AS output FROM (SELECT doc_id, input, has, unnest(langs) AS lang FROM t) WHERE input IS NOT NULL AND NOT (has AND lang = 'fr')) SELECT doc_id, field, lang, output FROM (SELECT * FROM n UNION ALL SELECT doc_id, 'fr', 'kept' FROM t WHERE has), (VALUES (''), ('plain')) f(field)")
 def folded(spark: SparkSession, d: str) -> DataFrame:
+    """The same translations folded into a map of each document, and into a map of maps."""
     t = fx.texts(spark, d)
-    langs = enrich.pending_languages(enrich.target_languages(F.col("languages"), ["en", "fr", "de"]), F.col("existing"))
+    langs = enrich.pending_languages(_languages(), F.col("existing"))
     rows = enrich.fan_out(t.where("input is not null"), langs).select("doc_id", "lang", F.concat(F.upper("input"), F.lit(":"), "lang").alias("output"), F.lit(None).cast("string").alias("error"))
-    return _told(enrich.fold_translations(t, rows, keep=True))
+    plain = enrich.fold_translations(t, rows, keep=True).select("doc_id", F.create_map(F.lit("plain"), "translations").alias("translations"))
+    nested = t.withColumn("existing", F.when(F.size("existing") > 0, F.create_map(F.lit(""), "existing")))
+    return _told(plain).unionByName(_told(enrich.fold_fields(nested, rows.withColumn("field", F.lit("")), keep=True)))
 
 
 @query("A17", "SELECT count(*) FILTER (WHERE doc_id % 7 <> 0) AS n_success, count(*) FILTER (WHERE doc_id % 7 = 0) AS n_error, 'WARNING' AS status FROM documents")
@@ -257,9 +287,9 @@ def summary(spark: SparkSession, d: str) -> DataFrame:
     return enrich.backfill_summary(fx.table(spark, d, "documents").select((F.col("doc_id") % 7 == 0).cast("int").alias("n_errors")))
 
 
-@query("T06", "SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'none' WHEN 1 THEN 'run' WHEN 2 THEN 'clear' ELSE 'run' END AS action FROM pages WHERE url IS NOT NULL")
+@query("T06", "SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'none' WHEN 1 THEN 'run' WHEN 2 THEN 'clear' ELSE 'run' END AS action FROM pages WHERE url IS NOT NULL UNION ALL SELECT page_id, 'none' FROM pages WHERE url IS NULL")
 def url_gated(spark: SparkSession, d: str) -> DataFrame:
-    c = fx.link_changes(spark, d).where("before is not null or after is not null")
+    c = fx.link_changes(spark, d)
     kind = F.when(F.col("before").isNull(), "CREATE").otherwise("UPDATE")
     return c.select("page_id", enrich.url_gate(kind, F.col("before"), F.col("after")).alias("action"))
 
@@ -353,13 +383,13 @@ def cleaned(spark: SparkSession, d: str) -> DataFrame:
     return objects.cleanup_plan(outcomes(spark, d), "on_success")
 
 
-@query("S14", "SELECT p_size AS object_id, CAST(sum(length(p_name) + 1) AS VARCHAR) AS size, '' AS none FROM part WHERE p_name IS NOT NULL GROUP BY 1")
+@query("S14", "SELECT p_size AS object_id, CAST(sum(length(coalesce(p_name, '')) + 1) AS VARCHAR) AS size, '' AS none FROM part GROUP BY 1")
 def listed(spark: SparkSession, d: str) -> DataFrame:
     """Objects that Spark writes, listed, and their sizes as text metadata."""
     from docflow.sources.tables import scan_objects, text_metadata
 
     path = landing(spark, "objects")
-    fx.table(spark, d, "part").where("p_name IS NOT NULL").select("p_size", "p_name").write.partitionBy("p_size").text(path)
+    fx.table(spark, d, "part").select("p_size", F.coalesce("p_name", F.lit("")).alias("p_name")).write.partitionBy("p_size").text(path)
     found = scan_objects(spark, f"{path}/*/*.txt").select(F.regexp_extract("name", r"p_size=(\d+)/", 1).cast("int").alias("object_id"), "size")
     sums = found.groupBy("object_id").agg(F.sum("size").alias("size"))
     made = sums.select("object_id", text_metadata(F.create_map(F.lit("size"), "size", F.lit("none"), F.lit(None).cast("bigint"))).alias("m"))
@@ -686,4 +716,5 @@ def quiet(spark: SparkSession, d: str) -> DataFrame:
 @query("X04", "SELECT page_id, substr(md5(url), 1, 8) AS short_url, CAST(NULL AS VARCHAR) AS error FROM pages")
 def called_back(spark: SparkSession, d: str) -> DataFrame:
     p = fx.table(spark, d, "pages").select("page_id", "url")
-    return p.join(enrich.call_batches(p, shorten, ["url"], "short_url"), "url").select("page_id", "short_url", "error")
+    made = enrich.call_batches(p.where("url IS NOT NULL"), shorten, ["url"], "short_url")
+    return p.join(made, "url", "left").select("page_id", "short_url", "error")
