@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docflow.llm.common import own_columns, private, settle
+
 #: Most labelled rows that a model is fitted on. The least hashes of the ids are taken.
 SAMPLE_ROWS = 16_000
 
@@ -26,15 +28,32 @@ def least_hashes(rows: DataFrame, key: str, most: int, *then: str) -> DataFrame:
     return rows.orderBy(F.xxhash64(key), key, *then).limit(most)
 
 
+def bounded(rows: DataFrame, most: int) -> DataFrame:
+    """At most `most` of rows: all of them if they are no more, else distinct rows by the least hashes of all their columns.
+
+    Ids that repeat in `documents` multiply a sample of ids when texts are joined to it, so the bound is
+    set here, after the join. The first count reads ids alone.
+    """
+    if rows.count() <= most:
+        return rows
+    (name,) = private(rows, "hash")
+    hashed = rows.withColumn(name, F.xxhash64(*own_columns(rows)))
+    total, expected = hashed.select(name).distinct().count(), most + 6 * most**0.5 + 40
+    if total > expected:
+        hashed = hashed.where(F.col(name) <= F.lit(int(expected / total * 2.0**64) - (1 << 63)))
+    once = settle(hashed.dropDuplicates([name]), "sample")
+    return once.join(F.broadcast(once.select(name).orderBy(name).limit(most)), name, "left_semi").drop(name)
+
+
 def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, usable: Column, rows: int = SAMPLE_ROWS) -> DataFrame:
     """doc_id, text and y of at most `rows` labelled documents for which `usable` holds.
 
-    The sample is drawn from the narrow labels, so it is bounded before the texts are joined to it,
-    and it is what is broadcast; the texts are read in place.
+    Ids are drawn from the narrow labels, and what is drawn is broadcast; the texts are read in place. Where
+    ids repeat, the joined rows are bounded once more.
     """
     drawn = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & usable)
     drawn = least_hashes(drawn.select("doc_id", F.col(label).cast("int").alias("y")), "doc_id", rows, "y")
-    return documents.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
+    return bounded(documents.select("doc_id", "text").join(F.broadcast(drawn), "doc_id"), rows)
 
 
 def fit_shards(sample: DataFrame, shards: int, fit: Callable[[pa.Table], pa.Table], schema: str) -> list:

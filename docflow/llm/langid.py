@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docflow.llm.common import TextBlock, held_out, mix64, runs, span_hashes, text_blocks
-from docflow.llm.labelled import fit_shards, least_hashes
+from docflow.llm.labelled import bounded, fit_shards, least_hashes
 from docflow.llm.quality import _letter
 from docflow.llm.winnow import _lower
 
@@ -234,6 +234,7 @@ def learnt(documents: DataFrame, rows: int = SAMPLE_ROWS) -> tuple[list[str], Cr
     drawn = least_hashes(usable.select("doc_id", "lang"), "doc_id", rows, "lang")
     drawn = drawn.select("doc_id", F.col("lang").alias("own")).distinct()
     sample = usable.select("doc_id", "text", "lang").join(F.broadcast(drawn), "doc_id").where("lang = own").drop("own")
+    sample = bounded(sample, rows)
     labels = sorted(r.own for r in drawn.select("own").distinct().collect())
     return labels, train(sample, labels)
 

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -111,9 +112,12 @@ class Lexicon:
                     spared.append((start, end))
             elif weight is not None and (start not in found or found[start][0] < end):
                 found[start] = end, weight
+        starts = sorted(found) if spared else []
         for start, end in spared:
-            for at in [x for x in found if start <= x < end]:
-                del found[at]
+            at = bisect_left(starts, start)
+            while at < len(starts) and starts[at] < end:
+                found.pop(starts[at], None)
+                at += 1
         return found
 
     def measure(self, text: str) -> tuple[float, float]:

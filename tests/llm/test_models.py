@@ -254,3 +254,32 @@ def test_samples_are_the_least_hashes(spark):
     df = spark.range(200_000).selectExpr("id AS doc_id", "1 AS y")
     got = [r.doc_id for r in least_hashes(df, "doc_id", 500, "y").collect()]
     assert got == [r.doc_id for r in df.orderBy(F.xxhash64("doc_id")).limit(500).collect()]
+
+
+def test_repeated_ids_do_not_widen_a_sample(spark):
+    from docflow.llm import labelled, langid
+
+    docs = spark.range(20_000).select(F.lit(7).cast("long").alias("doc_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
+    docs = docs.unionByName(spark.range(100, 200).select(F.col("id").alias("doc_id"), F.lit("one text of each").alias("text")))
+    labels = spark.range(200).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("quality"))
+    sample = labelled.labelled_sample(docs, labels, "quality", F.lit(True), rows=150)
+    rows = sorted(map(tuple, sample.collect()))
+    assert 0 < len(rows) <= 150 and rows == sorted(map(tuple, labelled.labelled_sample(docs.repartition(5), labels, "quality", F.lit(True), rows=150).collect()))
+    copies = docs.where("doc_id = 7").withColumn("text", F.lit("the same"))
+    assert labelled.labelled_sample(copies, labels, "quality", F.lit(True), rows=150).count() == 1
+    few = labelled.labelled_sample(docs.where("doc_id <> 7"), labels, "quality", F.lit(True), rows=150)
+    assert few.count() == 100
+    spoken = docs.withColumn("lang", F.lit("en"))
+    names, _ = langid.learnt(spoken, rows=60)
+    assert names == ["en"]
+
+
+def test_many_exceptions_take_linear_time():
+    import time
+
+    from docflow.llm.toxicity import Lexicon
+
+    lexicon = Lexicon({"bad": 2.0, "worse": 3.0}, frozenset({"not bad"}))
+    began = time.process_time()
+    assert lexicon.matches("not bad " * 100_000 + "bad") == {800_000: (800_003, 2.0)}
+    assert time.process_time() - began < 5
