@@ -274,13 +274,19 @@ def evolved(spark: SparkSession, d: str) -> DataFrame:
     return tables.evolve_changelog(fx.changelog(spark, d), "placed").select("event_id", "old_data", "document_id", "path_params")
 
 
-@query("S13", "SELECT coalesce(c_custkey, k) AS c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'new' ELSE c_name END AS c_name, CASE WHEN k IS NOT NULL THEN k % 5 END AS extra FROM customer FULL JOIN (SELECT c_custkey AS k FROM customer WHERE c_custkey % 4 = 0 UNION ALL SELECT -1) u ON c_custkey = k".replace("c_custkey % 2 = 0 THEN", "k % 8 = 0 THEN"))
+@query("S13", "SELECT coalesce(c.c_custkey, k) AS c_custkey, CASE WHEN k % 8 = 0 THEN 'new' ELSE c_name END AS c_name, CASE WHEN k IS NOT NULL THEN k % 5 END AS extra, CASE WHEN k % 8 = 4 THEN NULL ELSE c_nationkey END AS nation, CASE WHEN k % 8 = 0 THEN 0 ELSE c_acctbal END AS balance, CASE WHEN k IS NOT NULL THEN 'x' END AS tag, CASE WHEN c.c_custkey IS NOT NULL THEN 'kept' END AS kept FROM customer c FULL JOIN (SELECT c_custkey AS k FROM customer WHERE c_custkey % 4 = 0 UNION ALL SELECT -1) u ON c.c_custkey = k")
 def merged(spark: SparkSession, d: str) -> DataFrame:
-    c = fx.table(spark, d, "customer").select("c_custkey", "c_name")
+    """Columns and nested fields: an update sets a leaf beside others that stay, sets one to null, and leaves the rest."""
+    source = fx.table(spark, d, "customer")
     k = F.col("c_custkey")
-    u = c.where(k % 4 == 0).select("c_custkey").unionByName(spark.range(1).select(F.lit(-1).cast(c.schema["c_custkey"].dataType).alias("c_custkey")))
-    u = u.select("c_custkey", F.when(F.pmod(k, F.lit(8)) == 0, "new").alias("c_name"), (k % 5).alias("extra"))
-    return tables.merge_documents(c, u, "c_custkey")
+    account = F.struct(F.col("c_acctbal").cast("double").alias("balance"), F.col("c_nationkey").cast("long").alias("nation"))
+    c = source.select("c_custkey", "c_name", F.parse_json(F.to_json(F.struct(account.alias("account"), F.lit("kept").alias("kept")))).alias("data"))
+    u = source.where(k % 4 == 0).select("c_custkey").unionByName(spark.range(1).select(F.lit(-1).cast(source.schema["c_custkey"].dataType).alias("c_custkey")))
+    change = F.when(F.pmod(k, F.lit(8)) == 0, F.lit('{"account": {"balance": 0}, "tag": "x"}')).when(F.pmod(k, F.lit(8)) == 4, F.lit('{"account": {"nation": null}, "tag": "x"}')).otherwise(F.lit('{"tag": "x"}'))
+    u = u.select("c_custkey", F.when(F.pmod(k, F.lit(8)) == 0, "new").alias("c_name"), (k % 5).alias("extra"), F.parse_json(change).alias("data"))
+    made = tables.merge_documents(c, u, "c_custkey")
+    got = lambda path, kind: F.try_variant_get("data", path, kind)
+    return made.select("c_custkey", "c_name", "extra", got("$.account.nation", "long").alias("nation"), got("$.account.balance", "double").alias("balance"), got("$.tag", "string").alias("tag"), got("$.kept", "string").alias("kept"))
 
 
 @query("A06", "SELECT count(*) AS imports FROM orders")

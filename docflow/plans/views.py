@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from docflow import fixtures as fx
 from docflow.functions import extract as X
+from docflow.functions.trees import tag_tree
 from docflow.operators import latest, retention, views
 from docflow.plans.changelog import CHANGELOG
 from docflow.plans.registry import query
@@ -95,11 +96,21 @@ def described(spark: SparkSession, d: str) -> DataFrame:
     return counted.select(F.explode(rows).alias("t")).select("t.*")
 
 
-@query("F16", "SELECT o_orderkey, CASE WHEN EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey) THEN 'timestamp,geopoint,map,array,array_map,null,boolean,string,number' ELSE 'timestamp,geopoint,map,null,null,null,boolean,string,number' END AS tags FROM orders")
+@query("F16", "SELECT o_orderkey, CASE WHEN EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey) THEN 'timestamp,geopoint,map,array,array_map,null,boolean,string,number' ELSE 'timestamp,geopoint,map,null,null,null,boolean,string,number' END AS tags, 'timestamp' AS placed_type, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.000Z') AS placed, CAST(o_custkey % 180 AS DOUBLE) AS longitude, 'customers/' || o_custkey AS owner, CAST(o_custkey AS BIGINT) AS cust, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.000Z') AS deep FROM orders")
 def tagged(spark: SparkSession, d: str) -> DataFrame:
-    v = fx.order_docs(spark, d).select(F.col("document_id").cast("bigint").alias("o_orderkey"), X.parsed("data").alias("v"))
+    """Types of the fields, and the whole document in tagged form: times, points and references in it, in a map and in an array too."""
+    docs = fx.order_docs(spark, d)
+    cust = F.split("path", "/")[1]
+    inner = F.concat(F.lit(',"more":{"list":[1,{"owner":{"_path":{"segments":["customers","'), cust, F.lit('"]}},"at":'), F.get_json_object("data", "$.placed"), F.lit("}]}}"))
+    whole = docs.withColumn("data", F.concat(F.expr("substring(data, 1, length(data) - 1)"), inner))
+    v = whole.select(F.col("document_id").cast("bigint").alias("o_orderkey"), X.parsed("data").alias("v"))
     names = ("placed", "loc", "ship", "items", "lines", "note", "even", "status", "total")
-    return v.select("o_orderkey", F.concat_ws(",", *(views.tag_types(F.try_variant_get("v", f"$.{n}", "variant")) for n in names)).alias("tags"))
+    v = v.select("o_orderkey", F.concat_ws(",", *(views.tag_types(F.try_variant_get("v", f"$.{n}", "variant")) for n in names)).alias("tags"), tag_tree(F.col("v")).alias("t"))
+    got = lambda path, kind, name: F.try_variant_get("t", path, kind).alias(name)
+    return v.select(
+        "o_orderkey", "tags", got("$.placed._type", "string", "placed_type"), got("$.placed.value", "string", "placed"), got("$.loc.longitude", "double", "longitude"),
+        got("$.more.list[1].owner.path", "string", "owner"), got("$.ship.by.cust", "long", "cust"), got("$.more.list[1].at.value", "string", "deep"),
+    )
 
 
 @query("F17", "SELECT * FROM (VALUES ('even', 'boolean'), ('items', 'array'), ('lines', 'array_map'), ('loc', 'geopoint'), ('note', 'null'), ('placed', 'timestamp'), ('ship', 'map'), ('status', 'string'), ('total', 'number')) t(name, type)")

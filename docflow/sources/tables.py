@@ -6,7 +6,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, StructType, VariantType
+
+from docflow.functions.trees import merge_trees
 
 GRANULARITIES = ("HOUR", "DAY", "MONTH", "YEAR")
 LATER_COLUMNS = {"old_data": "string", "document_id": "string", "path_params": "string"}
@@ -100,16 +102,30 @@ def text_metadata(metadata: str | F.Column) -> F.Column:
     return F.transform_values(metadata, lambda _, v: F.coalesce(v.cast("string"), F.lit("")))
 
 
+def _merged(old: F.Column, new: F.Column, old_type: DataType | None, new_type: DataType | None) -> F.Column:
+    """One column merged: structs field by field, VARIANT trees leaf by leaf, all else by the new value if there is one."""
+    if old_type is None or new_type is None:
+        return new if old_type is None else old
+    if isinstance(old_type, StructType) and isinstance(new_type, StructType):
+        kinds = [{f.name: f.dataType for f in t.fields} for t in (old_type, new_type)]
+        fields = [_merged(old[n], new[n], kinds[0].get(n), kinds[1].get(n)).alias(n) for n in dict.fromkeys([*kinds[0], *kinds[1]])]
+        return F.when(old.isNotNull() | new.isNotNull(), F.struct(*fields))
+    if isinstance(old_type, VariantType) and isinstance(new_type, VariantType):
+        return merge_trees(old, new)
+    return F.coalesce(new, old)
+
+
 def merge_documents(target: DataFrame, updates: DataFrame, key: str) -> DataFrame:
-    """Sets with merge: only columns that an update supplies overwrite; new keys are added."""
+    """Sets with merge: only what an update supplies overwrites, at every level of nested fields; new keys are added.
+
+    In a VARIANT column a JSON null is supplied and stands; a field that is lacking is not. A NULL in any
+    other column or struct field supplies nothing.
+    """
     t, u = target.alias("t"), updates.alias("u")
+    kinds = [{f.name: f.dataType for f in d.schema.fields} for d in (target, updates)]
     columns = list(dict.fromkeys([*target.columns, *updates.columns]))
-
-    def merged(c: str) -> F.Column:
-        sides = [F.col(f"{s}.{c}") for s, d in (("u", updates), ("t", target)) if c in d.columns]
-        return F.coalesce(*sides).alias(c)
-
-    return t.join(u, F.col(f"t.{key}") == F.col(f"u.{key}"), "full_outer").select(*(merged(c) for c in columns))
+    made = [_merged(F.col(f"t.{c}") if c in kinds[0] else F.lit(None), F.col(f"u.{c}") if c in kinds[1] else F.lit(None), kinds[0].get(c), kinds[1].get(c)).alias(c) for c in columns]
+    return t.join(u, F.col(f"t.{key}") == F.col(f"u.{key}"), "full_outer").select(*made)
 
 
 def register_views(spark: SparkSession, views: dict[str, DataFrame]) -> list[str]:
