@@ -25,19 +25,34 @@ def select_payload(before: Column, after: Column, exclude_old: bool = False) ->
 
 
 def serialize_document(df: DataFrame, column: str) -> Column:
-    """The struct column as JSON: binary fields left out, nulls kept."""
+    """The struct column as JSON: bytes left out at any depth, nulls kept.
+
+    A field of bytes is left out; arrays and maps lose members that are bytes and stay, empty ones as well.
+    """
+
+    def clean(kind: T.DataType) -> bool:
+        if isinstance(kind, T.StructType):
+            return all(clean(f.dataType) for f in kind)
+        if isinstance(kind, T.ArrayType):
+            return clean(kind.elementType)
+        return clean(kind.valueType) if isinstance(kind, T.MapType) else not isinstance(kind, T.BinaryType)
 
     def kept(value: Column, kind: T.DataType) -> Column | None:
         if isinstance(kind, T.BinaryType):
             return None
+        if clean(kind):
+            return value
         if isinstance(kind, T.StructType):
             fields = [(f.name, kept(value[f.name], f.dataType)) for f in kind]
-            return F.when(value.isNotNull(), F.struct(*(c.alias(n) for n, c in fields if c is not None)))
+            left = [c.alias(n) for n, c in fields if c is not None]
+            return F.when(value.isNotNull(), F.struct(*left) if left else F.create_map().cast("map<string,string>"))
         if isinstance(kind, T.ArrayType):
             if isinstance(kind.elementType, T.BinaryType):
-                return None
-            return F.transform(value, lambda x: kept(x, kind.elementType)) if isinstance(kind.elementType, T.StructType) else value
-        return value
+                return F.when(value.isNotNull(), F.array().cast("array<string>"))
+            return F.transform(value, lambda x: kept(x, kind.elementType))
+        if isinstance(kind.valueType, T.BinaryType):
+            return F.when(value.isNotNull(), F.create_map().cast("map<string,string>"))
+        return F.transform_values(value, lambda _, x: kept(x, kind.valueType))
 
     return F.to_json(kept(F.col(column), df.schema[column].dataType), {"ignoreNullFields": "false"})
 

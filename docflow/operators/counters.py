@@ -139,9 +139,12 @@ def union_leaves(shards: DataFrame, partials: DataFrame) -> DataFrame:
     return shard_leaves(shards).unionByName(partial_leaves(partials))
 
 
-def remaining(stored: DataFrame, consumed: DataFrame) -> DataFrame:
-    """Shards that an aggregation of `consumed` leaves in store: those that came since, and those it could not read."""
-    failed = unread(consumed).select("shard_path")
+def remaining(stored: DataFrame, consumed: DataFrame, lost: DataFrame | None = None) -> DataFrame:
+    """Shards that an aggregation of `consumed` leaves in store: those that came since, and those it could not read.
+
+    lost: what `unread` gave for them, if it is there.
+    """
+    failed = (unread(consumed) if lost is None else lost).select("shard_path")
     return stored.join(consumed.select("shard_path").join(failed, "shard_path", "left_anti"), "shard_path", "left_anti")
 
 

@@ -167,12 +167,24 @@ def payloads(spark: SparkSession, d: str) -> DataFrame:
     return changes(spark, d).select("event_id", value(data).alias("new_value"), value(old).alias("old_value"))
 
 
-@query("P05", "SELECT c_custkey, c_name AS name, c_custkey % 2 = 0 AS even, TRUE AS keeps_null, FALSE AS has_bytes FROM customer")
+@query("P05", """SELECT c_custkey, c_name AS name, c_custkey % 2 = 0 AS even, TRUE AS keeps_null, FALSE AS has_bytes,
+    '{"tags":{"a":{"n":' || c_custkey || '}},"blobs":{},"lists":[[{"n":' || c_custkey || '},{"n":null}],[]],"pages":[[],[]]}' AS nested FROM customer""")
 def serialized(spark: SparkSession, d: str) -> DataFrame:
-    doc = F.struct(F.col("c_name").alias("name"), (F.col("c_custkey") % 2 == 0).alias("even"), F.lit(None).cast("string").alias("none"), F.encode("c_name", "UTF-8").alias("raw"))
+    """Documents with bytes as a field, in maps, in structs within maps and lists, and in lists of lists."""
+    raw = F.encode("c_name", "UTF-8")
+    pair = lambda n: F.struct(n.alias("n"), raw.alias("raw"))
+    key = F.col("c_custkey")
+    lists = F.array(F.array(pair(key), pair(F.nullif(key, key))), F.array_except(F.array(pair(key)), F.array(pair(key))))
+    nested = F.struct(
+        F.create_map(F.lit("a"), pair(key)).alias("tags"), F.create_map(F.lit("raw"), raw).alias("blobs"), lists.alias("lists"), F.array(F.array(raw), F.array(raw, raw)).alias("pages")
+    )
+    doc = F.struct(F.col("c_name").alias("name"), (key % 2 == 0).alias("even"), F.lit(None).cast("string").alias("none"), raw.alias("raw"), nested.alias("nested"))
     rows = fx.table(spark, d, "customer").select("c_custkey", doc.alias("doc"))
-    v = rows.select("c_custkey", parsed(capture.serialize_document(rows, "doc")).alias("v"))
-    return v.select("c_custkey", json_scalar(F.col("v"), ["name"]).alias("name"), json_scalar(F.col("v"), ["even"]).cast("boolean").alias("even"), F.contains(F.schema_of_variant("v"), F.lit("none: VOID")).alias("keeps_null"), F.contains(F.schema_of_variant("v"), F.lit("raw")).alias("has_bytes"))
+    v = rows.select("c_custkey", capture.serialize_document(rows, "doc").alias("j")).select("*", parsed("j").alias("v"))
+    return v.select(
+        "c_custkey", json_scalar(F.col("v"), ["name"]).alias("name"), json_scalar(F.col("v"), ["even"]).cast("boolean").alias("even"), F.contains(F.schema_of_variant("v"), F.lit("none: VOID")).alias("keeps_null"),
+        F.contains(F.schema_of_variant("v"), F.lit("raw")).alias("has_bytes"), F.regexp_extract("j", '"nested":(.*)[}]$', 1).alias("nested"),
+    )
 
 
 @query("P06", "SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS customer FROM orders")

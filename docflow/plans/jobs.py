@@ -60,12 +60,20 @@ def unreadable(spark: SparkSession, d: str) -> DataFrame:
 MORE_SHARDS = "SELECT DISTINCT 'counters/' || event_type AS counter, unnest(['more', repeat('d/', 49) || 'd']) AS leaf, 1 AS value FROM events"
 
 
-@query("A08", f"WITH {SHARDS} SELECT counter, leaf, CAST(sum(value) AS DOUBLE) AS value FROM ({SHARD_ROWS} UNION ALL {MORE_SHARDS} UNION ALL SELECT DISTINCT 'counters/' || event_type, 'not read', 3 FROM events) GROUP BY 1, 2")
+@query("A08", f"WITH {SHARDS} SELECT counter, leaf, CAST(sum(value) AS DOUBLE) AS value FROM ({SHARD_ROWS} UNION ALL {MORE_SHARDS} UNION ALL SELECT DISTINCT 'counters/' || event_type, unnest(['not read', 'in store']), unnest([3, 5]) FROM events) GROUP BY 1, 2")
 def summed(spark: SparkSession, d: str) -> DataFrame:
-    """Sums of all that can be read, and how many shards of a counter could not be, in whole or in part."""
+    """Sums of all that can be read, how many shards of a counter could not be, in whole or in part, and how many are in store after that.
+
+    Two shards of each counter come while the others are summed.
+    """
     shards = fx.shards(spark, d).unionByName(unreadable(spark, d))
-    lost = counters.unread(shards).groupBy("counter").agg(F.countDistinct("shard_path").cast("double").alias("value"))
-    return slashed(counters.sum_leaves(counters.drop_overridden(counters.shard_leaves(shards)))).unionByName(lost.select("counter", F.lit("not read").alias("leaf"), "value"))
+    came = fx.table(spark, d, "events").select("event_type").distinct().select("event_type", F.explode(F.array(F.lit("1"), F.lit("2"))).alias("n"))
+    came = came.select(F.concat(F.lit("counters/"), "event_type", F.lit("/_counter_shards_/new"), "n").alias("shard_path"), F.lit('{"hits":1}').alias("data"))
+    unread = counters.unread(shards)
+    lost = unread.groupBy("counter").agg(F.countDistinct("shard_path").cast("double").alias("value"))
+    stays = counters.remaining(shards.unionByName(came), shards, unread).groupBy(counters.counter_path(F.col("shard_path")).alias("counter")).agg(F.count("*").cast("double").alias("value"))
+    sums = slashed(counters.sum_leaves(counters.drop_overridden(counters.shard_leaves(shards))))
+    return sums.unionByName(lost.select("counter", F.lit("not read").alias("leaf"), "value")).unionByName(stays.select("counter", F.lit("in store").alias("leaf"), "value"))
 
 
 @query("A09", f"WITH {PARTIALS} SELECT counter, leaf, CAST(-sum(value) AS DOUBLE) AS value FROM ({PARTIAL_ROWS}) GROUP BY 1, 2")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,21 +13,19 @@ from docflow.functions.trees import tag_tree
 from docflow.operators import latest, retention, views
 from docflow.plans.changelog import CHANGELOG
 from docflow.plans.registry import query
+from docflow.sources.specs import read_specs, spec_views
 
-ORDER = [
-    views.Field("status", "string", column_name="order_status", description="state of the order"),
-    views.Field("total", "number"),
-    views.Field("even", "boolean"),
-    views.Field("placed", "timestamp"),
-    views.Field("items", "array"),
-    views.Field("loc", "geopoint"),
-    views.Field("ship", "map", (views.Field("priority", "string"), views.Field("by", "map", (views.Field("cust", "number"),)))),
-    views.Field("note", "null"),
-    views.Field("lines", "stringified_map"),
-]
 EVENT = [views.Field("value", "number"), views.Field("event_type", "string", column_name="kind"), views.Field("k", "number")]
 
 
+#: The folder of the spec files that come with these queries.
+SPECS = Path(__file__).with_name("specs").as_uri()
+
+
+def order_spec(spark: SparkSession) -> list[views.Field]:
+    return read_specs(spark, [f"{SPECS}/shop-*.json"])["shop_order"]
+
+
 def column(key: str, make, sql: str) -> None:
     """A query of one extracted column, `x`, for each order."""
 
@@ -89,7 +89,7 @@ def renamed(spark: SparkSession, d: str) -> DataFrame:
 @query("F15", "SELECT 'order_status' AS name, 'state of the order' AS comment, count(*) AS n_rows, count(o_orderstatus) AS n_filled FROM orders")
 def described(spark: SparkSession, d: str) -> DataFrame:
     """The descriptions that a view's columns carry, read from its schema, with their columns' counts over the whole view."""
-    view = views.schema_changelog(fx.order_docs(spark, d), ORDER, arrays=False)
+    view = views.schema_changelog(fx.order_docs(spark, d), order_spec(spark), arrays=False)
     told = [(f.name, f.metadata["comment"]) for f in view.schema if "comment" in f.metadata]
     counted = view.agg(F.count("*").alias("n_rows"), *(F.count(n).alias(n) for n, _ in told))
     rows = F.array(*(F.struct(F.lit(n).alias("name"), F.lit(c).alias("comment"), "n_rows", F.col(n).alias("n_filled")) for n, c in told))
@@ -134,12 +134,15 @@ def _flat(view: DataFrame) -> DataFrame:
 
 @query("V01", VIEW)
 def typed_changelog(spark: SparkSession, d: str) -> DataFrame:
-    return _flat(views.schema_changelog(fx.order_docs(spark, d), ORDER))
+    """By a spec file, one of those that a glob names."""
+    return _flat(views.schema_changelog(fx.order_docs(spark, d), order_spec(spark)))
 
 
 @query("V02", VIEW)
 def typed_latest(spark: SparkSession, d: str) -> DataFrame:
-    return _flat(views.schema_latest(fx.order_docs(spark, d), ORDER))
+    """The latest view of a folder's spec, under its name."""
+    made = spec_views(fx.order_docs(spark, d), read_specs(spark, [SPECS]), "orders")
+    return _flat(made["orders_schema_shop_order_latest"])
 
 
 @query("V03", f"WITH {CHANGELOG}, n AS (SELECT * FROM changelog QUALIFY row_number() OVER (PARTITION BY document_name ORDER BY timestamp DESC, event_id DESC) = 1) SELECT document_id, operation, CAST(value AS DECIMAL(38, 9)) AS value, kind, CAST(k AS DECIMAL(38, 9)) AS k FROM n WHERE operation <> 'DELETE'")
