@@ -6,10 +6,14 @@ for each pair of neighbouring words' languages, and forward-backward gives each
 that words of a code-switched text get their own labels. A document's language is the one with the
 largest share of its words' distributions; that share is its score. A chain is a whole text. It is cut
 into stretches of `STRETCH` words only to go through them side by side: the products of each stretch's
-matrices carry the messages from stretch to stretch, which gives the same as word by word.
+matrices carry the messages from stretch to stretch, which gives the same as word by word. A text above
+1 MB (`common.CHUNK_BYTES`) is gone through in windows that end between words, once forward for the
+messages that enter each and once backward, so that memory follows the window, or a longer word.
 
 Training maximises the likelihood by AdaGrad over a bounded sample (`SAMPLE_ROWS`) of documents with a
-language, dealt to `shards` tasks whose weights are averaged.
+language, dealt to `shards` tasks whose weights are averaged. There the windows of a long text are chains
+of their own. A training text has one language throughout, so transitions between two languages only
+become less likely from it; what moves a word's label away from its neighbours' are its own features.
 
 Defined cases: null texts and texts without letters are `und` with score 0; so is every text if
 nothing was there to learn from; ties go to the language first in order; texts are read whole;
@@ -26,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docflow.llm.common import TextBlock, held_out, mix64, runs, span_hashes, text_blocks
+from docflow.llm.common import CHUNK_BYTES, TextBlock, held_out, mix64, runs, span_hashes, text_blocks
 from docflow.llm.labelled import bounded, fit_shards, least_hashes
 from docflow.llm.quality import _letter
 from docflow.llm.winnow import _lower
@@ -42,6 +46,24 @@ _ascii_letter = _word_byte.copy()
 _ascii_letter[128:] = False
 
 
+def windows(block: TextBlock, most: int = CHUNK_BYTES) -> list[TextBlock]:
+    """The block's only text in windows of about `most` bytes that end between words; a block of several texts stays one."""
+    data, cuts = block.data, [0]
+    while block.rows == 1 and len(data) - cuts[-1] > most:
+        at = cuts[-1] + most
+        while at < len(data):
+            free = np.flatnonzero(~_word_byte[data[at : at + most]])
+            if len(free):
+                at += int(free[0])
+                break
+            at = min(at + most, len(data))
+        cuts.append(at)
+    if len(cuts) == 1:
+        return [block]
+    ends = [*cuts[1:], len(data)]
+    return [TextBlock(block.lo, block.hi, data[a:b], np.array([0, b - a])) for a, b in zip(cuts, ends, strict=True) if b > a]
+
+
 class Words:
     """The words of a block of texts: feature numbers, and the chains that they form."""
 
@@ -109,14 +131,33 @@ class Crf:
             out += self.emit[numbers]
         return out
 
-    def posteriors(self, words: Words) -> np.ndarray:
-        """Each word's distribution."""
-        ahead, behind, _, _ = self.messages(words)
-        both = ahead * behind
-        return both / both.sum(axis=1, keepdims=True)
+    def posteriors(self, block: TextBlock, most: int = CHUNK_BYTES) -> Iterator[tuple[Words, np.ndarray]]:
+        """The words of each window of the block, the last window first, and each word's distribution."""
+        parts = windows(block, most)
+        enter = [None]
+        for part in parts[:-1]:
+            words = Words(part)
+            if words.n:
+                ahead, _, _, step = self.messages(words, enter[-1])
+                x = ahead[-1] @ step
+                enter.append(x / x.sum())
+            else:
+                enter.append(enter[-1])
+        leave = None
+        for part, entering in zip(reversed(parts), reversed(enter), strict=True):
+            words = Words(part)
+            if words.n:
+                ahead, behind, own, step = self.messages(words, entering, leave)
+                both = ahead * behind
+                yield words, both / both.sum(axis=1, keepdims=True)
+                x = step @ (own[0] * behind[0])
+                leave = x / x.sum()
+
+    def messages(self, words: Words, entering: np.ndarray | None = None, leaving: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Forward and backward messages of each word, its own weights, and the transitions' weights.
 
-    def messages(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Forward and backward messages of each word, its own weights, and the transitions' weights."""
+        entering, leaving: what the words before and behind a window of one text give to it.
+        """
         k = self.move.shape[0]
         place, number = words.stretches()
         count = len(number)
@@ -130,7 +171,7 @@ class Crf:
         there = there.reshape(STRETCH, count)
         step = np.exp(self.move - self.move.max()).astype(np.float32)
         back = step.T.copy()
-        enter, leave = self._between(grid, there, number, step)
+        enter, leave = self._between(grid, there, number, step, entering, leaving)
         ahead, behind = np.empty_like(grid), np.empty_like(grid)
         for t in range(STRETCH):
             x = (ahead[t - 1] @ step if t else enter) * grid[t]
@@ -143,11 +184,15 @@ class Crf:
         return ahead.reshape(-1, k)[place], behind.reshape(-1, k)[place], own, step
 
     @staticmethod
-    def _between(grid: np.ndarray, there: np.ndarray, number: np.ndarray, step: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _between(grid: np.ndarray, there: np.ndarray, number: np.ndarray, step: np.ndarray, entering: np.ndarray | None, leaving: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
         """What enters each stretch from the words before it, and its last word from the words behind it."""
         k = step.shape[0]
         enter, leave = np.ones((len(number), k), np.float32), np.ones((len(number), k), np.float32)
         last = np.append(number[1:] == 0, True)
+        if entering is not None:
+            enter[number == 0] = entering
+        if leaving is not None:
+            leave[last] = leaving
         of = np.flatnonzero((number > 0) | ~last)
         if not len(of):
             return enter, leave
@@ -179,12 +224,16 @@ class Crf:
         pair = ahead[later - 1][:, :, None] * step * (own[later] * behind[later])[:, None, :]
         return both, (pair / pair.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
 
-    def train(self, batches: list[tuple[Words, np.ndarray]], epochs: int, rate: float = 0.3, decay: float = 1e-4) -> None:
-        """batches: words and the label of each word; a text has one label."""
+    def train(self, batches: list[tuple[TextBlock, np.ndarray]], epochs: int, rate: float = 0.3, decay: float = 1e-4) -> None:
+        """batches: texts and the label of each; words are taken from them anew each time, as they take far more memory."""
         k = self.move.shape[0]
         seen, seen_moves = np.full(self.emit.shape, 1e-3, np.float32), np.full(self.move.shape, 1e-3)
         for _ in range(epochs):
-            for words, labels in batches:
+            for block, text_labels in batches:
+                words = Words(block)
+                if not words.n:
+                    continue
+                labels = text_labels[words.rows]
                 own, moves = self.learnt_from(words)
                 slope = -own
                 slope[np.arange(words.n), labels] += 1
@@ -209,11 +258,8 @@ def train(sample: DataFrame, labels: list[str], shards: int = 4, epochs: int = 3
 
     def fit(sampled: pa.Table) -> pa.Table:
         lang = np.array([labels.index(x) for x in sampled.column("lang").to_pylist()], np.int64)
-        made = []
-        for block in text_blocks(sampled.column("text").combine_chunks(), 1 << 17):
-            words = Words(block)
-            if words.n:
-                made.append((words, lang[block.lo + words.rows]))
+        blocks = text_blocks(sampled.column("text").combine_chunks(), 1 << 17)
+        made = [(part, lang[part.lo : part.hi]) for block in blocks for part in windows(block)]
         model = Crf(len(labels))
         model.train(made, epochs)
         return pa.table({"emit": pa.array([zlib.compress(model.emit.tobytes(), 1)], pa.binary()), "move": pa.array([model.move.tobytes()], pa.binary())})
@@ -250,15 +296,16 @@ def identify(documents: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
             names, scores = [], []
             for block in text_blocks(batch.column("text")):
                 share = np.zeros((block.rows, max(1, len(labels))))
-                words = Words(block) if own else None
-                if words is not None and words.n:
-                    each = own.posteriors(words)
+                for words, each in own.posteriors(block) if own else ():
                     full = np.flatnonzero(np.diff(words.first))
-                    share[full] = np.add.reduceat(each, words.first[:-1][full], axis=0, dtype=np.float64)
+                    share[full] += np.add.reduceat(each, words.first[:-1][full], axis=0, dtype=np.float64)
                 share /= np.maximum(share.sum(axis=1, keepdims=True), 1e-12)
-                plain = np.concatenate([[0], np.cumsum(_ascii_letter[block.data])])[block.offsets]
+                plain = np.zeros(block.rows, bool)
+                for part in windows(block):
+                    marks = _ascii_letter[part.data]
+                    plain |= np.diff(np.concatenate([[0], np.cumsum(marks)])[part.offsets]) > 0
                 for row in range(block.rows):
-                    letters = own is not None and (plain[row + 1] > plain[row] or any(c.isalpha() for c in block.text(row)))
+                    letters = own is not None and (plain[row] or any(c.isalpha() for c in block.text(row)))
                     best = int(share[row].argmax())
                     names.append(labels[best] if letters else "und")
                     scores.append(min(1.0, float(share[row, best])) if letters else 0.0)
@@ -272,7 +319,10 @@ def word_labels(texts: list[str], labels: list[str], model: Crf) -> list[list[st
     """The most likely language of each word of each text."""
     out: list[list[str]] = []
     for block in text_blocks(pa.array(texts, pa.large_string())):
-        words = Words(block)
-        best = model.posteriors(words).argmax(axis=1).tolist() if words.n else []
-        out += [[labels[x] for x in best[a:b]] for a, b in zip(words.first[:-1], words.first[1:], strict=True)]
+        own: list[list[str]] = [[] for _ in range(block.rows)]
+        for words, each in model.posteriors(block):
+            best = each.argmax(axis=1).tolist()
+            for row, (a, b) in enumerate(zip(words.first[:-1], words.first[1:], strict=True)):
+                own[row] = [labels[x] for x in best[a:b]] + own[row]
+        out += own
     return out

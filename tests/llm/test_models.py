@@ -122,8 +122,7 @@ def test_forward_backward_matches_enumeration():
 
     rng = np.random.default_rng(0)
     model = langid.Crf(3, rng.normal(size=(1 << langid.BITS, 3)).astype(np.float32), rng.normal(size=(3, 3)))
-    words = langid.Words(next(text_blocks(pa.array(["ab cd ef", "xyz"]))))
-    got = model.posteriors(words)
+    ((words, got),) = model.posteriors(next(text_blocks(pa.array(["ab cd ef", "xyz"]))))
     scores = model.scores(words)
     total = np.zeros((3, 3))
     for path in itertools.product(range(3), repeat=3):
@@ -162,6 +161,52 @@ def test_chains_are_whole_texts():
     assert np.allclose(moves, told, rtol=1e-3)
 
 
+def random_crf(seed):
+    import numpy as np
+
+    rng = np.random.default_rng(seed)
+    return rng, langid.Crf(3, (rng.normal(size=(1 << langid.BITS, 3)) / 8).astype(np.float32), rng.normal(size=(3, 3)) + 3 * np.eye(3))
+
+
+def test_windows_of_a_text_give_what_the_whole_text_gives():
+    import numpy as np
+    import pyarrow as pa
+
+    from docflow.llm.common import text_blocks
+
+    rng, model = random_crf(2)
+    text = " ".join(rng.choice(["ab", "Äb", "cde", "f", "..", "x" * 90, "ßÉ"], 4_000))
+    (whole,) = text_blocks(pa.array([text]))
+    ((words, want),) = model.posteriors(whole)
+    for most in (40, 1_000, 7_777):
+        parts = list(model.posteriors(whole, most))
+        assert len(parts) > 1 and sum(w.n for w, _ in parts) == words.n
+        assert np.allclose(np.concatenate([p for _, p in reversed(parts)]), want, atol=1e-4)
+    assert b"".join(p.data.tobytes() for p in langid.windows(whole, 100)) == text.encode()
+    assert langid.windows(next(text_blocks(pa.array(["a b", "c d"]))), 2)[0].rows == 2
+    (long_word,) = text_blocks(pa.array(["x" * 500 + " y"]))
+    assert [p.data.tobytes().decode() for p in langid.windows(long_word, 100)] == ["x" * 500, " y"]
+    (blank,) = text_blocks(pa.array([" " * 300 + "ab" + "." * 300]))
+    assert [w.n for w, _ in model.posteriors(blank, 50)] == [1]
+
+
+def test_memory_follows_the_window():
+    import subprocess
+    import sys
+
+    program = """
+import resource, numpy as np, pyarrow as pa
+from docflow.llm import langid
+from docflow.llm.common import text_blocks
+model = langid.Crf(6, np.random.default_rng(1).normal(size=(1 << langid.BITS, 6)).astype(np.float32), np.eye(6))
+text = pa.array(["some words of a text that is long " * ((64 << 20) // 34)])
+print(sum(w.n for b in text_blocks(text) for w, _ in model.posteriors(b)), resource.getrusage(resource.RUSAGE_SELF).ru_maxrss >> 10)
+"""
+    done = subprocess.run([sys.executable, "-c", program], capture_output=True, text=True, timeout=600, check=True)
+    n, peak = map(int, done.stdout.split())
+    assert n == 8 * ((64 << 20) // 34) and peak < 1_000
+
+
 def test_no_languages(spark):
     df = spark.createDataFrame([(1, "some words", None)], "doc_id long, text string, lang string")
     assert [(r.lang_pred, r.score) for r in langid.identify(df).collect()] == [("und", 0.0)]
