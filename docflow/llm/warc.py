@@ -8,8 +8,9 @@ Other skippable frames are passed over. After bytes that are no frame, or a fram
 damaged, reading goes on at the next frame; a dictionary that cannot be read is an error of its own,
 and the records that do not need it are still read.
 
-Archives are bounded by `archive_bytes` of payload, so a task holds one archive at a time. They are
-written below the shared folder under their final names only when complete, and a manifest written by
+Written archives are bounded by `archive_bytes` of payload, so that a task holds one at a time. Archives
+above `LARGE_BYTES` are read from their file as far as the reader has come, so that a task holds one
+frame of theirs, however long they are. Archives are written below the shared folder under their final names only when complete, and a manifest written by
 Spark's committed writer says which of them belong to the result: files that a lost executor left are
 not read.
 
@@ -44,6 +45,8 @@ ZSTD_FRAME = 0xFD2FB528
 RECORD = "page_id long, url string, record_type string, refers_to long, payload binary, payload_bytes long, payload_digest string, record_id string, archive string, error string"
 #: A record's bytes at most: what an Arrow value and a Spark row hold. A larger one is reported.
 MOST_BYTES = (1 << 31) - 1
+#: Larger archives are read from their file piece by piece.
+LARGE_BYTES = 128 << 20
 
 
 class WarcError(ValueError):
@@ -186,14 +189,42 @@ def _unpacked(reader: zstandard.ZstdDecompressor, frame: memoryview, most: int)
     return b"".join(pieces)
 
 
-def _next_frame(data: bytes, at: int) -> int:
-    found = data.find(ZSTD_FRAME.to_bytes(4, "little"), at)
-    return len(data) if found < 0 else found
+class Pieces:
+    """The bytes of an open file, read as they are asked for; what was read last is kept."""
 
+    def __init__(self, file: pa.NativeFile, ahead: int = 1 << 20):
+        self.file, self.ahead, self.size = file, ahead, file.size()
+        self.at, self.data = 0, b""
 
-def read_archive(data: bytes, most: int = MOST_BYTES) -> Iterator[dict]:
+    def __len__(self) -> int:
+        return self.size
+
+    def __getitem__(self, key: int | slice) -> int | memoryview:
+        if isinstance(key, int):
+            if key >= self.size:
+                raise IndexError(key)
+            return self[key : key + 1][0]
+        lo, hi, _ = key.indices(self.size)
+        if lo < self.at or hi > self.at + len(self.data):
+            self.file.seek(lo)
+            self.at, self.data = lo, self.file.read(max(hi - lo, self.ahead))
+        return memoryview(self.data)[lo - self.at : max(lo, hi) - self.at]
+
+
+def _next_frame(data: memoryview | Pieces, at: int, step: int = 1 << 20) -> int:
+    """Where the next bytes stand that may begin a frame."""
+    while at < len(data):
+        found = bytes(data[at : at + step]).find(ZSTD_FRAME.to_bytes(4, "little"))
+        if found >= 0:
+            return at + found
+        # The next piece begins with the last three bytes of this one.
+        at += step - 3
+    return len(data)
+
+
+def read_archive(data: bytes | Pieces, most: int = MOST_BYTES) -> Iterator[dict]:
     """The records of one archive; whatever cannot be read is a row with `error`, and what follows is read."""
-    view, at = memoryview(data), 0
+    view, at = data if isinstance(data, Pieces) else memoryview(data), 0
     reader = zstandard.ZstdDecompressor()
     while at < len(view):
         magic = int.from_bytes(view[at : at + 4], "little")
@@ -202,7 +233,7 @@ def read_archive(data: bytes, most: int = MOST_BYTES) -> Iterator[dict]:
             end = at + 8 + size
             if end > len(view):
                 yield {"error": f"the skippable frame at byte {at} is cut short"}
-                at = _next_frame(data, at + 4)
+                at = _next_frame(view, at + 4)
                 continue
             if magic == DICTIONARY_FRAME and not at:
                 try:
@@ -213,16 +244,18 @@ def read_archive(data: bytes, most: int = MOST_BYTES) -> Iterator[dict]:
             continue
         try:
             end = frame_end(view, at)
+            if end - at > most + most // 128 + 1024:
+                raise WarcError(f"a record of more than {most} bytes")
         except (WarcError, IndexError) as e:
             yield {"error": str(e)}
-            at = _next_frame(data, at + 1)
+            at = _next_frame(view, at + 1)
             continue
         try:
             yield parse_record(_unpacked(reader, view[at:end], most)) | {"error": None}
         except zstandard.ZstdError as e:
             # The damage may lie in a length, so that other frames follow within this one's bounds.
             yield {"error": str(e)}
-            end = _next_frame(data, at + 1)
+            end = _next_frame(view, at + 1)
         except (WarcError, UnicodeDecodeError) as e:
             yield {"error": str(e)}
         at = end
@@ -281,27 +314,43 @@ def write_warc(pages: DataFrame, path: str, archive_bytes: int = 32 << 20, date:
     return settle(with_revisits(pages).mapInArrow(write, "archive string, records long"), "manifest")
 
 
-def read_warc(spark: SparkSession, path: str, manifest: DataFrame | None = None) -> DataFrame:
-    """The records of the archives below path, or of those that the manifest names."""
+def read_warc(spark: SparkSession, path: str, manifest: DataFrame | None = None, large: int = LARGE_BYTES) -> DataFrame:
+    """The records of the archives below path, or of those that the manifest names.
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload", pa.binary()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_id", pa.string()), ("archive", pa.string()), ("error", pa.string())])
+    Spark reads archives of up to `large` bytes; tasks open larger ones by Arrow's file systems.
+    """
+    schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload", pa.binary()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_id", pa.string()), ("archive", pa.string()), ("error", pa.string())])
+
+    def told(name: str, data: bytes | Pieces) -> Iterator[pa.RecordBatch]:
+        rows, size = [], 0
+        for row in read_archive(data):
+            rows.append(row | {"archive": name})
+            size += len(row.get("payload") or b"")
+            if size >= 8 << 20 or len(rows) >= 10_000:
+                yield pa.RecordBatch.from_pylist(rows, schema)
+                rows, size = [], 0
+        yield pa.RecordBatch.from_pylist(rows, schema)
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, content in zip(batch.column("archive"), batch.column("content"), strict=True):
-                rows, size = [], 0
-                for row in read_archive(content.as_py()):
-                    rows.append(row | {"archive": name.as_py()})
-                    size += len(row.get("payload") or b"")
-                    if size >= 8 << 20:
-                        yield pa.RecordBatch.from_pylist(rows, schema)
-                        rows, size = [], 0
-                yield pa.RecordBatch.from_pylist(rows, schema)
+                yield from told(name.as_py(), content.as_py())
+
+    def piecewise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                # Spark names local files with one slash where Arrow wants three.
+                store, at = pafs.FileSystem.from_uri(re.sub("^file:/(?!/)", "file:///", row["path"]))
+                with store.open_input_file(at) as file:
+                    yield from told(row["archive"], Pieces(file))
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(path)
-    files = files.select(F.element_at(F.split("path", "/"), -1).alias("archive"), "content")
+    files = files.withColumn("archive", F.element_at(F.split("path", "/"), -1))
     if manifest is not None:
         files = files.join(manifest.select("archive"), "archive", "left_semi")
-    return files.mapInArrow(read, RECORD)
+    small = files.where(F.col("length") <= large).select("archive", "content").mapInArrow(whole, RECORD)
+    # Only names and lengths of these leave the scan; a row each.
+    return small.unionByName(files.where(F.col("length") > large).select("archive", "path").mapInArrow(piecewise, RECORD))
 
 
 def round_trip(pages: DataFrame, archive_bytes: int = 32 << 20) -> DataFrame:

@@ -169,3 +169,64 @@ def test_null_page_ids_and_common_payloads(spark, monkeypatch):
             first[h] = min(i, first.get(h, i))
     kinds = sorted(((i, "response" if h not in first or first[h] == i else "revisit", None if h not in first or first[h] == i else first[h]) for i, _, h in rows), key=repr)
     assert sorted(((r[0], r[3], r[4]) for r in got), key=repr) == kinds
+
+
+def pieces(data, ahead):
+    import pyarrow as pa
+
+    return warc.Pieces(pa.BufferReader(data), ahead)
+
+
+@pytest.mark.parametrize("ahead", [1, 7, 1 << 20])
+def test_archives_by_pieces_give_what_whole_ones_give(ahead):
+    other = (0x184D2A51).to_bytes(4, "little") + (9).to_bytes(4, "little") + b"x" * 9
+    dictionary = warc.train_dictionary(records() * 10)
+    good = archive(records(), dictionary)
+    hurt = bytearray(archive(records(8)) + b"junk" + other + archive(records(3)))
+    hurt[200:210] = b"\0" * 10
+    for data in (good, good[:-5], bytes(hurt), b"", b"\0\1\2\3rest", warc.dictionary_frame(b"x" * 100)[:20]):
+        assert list(warc.read_archive(pieces(data, ahead))) == list(warc.read_archive(data))
+
+
+def test_the_next_frame_is_found_across_pieces():
+    magic = warc.ZSTD_FRAME.to_bytes(4, "little")
+    for before in range(0, 30):
+        data = b"." * before + magic + b"..." + magic
+        assert warc._next_frame(memoryview(data), 0, 8) == before
+        assert warc._next_frame(pieces(data, 2), before + 1, 8) == before + 7
+        assert warc._next_frame(memoryview(data), before + 8, 8) == len(data)
+
+
+def test_large_archives_are_opened_by_tasks(spark, tmp_path):
+    (tmp_path / "a.warc.zst").write_bytes(archive(records(20), warc.train_dictionary(records() * 10)))
+    (tmp_path / "b.warc.zst").write_bytes(archive(records(2)))
+    want = {tuple(r) for r in warc.read_warc(spark, str(tmp_path)).collect()}
+    edge = (tmp_path / "b.warc.zst").stat().st_size
+    got = warc.read_warc(spark, str(tmp_path), large=edge).collect()
+    assert len(got) == 22 and {tuple(r) for r in got} == want
+    assert {tuple(r) for r in warc.read_warc(spark, str(tmp_path), large=0).collect()} == want
+
+
+def test_a_long_archive_takes_the_memory_of_a_piece(tmp_path):
+    import os
+    import subprocess
+    import sys
+
+    path = tmp_path / "long.warc.zst"
+    body = [warc.record_bytes(i, "u", os.urandom(1 << 20), None, False, "2024-01-01T00:00:00Z") for i in range(4)]
+    part = archive(body)
+    with path.open("wb") as out:
+        for _ in range(80):
+            out.write(part)
+    program = f"""
+import resource
+from pyarrow import fs
+from docflow.llm import warc
+with fs.LocalFileSystem().open_input_file({str(path)!r}) as f:
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    n = sum(r["error"] is None for r in warc.read_archive(warc.Pieces(f)))
+print(n, (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) >> 10)
+"""
+    done = subprocess.run([sys.executable, "-c", program], capture_output=True, text=True, timeout=300, check=True)
+    n, grown = map(int, done.stdout.split())
+    assert n == 320 and grown < 100
