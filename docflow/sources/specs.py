@@ -5,7 +5,6 @@ from __future__ import annotations
 import json
 import re
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from docflow.operators.views import Field, schema_changelog, schema_latest
@@ -18,15 +17,23 @@ def spec_name(path: str) -> str:
 
 
 def spec_files(spark: SparkSession, where: str) -> list[tuple[str, str]]:
-    """path and text of the files that a path, a glob or a folder names, in order of paths; none where there is no file."""
-    try:
-        files = spark.read.format("binaryFile").load(where).selectExpr("path", "decode(content, 'UTF-8') AS text")
-        # Specs are configuration that the driver makes columns of.
-        return sorted((r.path, r.text) for r in files.collect())
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return []
+    """path and text of the files that a path, a glob or a folder names, in order of paths; none where there is no file.
+
+    Specs are configuration: the driver reads them, and they may lie where executors cannot see them.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(where)
+    store = path.getFileSystem(conf)
+    found = []
+    for named in store.globStatus(path) or ():
+        for status in store.listStatus(named.getPath()):
+            if status.isFile():
+                stream = store.open(status.getPath())
+                try:
+                    found.append((status.getPath().toString(), jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")))
+                finally:
+                    stream.close()
+    return sorted(found)
 
 
 def read_specs(spark: SparkSession, globs: list[str]) -> dict[str, list[Field]]:
