@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docflow import fixtures as fx
@@ -543,13 +543,20 @@ def partitioned(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(path).groupBy(F.date_format("timestamp", "yyyy-MM-dd").alias("day"), folder.alias("folder")).agg(F.count("*").alias("n"))
 
 
-@query("S11", f"WITH {CHANGELOG} SELECT document_id, count(*) AS n FROM changelog GROUP BY 1")
+@query("S11", f"WITH {CHANGELOG} SELECT document_id, count(*) AS n, TRUE AS apart FROM changelog GROUP BY 1")
 def clustered(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of each document after clustering, and whether the files' ranges of keys lie apart."""
     from docflow.sources.tables import write_clustered
 
     path = landing(spark, "clustered")
     write_clustered(fx.changelog(spark, d), path, ["document_id", "timestamp"])
-    return spark.read.parquet(path).groupBy("document_id").agg(F.count("*").alias("n"))
+    stored = spark.read.parquet(path)
+    key = F.struct("document_id", "timestamp")
+    ranges = stored.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.min(key).alias("lo"), F.max(key).alias("hi"))
+    # A row for each file; the one before it in order of keys must end before it begins.
+    before = F.lag("hi").over(Window.orderBy("lo"))
+    apart = ranges.select((before.isNull() | (before < F.col("lo"))).alias("apart")).agg(F.every("apart")).first()[0]
+    return stored.groupBy("document_id").agg(F.count("*").alias("n")).withColumn("apart", F.lit(apart))
 
 
 @query("S16", f"WITH {CHANGELOG} SELECT document_name, epoch_us(timestamp) AS ts_us, TRUE AS stale, TRUE AS left_alone FROM changelog QUALIFY row_number() OVER (PARTITION BY document_name ORDER BY timestamp DESC, event_id DESC) = 1 AND operation <> 'DELETE'")
@@ -568,12 +575,18 @@ def refreshed(spark: SparkSession, d: str) -> DataFrame:
     return shot.read().select("document_name", F.unix_micros("timestamp").alias("ts_us"), F.lit(stale).alias("stale"), F.lit(left).alias("left_alone"))
 
 
-@query("S17", f"WITH {CHANGELOG} SELECT operation, count(*) AS n FROM changelog GROUP BY 1")
+@query("S17", f"WITH {CHANGELOG} SELECT operation, count(*) AS n, 'users_raw_changelog,users_raw_latest||users_raw_latest' AS made FROM changelog WHERE operation <> 'DELETE' GROUP BY 1")
 def registered(spark: SparkSession, d: str) -> DataFrame:
+    """Views made at first, at a repetition (none), and after one of them has changed (that one)."""
     from docflow.sources.tables import register_views
 
-    register_views(spark, {"users_raw_changelog": fx.changelog(spark, d)})
-    return spark.table("users_raw_changelog").groupBy("operation").agg(F.count("*").alias("n"))
+    for name in ("users_raw_changelog", "users_raw_latest"):
+        spark.catalog.dropTempView(name)
+    log = fx.changelog(spark, d)
+    views = {"users_raw_changelog": log, "users_raw_latest": log.where("operation = 'CREATE'")}
+    made = [register_views(spark, views), register_views(spark, views), register_views(spark, views | {"users_raw_latest": log.where("operation <> 'DELETE'")})]
+    told = "|".join(",".join(sorted(m)) for m in made)
+    return spark.table("users_raw_latest").groupBy("operation").agg(F.count("*").alias("n")).withColumn("made", F.lit(told))
 
 
 @query("N10", "SELECT name, n, TRUE AS fresh, FALSE AS late, FALSE AS early FROM (SELECT 'big' AS name, count(*) AS n FROM orders WHERE o_totalprice >= 200000 UNION ALL SELECT 'open', count(*) FROM orders WHERE o_orderstatus = 'O')")
