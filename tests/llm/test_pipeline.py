@@ -28,9 +28,9 @@ def test_stages(spark):
     for i in sets:
         near = [j for j in sets if j != i and sets[i] & sets[j]]
         if i in stay:
-            assert not any(j in stay and likeness(i, j) >= 0.9 for j in near)
+            assert not any(j in stay and likeness(i, j) >= 0.8 for j in near)
         else:
-            assert any(likeness(i, j) >= 0.6 for j in near)
+            assert any(likeness(i, j) >= 0.8 for j in near)
     given, kept = seen["decontaminate"]
     items = [tuple(r) for r in spark.read.parquet(f"{DATA}/benchmark.parquet").select("item_id", "text").collect()]
     hit = {r[0] for r in brute([(r.doc_id, r.text) for r in given], items) if r[5]}
@@ -56,5 +56,5 @@ def test_run_equals_its_stages_and_handles_edges(spark, tmp_path):
 
 
 def test_every_number_has_one_query():
-    assert [int(n[2:].split("_")[0]) for n in QUERIES] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in QUERIES] == list(range(1, 14))
     assert set(ORACLES) <= set(QUERIES)
