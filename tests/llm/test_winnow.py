@@ -45,7 +45,8 @@ def test_against_brute_force(spark):
     docs += [(500, None), (501, ""), (0, docs[0][1]), (None, items[6][1] or "x")]
     want = brute(docs, items)
     assert run(spark, docs, items) == want
-    assert run(spark, docs, items, block_chars=150) == want  # the benchmark in several passes
+    assert run(spark, docs, items, block_chars=150) == want  # joined, in one pass
+    assert run(spark, docs, items, block_chars=150, filter_windows=100) == want  # joined, in several passes
 
 
 def test_empty_tables_and_long_text(spark):
@@ -57,12 +58,41 @@ def test_empty_tables_and_long_text(spark):
     assert row[1:4] == (800_012, 12, 1)
 
 
-def test_blocks_stay_bounded(spark):
+def test_only_small_benchmarks_are_held(spark):
     b = spark.createDataFrame([(i, "w " * (i % 40), "z") for i in range(300)], "item_id long, text string, source string")
-    blocks = list(winnow.item_blocks(b, 200))
-    assert len(blocks) > 20
-    assert all(len(x) == 1 or sum(len(t) for _, t in x) <= 200 for x in blocks)
-    assert sorted(int(i) for x in blocks for i, _ in x) == list(range(300))
+    items = winnow.usable_items(b)
+    total = sum(2 * (i % 40) for i in range(300))
+    assert winnow.held_items(items, total - 1) is None
+    assert len(winnow.held_items(items, total)) == sum(i % 40 > 0 for i in range(300))
+
+
+def test_a_large_benchmark_reads_the_documents_once(spark, tmp_path):
+    rng = random.Random(9)
+    text = lambda n: " ".join(rng.choice("abcdefghijklmnopqrstuvwxyz") + str(rng.randrange(500)) for _ in range(n))
+    items = [(i, text(60)) for i in range(200)]
+    docs = [(i, text(80) + (" " + items[i % 200][1][:120] if i % 4 == 0 else "")) for i in range(400)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(str(tmp_path / "d"))
+    d = spark.read.parquet(str(tmp_path / "d"))
+    reads = []
+    held = winnow._candidates
+    winnow._candidates = lambda *a: reads.append(1) or held(*a)
+    try:
+        b = spark.createDataFrame(items, "item_id long, text string")
+        # 20 times what a task may hold
+        rows = winnow.contamination(d, b, block_chars=sum(len(t) for _, t in items) // 20)
+        assert "documents" not in rows.inputFiles() and not any("/d/" in f for f in rows.inputFiles())
+    finally:
+        winnow._candidates = held
+    assert len(reads) == 1
+    assert sorted(map(tuple, rows.collect()), key=repr) == brute(docs, items)
+
+
+def test_common_passages_and_long_texts_of_a_large_benchmark(spark, monkeypatch):
+    monkeypatch.setattr(winnow, "BATCH_WINDOWS", 50)
+    passage = " ".join(f"p{i}" for i in range(30))
+    items = [(i, f"{passage} {i} own words") for i in range(40)] + [(90, "two words"), (91, "x")]
+    docs = [(i, f"before {passage} after") for i in range(200)] + [(900, "x " * 3_000 + passage), (901, None), (902, "two words"), (902, "two words"), (903, "clean text")]
+    assert run(spark, docs, items, block_chars=10) == brute(docs, items)
 
 
 def test_null_items_and_equal_hashes(spark):
@@ -75,6 +105,8 @@ def test_null_items_and_equal_hashes(spark):
     a, b = ("".join("ab"[x ^ y] for x in bits) for y in (0, 1))
     assert run(spark, [(1, a)], [(5, b)])[0][2:4] == (0, 0)
     assert run(spark, [(1, a)], [(5, a)])[0][2:4] == (1, 1)
+    assert run(spark, [(1, a)], [(5, b)], block_chars=10)[0][2:4] == (0, 0)
+    assert run(spark, [(1, a)], [(5, a)], block_chars=10)[0][2:4] == (1, 1)
 
 
 def test_windows_do_not_cross_documents(spark):
@@ -83,10 +115,13 @@ def test_windows_do_not_cross_documents(spark):
     assert [r[2] for r in rows] == [0, 0]
 
 
-def test_clean_documents_keep_their_columns(spark):
+def test_clean_documents_keep_their_columns(spark, monkeypatch):
     item = " ".join(f"w{i}" for i in range(12))
     d = spark.createDataFrame([(1, item, "en", "s", 3), (2, None, None, None, None)], SCHEMA)
     b = spark.createDataFrame([(1, item)], "item_id long, text string")
-    kept = winnow.clean_documents(d, b)
-    assert kept.columns == d.columns
-    assert [tuple(r) for r in kept.collect()] == [(2, None, None, None, None)]
+    plain = winnow.contamination
+    for chars in (winnow.BLOCK_CHARS, 5):
+        monkeypatch.setattr(winnow, "contamination", lambda *a, **o: plain(*a, block_chars=chars, **o))
+        kept = winnow.clean_documents(d, b)
+        assert kept.columns == d.columns
+        assert [tuple(r) for r in kept.collect()] == [(2, None, None, None, None)]
