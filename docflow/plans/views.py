@@ -18,8 +18,8 @@ from docflow.sources.specs import read_specs, spec_views
 EVENT = [views.Field("value", "number"), views.Field("event_type", "string", column_name="kind"), views.Field("k", "number")]
 
 
-#: The folder of the spec files that come with these queries.
-SPECS = Path(__file__).with_name("specs").as_uri()
+#: The folder of the spec files that come with these queries. A worker may import this by a relative path.
+SPECS = Path(__file__).absolute().with_name("specs").as_uri()
 
 
 def order_spec(spark: SparkSession) -> list[views.Field]:
