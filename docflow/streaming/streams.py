@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -197,81 +198,106 @@ def stream_keep_last_n(children: DataFrame, checkpoint: str, n: int, sink: Calla
 
 
 class MailLease(StatefulProcessor):
-    """A document's delivery state with a processing-time timer for its lease.
+    """Delivery states of a bucket of mail, with a processing-time timer for what ends first of it.
 
-    Mail that is open has state without an end. Once it is SUCCESS or ERROR its timers go and its state
-    lives for keep_ms more; what is told of it later finds it new.
+    A bucket's mail is one value, a table in Arrow form, so that a batch costs a few calls for each bucket and not
+    for each mail. Mail that is open stays without an end; its `at` is when its lease ends. Once it is SUCCESS
+    or ERROR its `at` is keep_ms later; what is told of it then finds it new.
     """
 
-    def __init__(self, lease_ms: int, keep_ms: int):
-        self.lease_ms, self.keep_ms = lease_ms, keep_ms
+    def __init__(self, lease_ms: int, keep_ms: int, whole: bool):
+        self.lease_ms, self.keep_ms, self.whole = lease_ms, keep_ms, whole
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.open = handle.getValueState("open", "state string, attempts int")
-        self.closed = handle.getValueState("closed", "state string, attempts int", self.keep_ms)
-
-    def _held(self) -> tuple[str, int]:
-        for store in (self.open, self.closed):
-            if store.exists():
-                return tuple(store.get())
-        return "PENDING", 0
-
-    def _keep(self, state: str, attempts: int) -> None:
-        for due in list(self.handle.listTimers()):
-            self.handle.deleteTimer(due)
-        if state in ("SUCCESS", "ERROR"):
-            self.open.clear()
-            self.closed.update((state, attempts))
-        else:
-            self.closed.clear()
-            self.open.update((state, attempts))
-
-    @staticmethod
-    def _row(key, state: str, attempts: int, error: str | None) -> pd.DataFrame:
-        return pd.DataFrame({"mail_id": [key[0]], "state": [state], "attempts": [attempts], "error": pd.Series([error], dtype="object")})
+        self.mail = handle.getValueState("mail", "rows binary")
+
+    def _held(self, now: int) -> dict[object, tuple[str, int, int]]:
+        """State, attempts and `at` by id, without mail whose time is over."""
+        if not self.mail.exists():
+            return {}
+        rows = pa.ipc.open_stream(bytes(self.mail.get()[0])).read_all()
+        columns = (rows[c].to_pylist() for c in ("id", "state", "attempts", "at"))
+        return {i: (s, n, at) for i, s, n, at in zip(*columns, strict=True) if s == "PROCESSING" or at > now}
+
+    def _keep(self, held: dict[object, tuple[str, int, int]], timers: set[int]) -> None:
+        """Stores the mail, with one timer in place of `timers`: at the first lease's end, or some time after the first mail's."""
+        due = min((at if s == "PROCESSING" else at + self.keep_ms // 8 for s, _, at in held.values()), default=None)
+        for old in timers - {due}:
+            self.handle.deleteTimer(old)
+        if not held:
+            self.mail.clear()
+            return
+        if due not in timers:
+            self.handle.registerTimer(due)
+        states, attempts, ends = zip(*held.values(), strict=True)
+        rows = pa.table({"id": pa.array(list(held)), "state": pa.array(states).dictionary_encode(), "attempts": pa.array(attempts, pa.int32()), "at": pa.array(ends, pa.int64())})
+        out = pa.BufferOutputStream()
+        with pa.ipc.new_stream(out, rows.schema) as stream:
+            stream.write_table(rows)
+        self.mail.update((out.getvalue().to_pybytes(),))
+
+    def _told(self, rows: list[tuple[object, str, int, str | None]]) -> pd.DataFrame:
+        ids, states, attempts, errors = zip(*rows, strict=True)
+        kind = "Int64" if self.whole else "object"
+        return pd.DataFrame({"mail_id": pd.Series(list(ids), dtype=kind), "state": states, "attempts": attempts, "error": pd.Series(list(errors), dtype="object")})
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timers) -> Iterator[pd.DataFrame]:  # noqa: N802
-        state, attempts = before = self._held()
-        began = False
-        told = pd.concat(list(rows)).sort_values("seq")
-        for event in told["event"]:
+        now = timers.getCurrentProcessingTimeInMs()
+        held = self._held(now)
+        told = pd.concat(list(rows)).sort_values("seq", kind="stable")
+        ids = [None if nameless else i for i, nameless in zip(told["mail_id"].tolist(), told["nameless"].tolist(), strict=True)]
+        found: dict[object, tuple[str, int]] = {}
+        began = set()
+        for i, event in zip(ids, told["event"].tolist(), strict=True):
+            state, attempts = found.get(i) or held.get(i, ("PENDING", 0))[:2]
             if event == "retry" and state == "ERROR":
                 state = "RETRY"
             if event in ("start", "retry") and state in ("PENDING", "RETRY"):
-                state, began = "PROCESSING", True
+                state = "PROCESSING"
+                began.add(i)
             elif event in ("sent", "failed") and state == "PROCESSING":
                 state, attempts = ("SUCCESS" if event == "sent" else "ERROR"), attempts + 1
-        if (state, attempts) == before and not began:
-            return
-        self._keep(state, attempts)
-        if state == "PROCESSING":
-            self.handle.registerTimer(timers.getCurrentProcessingTimeInMs() + self.lease_ms)
-        yield self._row(key, state, attempts, None)
+            found[i] = state, attempts
+        changed = {i: r for i, r in found.items() if i in began or r != held.get(i, ("PENDING", 0))[:2]}
+        held |= {i: (s, n, now + (self.lease_ms if s == "PROCESSING" else self.keep_ms)) for i, (s, n) in changed.items()}
+        self._keep(held, set(self.handle.listTimers()))
+        if changed:
+            yield self._told([(i, s, n, None) for i, (s, n) in changed.items()])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        state, attempts = self._held()
-        if state == "PROCESSING":
-            self._keep("ERROR", attempts)
-            yield self._row(key, "ERROR", attempts, LEASE_ERROR)
+        now = timerValues.getCurrentProcessingTimeInMs()
+        held = self._held(now)
+        ended = [(i, n) for i, (s, n, at) in held.items() if s == "PROCESSING" and at <= now]
+        held |= {i: ("ERROR", n, now + self.keep_ms) for i, n in ended}
+        self._keep(held, set())  # the timer that has come goes by itself
+        if ended:
+            yield self._told([(i, "ERROR", n, LEASE_ERROR) for i, n in ended])
 
     def close(self) -> None:
         pass
 
 
-def stream_mail(events: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None], lease_ms: int = 60_000, keep_ms: int = 7 * 86_400_000, trigger: dict | None = None) -> StreamingQuery:
+def stream_mail(events: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None], lease_ms: int = 60_000, keep_ms: int = 7 * 86_400_000, buckets: int = 1024, trigger: dict | None = None) -> StreamingQuery:
     """Delivery states of mail as events(mail_id, seq, event) arrive: start, sent, failed, retry.
 
-    Mail whose lease runs out while it is PROCESSING becomes an ERROR by its own timer, without any
+    Mail whose lease runs out while it is PROCESSING becomes an ERROR by a timer, without any
     further event; timers are looked at in each batch, so a stream that is to notice them without new
     events runs with a processing-time trigger. The sink gets each change: mail_id, state, attempts, error.
 
     The state of mail that is SUCCESS or ERROR ends after keep_ms, so that open mail bounds it; a start or
-    retry after that begins anew with no attempts, and whatever else is told changes nothing.
+    retry after that begins anew with no attempts, and whatever else is told changes nothing. State is kept in
+    buckets of ids, of which a task holds one at a time with what is told of it. A checkpoint keeps its
+    number of buckets.
     """
     with _state_on_disk(events.sparkSession):
         schema = f"{_ddl(events, mail_id='mail_id')}, state string, attempts int, error string"
-        out = events.groupBy("mail_id").transformWithStateInPandas(statefulProcessor=MailLease(lease_ms, keep_ms), outputStructType=schema, outputMode="update", timeMode="ProcessingTime")
+        whole = isinstance(events.schema["mail_id"].dataType, T.IntegralType)
+        # A column with a null would have its integers as floats.
+        mail_id = F.coalesce("mail_id", F.lit(0).cast(events.schema["mail_id"].dataType)) if whole else F.col("mail_id")
+        dealt = events.select(mail_id.alias("mail_id"), F.col("mail_id").isNull().alias("nameless"), "seq", "event", F.pmod(F.xxhash64("mail_id"), F.lit(buckets)).alias("bucket"))
+        kept = MailLease(lease_ms, keep_ms, whole)
+        out = dealt.groupBy("bucket").transformWithStateInPandas(statefulProcessor=kept, outputStructType=schema, outputMode="update", timeMode="ProcessingTime")
         return _start(out, checkpoint, sink, mode="update", trigger=trigger)
 
 

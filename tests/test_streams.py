@@ -84,6 +84,40 @@ def test_mail_state_ends_and_ids_keep_their_type(spark, tmp_path, ids):
     assert progress[-1].lastProgress["stateOperators"][0]["numRowsTotal"] <= 6
 
 
+def test_mail_of_a_bucket_is_told_apart(spark, tmp_path):
+    rng = random.Random(5)
+    ids = [None, 2**60 + 1, 2**60, 0, *range(10, 3000)]
+    batches = [[(i, n, rng.choice(["start", "sent", "failed", "retry"])) for i in ids for n in range(rng.randrange(4))] for _ in range(3)]
+    want, state = [], {}
+    for number, batch in enumerate(batches):
+        began, before = set(), dict(state)
+        for i, _, event in batch:
+            s, n = state.get(i, ("PENDING", 0))
+            s = "RETRY" if (event, s) == ("retry", "ERROR") else s
+            if event in ("start", "retry") and s in ("PENDING", "RETRY"):
+                began.add(i)
+                s = "PROCESSING"
+            elif event in ("sent", "failed") and s == "PROCESSING":
+                s, n = "SUCCESS" if event == "sent" else "ERROR", n + 1
+            state[i] = s, n
+        want += [(i, *r, number) for i, r in state.items() if i in began or r != before.get(i, ("PENDING", 0))]
+    progress = []
+
+    def start(df, sink, at):
+        progress.append(streams.stream_mail(df, at, sink, lease_ms=10_000_000))
+        return progress[-1]
+
+    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
+    try:
+        rows = run_stream(spark, [spark.createDataFrame(b, "mail_id long, seq int, event string") for b in batches], "parquet", start).collect()
+    finally:
+        spark.conf.unset("spark.sql.streaming.noDataMicroBatches.enabled")
+    number = {b: n for n, b in enumerate(sorted({r._batch for r in rows}))}
+    assert sorted(((r.mail_id, r.state, r.attempts, number[r._batch]) for r in rows), key=repr) == sorted(want, key=repr)
+    # State is rows and timers of buckets, not of mail.
+    assert progress[-1].lastProgress["stateOperators"][0]["numRowsTotal"] <= 2048
+
+
 def test_trimming_takes_null_keys_and_any_type(spark, tmp_path):
     rows = [[("p", 3), ("p", None), ("p", 1), ("q", 5)], [("p", 2), ("p", 9), ("p", 3)]]
     out = run_stream(spark, [spark.createDataFrame(r, "parent string, key long").coalesce(1) for r in rows], "parquet", lambda df, sink, at: streams.stream_keep_last_n(df, at, 2, sink))
