@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docflow.functions import extract as X
@@ -110,11 +110,16 @@ def schema_latest(log: DataFrame, fields: list[Field], ranked: bool = True) -> D
 
     ranked: False takes a latest table as it is, apart from its deletions.
     """
-    newest = latest_by_rank(log) if ranked else log.where(F.col("operation") != "DELETE")
     out = _Columns({}, [], [], [])
     _walk(tuple(fields), F.lit(None).cast("variant"), [], (), out)
-    rows = except_columns(schema_changelog(newest, fields), out.dropped)
-    return dedup_rows(rows, rows.columns)
+    view = lambda newest: except_columns(schema_changelog(newest, fields), out.dropped)
+    if not ranked:
+        rows = view(log.where(F.col("operation") != "DELETE"))
+        return dedup_rows(rows, rows.columns)
+    # The rows of one change differ by their indexes, so only documents with several newest changes are looked through.
+    newest = latest_by_rank(log).withColumn("_tied", F.count("*").over(Window.partitionBy("document_name")) > 1)
+    tied = view(newest.where("_tied"))
+    return view(newest.where("NOT _tied")).unionByName(dedup_rows(tied, tied.columns))
 
 
 def schema_latest_from_latest(latest: DataFrame, fields: list[Field]) -> DataFrame:

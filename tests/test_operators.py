@@ -313,3 +313,15 @@ def test_capture_of_a_change(spark):
     rows = spark.createDataFrame([(None, "u/a", None, "{}"), ("u/a", "u/a", "{}", "{}"), ("u/a", None, "{}", None)], "before_path string, after_path string, before string, after string")
     made = capture.changelog_rows(rows.withColumn("timestamp", F.current_timestamp()).withColumn("event_id", F.lit("1")), "p", template="u/{documentId}")
     assert [(r.operation, r.data, r.old_data, r.document_id, r.path_params) for r in made.collect()] == [("CREATE", "{}", None, "a", "{}"), ("UPDATE", "{}", "{}", "a", "{}"), ("DELETE", None, "{}", "a", "{}")]
+
+
+def test_only_tied_documents_are_looked_through_for_repeated_rows(spark):
+    spec = [views.Field("a", "array"), views.Field("s", "string")]
+    rows = [("x", 1, '{"a": [1, 2], "s": "k"}'), ("x", 1, '{"a": [1, 3], "s": "k"}'), ("x", 0, '{"a": [9]}'), ("y", 1, '{"a": [4, 4]}'), ("z", 2, '{"a": []}'), ("z", 2, '{"a": []}')]
+    log = spark.createDataFrame([(n, n, t, "CREATE", d) for n, t, d in rows], "document_name string, document_id string, timestamp int, operation string, data string")
+    log = log.withColumn("timestamp", F.timestamp_seconds("timestamp"))
+    view = views.schema_latest(log, spec)
+    got = sorted(((r.document_id, r.a_index, r.a_member) for r in view.collect()), key=repr)
+    assert got == sorted([("x", 0, "1"), ("x", 1, "2"), ("x", 1, "3"), ("y", 0, "4"), ("y", 1, "4"), ("z", None, None)], key=repr)
+    plan = view._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Union") < plan.index("Aggregate") and plan.count("Aggregate") == 1
