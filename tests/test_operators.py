@@ -315,6 +315,13 @@ def test_capture_of_a_change(spark):
     assert [(r.operation, r.data, r.old_data, r.document_id, r.path_params) for r in made.collect()] == [("CREATE", "{}", None, "a", "{}"), ("UPDATE", "{}", "{}", "a", "{}"), ("DELETE", None, "{}", "a", "{}")]
 
 
+def test_screening_is_dealt_out_whatever_the_files(spark):
+    made = spark.createDataFrame([(i, "n", "image/png") for i in range(40)], "object_id long, name string, contentType string").coalesce(1)
+    judged = objects.screen_content(made, lambda b: [True] * len(b))
+    assert judged.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions")) > 1
+    assert sorted(tuple(r) for r in judged.collect()) == [(i, "pass") for i in range(40)]
+
+
 def test_only_tied_documents_are_looked_through_for_repeated_rows(spark):
     spec = [views.Field("a", "array"), views.Field("s", "string")]
     rows = [("x", 1, '{"a": [1, 2], "s": "k"}'), ("x", 1, '{"a": [1, 3], "s": "k"}'), ("x", 0, '{"a": [9]}'), ("y", 1, '{"a": [4, 4]}'), ("z", 2, '{"a": []}'), ("z", 2, '{"a": []}')]
