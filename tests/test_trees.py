@@ -63,3 +63,10 @@ def test_documents_merge_in_structs_and_trees(spark):
     got = {r.id: (r.s, r.v) for r in tables.merge_documents(old, new, "id").select("id", F.to_json("s").alias("s"), F.to_json("v").alias("v")).collect()}
     assert json.loads(got[1][0]) == {"a": 1, "b": {"c": 2, "d": 9}, "e": 5} and json.loads(got[1][1]) == {"x": {"y": 1, "z": None}}
     assert got[2] == (None, None) and json.loads(got[3][0]) == {"b": {"d": 7}, "e": 6}
+
+
+def test_a_value_is_taken_apart_once_at_each_level(spark):
+    plan = spark.sql("SELECT parse_json('{}') AS v").select(trees.tag_tree(F.col("v"), 1).alias("t"))._jdf.queryExecution().analyzed().toString()
+    assert plan.lower().count("maptype(") + plan.lower().count("map<") == 1
+    empty = '{"a": {}, "b": [], "c": [{}, []]}'
+    assert run(spark, trees.tag_tree(F.col("c0")), empty) == json.loads(empty)
