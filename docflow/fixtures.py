@@ -133,17 +133,21 @@ def objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents to translate: doc_id, input, languages, existing (map)."""
-    d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+def _texts(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents")
     langs = F.when(F.col("doc_id") % 5 == 0, F.array(F.lit("it"), F.lit("en"), F.lit("it")))
     existing = F.when(F.col("doc_id") % 3 == 0, F.create_map(F.lit("fr"), F.lit("kept"))).otherwise(F.create_map().cast("map<string,string>"))
-    return d.select("doc_id", F.col("text").alias("input"), langs.alias("languages"), existing.alias("existing"))
+    return d.select("doc_id", F.col("text").alias("input"), langs.alias("languages"), existing.alias("existing"), *more)
+
+
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents to translate: doc_id, input, languages, existing (map)."""
+    return _texts(spark, sf_dir)
 
 
 def texts_or_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """texts, the input a VARIANT: for every third document of two an object with a title, the body, and a number; existing a map of maps."""
-    t = texts(spark, sf_dir).join(table(spark, sf_dir, "documents").select("doc_id", "source"), "doc_id")
+    t = _texts(spark, sf_dir, "source")
     nested = F.col("doc_id") % 6 == 3
     fields = F.to_variant_object(F.struct(F.col("source").alias("title"), F.col("input").alias("body"), F.col("doc_id").alias("n")))
     had = F.when(F.size("existing") > 0, F.create_map(F.when(nested, "body").otherwise(""), "existing"))

@@ -61,6 +61,39 @@ def test_maps_of_texts(spark):
     assert kept[2][0]["a"] == {"de": "kept", "it": "old", "fr": "x:fr"} and kept[2][0]["gone"] == {"it": "old"}
 
 
+def logging_translator(log):
+    def fn(batch):
+        with open(log, "a") as f:
+            f.writelines(f"{t}:{x}\n" for t, x in zip(batch["input"], batch["lang"], strict=True))
+        return batch["input"] + ":" + batch["lang"]
+
+    return fn
+
+
+def test_each_text_is_sent_once_in_each_language(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(enrich, "BATCH_BYTES", 3)  # a batch is a text, so what was made is kept from batch to batch
+    rows = [(i, f'"{"ab"[i % 2]}"', ["de", "fr"] if i % 3 else ["it"], None) for i in range(40)]
+    rows += [(100 + i, f'{{"x": "a", "y": "c{i % 2}", "z": 7}}', ["de"], {"x": {"de": "kept"}} if i == 1 else None) for i in range(4)]
+    df = spark.createDataFrame(rows, f"doc_id long, data string, languages array<string>, existing {enrich.NESTED}").withColumn("input", F.parse_json("data")).repartition(7)
+    got = {r.doc_id: r.translations for r in enrich.translate_fields(df, logging_translator(str(tmp_path / "log")), F.col("languages"), missing_only=True).collect()}
+    assert sorted((tmp_path / "log").read_text().split()) == ["a:de", "a:fr", "a:it", "b:de", "b:fr", "b:it", "c0:de", "c1:de"]
+    assert all(got[i] == {"": {x: f"{'ab'[i % 2]}:{x}" for x in rows[i][2]}} for i in range(40))
+    assert all(got[100 + i] == {"x": {"de": "kept" if i == 1 else "a:de"}, "y": {"de": f"c{i % 2}:de"}, "z": {"de": None}} for i in range(4))
+
+
+@pytest.mark.parametrize("whole", [True, False])
+def test_what_was_made_of_a_text_is_not_shuffled(spark, whole):
+    texts = spark.range(400).select(F.col("id").alias("doc_id"), F.concat_ws("", F.transform(F.sequence(F.lit(1), F.lit(300)), lambda i: F.md5(F.concat("id", F.lit(" "), i.cast("string"))))).alias("input"))
+    made = spark.createDataFrame(texts.toPandas()).repartition(4)  # 9,600 characters each, which do not shrink below half
+    df = made.select("doc_id", "input" if whole else F.col("input").cast("variant").alias("input"), F.lit(None).cast("map<string,string>" if whole else enrich.NESTED).alias("existing")).localCheckpoint()
+    written = lambda: sum(x.apply(i).totalShuffleWrite() for x in [spark.sparkContext._jsc.sc().statusStore().executorList(False)] for i in range(x.size()))
+    before = written()
+    translate = enrich.translate if whole else enrich.translate_fields
+    told = translate(df, lambda b: b["input"] + b["lang"], F.array(*map(F.lit, ("de", "en", "fr"))))
+    assert told.select(F.sum(F.length(told.translations.cast("string"))).alias("n")).first().n > 3 * 400 * 9600
+    assert written() - before < 1.3 * 400 * 9600
+
+
 def test_names_that_would_not_end():
     enrich.check_names("text", "translated", ["en"])
     for field, output in (("text", "text"), ("out.en", "out")):
