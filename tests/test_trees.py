@@ -70,3 +70,33 @@ def test_a_value_is_taken_apart_once_at_each_level(spark):
     assert plan.lower().count("maptype(") + plan.lower().count("map<") == 1
     empty = '{"a": {}, "b": [], "c": [{}, []]}'
     assert run(spark, trees.tag_tree(F.col("c0")), empty) == json.loads(empty)
+
+
+@pytest.mark.parametrize("levels", [9, 10, 20, 45, 900])
+def test_tags_at_any_depth(spark, levels):
+    deep = lambda *leaves: '{"n":[0,' * (levels // 2) + '{"n":' * (levels % 2) + "[" + ",".join(leaves) + "]" + "}" * (levels % 2) + "]}" * (levels // 2)
+    raw = deep('{"_seconds": 0, "_nanoseconds": 999999999}', '{"_latitude": 1, "_longitude": 2}', '{"_path": {"segments": ["a", "b"]}, "more": {}}', "12345678901234567890.5")
+    want = deep('{"_type":"timestamp","value":"1970-01-01T00:00:00.999Z"}', '{"_type":"geopoint","latitude":1.0,"longitude":2.0}', '{"_type":"reference","path":"a/b"}', "12345678901234567890.5")
+    told = spark.createDataFrame([(raw,)], "c string").select(F.to_json(trees.tag_tree(F.parse_json("c"))).alias("x")).first().x
+    assert told == want
+
+
+def test_tags_are_in_utc_and_leave_other_values(spark):
+    docs = ['{"t": {"_seconds": 253402300800, "_nanoseconds": 0}}', '{"t": {"_seconds": -62167219201, "_nanoseconds": 0}}', '{"t": {"_seconds": 1.9, "_nanoseconds": "0"}, "x": "\\u00fc\\"\\n"}', '{"t": {"_seconds": "x", "_nanoseconds": 0}}']
+    want = ["+010000-01-01T00:00:00.000Z", "-000001-12-31T23:59:59.000Z", "1970-01-01T00:00:01.000Z", None]
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([(d,) for d in docs], "c string").select(trees.tag_tree(F.parse_json("c")).alias("v"))
+        got = df.select(F.try_variant_get("v", "$.t.value", "string").alias("t"), F.try_variant_get("v", "$.x", "string").alias("x")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert [r.t for r in got] == want and [r.x for r in got] == [None, None, 'ü"\n', None]
+    kinds = spark.sql("SELECT to_variant_object(named_struct('d', date'2020-01-01', 'f', 1.5D)) AS v").select(F.schema_of_variant(trees.tag_tree(F.col("v"))).alias("k")).first().k
+    assert kinds == "OBJECT<d: DATE, f: DOUBLE>"
+
+
+def test_tags_of_the_first_levels_only(spark):
+    time = '{"_seconds": 0, "_nanoseconds": 0}'
+    got = run(spark, trees.tag_tree(F.col("c0"), 2), f'{{"a": {time}, "b": {{"c": {time}}}}}')
+    assert got == {"a": {"_type": "timestamp", "value": "1970-01-01T00:00:00.000Z"}, "b": {"c": json.loads(time)}}
